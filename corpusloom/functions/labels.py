@@ -74,7 +74,7 @@ def lexicon_level(text: Column, lexicon: Lexicon = CLINICAL_LEXICON) -> Column:
 
 def level_label(level: Column, unknown: str = K.UNKNOWN_LEVEL_LABEL) -> Column:
     """Display label of a level; ``unknown`` for null and for anything else."""
-    return literal_map(K.LEVEL_LABELS, level, F.lit(unknown))
+    return literal_map(K.LEVEL_LABELS, level, unknown)
 
 
 def render_answer(level: Column, body: Column) -> Column:
@@ -85,7 +85,7 @@ def render_answer(level: Column, body: Column) -> Column:
         F.length(text) > K.MAX_BODY_CHARS, F.concat(clip(text, kept), F.lit(K.ELLIPSIS))
     ).otherwise(text)
     label = level_label(level, K.LEVEL_LABELS[K.DEFAULT_LEVEL])
-    advice = literal_map(K.LEVEL_ADVICE, level, F.lit(K.LEVEL_ADVICE[K.DEFAULT_LEVEL]))
+    advice = literal_map(K.LEVEL_ADVICE, level, K.LEVEL_ADVICE[K.DEFAULT_LEVEL])
     return F.concat(
         label, F.lit("\n\n" + K.BODY_MARKER), shortened, F.lit(K.ADVICE_MARKER), advice
     )

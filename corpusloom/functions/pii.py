@@ -17,6 +17,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom import constants as K
 
@@ -168,7 +169,7 @@ def drop_false_persons(
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _splice(texts: pd.Series, spans: pd.Series) -> pd.Series:
     out = []
     for text, found in zip(texts, spans, strict=True):

@@ -71,12 +71,12 @@ def seeded_key(seed: int, row_id: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), row_id.cast("string")))
 
 
-def literal_map(values: dict[str, str], key: Column, default: Column | None = None) -> Column:
-    """Look a column up in a small fixed mapping as a CASE chain, which is code-generated."""
-    chain: Column | None = None
-    for name, value in values.items():
-        hit = F.lit(value)
-        chain = F.when(key == name, hit) if chain is None else chain.when(key == name, hit)
-    if chain is None:
-        raise ValueError("empty mapping")
-    return chain if default is None else chain.otherwise(default)
+def literal_map(values: dict[str, str], key: Column, default: str | None = None) -> Column:
+    """Look a column up in a small fixed mapping.
+
+    A constant map names the key once, where a CASE chain would repeat, and re-evaluate, the
+    expression behind it for every entry.
+    """
+    entries = [F.lit(part) for pair in values.items() for part in pair]
+    found = F.try_element_at(F.create_map(*entries), key)
+    return found if default is None else F.coalesce(found, F.lit(default))

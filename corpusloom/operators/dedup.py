@@ -40,7 +40,7 @@ def level_priority(answer: Column) -> Column:
     """Priority of the level an answer names; unreadable counts as the lowest."""
     ranks = {level: str(rank) for level, rank in K.LEVEL_PRIORITY.items()}
     lowest = str(min(K.LEVEL_PRIORITY.values()))
-    return literal_map(ranks, parse_level(answer), F.lit(lowest)).cast("int")
+    return literal_map(ranks, parse_level(answer), lowest).cast("int")
 
 
 def dedup_by_priority(

@@ -150,13 +150,22 @@ def gate_row(df: DataFrame, gate: str, severity: str, passed: Column, detail: Co
 
 
 def gate_rollup(gates: Sequence[DataFrame]) -> DataFrame:
-    """All gate rows and a final ``overall`` row that only blocking failures turn false."""
-    rows = reduce(DataFrame.unionByName, gates)
-    blocking = F.col("severity") == BLOCK
-    overall = rows.agg(
-        F.coalesce(F.min(F.when(blocking, F.col("passed"))), F.lit(True)).alias("passed"),
-        F.count_if(blocking & ~F.col("passed")).alias("failed"),
+    """All gate rows and a final ``overall`` row that only blocking failures turn false.
+
+    A gate has a row per split or column, so all rows of all gates fit in one aggregate;
+    gathering them evaluates each gate once.
+    """
+    gathered = reduce(DataFrame.unionByName, gates).agg(
+        F.collect_list(F.struct("gate", "severity", "passed", "detail")).alias("rows")
+    )
+    failed = F.size(
+        F.filter("rows", lambda r: (r["severity"] == BLOCK) & ~r["passed"])
     )
-    return rows.unionByName(
-        gate_row(overall, "overall", BLOCK, F.col("passed"), F.col("failed"))
+    overall = F.struct(
+        F.lit("overall").alias("gate"),
+        F.lit(BLOCK).alias("severity"),
+        (failed == 0).alias("passed"),
+        failed.cast("string").alias("detail"),
     )
+    everything = F.concat(F.col("rows"), F.array(overall))
+    return gathered.select(F.inline(everything))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.labels import CLINICAL_LEXICON, Lexicon, lexicon_level, render_answer
-from corpusloom.operators.ranking import bounded_map
+from corpusloom.operators.ranking import MAX_STRATA
 
 
 def label_with(df: DataFrame, classify: Callable[[Column], Column], text: Column) -> DataFrame:
@@ -42,19 +42,22 @@ def add_answer(
     return df.withColumn(name, render_answer(F.col(level), F.col(body)))
 
 
-def label_ids(df: DataFrame, label: str) -> DataFrame:
-    """``(label, label_id)``: the distinct labels numbered 0..k-1 in name order."""
+def label_names(df: DataFrame, label: str) -> list[str]:
+    """The distinct labels in name order; a vocabulary, so its size is checked."""
     distinct = df.select(label).where(F.col(label).isNotNull()).distinct()
-    # One row per class: a vocabulary, not data.
-    return distinct.withColumn(
-        "label_id", F.row_number().over(Window.orderBy(label)).cast("int") - F.lit(1)
-    )
+    names = [r[0] for r in distinct.limit(MAX_STRATA + 1).collect()]
+    if len(names) > MAX_STRATA:
+        raise ValueError(f"{label} has more than {MAX_STRATA} values; not a class label")
+    return sorted(names)
 
 
-def encode_labels(df: DataFrame, label: str, name: str = "label_id") -> DataFrame:
-    """Add the integer class of a label; the lookup is a size-checked scalar, not a join."""
-    lookup = bounded_map(label_ids(df, label), F.col(label), F.col("label_id"))
-    return df.withColumn(name, F.try_element_at(lookup, F.col(label)))
+def encode_labels(
+    df: DataFrame, label: str, names: Sequence[str] | None = None, name: str = "label_id"
+) -> DataFrame:
+    """Add the integer class of a label, 0..k-1 in name order; null for other labels."""
+    known = list(names) if names is not None else label_names(df, label)
+    position = F.array_position(F.array(*[F.lit(n) for n in known]), F.col(label))
+    return df.withColumn(name, F.when(position > 0, (position - 1).cast("int")))
 
 
 def decode_labels(df: DataFrame, label_id: str, names: Sequence[str], name: str) -> DataFrame:

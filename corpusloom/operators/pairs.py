@@ -67,10 +67,10 @@ def preference_dataset(
 
     Ids are unique within each source only, so the order among both uses ``source:id``.
     """
-    sample = stratified_sample(labelled, target=target, seed=seed)
+    sample = stratified_sample(labelled, target=target, seed=seed, store_keys=True)
     pairs = dedup_by_priority(synthetic_pairs(sample), seed=seed)
     if hard is not None:
-        pairs = pairs.unionByName(cap_sample(hard, target, seed=seed))
+        pairs = pairs.unionByName(cap_sample(hard, target, seed=seed, store_keys=True))
     keyed = pairs.withColumn("pair_id", F.concat_ws(":", "source", "id"))
     return dedup_by_priority(keyed, row_id="pair_id", seed=seed)
 

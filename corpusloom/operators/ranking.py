@@ -3,18 +3,21 @@
 ``row_number() over (partition by class order by key)`` puts a three-class table on three
 tasks.  What the sampling and splitting operators need is less than a rank: only the key
 found *at* a few given ranks.  With those cut keys in hand every row decides alone, in a
-map-only pass, on which side of a cut it lies.
+map-only pass, on which side of a cut it lies, and no row is ever shuffled.
 
-``key_cuts`` finds cut keys among uniform keys (hex digests) from a histogram over their
-first digits; ``value_cuts`` finds cut values among arbitrary numbers from approximate
-quantiles that bracket them.  Both are exact.
+The cut keys are found by narrow jobs over (stratum, key) that run when an operator is
+called; they return one row per stratum and cut.  The number of strata is checked first, and
+tables with too many for that take the other way: ``bucketed_rank``, one shuffle by
+(stratum, bucket of key), in which no stratum is ever one task either.
+
+``value_cuts`` does the same for arbitrary numbers, from approximate quantiles that bracket
+the exact ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,141 +25,153 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import seeded_key
 from corpusloom.session import materialize
 
-# A stratum is a class or a split.  The cut table has a row per stratum and cut, is
-# gathered into one map value, and may not grow with the data; more strata than this fail
-# with a message instead of overloading the driver.
-MAX_STRATA = 10_000
+# Up to this many strata, per-stratum results travel through the driver; above, they stay
+# distributed.
+MAX_STRATA = 1000
+# Rows that one task sorts without effort.
+BUCKET_ROWS = 1_000_000
 
 
-def bounded_map(table: DataFrame, key: Column, value: Column) -> Column:
-    """A small table as one map-typed scalar subquery, refused beyond ``MAX_STRATA`` rows."""
-    n = F.count(F.lit(1))
-    entries = F.map_from_entries(F.collect_list(F.struct(key, value)))
-    checked = F.when(
-        n > MAX_STRATA, F.raise_error(F.lit(f"more than {MAX_STRATA} strata"))
-    ).otherwise(entries)
-    return table.agg(checked.alias("lookup")).scalar()
+def stratum_of(label: Column) -> Column:
+    """A label as stratum name; null is a stratum like any other."""
+    return F.coalesce(label.cast("string"), F.lit(""))
 
 
-def cut_name(stratum: Column, cut: Column) -> Column:
-    """Name of one cut of one stratum in the lookup map."""
-    return F.concat_ws("|", cut, stratum)
+def keyed_rows(df: DataFrame, stratum: Column, key: Column, store: bool = False) -> DataFrame:
+    """``(stratum, key)`` of every row, stored once when they are costly to compute."""
+    keyed = df.select(stratum_of(stratum).alias("stratum"), key.alias("key"))
+    return materialize(keyed) if store else keyed
 
 
-def stratum_sizes(df: DataFrame, stratum: Column) -> DataFrame:
-    """``(stratum, n)``: a small table, one row per stratum."""
-    return df.groupBy(stratum.cast("string").alias("stratum")).agg(F.count(F.lit(1)).alias("n"))
+def stratum_sizes(df: DataFrame, stratum: str = "stratum") -> dict[str, int] | None:
+    """Rows per stratum, or nothing when there are more than ``MAX_STRATA``."""
+    counts = df.groupBy(stratum).agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.limit(MAX_STRATA + 1).collect()
+    return None if len(rows) > MAX_STRATA else {r[0]: r["n"] for r in rows}
 
 
-@dataclass(frozen=True)
-class KeyCuts:
-    """Cut keys per stratum, found inside the query that uses them."""
-
-    edges: Column  # map cut|stratum -> (bucket, place, none, all)
-    keys: Column  # map cut|stratum -> key
-
-    def keep(self, cut: str, stratum: Column, key: Column) -> Column:
-        """Whether a row is among the first rows of its stratum, up to the cut."""
-        name = cut_name(stratum.cast("string"), F.lit(cut))
-        edge = F.try_element_at(self.edges, name)
-        below = F.when(edge["none"], False).when(edge["all"], True).otherwise(
-            key <= F.try_element_at(self.keys, name)
-        )
-        return F.coalesce(below, F.lit(False))
+def _bucket(digits: int) -> Column:
+    return F.substring("key", 1, digits)
 
 
-def key_cuts(
-    df: DataFrame,
-    stratum: Column,
-    key: Column,
-    ranks: Mapping[str, Callable[[Column, Column], Column]],
-    digits: int = 3,
-    store_keys: bool = False,
-) -> KeyCuts:
-    """Keys at given 1-based ranks of each stratum.
+def _histogram(keyed: DataFrame, digits: int) -> DataFrame:
+    """Rows per (stratum, bucket) and how many rows of the stratum lie before the bucket."""
+    counts = keyed.groupBy("stratum", _bucket(digits).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    running = Window.partitionBy("stratum").orderBy("bucket")
+    return counts.withColumn("before", F.sum("n").over(running) - F.col("n"))
+
 
-    ``key`` is a unique uniform hex digest.  ``ranks`` maps the name of a cut to a function
-    of ``(stratum, n)``, n being the size of the stratum, that gives its rank.
+def digits_for(largest: int) -> int:
+    """How many digits of the key make buckets of at most about ``BUCKET_ROWS`` rows."""
+    digits = 0
+    while largest > BUCKET_ROWS * 16**digits:
+        digits += 1
+    return digits
 
-    Cost: one narrow aggregation to at most ``16**digits`` rows per stratum, and one sort of
-    a single bucket, ``n / 16**digits`` rows, per cut.  Both read only stratum and key; when
-    those are costly to compute, ``store_keys`` computes and stores them once.
+
+def key_cuts(
+    keyed: DataFrame, ranks: Mapping[tuple[str, str], int], largest: int
+) -> dict[tuple[str, str], str]:
+    """The key at a 1-based rank of a stratum, for ``{(stratum, cut): rank}``.
+
+    Keys are unique uniform hex digests; ranks lie between 1 and the size of the stratum;
+    ``largest`` is the size of the largest stratum.  A narrow histogram over the first digits
+    of the key finds the one bucket that holds a rank, then that bucket alone is sorted,
+    ``BUCKET_ROWS`` rows or fewer.  Strata no larger than a bucket need no histogram.
     """
-    keyed = df.select(stratum.cast("string").alias("stratum"), key.alias("key"))
-    if store_keys:
-        keyed = materialize(keyed)
-    bucket = F.substring("key", 1, digits)
-    histogram = keyed.groupBy("stratum", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    whole = Window.partitionBy("stratum")
-    running = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    histogram = histogram.select(
-        "stratum",
-        "bucket",
-        (F.sum("n").over(running) - F.col("n")).alias("before"),
-        F.sum("n").over(running).alias("upto"),
-        F.sum("n").over(whole).alias("total"),
-    )
-    listed = [
-        F.struct(
-            F.lit(name).alias("cut"),
-            rank(F.col("stratum"), F.col("total")).cast("bigint").alias("rank"),
+    if not ranks:
+        return {}
+    spark, digits = keyed.sparkSession, digits_for(largest)
+    shape = "stratum string, cut string, bucket string, place bigint"
+    if digits == 0:
+        edges = spark.createDataFrame([(s, c, "", r) for (s, c), r in ranks.items()], shape)
+    else:
+        wanted = spark.createDataFrame(
+            [(s, c, r) for (s, c), r in ranks.items()], "stratum string, cut string, rank bigint"
         )
-        for name, rank in ranks.items()
-    ]
-    candidates = histogram.select("*", F.inline(F.array(*listed)))
-    # The bucket holding the rank; ranks outside 1..n attach to the first or last bucket.
-    inside = F.least(F.greatest("rank", F.lit(1)), "total")
-    edge_rows = candidates.where((inside > F.col("before")) & (inside <= F.col("upto")))
-    edges = bounded_map(
-        edge_rows,
-        cut_name(F.col("stratum"), F.col("cut")),
-        F.struct(
-            "bucket",
-            (inside - F.col("before")).alias("place"),
-            (F.col("rank") <= 0).alias("none"),
-            (F.col("rank") >= F.col("total")).alias("all"),
-        ),
+        after = F.col("before") + F.col("n")
+        located = (
+            _histogram(keyed, digits)
+            .join(F.broadcast(wanted), "stratum")  # at most MAX_STRATA rows per cut
+            .where((F.col("rank") > F.col("before")) & (F.col("rank") <= after))
+            .select("stratum", "cut", "bucket", (F.col("rank") - F.col("before")).alias("place"))
+        )
+        edges = spark.createDataFrame(located.limit(len(ranks)).collect(), shape)
+    by_key = Window.partitionBy("stratum", "cut").orderBy("key")
+    found = (
+        keyed.withColumn("bucket", _bucket(digits))
+        .join(F.broadcast(edges), ["stratum", "bucket"])  # one row per cut
+        .withColumn("at", F.row_number().over(by_key))
+        .where(F.col("at") == F.col("place"))
+        .select("stratum", "cut", "key")
     )
+    return {(r["stratum"], r["cut"]): r["key"] for r in found.limit(len(ranks)).collect()}
 
-    def edge(name: str) -> Column:
-        return F.try_element_at(edges, cut_name(F.col("stratum"), F.lit(name)))
 
-    on_edge = reduce(
-        lambda a, b: a | b,
-        [(edge(n)["bucket"] == bucket) & ~edge(n)["none"] & ~edge(n)["all"] for n in ranks],
-    )
-    by_key = Window.partitionBy("stratum", "bucket").orderBy("key")
-    ranked = (
-        keyed.where(on_edge)
-        .withColumn("bucket", bucket)
-        .withColumn("place", F.row_number().over(by_key).cast("bigint"))
+def bucketed_rank(
+    df: DataFrame, stratum: Column, key: Column, name: str = "rank", digits: int = 3
+) -> DataFrame:
+    """Add the 1-based rank of each row within its stratum by a uniform hex key.
+
+    Join and window agree on (stratum, bucket), so rows are shuffled once and a stratum of
+    any size is spread over ``16**digits`` groups.
+    """
+    rows = df.withColumn("_stratum", stratum_of(stratum)).withColumn("_key", key)
+    rows = rows.withColumn("_bucket", F.substring("_key", 1, digits))
+    keyed = rows.select(F.col("_stratum").alias("stratum"), F.col("_key").alias("key"))
+    offsets = _histogram(keyed, digits).select(
+        F.col("stratum").alias("_stratum"), F.col("bucket").alias("_bucket"), "before"
     )
-    matches = F.array(
-        *[
-            F.when(
-                (edge(n)["bucket"] == F.col("bucket")) & (edge(n)["place"] == F.col("place")),
-                F.lit(n),
-            )
-            for n in ranks
-        ]
+    inside = Window.partitionBy("_stratum", "_bucket").orderBy("_key")
+    return (
+        rows.join(offsets, ["_stratum", "_bucket"])
+        .withColumn(name, F.col("before") + F.row_number().over(inside))
+        .drop("_stratum", "_bucket", "_key", "before")
     )
-    found = ranked.select("stratum", "key", F.explode(F.array_compact(matches)).alias("cut"))
-    keys = bounded_map(found, cut_name(F.col("stratum"), F.col("cut")), F.col("key"))
-    return KeyCuts(edges, keys)
+
+
+def below_cut(
+    cuts: Mapping[tuple[str, str], str],
+    whole: Sequence[tuple[str, str]],
+    cut: str,
+    stratum: Column,
+    key: Column,
+) -> Column:
+    """Whether a row lies at or below a cut of its stratum; strata in ``whole`` lie below."""
+    limits = {s: k for (s, c), k in cuts.items() if c == cut}
+    limits.update({s: "~" for s, c in whole if c == cut})  # above every hex digest
+    if not limits:
+        return F.lit(False)
+    entries = [part for s, k in sorted(limits.items()) for part in (F.lit(s), F.lit(k))]
+    limit = F.try_element_at(F.create_map(*entries), stratum_of(stratum))
+    return F.coalesce(key <= limit, F.lit(False))
 
 
 def take_per_stratum(
     df: DataFrame,
     row_id: str,
     stratum: Column,
-    quota: Callable[[Column, Column], Column],
+    quota: Callable[[int], int],
     seed: int,
     store_keys: bool = False,
 ) -> DataFrame:
-    """Keep the ``quota(stratum, n)`` rows of each stratum that come first in seeded order."""
+    """Keep the first ``quota(number of strata)`` rows of each stratum in seeded order."""
     key = seeded_key(seed, F.col(row_id))
-    cuts = key_cuts(df, stratum, key, {"take": quota}, store_keys=store_keys)
-    return df.where(cuts.keep("take", stratum, key))
+    keyed = keyed_rows(df, stratum, key, store_keys)
+    sizes = stratum_sizes(keyed)
+    if sizes is None:
+        size = quota(keyed.select("stratum").distinct().count())
+        return bucketed_rank(df, stratum, key, "_rank").where(F.col("_rank") <= size).drop("_rank")
+    size = quota(len(sizes))
+    if size <= 0:
+        return df.where(F.lit(False))
+    whole = [(s, "take") for s, n in sizes.items() if n <= size]
+    cuts = key_cuts(
+        keyed, {(s, "take"): size for s, n in sizes.items() if n > size}, max(sizes.values(), default=0)
+    )
+    return df.where(below_cut(cuts, whole, "take", stratum, key))
 
 
 @dataclass(frozen=True)
@@ -183,7 +198,7 @@ def value_cuts(
     and counts the distinct values inside it; (3) a running sum over the values inside, about
     a share ``4 / accuracy`` of the stratum.  A bracket that missed would fail, not mislead.
     """
-    data = df.select(stratum.cast("string").alias("stratum"), value.alias("v")).where(
+    data = df.select(stratum_of(stratum).alias("stratum"), value.alias("v")).where(
         F.col("v").isNotNull()
     )
     slack = 2.0 / accuracy
@@ -212,33 +227,25 @@ def value_cuts(
             )
         ),
     )
-    lookup = bounded_map(
-        brackets, cut_name(F.col("stratum"), F.col("cut")), F.struct("low", "high", "rank")
-    )
-    names = F.array(*[F.lit(cut.name) for cut in cuts])
-    marked = (
-        data.withColumn("cut", F.explode(names))
-        .withColumn("bracket", F.try_element_at(lookup, cut_name(F.col("stratum"), F.col("cut"))))
-        .where(F.col("v") <= F.col("bracket.high"))
+    rows = brackets.limit(MAX_STRATA * len(cuts) + 1).collect()
+    if len(rows) <= MAX_STRATA * len(cuts):
+        # Few strata: the brackets, now of known size, are broadcast.
+        brackets = F.broadcast(df.sparkSession.createDataFrame(rows, brackets.schema))
+    counted = (
+        data.join(brackets, "stratum")
+        .where(F.col("v") <= F.col("high"))
         .groupBy(
-            "stratum",
-            "cut",
-            F.when(F.col("v") >= F.col("bracket.low"), F.col("v")).alias("v"),
-            F.col("bracket.rank").alias("rank"),
+            "stratum", "cut", "rank", F.when(F.col("v") >= F.col("low"), F.col("v")).alias("v")
         )
         .agg(F.count(F.lit(1)).alias("n"))
     )
     running = Window.partitionBy("stratum", "cut").orderBy(F.col("v").asc_nulls_first())
+    missed = F.raise_error(F.lit("quantile bracket missed its value"))
     return (
-        marked.withColumn("upto", F.sum("n").over(running))
+        counted.withColumn("upto", F.sum("n").over(running))
         .where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
         .select(
-            "stratum",
-            "cut",
-            F.when(
-                F.col("v").isNull(), F.raise_error(F.lit("quantile bracket missed its value"))
-            )
-            .otherwise(F.col("v"))
-            .alias("value"),
+            "stratum", "cut",
+            F.when(F.col("v").isNull(), missed).otherwise(F.col("v")).alias("value"),
         )
     )

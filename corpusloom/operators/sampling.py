@@ -8,16 +8,17 @@ and labels are read twice more.  Give ``store_keys`` when labels are costly to c
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import constants as K
 from corpusloom.functions.text import seeded_key
 from corpusloom.operators.ranking import (
-    bounded_map,
+    below_cut,
     key_cuts,
+    keyed_rows,
     stratum_sizes,
     take_per_stratum,
 )
@@ -35,7 +36,7 @@ def balance_classes(
     """At most ``target // len(levels)`` rows of each known level; other labels are dropped."""
     share = target // len(levels)
     known = df.where(F.col(label).isin(list(levels)))
-    return take_per_stratum(known, row_id, F.col(label), lambda _, n: F.lit(share), seed, store_keys)
+    return take_per_stratum(known, row_id, F.col(label), lambda k: share, seed, store_keys)
 
 
 def stratified_sample(
@@ -47,9 +48,8 @@ def stratified_sample(
     store_keys: bool = False,
 ) -> DataFrame:
     """At most ``target // k`` rows of each of the ``k`` labels that occur."""
-    present = df.agg(F.count_distinct(F.col(label))).scalar()
     return take_per_stratum(
-        df, row_id, F.col(label), lambda _, n: F.floor(F.lit(target) / present), seed, store_keys
+        df, row_id, F.col(label), lambda k: target // max(k, 1), seed, store_keys
     )
 
 
@@ -65,7 +65,7 @@ def cap_sample(
     Not ``orderBy().limit()``, whose last step merges ``size`` rows of every partition in
     one task.
     """
-    return take_per_stratum(df, row_id, F.lit("*"), lambda _, n: F.lit(size), seed, store_keys)
+    return take_per_stratum(df, row_id, F.lit("*"), lambda k: size, seed, store_keys)
 
 
 def sample_per_group(
@@ -77,7 +77,7 @@ def sample_per_group(
     store_keys: bool = False,
 ) -> DataFrame:
     """``size`` rows of each group in seeded order."""
-    return take_per_stratum(df, row_id, group, lambda _, n: F.lit(size), seed, store_keys)
+    return take_per_stratum(df, row_id, group, lambda k: size, seed, store_keys)
 
 
 def shuffled(df: DataFrame, row_id: str = "id", seed: int = K.SEED) -> DataFrame:
@@ -91,59 +91,55 @@ def shuffled(df: DataFrame, row_id: str = "id", seed: int = K.SEED) -> DataFrame
     )
 
 
-def _held_out(fraction: float, n: Column) -> Column:
-    """Rows held out: the fraction of ``n`` rounded up, in double arithmetic."""
-    return F.ceil(F.lit(fraction) * n).cast("bigint")
+def _held_out(fraction: float, n: int) -> int:
+    """Rows held out of ``n``: the fraction rounded up."""
+    return math.ceil(fraction * n)
 
 
-def _apportion(sizes: DataFrame, size: str, draws: str, name: str) -> DataFrame:
-    """Share ``draws`` among strata in proportion to ``size``, by largest remainder.
+def apportion(sizes: Mapping[str, int], draws: int) -> dict[str, int]:
+    """Share ``draws`` among strata in proportion to their sizes, by largest remainder.
 
-    Ties go by stratum name.  ``sizes`` has one row per stratum, so one window over all of
-    it is a window over a handful of rows.
+    Ties go by stratum name.
     """
-    everything = Window.partitionBy(F.lit(0))
-    total = F.sum(size).over(everything)
-    exact = F.col(size).cast("decimal(19,0)") * F.col(draws).cast("decimal(18,0)")
-    shared = (
-        sizes.withColumn("_total", total)
-        .withColumn("_exact", exact)
-        .withColumn("_floor", F.expr("cast(_exact div greatest(_total, 1) as bigint)"))
-        .withColumn("_rest", F.expr("_exact % greatest(_total, 1)"))
-    )
-    by_rest = everything.orderBy(F.col("_rest").desc(), F.col("stratum"))
-    shared = shared.withColumn("_place", F.row_number().over(by_rest)).withColumn(
-        "_open", F.col(draws) - F.sum("_floor").over(everything)
-    )
-    given = F.col("_floor") + (F.col("_place") <= F.col("_open")).cast("bigint")
-    return shared.withColumn(name, given).drop(
-        "_total", "_exact", "_floor", "_rest", "_place", "_open"
-    )
+    total = max(sum(sizes.values()), 1)
+    shares = {s: n * draws // total for s, n in sizes.items()}
+    by_rest = sorted(sizes, key=lambda s: (-(sizes[s] * draws % total), s))
+    for s in by_rest[: draws - sum(shares.values())]:
+        shares[s] += 1
+    return shares
 
 
 def three_way_sizes(
-    sizes: DataFrame, train_ratio: float = 0.8, val_ratio: float = 0.1
-) -> DataFrame:
-    """Add ``train``, ``val`` and ``test`` row counts to ``(stratum, n)``.
+    sizes: Mapping[str, int], train_ratio: float = 0.8, val_ratio: float = 0.1
+) -> dict[str, tuple[int, int, int]]:
+    """Rows of each stratum in train, validation and test.
 
     Two successive splits: first everything into train and the rest, then the rest into
     validation and test.
     """
     test_ratio = 1.0 - train_ratio - val_ratio
-    everything = Window.partitionBy(F.lit(0))
-    first = sizes.withColumn("_n", F.sum("n").over(everything)).withColumn(
-        "_draws", F.col("_n") - _held_out(val_ratio + test_ratio, F.col("_n"))
-    )
-    first = _apportion(first, "n", "_draws", "train").withColumn(
-        "_rest_n", F.col("n") - F.col("train")
-    )
-    second = first.withColumn("_n", F.sum("_rest_n").over(everything)).withColumn(
-        "_draws", F.col("_n") - _held_out(test_ratio / (val_ratio + test_ratio), F.col("_n"))
-    )
-    second = _apportion(second, "_rest_n", "_draws", "val")
-    return second.select(
-        "stratum", "n", "train", "val", (F.col("_rest_n") - F.col("val")).alias("test")
-    )
+    n = sum(sizes.values())
+    train = apportion(sizes, n - _held_out(val_ratio + test_ratio, n))
+    rest = {s: sizes[s] - train[s] for s in sizes}
+    n_rest = sum(rest.values())
+    val = apportion(rest, n_rest - _held_out(test_ratio / (val_ratio + test_ratio), n_rest))
+    return {s: (train[s], val[s], rest[s] - val[s]) for s in sizes}
+
+
+def _assign(
+    df: DataFrame, keyed: DataFrame, stratum: Column, key: Column,
+    upto: Mapping[str, Mapping[str, int]], sizes: Mapping[str, int], last: str,
+) -> DataFrame:
+    """Add ``split`` from the last rank of each split in each stratum."""
+    ranks = {(s, cut): r for cut, by_stratum in upto.items() for s, r in by_stratum.items()}
+    whole = [(s, cut) for (s, cut), r in ranks.items() if r >= sizes[s]]
+    inner = {(s, cut): r for (s, cut), r in ranks.items() if 0 < r < sizes[s]}
+    cuts = key_cuts(keyed, inner, max(sizes.values(), default=0))
+    split: Column | None = None
+    for cut in upto:
+        here = below_cut(cuts, whole, cut, stratum, key)
+        split = F.when(here, cut) if split is None else split.when(here, cut)
+    return df.withColumn("split", split.otherwise(last))
 
 
 def stratified_split(
@@ -155,28 +151,21 @@ def stratified_split(
     seed: int = K.SEED,
     store_keys: bool = False,
 ) -> DataFrame:
-    """Add ``split``: train, val or test, in the same proportions within every label."""
-    stratum, key = F.col(label).cast("string"), seeded_key(seed, F.col(row_id))
-    shares = three_way_sizes(stratum_sizes(df, stratum), train_ratio, val_ratio)
-    lookup = bounded_map(shares, F.col("stratum"), F.struct("train", "val"))
-
-    def share(s: Column) -> Column:
-        return F.try_element_at(lookup, s)
-
-    cuts = key_cuts(
-        df, stratum, key,
-        {
-            "train": lambda s, n: share(s)["train"],
-            "val": lambda s, n: share(s)["train"] + share(s)["val"],
-        },
-        store_keys=store_keys,
-    )
-    return df.withColumn(
-        "split",
-        F.when(cuts.keep("train", stratum, key), "train")
-        .when(cuts.keep("val", stratum, key), "val")
-        .otherwise("test"),
-    )
+    """Add ``split``: train, val or test, in the same proportions within every label.
+
+    Labels are classes; a column with more than ``ranking.MAX_STRATA`` values is refused.
+    """
+    stratum, key = F.col(label), seeded_key(seed, F.col(row_id))
+    keyed = keyed_rows(df, stratum, key, store_keys)
+    sizes = stratum_sizes(keyed)
+    if sizes is None:
+        raise ValueError(f"{label} has too many values to stratify by")
+    shares = three_way_sizes(sizes, train_ratio, val_ratio)
+    upto = {
+        "train": {s: train for s, (train, _, _) in shares.items()},
+        "val": {s: train + val for s, (train, val, _) in shares.items()},
+    }
+    return _assign(df, keyed, stratum, key, upto, sizes, "test")
 
 
 def random_split(
@@ -187,20 +176,9 @@ def random_split(
     store_keys: bool = False,
 ) -> DataFrame:
     """Add ``split``: train or val, with exact sizes."""
-    key, everything = seeded_key(seed, F.col(row_id)), F.lit("*")
-    held_out = 1.0 - train_ratio
-    cuts = key_cuts(
-        df, everything, key, {"train": lambda s, n: n - _held_out(held_out, n)},
-        store_keys=store_keys,
-    )
-    return df.withColumn(
-        "split", F.when(cuts.keep("train", everything, key), "train").otherwise("val")
-    )
-
-
-def expected_split_sizes(n: int, train_ratio: float = 0.8, val_ratio: float = 0.1) -> dict[str, int]:
-    """Split sizes of a table of ``n`` rows with one class, for planning."""
-    test_ratio = 1.0 - train_ratio - val_ratio
-    rest = math.ceil((val_ratio + test_ratio) * n)
-    test = math.ceil(test_ratio / (val_ratio + test_ratio) * rest)
-    return {"train": n - rest, "val": rest - test, "test": test}
+    stratum, key = F.lit("*"), seeded_key(seed, F.col(row_id))
+    keyed = keyed_rows(df, stratum, key, store_keys)
+    sizes = stratum_sizes(keyed) or {"*": 0}
+    n = sizes["*"]
+    upto = {"train": {"*": n - _held_out(1.0 - train_ratio, n)}}
+    return _assign(df, keyed, stratum, key, upto, sizes, "val")

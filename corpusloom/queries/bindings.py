@@ -7,6 +7,7 @@ lexicon of syllables that do.  Every binding reads its tables whole.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,16 +16,15 @@ from corpusloom import constants as K
 from corpusloom.functions.labels import (
     Lexicon,
     Tier,
-    follows_format,
     lexicon_level,
-    parse_level,
     render_answer,
 )
 from corpusloom.functions.pii import PATTERN_RECOGNIZERS, Recognizer, name_list
 from corpusloom.functions.text import WHITESPACE_CHARS
 from corpusloom.operators.labeling import add_answer, label_by_lexicon
+from corpusloom.operators.evaluation import prediction_table
 from corpusloom.operators.requests import classify_outcomes
-from corpusloom.session import spread
+from corpusloom.session import materialize, spread
 
 MAX_WORDS = ("onesen", "therin", "keit")
 DEFERRED_WORDS = ("que", "hein", "ción")
@@ -155,25 +155,26 @@ def truth(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def predictions(spark: SparkSession, folder: str) -> DataFrame:
-    """(id, model, reference, predicted, text, format) of two models over the labelled rows."""
+def generations(spark: SparkSession, folder: str, lexicon: Lexicon = LEXICON) -> DataFrame:
+    """(id, generated_response) for every document: what a model would have written.
+
+    Generations are a stored table in real use, so they are stored here too.
+    """
     text = F.concat_ws(" ", "instruction", "raw_response")
-    by_model = F.array(
-        F.struct(
-            F.lit("base").alias("model"),
-            generation(lexicon_level(text, LEXICON)["level"]).alias("generated_response"),
-        ),
-        F.struct(
-            F.lit("tuned").alias("model"),
-            generation(lexicon_level(text, OTHER_LEXICON)["level"]).alias("generated_response"),
-        ),
-    )
-    return (
-        truth(spark, folder)
-        .select("id", F.col("urgency_level").alias("reference_urgency"), F.inline(by_model))
-        .withColumn("predicted_urgency", parse_level(F.col("generated_response")))
-        .withColumn("format_ok", follows_format(F.col("generated_response")))
+    made = sft_like(spark, folder).select(
+        "id", generation(lexicon_level(text, lexicon)["level"]).alias("generated_response")
     )
+    return materialize(made)
+
+
+def predictions(spark: SparkSession, folder: str, two: bool = True) -> DataFrame:
+    """Predictions of one or two models over the rows with a human label."""
+    known = truth(spark, folder)
+    parts = [prediction_table(known, generations(spark, folder)).withColumn("model", F.lit("base"))]
+    if two:
+        tuned = prediction_table(known, generations(spark, folder, OTHER_LEXICON))
+        parts.append(tuned.withColumn("model", F.lit("tuned")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def request_log(spark: SparkSession, folder: str) -> DataFrame:

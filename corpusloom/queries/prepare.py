@@ -196,18 +196,13 @@ def parse_label(spark, folder):
     )
 
 
-def _dirty() -> tuple[F.Column, str]:
-    """A generation with a placeholder, replacement characters and an invented next turn."""
-    spark = F.concat(
-        F.lit("<LOCATION> "), F.col("response"), F.lit("�� forcanbeconverted\n User \n"),
-        F.col("instruction"),
-    )
-    sql = f"'<LOCATION> ' || response || {q(chr(0xFFFD) * 2 + ' forcanbeconverted' + chr(10) + ' User ' + chr(10))} || instruction"
-    return spark, sql
+# A generation with a placeholder, replacement characters and an invented next turn.
+_BEFORE = "<LOCATION> "
+_AFTER = "\ufffd\ufffd forcanbeconverted\n User \n"
 
 
 def clean_generation(spark, folder):
-    dirty, _ = _dirty()
+    dirty = F.concat(F.lit(_BEFORE), "response", F.lit(_AFTER), "instruction")
     rows = B.sft_labelled(spark, folder).select("id", dirty.alias("dirty"))
     clean = L.strip_artifacts(F.col("dirty"))
     return rows.select(
@@ -222,7 +217,7 @@ def _sql_clean() -> str:
     twice = B.sql_strip(f"regexp_replace(no_artifacts, {q(K.PLACEHOLDER_PATTERN)}, '', 'g')")
     return f"""
 WITH {B.LABELLED_SQL},
-dirt AS (SELECT id, {_dirty()[1]} AS dirty FROM labelled),
+dirt AS (SELECT id, {q(_BEFORE)} || response || {q(_AFTER)} || instruction AS dirty FROM labelled),
 half AS (SELECT id, {once} AS no_artifacts FROM dirt)
 SELECT id, no_artifacts, {twice} AS clean FROM half"""
 

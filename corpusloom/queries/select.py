@@ -11,6 +11,7 @@ from corpusloom.functions.text import seeded_key
 from corpusloom.operators import dedup, evaluation, gates, pairs, sampling, stats
 from corpusloom.queries import bindings as B
 from corpusloom.queries.bindings import q
+from corpusloom.session import materialize
 
 KEY = B.sql_key(K.SEED, "id")
 PAIR_TARGET = 150
@@ -108,7 +109,7 @@ splitted AS (
 
 
 def good_bad_examples(spark, folder):
-    base = B.predictions(spark, folder).where(F.col("model") == "base")
+    base = B.predictions(spark, folder, two=False)
     return evaluation.good_bad_examples(base, 10).select(
         "id", "reference_urgency", "predicted_urgency", "is_correct"
     )
@@ -139,13 +140,7 @@ def _hard(spark, folder):
     answered = truth.withColumn(
         "response", B.render_answer(F.col("urgency_level"), F.col("raw_response"))
     )
-    made = B.sft_like(spark, folder).select(
-        "id",
-        B.generation(
-            B.lexicon_level(F.concat_ws(" ", "instruction", "raw_response"), B.LEXICON)["level"]
-        ).alias("generated_response"),
-    )
-    return pairs.hard_negatives(answered, made)
+    return pairs.hard_negatives(answered, B.generations(spark, folder))
 
 
 def hard_negatives(spark, folder):
@@ -329,7 +324,7 @@ def identical_pairs(spark, folder):
 
 def gate_rollup(spark, folder):
     """All gates over the split table, rolled up."""
-    rows = sampling.stratified_split(B.level_only(spark, folder), store_keys=True)
+    rows = materialize(_split_rows(spark, folder))
     full = rows.join(B.sft_like(spark, folder).select("id", "instruction"), "id")
     sizes = gates.split_size_gate(rows)
     shared = gates.leakage_check(full, "instruction")
