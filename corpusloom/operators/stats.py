@@ -103,7 +103,7 @@ def length_profile(
     shares = F.array(*[F.lit(p / 100) for p in PERCENTILES])
     over = F.sum(F.when(F.col("_len") > limit, F.col("_n")).otherwise(0))
     profile = counts.groupBy(*by).agg(
-        F.percentile("_len", shares, "_n").alias("_p"),
+        F.percentile("_len", shares, F.col("_n")).alias("_p"),
         F.max("_len").alias("max_len"),
         (F.sum(F.col("_len") * F.col("_n")) / F.sum("_n")).alias("mean_len"),
         F.coalesce(over, F.lit(0)).alias("n_truncated"),
