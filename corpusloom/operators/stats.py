@@ -95,19 +95,19 @@ def length_profile(
     Rows are first counted per length, so what meets in one task is the number of distinct
     lengths, not of rows; the result is exact.
     """
-    counts = (
-        df.groupBy(*by, F.col(length).cast("bigint").alias("_len"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_len").isNotNull())
+    # No filter on the length: it would be pushed down and evaluate the length twice.
+    counts = df.groupBy(*by, F.col(length).cast("bigint").alias("_len")).agg(
+        F.count(F.lit(1)).alias("_n")
     )
     shares = F.array(*[F.lit(p / 100) for p in PERCENTILES])
+    known = F.sum(F.when(F.col("_len").isNotNull(), F.col("_n")))
     over = F.sum(F.when(F.col("_len") > limit, F.col("_n")).otherwise(0))
     profile = counts.groupBy(*by).agg(
         F.percentile("_len", shares, F.col("_n")).alias("_p"),
         F.max("_len").alias("max_len"),
-        (F.sum(F.col("_len") * F.col("_n")) / F.sum("_n")).alias("mean_len"),
+        (F.sum(F.col("_len") * F.col("_n")) / known).alias("mean_len"),
         F.coalesce(over, F.lit(0)).alias("n_truncated"),
-        F.round(over / F.sum("_n") * 100, 2).alias("pct_truncated"),
+        F.round(over / known * 100, 2).alias("pct_truncated"),
     )
     p95 = F.col("p95")
     *steps, last = K.LENGTH_STEPS

@@ -7,7 +7,6 @@ lexicon of syllables that do.  Every binding reads its tables whole.
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,14 +89,14 @@ def mixed_text(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise("")
         .alias("raw_response"),
     )
-    pages = table(spark, folder, "pages").select(
+    pages = spread(table(spark, folder, "pages")).select(
         F.col("page_id").alias("id"),
         F.lit("pages").alias("source"),
         F.col("url").alias("instruction"),
         F.col("html").alias("raw_response"),
     )
     page_text = pages.withColumn("source", F.lit("page_text")).withColumn(
-        "raw_response", F.regexp_replace("raw_response", "<[^>]*>|&[a-z]+;|[<>]", " ")
+        "raw_response", F.regexp_replace("raw_response", "[<>&]", " ")
     )
     return docs.unionByName(pages).unionByName(page_text)
 
@@ -155,26 +154,31 @@ def truth(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def generations(spark: SparkSession, folder: str, lexicon: Lexicon = LEXICON) -> DataFrame:
-    """(id, generated_response) for every document: what a model would have written.
+MODELS = {"base": LEXICON, "tuned": OTHER_LEXICON}
+
+
+def generations(rows: DataFrame, models: tuple[str, ...] = ("base",)) -> DataFrame:
+    """(id, model, generated_response) for the rows: what each model would have written.
 
     Generations are a stored table in real use, so they are stored here too.
     """
     text = F.concat_ws(" ", "instruction", "raw_response")
-    made = sft_like(spark, folder).select(
-        "id", generation(lexicon_level(text, lexicon)["level"]).alias("generated_response")
-    )
-    return materialize(made)
-
-
-def predictions(spark: SparkSession, folder: str, two: bool = True) -> DataFrame:
-    """Predictions of one or two models over the rows with a human label."""
+    made = [
+        F.struct(
+            F.lit(name).alias("model"),
+            generation(lexicon_level(text, MODELS[name])["level"]).alias("generated_response"),
+        )
+        for name in models
+    ]
+    return materialize(rows.select("id", F.inline(F.array(*made))))
+
+
+def predictions(
+    spark: SparkSession, folder: str, models: tuple[str, ...] = ("base", "tuned")
+) -> DataFrame:
+    """Predictions of the models over the rows with a human label."""
     known = truth(spark, folder)
-    parts = [prediction_table(known, generations(spark, folder)).withColumn("model", F.lit("base"))]
-    if two:
-        tuned = prediction_table(known, generations(spark, folder, OTHER_LEXICON))
-        parts.append(tuned.withColumn("model", F.lit("tuned")))
-    return reduce(DataFrame.unionByName, parts)
+    return prediction_table(known, generations(known, models))
 
 
 def request_log(spark: SparkSession, folder: str) -> DataFrame:
@@ -292,7 +296,7 @@ MIXED_SQL = """mixed AS (
   UNION ALL
   SELECT page_id, 'pages', url, html FROM pages
   UNION ALL
-  SELECT page_id, 'page_text', url, regexp_replace(html, '<[^>]*>|&[a-z]+;|[<>]', ' ', 'g')
+  SELECT page_id, 'page_text', url, regexp_replace(html, '[<>&]', ' ', 'g')
   FROM pages)"""
 
 MCQ_SQL = """mcq AS (

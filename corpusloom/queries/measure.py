@@ -250,11 +250,11 @@ FROM sides"""
 
 
 def paired_responses(spark, folder):
-    pair_rows = pairs.synthetic_pairs(B.sft_labelled(spark, folder)).select(
-        "id", "prompt", "chosen"
-    )
+    labelled = B.sft_labelled(spark, folder)
+    pair_rows = pairs.synthetic_pairs(labelled).select("id", "prompt", "chosen")
+    made = B.generations(labelled, ("base", "tuned"))
     return evaluation.paired_responses(
-        pair_rows, B.generations(spark, folder), B.generations(spark, folder, B.OTHER_LEXICON), n=20
+        pair_rows, made.where(F.col("model") == "base"), made.where(F.col("model") == "tuned"), n=20
     )
 
 

@@ -109,7 +109,7 @@ splitted AS (
 
 
 def good_bad_examples(spark, folder):
-    base = B.predictions(spark, folder, two=False)
+    base = B.predictions(spark, folder, ("base",))
     return evaluation.good_bad_examples(base, 10).select(
         "id", "reference_urgency", "predicted_urgency", "is_correct"
     )
@@ -140,7 +140,7 @@ def _hard(spark, folder):
     answered = truth.withColumn(
         "response", B.render_answer(F.col("urgency_level"), F.col("raw_response"))
     )
-    return pairs.hard_negatives(answered, B.generations(spark, folder))
+    return pairs.hard_negatives(answered, B.generations(truth))
 
 
 def hard_negatives(spark, folder):

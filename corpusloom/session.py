@@ -69,13 +69,14 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give an under-split input one partition per core before costly row-wise work.
+    """Lay an under-split input out anew, one file per core, before costly row-wise work.
 
-    A small table is often one file with one row group, which is one task.  Inputs that
-    already have enough splits, as every large table does, are returned unchanged, so this
-    never adds a shuffle at scale.
+    A small table is often one file with one row group, which is one task.  A plain
+    ``repartition`` does not help, as filters are pushed below it.  Inputs that already have
+    enough splits, as every large table does, are returned unchanged, so at scale this
+    neither shuffles nor writes anything.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores)
+    return materialize(df.repartition(cores))
