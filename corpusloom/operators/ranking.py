@@ -156,14 +156,22 @@ def take_per_stratum(
     quota: Callable[[int], int],
     seed: int,
     store_keys: bool = False,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Keep the first ``quota(number of strata)`` rows of each stratum in seeded order."""
+    """Keep the first ``quota(number of strata)`` rows of each stratum in seeded order.
+
+    ``only`` names the strata to keep at all.
+    """
     key = seeded_key(seed, F.col(row_id))
     keyed = keyed_rows(df, stratum, key, store_keys)
+    if only is not None:
+        keyed = keyed.where(F.col("stratum").isin(list(only)))
     sizes = stratum_sizes(keyed)
     if sizes is None:
         size = quota(keyed.select("stratum").distinct().count())
-        return bucketed_rank(df, stratum, key, "_rank").where(F.col("_rank") <= size).drop("_rank")
+        known = df if only is None else df.where(stratum_of(stratum).isin(list(only)))
+        ranked = bucketed_rank(known, stratum, key, "_rank")
+        return ranked.where(F.col("_rank") <= size).drop("_rank")
     size = quota(len(sizes))
     if size <= 0:
         return df.where(F.lit(False))

@@ -35,8 +35,9 @@ def balance_classes(
 ) -> DataFrame:
     """At most ``target // len(levels)`` rows of each known level; other labels are dropped."""
     share = target // len(levels)
-    known = df.where(F.col(label).isin(list(levels)))
-    return take_per_stratum(known, row_id, F.col(label), lambda k: share, seed, store_keys)
+    return take_per_stratum(
+        df, row_id, F.col(label), lambda k: share, seed, store_keys, only=levels
+    )
 
 
 def stratified_sample(
