@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from corpusloom.queries import registry  # noqa: E402
-from corpusloom.session import local_session  # noqa: E402
+from corpusloom.session import local_session, release_tables  # noqa: E402
 
 HEADLINE = [
     "flagship", "quality_filter", "lexicon_label_clinical", "render_response", "dedup_pair",
@@ -47,6 +47,7 @@ def main() -> None:
         "sf": folder.rstrip("/").rsplit("sf", 1)[-1],
         "runs": runs,
     }
+    release_tables(spark)
     print(json.dumps(line))
     spark.stop()
 

@@ -66,9 +66,12 @@ def sft_like(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def sft_labelled(spark: SparkSession, folder: str) -> DataFrame:
+def sft_labelled(
+    spark: SparkSession, folder: str, rows: DataFrame | None = None
+) -> DataFrame:
     """``sft_like`` with level, confidence and structured answer."""
-    return add_answer(label_by_lexicon(sft_like(spark, folder), lexicon=LEXICON))
+    rows = sft_like(spark, folder) if rows is None else rows
+    return add_answer(label_by_lexicon(rows, lexicon=LEXICON))
 
 
 def level_only(spark: SparkSession, folder: str) -> DataFrame:
@@ -142,14 +145,15 @@ def generation(level: Column) -> Column:
     )
 
 
-def truth(spark: SparkSession, folder: str) -> DataFrame:
+def truth(spark: SparkSession, folder: str, rows: DataFrame | None = None) -> DataFrame:
     """Documents with a human label, as (id, urgency_level, instruction, …)."""
+    rows = sft_like(spark, folder) if rows is None else rows
     labels = table(spark, folder, "labels")
     level = (
         F.when(F.col("toxic") == 1, "max").when(F.col("quality") == 0, "deferred")
         .otherwise("moderate")
     )
-    return sft_like(spark, folder).join(
+    return rows.join(
         labels.select(F.col("doc_id").alias("id"), level.alias("urgency_level")), "id"
     )
 

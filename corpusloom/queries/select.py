@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corpusloom import constants as K
 from corpusloom.functions.text import seeded_key
 from corpusloom.operators import dedup, evaluation, gates, pairs, sampling, stats
+from corpusloom.operators.labeling import label_by_lexicon
 from corpusloom.queries import bindings as B
 from corpusloom.queries.bindings import q
 from corpusloom.session import materialize
@@ -135,8 +136,8 @@ SYNTHETIC_SQL = f"""
         FROM {{rows}})"""
 
 
-def _hard(spark, folder):
-    truth = B.truth(spark, folder)
+def _hard(spark, folder, rows=None):
+    truth = B.truth(spark, folder, rows)
     answered = truth.withColumn(
         "response", B.render_answer(F.col("urgency_level"), F.col("raw_response"))
     )
@@ -156,8 +157,15 @@ HARD_SQL = f"""
   WHERE made <> '' AND ({B.sql_parse("made")}) <> urgency_level"""
 
 
+def _both_kinds(spark, folder):
+    """Synthetic pairs of all documents and the hard negatives."""
+    rows = B.sft_like(spark, folder)
+    made = pairs.synthetic_pairs(B.sft_labelled(spark, folder, rows))
+    return made.unionByName(_hard(spark, folder, rows))
+
+
 def dedup_priority(spark, folder):
-    both = pairs.synthetic_pairs(B.sft_labelled(spark, folder)).unionByName(_hard(spark, folder))
+    both = _both_kinds(spark, folder)
     keyed = both.withColumn("pair_id", F.concat_ws(":", "source", "id"))
     return dedup.dedup_by_priority(keyed, row_id="pair_id")
 
@@ -185,8 +193,9 @@ SELECT * FROM kept"""
 
 
 def preference_dataset(spark, folder):
-    labelled = B.sft_labelled(spark, folder)
-    return pairs.preference_dataset(labelled, _hard(spark, folder), target=PAIR_TARGET)
+    rows = B.sft_like(spark, folder)
+    labelled = B.sft_labelled(spark, folder, rows)
+    return pairs.preference_dataset(labelled, _hard(spark, folder, rows), target=PAIR_TARGET)
 
 
 PREFERENCE_SQL = f"""
@@ -207,7 +216,7 @@ SELECT * FROM kept"""
 
 
 def pair_label_hist(spark, folder):
-    both = pairs.synthetic_pairs(B.sft_labelled(spark, folder)).unionByName(_hard(spark, folder))
+    both = _both_kinds(spark, folder)
     return pairs.pair_label_counts(both)
 
 
@@ -318,14 +327,18 @@ FROM required"""
 
 
 def identical_pairs(spark, folder):
-    both = pairs.synthetic_pairs(B.sft_labelled(spark, folder)).unionByName(_hard(spark, folder))
+    both = _both_kinds(spark, folder)
     return gates.identical_pairs(both, ["source"])
 
 
 def gate_rollup(spark, folder):
     """All gates over the split table, rolled up."""
-    rows = materialize(_split_rows(spark, folder))
-    full = rows.join(B.sft_like(spark, folder).select("id", "instruction"), "id")
+    text = B.sft_like(spark, folder)
+    levels = label_by_lexicon(text, lexicon=B.LEXICON).select(
+        "id", "urgency_level", "source", "language"
+    )
+    rows = materialize(sampling.stratified_split(levels, store_keys=True))
+    full = rows.join(text.select("id", "instruction"), "id")
     sizes = gates.split_size_gate(rows)
     shared = gates.leakage_check(full, "instruction")
     empty = gates.null_check(rows, ["urgency_level", "source", "language"])

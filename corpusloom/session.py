@@ -55,6 +55,19 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or folder
 
 
+def _tables_of(spark: SparkSession) -> str:
+    app = spark.sparkContext.applicationId
+    return os.path.join(shared_folder(spark), "tables", app)
+
+
+def release_tables(spark: SparkSession) -> None:
+    """Delete what ``materialize`` stored for this application; call when its results are stored."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs  # noqa: SLF001
+    folder = hadoop.Path(_tables_of(spark))
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    system.delete(folder, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the stored table.
 
@@ -63,7 +76,7 @@ def materialize(df: DataFrame) -> DataFrame:
     it needs; like it, it survives the loss of executors.
     """
     spark = df.sparkSession
-    path = os.path.join(shared_folder(spark), "tables", uuid.uuid4().hex)
+    path = os.path.join(_tables_of(spark), uuid.uuid4().hex)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from corpusloom import constants as K
 from corpusloom.plans import build
-from corpusloom.session import materialize, shared_folder, spread
+from corpusloom import session
+from corpusloom.session import materialize, release_tables, shared_folder, spread
 from corpusloom.sources import catalog as C
 from corpusloom.sources import report, stages
 from corpusloom.streaming import triage as T
@@ -39,6 +40,15 @@ def test_materialize_keeps_rows_and_schema(spark):
     assert stored.dtypes == df.dtypes and stored.count() == 5
 
 
+def test_release_deletes_the_tables_of_the_application(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    materialize(spark.range(5))
+    folder = tmp_path / "tables" / spark.sparkContext.applicationId
+    assert len(os.listdir(folder)) == 1
+    release_tables(spark)
+    assert not folder.exists()
+
+
 def test_spread_only_touches_under_split_inputs(spark):
     wide = spark.range(100).repartition(16)
     assert spread(wide) is wide
