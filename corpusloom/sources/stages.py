@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from corpusloom.operators.ranking import MAX_STRATA
 from corpusloom.sources.catalog import path_exists
 
+# Combinations of split, language and source that a card may list.
+MAX_COMBINATIONS = 10_000
+
 
 def run_stage(
     spark: SparkSession,
@@ -39,8 +42,10 @@ def write_splits(df: DataFrame, path: str, split: str = "split", overwrite: bool
 def read_splits(spark: SparkSession, path: str, split: str = "split") -> dict[str, DataFrame]:
     """The stored splits by name; each frame reads its own directory only."""
     table = spark.read.parquet(path)
-    names = [r[0] for r in table.select(split).distinct().orderBy(split).limit(MAX_STRATA).collect()]
-    return {name: table.where(F.col(split) == name).drop(split) for name in names}
+    names = [r[0] for r in table.select(split).distinct().limit(MAX_STRATA + 1).collect()]
+    if len(names) > MAX_STRATA:
+        raise ValueError(f"{split} has more than {MAX_STRATA} values; not a split")
+    return {name: table.where(F.col(split) == name).drop(split) for name in sorted(names)}
 
 
 def dataset_card(
@@ -52,25 +57,25 @@ def dataset_card(
 ) -> DataFrame:
     """One row per split: rows, languages and sources, plus fixed texts such as a licence.
 
-    Rows are counted per (split, language, source) first, so only the few distinct
-    combinations are listed, never the rows.
+    Rows are counted per (split, language, source); the combinations, whose number is
+    checked, make the card.
     """
     combos = df.groupBy(split, language, source).agg(F.count(F.lit(1)).alias("n"))
-    guard = F.when(
-        F.count(F.lit(1)) > MAX_STRATA,
-        F.raise_error(F.lit("too many languages and sources for a card")),
-    )
-
-    def listing(column: str):
-        return F.array_join(F.array_sort(F.collect_set(F.col(column).cast("string"))), ",")
-
-    card = combos.groupBy(split).agg(
-        F.sum("n").alias("n_rows"),
-        listing(language).alias("languages"),
-        listing(source).alias("sources"),
-        guard.cast("string").alias("_guard"),
-    ).where(F.col("_guard").isNull()).drop("_guard")
-    return card.withColumns({k: F.lit(v) for k, v in (extra or {}).items()})
+    rows = combos.limit(MAX_COMBINATIONS + 1).collect()
+    if len(rows) > MAX_COMBINATIONS:
+        raise ValueError("too many languages and sources for a card; are they categories?")
+
+    def listing(values: list) -> str:
+        return ",".join(sorted({str(v) for v in values if v is not None}))
+
+    texts = dict(extra or {})
+    card = []
+    for name in dict.fromkeys(r[0] for r in rows):
+        own = [r for r in rows if r[0] == name]
+        counted = (sum(r["n"] for r in own), listing([r[1] for r in own]), listing([r[2] for r in own]))
+        card.append((name, *counted, *texts.values()))
+    shape = [f"{split} string", "n_rows bigint", "languages string", "sources string"]
+    return df.sparkSession.createDataFrame(card, ", ".join(shape + [f"{k} string" for k in texts]))
 
 
 def export_dataset(
