@@ -64,7 +64,8 @@ ELLIPSIS = "..."
 
 # --- fixed values: text patterns (Java regex syntax) -----------------------------------------
 HTML_PATTERN = r"(?iu)<[^>]+>|&[a-z]+;"
-URL_PATTERN = r"(?iu)https?://|www\."
+URL_SCHEME_PATTERN = r"(?iu)https?://"
+URL_HOST_PATTERN = r"[wW]{3}\."
 MIN_RESPONSE_WORDS = 20
 LABEL_WINDOW_CHARS = 150
 JUNK_TOKENS = ["ForCanBeConverted", "𫟦"]

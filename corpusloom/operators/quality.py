@@ -12,6 +12,20 @@ from corpusloom.functions.text import has_words, is_blank
 # ">" is scanned once instead of once per "<".
 _LINEAR_HTML = K.HTML_PATTERN.replace("<[^>]+>", "<[^<>]+>|<[^<>]*<>")
 
+
+
+def has_markup(text: Column) -> Column:
+    """Whether a text has an HTML tag or entity; text without ``<`` and ``&`` skips the pattern."""
+    possible = F.contains(text, F.lit("<")) | F.contains(text, F.lit("&"))
+    return possible & text.rlike(_LINEAR_HTML)
+
+
+def has_url(text: Column) -> Column:
+    """Whether a text has a web address."""
+    scheme = F.contains(text, F.lit("://")) & text.rlike(K.URL_SCHEME_PATTERN)
+    return scheme | text.rlike(K.URL_HOST_PATTERN)
+
+
 REASONS = ["blank_instruction", "short_response", "html", "url"]
 
 
@@ -26,8 +40,8 @@ def rejection_reason(
     return (
         F.when(is_blank(instruction), F.lit("blank_instruction"))
         .when(~F.coalesce(has_words(response, min_words), F.lit(False)), F.lit("short_response"))
-        .when(combined.rlike(_LINEAR_HTML), F.lit("html"))
-        .when(combined.rlike(K.URL_PATTERN), F.lit("url"))
+        .when(has_markup(combined), F.lit("html"))
+        .when(has_url(combined), F.lit("url"))
     )
 
 

@@ -86,10 +86,17 @@ def test_quality_filter(rows, values):
 @given(st.lists(st.text(alphabet="<>&;ab \n", max_size=12), min_size=50, max_size=80))
 def test_markup_rule_is_the_plain_pattern(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = df.select("t", F.col("t").rlike(quality._LINEAR_HTML)).collect()
+    got = df.select("t", quality.has_markup(F.col("t"))).collect()
     assert all(hit == bool(re.search(r"<[^>]+>|&[a-z]+;", t, re.I)) for t, hit in got)
 
 
+def test_web_addresses(spark):
+    texts = ["http://x", "HTTPS://x", "httpſ://x", "ftp://x", "://", "www.x", "wWw.", "ww.x", "www x", "http:/", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", quality.has_url(F.col("t"))).collect()
+    assert all(hit == bool(re.search(r"https?://|www\.", t, re.I)) for t, hit in got)
+
+
 def test_request_gate(rows, values):
     df = rows([(n, "x" * n) for n in (9, 10, 2000, 2001)] + [(0, None)], "id int, symptoms string")
     assert values(quality.request_gate(df), "id", "accepted") == [

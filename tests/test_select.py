@@ -124,6 +124,33 @@ def test_shuffle_is_ordered_and_whole(spark):
     assert ids == sorted(range(500), key=key)
 
 
+def test_sampling_and_splitting_shuffle_no_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ranking, "BUCKET_ROWS", 50)
+    label = F.when(F.col("id") % 2 == 0, "max").otherwise("moderate")
+    spark.range(1000).withColumn("urgency_level", label).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    for made in (
+        sampling.balance_classes(table, target=300), sampling.cap_sample(table, 10),
+        sampling.stratified_split(table), sampling.random_split(table),
+    ):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan and "Window" not in plan
+
+
+def test_the_distributed_rank_shuffles_rows_once(spark, tmp_path):
+    spark.range(1000).withColumn("g", F.col("id") % 3).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    ranked = ranking.bucketed_rank(table, F.col("g"), seeded_key(1, F.col("id")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # One for the rows; two for the histogram and its running sum, one to join that.
+    assert plan.count("Exchange hashpartitioning(_stratum") == 2
+    assert plan.count("Exchange hashpartitioning(stratum") == 2
+
+
 def test_value_cuts_under_skew(spark):
     values = [5.0] * 700 + [float(i) / 7 for i in range(1301)]
     df = spark.createDataFrame([("a", v) for v in values] + [("b", 1.5)] + [("b", None)], "g string, v double")
