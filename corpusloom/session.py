@@ -81,15 +81,19 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Inputs with this many splits (about 4 GB of Parquet) are large enough to be left alone.
+FEW_SPLITS = 32
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Lay an under-split input out anew, one file per core, before costly row-wise work.
+    """Lay a small under-split input out anew before costly row-wise work.
 
     A small table is often one file with one row group, which is one task.  A plain
-    ``repartition`` does not help, as filters are pushed below it.  Inputs that already have
-    enough splits, as every large table does, are returned unchanged, so at scale this
-    neither shuffles nor writes anything.
+    ``repartition`` does not help, as filters are pushed below it.  Inputs with a split per
+    core, or with ``FEW_SPLITS`` splits, as every large table has, are returned unchanged, so
+    at scale this neither shuffles nor writes anything.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() >= min(cores, FEW_SPLITS):
         return df
-    return materialize(df.repartition(cores))
+    return materialize(df.repartition(min(cores, 4 * FEW_SPLITS)))
