@@ -72,3 +72,61 @@ def byte_slices(texts: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, in
         last = min(max(last, first + 1), len(texts))
         yield first, last, whole[at[first] : at[last]], at[first : last + 1] - at[first]
         first = last
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of whole groups from batches sorted by integer ``keys``; a group never ends in the middle."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        starts = group_starts(batch, keys)
+        if waiting and _same_group(waiting[-1], batch, keys):
+            if len(starts) == 1:
+                waiting.append(batch)
+                continue
+            cut = int(starts[1])
+            yield pa.Table.from_batches([*waiting, batch.slice(0, cut)]).combine_chunks()
+            batch = batch.slice(cut)
+            starts = starts[1:] - cut
+        elif waiting:
+            yield pa.Table.from_batches(waiting).combine_chunks()
+        last = int(starts[-1])
+        if last:
+            yield pa.Table.from_batches([batch.slice(0, last)])
+        waiting = [batch.slice(last)]
+    if waiting:
+        yield pa.Table.from_batches(waiting).combine_chunks()
+
+
+def _same_group(left: pa.RecordBatch, right: pa.RecordBatch, keys: list[str]) -> bool:
+    return all(left.column(k)[left.num_rows - 1].as_py() == right.column(k)[0].as_py() for k in keys)
+
+
+def group_starts(rows: pa.RecordBatch | pa.Table, keys: list[str]) -> np.ndarray:
+    """First row of each run of equal keys."""
+    new = np.zeros(rows.num_rows, bool)
+    new[:1] = True
+    for key in keys:
+        values = rows.column(key).to_numpy() if isinstance(rows, pa.Table) else rows.column(key).to_numpy(zero_copy_only=False)
+        new[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(new)
+
+
+def spanning(links: Iterator[tuple[int, int]] | list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Of ``links``, those that join two groups not joined by the ones before."""
+    head: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while head.setdefault(x, x) != x:
+            head[x] = head[head[x]]
+            x = head[x]
+        return x
+
+    kept = []
+    for a, b in links:
+        x, y = root(a), root(b)
+        if x != y:
+            head[max(x, y)] = min(x, y)
+            kept.append((a, b))
+    return kept

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import lines, tokens
-from corpusloom.llm.common import new_folder, table
+from corpusloom.llm import language, lines, tokens, toxicity, vectors
+from corpusloom.llm.common import held_out, new_folder, table
 
 
 def default_tokenizer() -> str:
@@ -16,6 +16,17 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.train(docs)
+    done = language.predict(docs.select("doc_id", "text"), model)
+    return done.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op5_token_output(spark: SparkSession, folder: str) -> DataFrame:
     out = new_folder(spark, "tokens")
     tokens.write_tokens(table(spark, folder, "documents"), out, default_tokenizer())
@@ -29,7 +40,18 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 QUERIES = {
+    "op2_embedding_dedup": op2_embedding_dedup,
+    "op4_language_id": op4_language_id,
+    "op10_toxicity": op10_toxicity,
     "op5_token_output": op5_token_output,
     "op8_line_dedup": op8_line_dedup,
 }
