@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import language, lines, tokens, toxicity, vectors
+from corpusloom.llm import decontaminate, language, lines, ngram_join, tokens, toxicity, vectors
 from corpusloom.llm.common import held_out, new_folder, table
 
 
@@ -16,6 +16,12 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    joined = F.concat_ws(",", "items")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(joined, 256).alias("items_sha256"), "contaminated")
+
+
 def op2_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, folder, "embeddings"))
 
@@ -34,6 +40,10 @@ def op5_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "shard_start")
 
 
+def op6_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.jaccard_classes(table(spark, folder, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     done = lines.dedup_lines(docs)
@@ -49,9 +59,11 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op4_language_id": op4_language_id,
     "op10_toxicity": op10_toxicity,
     "op5_token_output": op5_token_output,
+    "op6_ngram_join": op6_ngram_join,
     "op8_line_dedup": op8_line_dedup,
 }

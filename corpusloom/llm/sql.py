@@ -1,6 +1,36 @@
 """DuckDB SQL of the queries that SQL can express on whole tables."""
 
 SQL = {
+    "op1_decontaminate": r"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), items AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ), windows AS (
+            SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[p + 1:p + least(len(w), 13)], ' ') AS gram
+            FROM (SELECT *, unnest(range(greatest(len(w) - 12, 1))) AS p FROM items WHERE len(w) > 0)
+        ), runs AS (
+            SELECT doc_id, p, n, array_to_string(w[p + 1:p + n], ' ') AS gram
+            FROM (SELECT doc_id, w, n, unnest(range(greatest(len(w) - n + 1, 0))) AS p
+                  FROM words CROSS JOIN (SELECT DISTINCT n FROM windows))
+        ), hits AS (
+            SELECT doc_id, p, runs.n, item_id FROM runs JOIN windows ON runs.gram = windows.gram AND runs.n = windows.n
+        ), spots AS (
+            SELECT doc_id, count(DISTINCT spot)::BIGINT AS n_hit
+            FROM (SELECT doc_id, unnest(range(p, p + n)) AS spot FROM hits) GROUP BY doc_id
+        ), found AS (
+            SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM words LEFT JOIN spots USING (doc_id) LEFT JOIN found USING (doc_id)
+    """,
     "op8_line_dedup": r"""
         WITH lines AS (
             SELECT doc_id, n, line, translate(trim(line, E' \t\n\x0b\x0c\r'),
