@@ -38,37 +38,27 @@ BATCH_ROWS = 256
 SHARD_BYTES = 32 << 20
 INDEX = "shard int, doc_id long, shard_start long, n_tokens long"
 # Encoded pieces a worker remembers; the memory is then emptied, which changes no result.
-REMEMBERED = 1_200_000
+REMEMBERED = 1_000_000
 
 _STATE: dict = {}
 
 
-# A space next to white space or at either end of the text: not sure to be a word boundary.
-_ODD = re.compile(r"(?:^|\s) | (?:\s|$)")
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
-_SIMPLE = re.compile(rf"( ?[{_LATIN}]+)([.,;:!?]?)")
-_WORD = re.compile(rf" ?[{_LATIN}]+")
-
-
-def _byte_letters() -> dict[int, str]:
-    """For a space and the Latin letters, their UTF-8 bytes as a byte-level vocabulary spells them.
-
-    Bytes that print stand for themselves; the others, in order, for the characters from 256 on.
-    """
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [byte for byte in range(256) if byte not in shown]
-    letter = {**{b: chr(b) for b in shown}, **{b: chr(256 + at) for at, b in enumerate(hidden)}}
-    return {code: "".join(letter[b] for b in chr(code).encode()) for code in (32, *range(192, 256))}
+_MARKS = r"!-&(-/:-@\[-`{-~"  # ASCII marks but the apostrophe, which may begin a contraction
+_SOLID = f"[{_LATIN}0-9{_MARKS}]"
+# Solid runs with one space or one line break between them.
+_PLAIN = re.compile(f"{_SOLID}++(?:[ \n]{_SOLID}++)*+")
+_PIECES = re.compile(f" ?[{_LATIN}]+| ?[0-9]+| ?[{_MARKS}]+|\n")
 
 
 class Encoder:
-    """Encodes texts with a tokenizer file, each distinct piece between single spaces once.
+    """Encodes texts with a tokenizer file, each distinct word once.
 
-    A byte-level pre-tokenizer without prefix space always starts a new word at a single space
-    between two other characters, and around a single line break between two others; such pieces
-    can be encoded alone.  Likewise a mark ``. , ; : ! ?`` after a Latin letter, at the end of a
-    piece.  A word of Latin letters goes straight to the library's model; all else, and any text
-    with other white space next to a space, is encoded whole.
+    A byte-level pre-tokenizer cuts a text of Latin letters, digits, ASCII marks and single spaces
+    or line breaks into runs of letters, of digits or of marks, each with the space before it, and
+    line breaks.  In such texts each run is encoded once, many of them in one call of the library,
+    and remembered.  Texts with anything else, apostrophes, longer white space or a special token
+    are encoded whole, as are all texts under a tokenizer of another kind.
     """
 
     def __init__(self, path: str):
@@ -76,84 +66,60 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-        self.letters = _byte_letters()
         with open(path, encoding="utf-8") as file:
             plan = json.load(file)
         before = plan["pre_tokenizer"] or {}
-        # Only such a tokenizer has the word boundaries that the cutting relies on.
+        self.special = [token["content"] for token in plan["added_tokens"]]
         self.cuts = plan["normalizer"] is None and plan["post_processor"] is None and (
             before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
-        ) and not any(set(token["content"]) & set(" \n") or token["lstrip"] or token["rstrip"] or token["single_word"]
-                      or _WORD.search(token["content"]) and not token["content"].startswith("<|")
-                      for token in plan["added_tokens"])
-        self.spaced: dict[str, bytes] = {}  # what follows a single space
-        self.parts: dict[str, bytes] = {}
+        )
+        self.known: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", one.ids).tobytes() for one in encoded]
 
-    def learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """The ids of pieces, through those of their parts."""
-        cut, other, known = {}, {}, self.parts
-        for piece in pieces:
-            cut[piece] = parts = _cut(piece)
-            for part in parts:
-                if part not in known:
-                    if _WORD.fullmatch(part):
-                        tokens = self.model.tokenize(part.translate(self.letters))
-                        known[part] = array("I", [token.id for token in tokens]).tobytes()
-                    else:
-                        other[part] = None
-        known.update(zip(other, self.whole(list(other))))
-        return {piece: b"".join([known[part] for part in parts]) for piece, parts in cut.items()}
+    def learn(self, pieces: list[str]) -> None:
+        """Remember the ids of pieces, encoding runs that begin with a space side by side."""
+        spaced = [piece for piece in pieces if piece[0] == " "]
+        for first in range(0, len(spaced), 1000):
+            some = spaced[first : first + 1000]
+            encoded = self.tokenizer.encode("".join(some), add_special_tokens=False)
+            ids, words = array("I", encoded.ids).tobytes(), np.array(encoded.word_ids)
+            cuts = [0, *(4 * (np.flatnonzero(np.diff(words)) + 1)).tolist(), len(ids)]
+            if len(cuts) == len(some) + 1:
+                self.known.update(zip(some, [ids[a:b] for a, b in zip(cuts, cuts[1:])]))
+            else:
+                self.known.update(zip(some, self.whole(some)))
+        rest = [piece for piece in pieces if piece[0] != " "]
+        self.known.update(zip(rest, self.whole(rest)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.spaced) + len(self.parts) > REMEMBERED:
-            self.spaced.clear()
-            self.parts.clear()
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
         found: list = [None] * len(texts)
         whole, cut, fresh = [], [], set()
         for at, text in enumerate(texts):
-            if not self.cuts or _ODD.search(text):
+            if not self.cuts or not _PLAIN.fullmatch(text) or any(token in text for token in self.special):
                 whole.append(at)
                 continue
-            first, *rest = text.split(" ")
-            ids = list(map(self.spaced.get, rest))
+            pieces = _PIECES.findall(text)
+            ids = list(map(self.known.get, pieces))
             if None in ids:
-                fresh.update([piece for piece, one in zip(rest, ids) if one is None])
-                ids = None
-            cut.append((at, first, rest, ids))
-        if fresh:
-            learnt = self.learn([" " + piece for piece in fresh])
-            self.spaced.update((piece[1:], ids) for piece, ids in learnt.items())
-        opening = self.learn(list({first for _, first, _, _ in cut}))
-        for at, first, rest, ids in cut:
-            found[at] = opening[first] + b"".join(ids or map(self.spaced.__getitem__, rest))
+                fresh.update([piece for piece, one in zip(pieces, ids) if one is None])
+                cut.append((at, pieces))
+            else:
+                found[at] = b"".join(ids)
+        self.learn(list(fresh))
+        for at, pieces in cut:
+            found[at] = b"".join(map(self.known.__getitem__, pieces))
         for at, ids in zip(whole, self.whole([texts[at] for at in whole])):
             found[at] = ids
         return found
 
 
-def _cut(piece: str) -> list[str]:
-    """A piece cut further, around single line breaks and before a closing mark."""
-    simple = _SIMPLE.fullmatch(piece)
-    if simple:
-        return [part for part in simple.groups() if part]
-    lines = piece.split("\n")
-    if any(not line.strip() or line[-1].isspace() for line in lines) or any(line[0].isspace() for line in lines[1:]):
-        return [piece] if piece else []
-    parts = []
-    for at, line in enumerate(lines):
-        simple = _SIMPLE.fullmatch(line)
-        parts += ["\n"] * bool(at)
-        parts += [part for part in simple.groups() if part] if simple else [line]
-    return parts
-
-
 def _encoder(path: str) -> Encoder:
     """One encoder per worker process and tokenizer file."""
     if path not in _STATE:
