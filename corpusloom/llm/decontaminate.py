@@ -52,13 +52,17 @@ def windows_of(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return grams.select("item", "n", F.concat_ws(" ", "w").alias("gram"), F.xxhash64("w").alias("code")).distinct()
 
 
+def _run_code(n: int):
+    return lambda at: F.xxhash64(F.slice(F.col("words"), at, n))
+
+
 def _hits(docs: DataFrame, grams: DataFrame, lengths: list[int]) -> DataFrame:
     """(doc_id, mark, at, n, gram) of every occurrence of the broadcast ``grams`` (n, gram, code)."""
     words = docs.select("doc_id", F.xxhash64("text").alias("mark"), words_of(F.col("text")).alias("words"))
     codes, bounds = [], []
     for n in lengths:
         count = F.greatest(F.size("words") - n + 1, F.lit(0))
-        run = F.transform(F.sequence(F.lit(1), count), lambda at, n=n: F.xxhash64(F.slice(F.col("words"), at, n)))
+        run = F.transform(F.sequence(F.lit(1), count), _run_code(n))
         codes.append(F.when(count > 0, run).otherwise(F.array().cast("array<long>")))
         bounds.append(count)
     words = words.withColumn("codes", F.concat(*codes))
