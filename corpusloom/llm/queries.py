@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, language, lines, ngram_join, tokens, toxicity, vectors
+from corpusloom.llm import decontaminate, language, lines, ngram_join, pages, tokens, toxicity, vectors
 from corpusloom.llm.common import held_out, new_folder, table
 
 
@@ -26,6 +26,10 @@ def op2_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(table(spark, folder, "pages"))
+
+
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = language.train(docs)
@@ -61,6 +65,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_embedding_dedup": op2_embedding_dedup,
+    "op3_html_extraction": op3_html_extraction,
     "op4_language_id": op4_language_id,
     "op10_toxicity": op10_toxicity,
     "op5_token_output": op5_token_output,
