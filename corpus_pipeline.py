@@ -1,12 +1,59 @@
-"""The corpus pipeline: five stages over ``documents``, each stored as Parquet and read again."""
+"""The corpus pipeline: five stages over ``documents``, each stored as Parquet and read again.
+
+Language ID drops texts without a language; the n-gram join keeps one document of each group;
+decontamination drops documents that quote the benchmark; mixing repeats or drops documents by the
+rates of their domains; token output writes the rest as Arrow files and reads them back.  Every
+stage but the last returns the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpusloom.llm import decontaminate, language, mixing, ngram_join, tokens
+from corpusloom.llm.common import new_folder, stored, table
+from corpusloom.llm.queries import default_tokenizer
+
+# A text in which no language holds this share of the words is rejected.
+MIN_SCORE = 0.3
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = language.train(docs)
+    found = language.predict(docs, model)
+    sure = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SCORE)
+    return found.where(sure).select(*docs.columns)
+
+
+def ngram_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.one_per_class(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", mixing.domain_of_labels().alias("domain"))
+    return mixing.mix(docs, labels)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "tokens")
+    tokens.write_tokens(docs, folder, default_tokenizer())
+    return tokens.read_documents(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
 
-from corpusloom.llm.common import stored, table
+STAGES = [
+    ("language_id", language_id),
+    ("ngram_dedup", ngram_dedup),
+    ("decontamination", decontamination),
+    ("source_mixing", source_mixing),
+    ("token_output", token_output),
+]
 
-STAGES: list = []
+# Learned models and token files are beyond SQL; the tests hold the rows against a plain version.
 ORACLE_SQL = None
 
 

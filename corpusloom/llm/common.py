@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Lists of up to so many rows of ids (16 bytes each) may be sent to every task; longer ones are shuffled.
+BROADCAST_IDS = 500_000
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach: ``spark.checkpoint.dir``, or the warehouse where it is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -49,6 +53,18 @@ def bounded(df: DataFrame, limit: int) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+def without(docs: DataFrame, removed: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
+    """``docs`` without the rows of ``removed(doc_id, mark)``, the mark being the hash of a text.
+
+    Null-safe in the id.  Texts move only if the list is longer than ``limit``.
+    """
+    removed = stored(removed.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct(), "removed")
+    if bounded(removed, limit):
+        removed = F.broadcast(removed)
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_mark"))
+    return docs.join(removed, same, "left_anti")
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
     """The text column with nulls as empty strings."""
     return batch.column(column).fill_null("")

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import stored
+from corpusloom.llm.common import stored, without
 
 WINDOW = 13
 BROADCAST_WINDOWS = 500_000
@@ -113,7 +113,7 @@ def _spans(found: DataFrame) -> DataFrame:
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE) -> DataFrame:
-    """Per document: n_words, n_hit, n_items, items (ids as text, sorted) and contaminated."""
+    """Per document: doc_id, mark (hash of its text), n_words, n_hit, n_items, items (ids as text, sorted) and contaminated."""
     found, windows = hits(docs, benchmark, window)
     spans = _spans(found).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "n_hit")
     items = found.select("doc_id", "mark", "gram").distinct().join(windows.where("item IS NOT NULL"), "gram")
@@ -125,7 +125,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share:
     joined = joined.join(items, F.col("doc_id").eqNullSafe(F.col("_id2")) & (F.col("mark") == F.col("_mark2")), "left")
     n_hit, listed = F.coalesce("n_hit", F.lit(0).cast("long")), F.coalesce("items", F.array().cast("array<string>"))
     return joined.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"), listed.alias("items"),
+        "doc_id", "mark", "n_words", n_hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"), listed.alias("items"),
         ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
 
@@ -136,14 +136,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
 
     A cut span goes from its first word to the one after its last, so one separator stays.
     """
-    found, _ = hits(docs, benchmark, window)
-    spans = _spans(found).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "n_hit", "spans")
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_mark"))
     if remove == "documents":
-        n_words = F.size(words_of(docs["text"]))
-        return docs.join(spans, same & (share * F.col("n_hit") >= n_words), "left_anti")
+        return without(docs, overlaps(docs, benchmark, window, share).where("contaminated"))
     if remove != "spans":
         raise ValueError("remove is 'documents' or 'spans'")
+    found, _ = hits(docs, benchmark, window)
+    spans = _spans(found).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "spans")
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_mark"))
     # Separators and words take turns; a piece is the separators before a word and the word.
     word = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
     pieces = F.regexp_extract_all("text", F.lit(rf"(?s)[^{word[2:]}*+{word}++"), 0)

@@ -33,7 +33,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import byte_slices, group_starts, join_parallelism, spanning, stored, texts_of, whole_groups
+from corpusloom.llm.common import (
+    BROADCAST_IDS,
+    bounded,
+    byte_slices,
+    group_starts,
+    join_parallelism,
+    spanning,
+    stored,
+    texts_of,
+    whole_groups,
+)
 from corpusloom.llm.graph import components
 from corpusloom.llm.hashing import fingerprint, shingle_sets
 
@@ -42,8 +52,6 @@ OVER, OF = 90, 100
 # Elements, and sets, per block.
 BLOCK_ELEMENTS = 200_000
 BLOCK_SETS = 512
-# Rows whose ids may be sent to every task to pick their texts.
-BROADCAST_IDS = 500_000
 
 
 def _missing(n, over: int, of: int):
@@ -343,10 +351,29 @@ def jaccard_classes(docs: DataFrame, width: int = WIDTH, over: int = OVER, of: i
     return done.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def one_per_class(docs: DataFrame, width: int = WIDTH, over: int = OVER, of: int = OF) -> DataFrame:
+    """``docs`` with the row of the smallest id of each component only.
+
+    Rows without id stay.  Of rows with equal id and text one stays.
+    """
+    classes = jaccard_classes(docs, width, over, of)
+    gone = stored(classes.where("doc_id != component_id").select("doc_id").distinct(), "removed")
+    if bounded(gone, BROADCAST_IDS):
+        gone = F.broadcast(gone)
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    if not repeated.limit(1).count():
+        return kept
+    # Repeats are told by id and a digest of the text, one row of each; rows without id are left alone.
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    single = kept.where("doc_id IS NOT NULL").withColumn("_digest", digest).dropDuplicates(["doc_id", "_digest"])
+    return single.drop("_digest").unionByName(kept.where("doc_id IS NULL"))
+
+
 def _whole_sets(docs: DataFrame, members: DataFrame, width: int, over: int, of: int) -> DataFrame:
     """(node, n, elements) of the members, from their texts."""
     ids = members.select(F.col("rep").alias("doc_id")).distinct()
-    if members.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+    if bounded(members, BROADCAST_IDS):
         ids = F.broadcast(ids)
     made = sets_of(docs.join(ids, "doc_id", "left_semi"), width, over, of, True)
     made = made.select(F.xxhash64("lo", "hi", "n").alias("node"), "n", "elements")

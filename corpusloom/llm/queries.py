@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, language, lines, ngram_join, pages, tokens, toxicity, vectors
+from corpusloom.llm import (
+    decontaminate,
+    language,
+    licenses,
+    lines,
+    mixing,
+    ngram_join,
+    pages,
+    tokens,
+    toxicity,
+    vectors,
+)
 from corpusloom.llm.common import held_out, new_folder, table
 
 
@@ -48,12 +59,22 @@ def op6_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_classes(table(spark, folder, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.licences(table(spark, folder, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     done = lines.dedup_lines(docs)
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels").select("doc_id", mixing.domain_of_labels().alias("domain"))
+    rated = mixing.with_rates(table(spark, folder, "documents").select("doc_id", "text"), labels)
+    return rated.select("doc_id", "n_tokens", "domain", "probability", "rate", "copies")
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, folder, "labels"))
@@ -67,8 +88,10 @@ QUERIES = {
     "op2_embedding_dedup": op2_embedding_dedup,
     "op3_html_extraction": op3_html_extraction,
     "op4_language_id": op4_language_id,
+    "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
     "op5_token_output": op5_token_output,
     "op6_ngram_join": op6_ngram_join,
+    "op7_license_scan": op7_license_scan,
     "op8_line_dedup": op8_line_dedup,
 }
