@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -53,6 +53,21 @@ def bounded(df: DataFrame, limit: int) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+def sampled(rows: DataFrame, limit: int, by: str | None = None) -> DataFrame:
+    """At most ``limit`` rows of each value of ``by``, or of all rows, chosen by a hash of ``doc_id``.
+
+    Rows are thinned by their hash to about four times the limit before they are ranked, so the
+    ranking of a value that has most of the rows is as small as any.  ``doc_id`` and ``by`` are
+    not null.
+    """
+    group = F.col(by) if by else F.lit(0)
+    laid = rows.withColumn("_group", group).withColumn("_place", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
+    size = laid.groupBy("_group").agg(F.count("*").alias("_n"))
+    thin = laid.join(size, "_group").where(F.col("_place") < (1 << 40) * (4.0 * limit / F.col("_n")))
+    rank = F.row_number().over(Window.partitionBy("_group").orderBy("_place", "doc_id"))
+    return thin.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_group", "_place", "_n", "_rank")
+
+
 def without(docs: DataFrame, removed: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
     """``docs`` without the rows of ``removed(doc_id, mark)``, the mark being the hash of a text.
 

@@ -144,9 +144,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     spans = _spans(found).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "spans")
     same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_mark"))
     # Separators and words take turns; a piece is the separators before a word and the word.
-    word = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-    pieces = F.regexp_extract_all("text", F.lit(rf"(?s)[^{word[2:]}*+{word}++"), 0)
-    tail = F.regexp_extract("text", rf"(?s)[^{word[2:]}*+\z", 0)
+    between = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
+    pieces = F.regexp_extract_all("text", F.lit(f"[{between}]*+[^{between}]++"), F.lit(0))
+    tail = F.regexp_extract("text", rf"[{between}]*+\z", 0)
     # Kept stretches of pieces lie between the end of all spans so far and the next span.
     kept = F.aggregate(
         "spans", F.struct(F.array().cast("array<string>").alias("kept"), F.lit(0).alias("end")),

@@ -24,10 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import held_out
+from corpusloom.llm.common import held_out, sampled
 
 MAX_ROWS = 400
 MAX_CHARS = 20_000
@@ -244,12 +244,8 @@ def train(docs: DataFrame, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS)
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
         & (F.length("text") <= max_chars) & F.col("text").rlike(r"\p{L}")
     )
-    ranked = usable.select(
-        "doc_id", "lang",
-        F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")).alias("_rank"),
-    )
     # max_rows ids of each language at most, so they may be broadcast.
-    sample = ranked.where(F.col("_rank") <= max_rows).select("doc_id", "lang")
+    sample = sampled(usable.select("doc_id", "lang"), max_rows, "lang")
     texts = docs.select("doc_id", "text").where(F.length("text") <= max_chars)
     rows = texts.join(F.broadcast(sample), "doc_id").toPandas()
     rows = rows.sort_values(["doc_id", "lang", "text"], kind="stable").drop_duplicates(["doc_id", "lang"])

@@ -7,9 +7,9 @@ too long or too short for a run are never compared with it.  A run that begins o
 sharing no bigram with the template is never better than the run without that line, so only lines
 that share one begin or end a run.  A run of one word counts the word as its bigram.
 
-Of overlapping runs matching one template the best counts, then the earliest, then the shortest.  A
-null or empty text matches nothing.  Repeated rows give repeated results.  An empty table gives an
-empty result.  Other columns pass through ``scan``.
+Of overlapping runs the best counts, then the earliest, the shortest, the first template.  A null
+or empty text matches nothing.  Repeated rows give repeated results.  An empty table gives an empty
+result.  Other columns pass through ``scan``.
 """
 
 from __future__ import annotations
@@ -97,15 +97,19 @@ class Scanner:
                 hit = {t for pair in bigrams(whole) | bigrams(words) for t in self.of.get(pair, ())}
                 for template in hit:
                     touched[template].append(at)
-        found = []
-        for template, at in sorted(touched.items()):
-            found += self._runs(lines, template, at)
-        return found
+        good = [run for template, at in sorted(touched.items()) for run in self._runs(lines, template, at)]
+        taken, kept = set(), []
+        for dice, start, last, template in sorted(good, key=lambda g: (-g[0], *g[1:])):
+            if taken.isdisjoint(range(start, last + 1)):
+                taken.update(range(start, last + 1))
+                kept.append((self.names[template], start, last - start + 1, dice))
+        return sorted(kept, key=lambda k: k[1])
 
-    def _runs(self, lines: list[list[str]], template: int, touched: list[int]) -> list[tuple[str, int, int, float]]:
+    def _runs(self, lines: list[list[str]], template: int, touched: list[int]) -> list[tuple[float, int, int, int]]:
+        """(coefficient, first line, last line, template) of the runs that reach the threshold."""
         target, (low, high) = self.sets[template], self.bounds[template]
         ends = sorted({*touched, *(at + 1 for at in touched if at + 1 < len(lines))})
-        good = []
+        good, inside = [], set(touched)
         for start in ends:
             words: list[str] = []
             own: set = set()
@@ -115,16 +119,11 @@ class Scanner:
                 own = bigrams(words) if before < 2 else own | set(zip(words[before - 1 :], words[before:]))
                 if len(own) > high:
                     break
-                if len(own) >= low and last in touched or last - 1 in touched and len(own) >= low:
+                if len(own) >= low and (last in inside or last - 1 in inside):
                     dice = 2 * len(own & target) / (len(own) + len(target))
                     if dice >= self.threshold:
-                        good.append((dice, start, last))
-        taken, kept = set(), []
-        for dice, start, last in sorted(good, key=lambda g: (-g[0], g[1], g[2])):
-            if taken.isdisjoint(range(start, last + 1)):
-                taken.update(range(start, last + 1))
-                kept.append((self.names[template], start, last - start + 1, dice))
-        return sorted(kept, key=lambda k: k[1])
+                        good.append((dice, start, last, template))
+        return good
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:

@@ -15,7 +15,7 @@ list of all residuals so far; no rates are stored between steps.
 
 A document then appears ``floor(rate)`` times, and once more with the probability of the rest, by a
 hash of its id and text.  The targets are shares; unless a total is given it is chosen such that
-no domain with a target has to grow, that is, most documents keep a rate of one.
+the domain with the largest target keeps its words, that is, most documents keep a rate of one.
 
 A null or empty text has no words: its probabilities are those of the features it lacks and its
 rate moves no total.  Documents without a label are not learnt from.  Targets without a labelled
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import BROADCAST_IDS, bounded, held_out, stored
+from corpusloom.llm.common import BROADCAST_IDS, bounded, held_out, sampled, stored
 
 MAX_ROWS = 4_000
 MAX_CHARS = 20_000
@@ -119,7 +119,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_char
     usable = labels.where(F.col("domain").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     wanted = usable.groupBy("doc_id").agg(F.min("domain").alias("domain"))
     # max_rows ids at most, so they may be broadcast.
-    sample = wanted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    sample = sampled(wanted, max_rows)
     texts = docs.select("doc_id", "text").where(F.length("text") <= max_chars)
     rows = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "domain").toPandas()
     rows = rows.sort_values(["doc_id", "text"], kind="stable").drop_duplicates("doc_id")
@@ -176,10 +176,11 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
         return []
     share /= share.sum()
     plain = _sums(members, [], k, mu)
-    if not plain.sum():
+    if not (plain * share).sum():
         return []
     if total is None:
-        total = min(plain[at] / share[at] for at in range(k) if share[at] > 0 and plain[at] > 0)
+        largest = max(range(k), key=lambda at: (share[at] if plain[at] > 0 else 0.0, -at))
+        total = plain[largest] / share[largest]
     goal, scale = share * total, np.maximum(plain, 1e-9)
     residuals: list[np.ndarray] = []
     sums = plain
