@@ -65,27 +65,34 @@ def inference_prompts(
 
 
 def render_conversations(
-    df: DataFrame, conversation: str = "conv_id", turns_per_part: int = 1000
+    df: DataFrame, conversation: str = "conv_id", turns_per_part: int | None = None
 ) -> DataFrame:
-    """``(conversation, part, n_turns, text)``: messages rendered in turn order.
+    """``(conversation, n_turns, text)``: the messages of each conversation in turn order.
 
-    A conversation is one text as long as its turns are numbered below ``turns_per_part``.
-    Longer ones continue in further parts, whose texts concatenate to the whole, so no task
-    ever holds more than one part even when one conversation has most of the rows.
+    With ``turns_per_part`` the rows are ``(conversation, part, n_turns, text)``: parts of so
+    many turns whose texts concatenate to the whole, for conversations too long for one value.
+    For any length, ``render_turns`` gives one line per turn without gathering anything.
     """
-    part = F.floor(F.col("turn") / turns_per_part).cast("bigint")
+    key = [conversation] if turns_per_part is None else [conversation, "part"]
+    part = [] if turns_per_part is None else [F.floor(F.col("turn") / turns_per_part).cast("bigint").alias("part")]
     messages = df.select(
         F.col(conversation),
-        part.alias("part"),
+        *part,
         F.struct("turn", "role", C.turn(F.col("role"), F.col("text")).alias("line")).alias("m"),
     )
     return (
-        messages.groupBy(conversation, "part")
+        messages.groupBy(*key)
         .agg(F.sort_array(F.collect_list("m")).alias("ms"))
         .select(
-            conversation,
-            "part",
+            *key,
             F.size("ms").cast("bigint").alias("n_turns"),
             F.array_join(F.col("ms")["line"], "").alias("text"),
         )
     )
+
+
+def render_turns(df: DataFrame, conversation: str = "conv_id") -> DataFrame:
+    """``(conversation, turn, line)``: every message rendered alone; lines concatenate by turn."""
+    return df.select(
+        F.col(conversation), "turn", C.turn(F.col("role"), F.col("text")).alias("line")
+    )

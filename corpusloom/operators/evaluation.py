@@ -278,20 +278,13 @@ def paired_responses(
     generated: str = "generated_response",
     seed: int = K.SEED,
 ) -> DataFrame:
-    """Two models' texts next to the reference answer for sampled prompts.
-
-    The sample has at most 100 distinct ids by construction, so those are what is broadcast;
-    the generation tables are scanned in place and only matching rows go on.
-    """
-    sample = cap_sample(pairs, min(n, 100), row_id, seed).select(
+    """Two models' texts next to the reference answer for ``n`` sampled prompts."""
+    sample = cap_sample(pairs, n, row_id, seed).select(
         row_id, "prompt", F.col("chosen").alias("chosen_reference")
     )
 
     def texts(generations: DataFrame, name: str) -> DataFrame:
-        wanted = F.broadcast(sample.select(row_id).distinct())
-        return generations.select(row_id, F.col(generated).alias(name)).join(
-            wanted, row_id, "left_semi"
-        )
+        return generations.select(row_id, F.col(generated).alias(name))
 
     return (
         sample.join(texts(first, "first_response"), row_id)

@@ -21,9 +21,9 @@ def has_markup(text: Column) -> Column:
 
 
 def has_url(text: Column) -> Column:
-    """Whether a text has a web address."""
-    scheme = F.contains(text, F.lit("://")) & text.rlike(K.URL_SCHEME_PATTERN)
-    return scheme | text.rlike(K.URL_HOST_PATTERN)
+    """Whether a text has a web address; text without ``://`` and ``.`` skips the pattern."""
+    possible = F.contains(text, F.lit("://")) | F.contains(text, F.lit("."))
+    return possible & text.rlike(K.URL_PATTERN)
 
 
 REASONS = ["blank_instruction", "short_response", "html", "url"]

@@ -2,13 +2,14 @@
 
 ``row_number() over (partition by class order by key)`` puts a three-class table on three
 tasks.  What the sampling and splitting operators need is less than a rank: only the key
-found *at* a few given ranks.  With those cut keys in hand every row decides alone, in a
-map-only pass, on which side of a cut it lies, and no row is ever shuffled.
+found *at* a few given ranks.  With those limits in hand every row decides alone on which
+side of a limit it lies.
 
-The cut keys are found by narrow jobs over (stratum, key) that run when an operator is
-called; they return one row per stratum and cut.  The number of strata is checked first, and
-tables with too many for that take the other way: ``bucketed_rank``, one shuffle by
-(stratum, bucket of key), in which no stratum is ever one task either.
+The limits are found by one plan for every size: a histogram over the first digits of the
+key says which bucket of a stratum holds a rank, and that bucket alone is ordered.  They stay
+a table of one row per stratum, which is joined to the rows: by broadcast where the number of
+strata is known or checked to be small, else by stratum and a salt, so that a stratum of any
+size is spread.  Building a frame starts no job but that check.
 
 ``value_cuts`` does the same for arbitrary numbers, from approximate quantiles that bracket
 the exact ones.
@@ -16,20 +17,20 @@ the exact ones.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import seeded_key
-from corpusloom.session import materialize
 
-# Up to this many strata, per-stratum results travel through the driver; above, they stay
-# distributed.
-MAX_STRATA = 1000
-# Rows that one task sorts without effort.
-BUCKET_ROWS = 1_000_000
+# Hex digits of the key that name a bucket: up to 65 536 buckets per stratum.
+DIGITS = 4
+# Limits of up to so many strata (some 100 bytes each) may be broadcast.
+BROADCAST_STRATA = 100_000
+# Parts into which the rows of a stratum are spread beyond that.
+SALTS = 64
 
 
 def stratum_of(label: Column) -> Column:
@@ -37,149 +38,87 @@ def stratum_of(label: Column) -> Column:
     return F.coalesce(label.cast("string"), F.lit(""))
 
 
-def keyed_rows(df: DataFrame, stratum: Column, key: Column, store: bool = False) -> DataFrame:
-    """``(stratum, key)`` of every row, stored once when they are costly to compute."""
-    keyed = df.select(stratum_of(stratum).alias("stratum"), key.alias("key"))
-    return materialize(keyed) if store else keyed
+def keyed_rows(df: DataFrame, stratum: Column, key: Column) -> DataFrame:
+    """``(stratum, key)`` of every row."""
+    return df.select(stratum_of(stratum).alias("stratum"), key.alias("key"))
 
 
-def stratum_sizes(df: DataFrame, stratum: str = "stratum") -> dict[str, int] | None:
-    """Rows per stratum, or nothing when there are more than ``MAX_STRATA``."""
-    counts = df.groupBy(stratum).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.limit(MAX_STRATA + 1).collect()
-    return None if len(rows) > MAX_STRATA else {r[0]: r["n"] for r in rows}
+def few_strata(keyed: DataFrame) -> bool:
+    """Whether the strata are few enough for a broadcast; counts no further than that."""
+    return keyed.select("stratum").distinct().limit(BROADCAST_STRATA + 1).count() <= BROADCAST_STRATA
 
 
-def _bucket(digits: int) -> Column:
-    return F.substring("key", 1, digits)
+def stratum_sizes(keyed: DataFrame) -> DataFrame:
+    """``(stratum, n)``."""
+    return keyed.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _histogram(keyed: DataFrame, digits: int) -> DataFrame:
-    """Rows per (stratum, bucket) and how many rows of the stratum lie before the bucket."""
-    counts = keyed.groupBy("stratum", _bucket(digits).alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    running = Window.partitionBy("stratum").orderBy("bucket")
-    return counts.withColumn("before", F.sum("n").over(running) - F.col("n"))
-
-
-def digits_for(largest: int) -> int:
-    """How many digits of the key make buckets of at most about ``BUCKET_ROWS`` rows."""
-    digits = 0
-    while largest > BUCKET_ROWS * 16**digits:
-        digits += 1
-    return digits
-
-
-def key_cuts(
-    keyed: DataFrame, ranks: Mapping[tuple[str, str], int], largest: int
-) -> dict[tuple[str, str], str]:
-    """The key at a 1-based rank of a stratum, for ``{(stratum, cut): rank}``.
+def keys_at(keyed: DataFrame, ranks: DataFrame) -> DataFrame:
+    """The key at a 1-based rank of a stratum: ``(stratum, cut, key)``.
 
-    Keys are unique uniform hex digests; ranks lie between 1 and the size of the stratum;
-    ``largest`` is the size of the largest stratum.  A narrow histogram over the first digits
-    of the key finds the one bucket that holds a rank, then that bucket alone is sorted,
-    ``BUCKET_ROWS`` rows or fewer.  Strata no larger than a bucket need no histogram.
+    ``ranks`` is ``(stratum, cut, rank)``; keys are unique uniform hex digests.  Ranks beyond
+    the size of the stratum mean its last key, ranks below 1 nothing.
     """
-    if not ranks:
-        return {}
-    spark, digits = keyed.sparkSession, digits_for(largest)
-    shape = "stratum string, cut string, bucket string, place bigint"
-    if digits == 0:
-        edges = spark.createDataFrame([(s, c, "", r) for (s, c), r in ranks.items()], shape)
-    else:
-        wanted = spark.createDataFrame(
-            [(s, c, r) for (s, c), r in ranks.items()], "stratum string, cut string, rank bigint"
-        )
-        after = F.col("before") + F.col("n")
-        located = (
-            _histogram(keyed, digits)
-            .join(F.broadcast(wanted), "stratum")  # at most MAX_STRATA rows per cut
-            .where((F.col("rank") > F.col("before")) & (F.col("rank") <= after))
-            .select("stratum", "cut", "bucket", (F.col("rank") - F.col("before")).alias("place"))
-        )
-        edges = spark.createDataFrame(located.limit(len(ranks)).collect(), shape)
-    by_key = Window.partitionBy("stratum", "cut").orderBy("key")
-    found = (
-        keyed.withColumn("bucket", _bucket(digits))
-        .join(F.broadcast(edges), ["stratum", "bucket"])  # one row per cut
-        .withColumn("at", F.row_number().over(by_key))
+    bucket = F.substring("key", 1, DIGITS)
+    counts = keyed.groupBy("stratum", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    running, whole = Window.partitionBy("stratum").orderBy("bucket"), Window.partitionBy("stratum")
+    placed = counts.withColumn("upto", F.sum("n").over(running)).withColumn("size", F.sum("n").over(whole))
+    before, rank = F.col("upto") - F.col("n"), F.least("rank", "size")
+    edges = (
+        placed.join(ranks, "stratum")
+        .where((rank > before) & (rank <= F.col("upto")))
+        .select("stratum", "cut", "bucket", (rank - before).alias("place"))
+    )
+    inside = Window.partitionBy("stratum", "cut", "bucket").orderBy("key")
+    return (
+        keyed.withColumn("bucket", bucket)
+        .join(edges, ["stratum", "bucket"])
+        .withColumn("at", F.row_number().over(inside))
         .where(F.col("at") == F.col("place"))
         .select("stratum", "cut", "key")
     )
-    return {(r["stratum"], r["cut"]): r["key"] for r in found.limit(len(ranks)).collect()}
 
 
-def bucketed_rank(
-    df: DataFrame, stratum: Column, key: Column, name: str = "rank", digits: int = 3
+def with_limits(
+    df: DataFrame, found: DataFrame, cuts: Sequence[str], stratum: Column, key: Column, few: bool
 ) -> DataFrame:
-    """Add the 1-based rank of each row within its stratum by a uniform hex key.
-
-    Join and window agree on (stratum, bucket), so rows are shuffled once and a stratum of
-    any size is spread over ``16**digits`` groups.
-    """
-    rows = df.withColumn("_stratum", stratum_of(stratum)).withColumn("_key", key)
-    rows = rows.withColumn("_bucket", F.substring("_key", 1, digits))
-    keyed = rows.select(F.col("_stratum").alias("stratum"), F.col("_key").alias("key"))
-    offsets = _histogram(keyed, digits).select(
-        F.col("stratum").alias("_stratum"), F.col("bucket").alias("_bucket"), "before"
+    """``df`` with ``_key`` and, per cut, ``_upto_<cut>``: the limit of the row's stratum, or null."""
+    limits = found.groupBy(F.col("stratum").alias("_stratum")).agg(
+        *[F.max(F.when(F.col("cut") == c, F.col("key"))).alias(f"_upto_{c}") for c in cuts]
     )
-    inside = Window.partitionBy("_stratum", "_bucket").orderBy("_key")
-    return (
-        rows.join(offsets, ["_stratum", "_bucket"])
-        .withColumn(name, F.col("before") + F.row_number().over(inside))
-        .drop("_stratum", "_bucket", "_key", "before")
-    )
-
-
-def below_cut(
-    cuts: Mapping[tuple[str, str], str],
-    whole: Sequence[tuple[str, str]],
-    cut: str,
-    stratum: Column,
-    key: Column,
-) -> Column:
-    """Whether a row lies at or below a cut of its stratum; strata in ``whole`` lie below."""
-    limits = {s: k for (s, c), k in cuts.items() if c == cut}
-    limits.update({s: "~" for s, c in whole if c == cut})  # above every hex digest
-    if not limits:
-        return F.lit(False)
-    entries = [part for s, k in sorted(limits.items()) for part in (F.lit(s), F.lit(k))]
-    limit = F.try_element_at(F.create_map(*entries), stratum_of(stratum))
-    return F.coalesce(key <= limit, F.lit(False))
+    rows = df.withColumn("_key", key).withColumn("_stratum", stratum_of(stratum))
+    if few:
+        return rows.join(F.broadcast(limits), "_stratum", "left").drop("_stratum")
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(SALTS)).cast("int"))
+    spread = limits.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(spread, ["_stratum", "_salt"], "left").drop("_stratum", "_salt")
 
 
 def take_per_stratum(
     df: DataFrame,
     row_id: str,
     stratum: Column,
-    quota: Callable[[int], int],
+    quota: int | Callable[[int], int],
     seed: int,
-    store_keys: bool = False,
     only: Sequence[str] | None = None,
+    few: bool | None = None,
 ) -> DataFrame:
-    """Keep the first ``quota(number of strata)`` rows of each stratum in seeded order.
+    """Keep the first ``quota`` rows of each stratum in seeded order.
 
-    ``only`` names the strata to keep at all.
+    ``quota`` may depend on the number of strata.  ``only`` names the strata to keep at all,
+    ``few`` says that strata are few by construction.
     """
     key = seeded_key(seed, F.col(row_id))
-    keyed = keyed_rows(df, stratum, key, store_keys)
-    if only is not None:
-        keyed = keyed.where(F.col("stratum").isin(list(only)))
-    sizes = stratum_sizes(keyed)
-    if sizes is None:
-        size = quota(keyed.select("stratum").distinct().count())
-        known = df if only is None else df.where(stratum_of(stratum).isin(list(only)))
-        ranked = bucketed_rank(known, stratum, key, "_rank")
-        return ranked.where(F.col("_rank") <= size).drop("_rank")
-    size = quota(len(sizes))
+    rows = df if only is None else df.where(stratum_of(stratum).isin(list(only)))
+    keyed = keyed_rows(rows, stratum, key)
+    few = few_strata(keyed) if few is None and only is None else True if few is None else few
+    size = quota(keyed.select("stratum").distinct().count()) if callable(quota) else quota
     if size <= 0:
         return df.where(F.lit(False))
-    whole = [(s, "take") for s, n in sizes.items() if n <= size]
-    cuts = key_cuts(
-        keyed, {(s, "take"): size for s, n in sizes.items() if n > size}, max(sizes.values(), default=0)
-    )
-    return df.where(below_cut(cuts, whole, "take", stratum, key))
+    ranks = keyed.select("stratum").distinct().select("stratum", F.lit("take").alias("cut"), F.lit(size).alias("rank"))
+    found = keys_at(keyed, ranks)
+    limited = with_limits(rows, found, ["take"], stratum, key, few)
+    return limited.where(F.col("_key") <= F.col("_upto_take")).select(*df.columns)
 
 
 @dataclass(frozen=True)
@@ -191,6 +130,10 @@ class ValueCut:
     rank: Callable[[Column], Column]
 
 
+# Steps into which a bracket is cut, so that no task orders a whole bracket.
+BRACKET_STEPS = 1000
+
+
 def value_cuts(
     df: DataFrame,
     stratum: Column,
@@ -200,13 +143,13 @@ def value_cuts(
 ) -> DataFrame:
     """Exact order statistics of a number per stratum, as ``(stratum, cut, value)``.
 
-    Three steps, none of which gathers or sorts a stratum: (1) sizes and, per cut, two
+    Two scans, none of which gathers or sorts a stratum: (1) sizes and, per cut, two
     approximate quantiles whose error bound (``n / accuracy`` ranks) places the exact value
-    between them; (2) one aggregation that collapses all rows below a bracket into one count
-    and counts the distinct values inside it; (3) a running sum over the values inside, about
-    a share ``4 / accuracy`` of the stratum.  A bracket that missed would fail, not mislead.
+    between them; (2) one aggregation that counts the rows between brackets and the distinct
+    values inside them.  Running sums then go over the steps of the brackets and over the
+    values of one step.  A bracket that missed would fail, not mislead.
     """
-    data = df.select(stratum_of(stratum).alias("stratum"), value.alias("v")).where(
+    data = df.select(stratum_of(stratum).alias("stratum"), value.cast("double").alias("v")).where(
         F.col("v").isNotNull()
     )
     slack = 2.0 / accuracy
@@ -216,44 +159,40 @@ def value_cuts(
         for f in (max(cut.near - slack, 0.0), min(cut.near + slack, 1.0))
     ]
     digest = data.groupBy("stratum").agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(F.lit(1)).alias("size"),
         F.percentile_approx("v", F.array(*fractions), accuracy).alias("q"),
     )
-    brackets = digest.select(
-        "stratum",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(cut.name).alias("cut"),
-                        cut.rank(F.col("n")).cast("bigint").alias("rank"),
-                        F.get("q", F.lit(2 * i)).alias("low"),
-                        F.get("q", F.lit(2 * i + 1)).alias("high"),
-                    )
-                    for i, cut in enumerate(cuts)
-                ]
-            )
-        ),
+    # Brackets may overlap; a value's zone is the number of bracket ends below it.
+    lows = [F.get("q", F.lit(2 * i)) for i in range(len(cuts))]
+    highs = [F.get("q", F.lit(2 * i + 1)) for i in range(len(cuts))]
+    v = F.col("v")
+    zone, inside, low, high = F.lit(0), F.lit(False), F.lit(None).cast("double"), F.lit(None).cast("double")
+    for a, b in zip(lows, highs):
+        zone = zone + (v >= a).cast("int") + (v > b).cast("int")
+        here = (v >= a) & (v <= b)
+        inside, low, high = inside | here, F.when(here, a).otherwise(low), F.when(here, b).otherwise(high)
+    step = F.when(high > low, F.floor((v - low) / (high - low) * BRACKET_STEPS)).otherwise(0)
+    few = few_strata(data)
+    bounds = F.broadcast(digest) if few else digest
+    laid = data.join(bounds, "stratum").select(
+        "stratum", "size", zone.alias("zone"), F.when(inside, step).otherwise(-1).cast("int").alias("step"),
+        F.when(inside, v).alias("v"),
     )
-    rows = brackets.limit(MAX_STRATA * len(cuts) + 1).collect()
-    if len(rows) <= MAX_STRATA * len(cuts):
-        # Few strata: the brackets, now of known size, are broadcast.
-        brackets = F.broadcast(df.sparkSession.createDataFrame(rows, brackets.schema))
-    counted = (
-        data.join(brackets, "stratum")
-        .where(F.col("v") <= F.col("high"))
-        .groupBy(
-            "stratum", "cut", "rank", F.when(F.col("v") >= F.col("low"), F.col("v")).alias("v")
-        )
-        .agg(F.count(F.lit(1)).alias("n"))
+    counted = laid.groupBy("stratum", "size", "zone", "step", "v").agg(F.count(F.lit(1)).alias("n"))
+    steps = counted.groupBy("stratum", "zone", "step").agg(
+        F.sum("n").alias("n"), F.min(F.coalesce("v", F.lit(float("-inf")))).alias("first"))
+    order = Window.partitionBy("stratum").orderBy("zone", "first")
+    before = steps.withColumn("before", F.sum("n").over(order) - F.col("n")).drop("n", "first")
+    running = Window.partitionBy("stratum", "zone", "step").orderBy(F.col("v").asc_nulls_first())
+    placed = counted.join(before, ["stratum", "zone", "step"]).withColumn(
+        "upto", F.col("before") + F.sum("n").over(running)
     )
-    running = Window.partitionBy("stratum", "cut").orderBy(F.col("v").asc_nulls_first())
+    ranks = F.explode(F.array(*[
+        F.struct(F.lit(cut.name).alias("cut"), cut.rank(F.col("size")).cast("bigint").alias("rank")) for cut in cuts
+    ]))
     missed = F.raise_error(F.lit("quantile bracket missed its value"))
     return (
-        counted.withColumn("upto", F.sum("n").over(running))
-        .where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
-        .select(
-            "stratum", "cut",
-            F.when(F.col("v").isNull(), missed).otherwise(F.col("v")).alias("value"),
-        )
+        placed.select("stratum", "v", "n", "upto", ranks.alias("at"))
+        .where((F.col("at.rank") < F.col("upto")) & (F.col("at.rank") >= F.col("upto") - F.col("n")))
+        .select("stratum", "at.cut", F.when(F.col("v").isNull(), missed).otherwise(F.col("v")).alias("value"))
     )

@@ -1,26 +1,26 @@
 """Seeded sampling, balancing, splitting and shuffling.
 
 The order of a table is the order of ``md5(seed | id)``.  All operators only need the keys
-found at a few ranks (see ``ranking``), so whole rows are read once and never shuffled; ids
-and labels are read twice more.  Give ``store_keys`` when labels are costly to compute.
+found at a few ranks (see ``ranking``): ids and labels are read twice for those, whole rows
+once.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom import constants as K
 from corpusloom.functions.text import seeded_key
 from corpusloom.operators.ranking import (
-    below_cut,
-    key_cuts,
+    few_strata,
     keyed_rows,
+    keys_at,
     stratum_sizes,
     take_per_stratum,
+    with_limits,
 )
 
 
@@ -31,13 +31,10 @@ def balance_classes(
     target: int = K.SFT_TARGET_ROWS,
     levels: Sequence[str] = tuple(K.LEVELS),
     seed: int = K.SEED,
-    store_keys: bool = False,
 ) -> DataFrame:
     """At most ``target // len(levels)`` rows of each known level; other labels are dropped."""
     share = target // len(levels)
-    return take_per_stratum(
-        df, row_id, F.col(label), lambda k: share, seed, store_keys, only=levels
-    )
+    return take_per_stratum(df, row_id, F.col(label), share, seed, only=levels)
 
 
 def stratified_sample(
@@ -46,12 +43,9 @@ def stratified_sample(
     row_id: str = "id",
     target: int = K.PAIR_TARGET_ROWS,
     seed: int = K.SEED,
-    store_keys: bool = False,
 ) -> DataFrame:
     """At most ``target // k`` rows of each of the ``k`` labels that occur."""
-    return take_per_stratum(
-        df, row_id, F.col(label), lambda k: target // max(k, 1), seed, store_keys
-    )
+    return take_per_stratum(df, row_id, F.col(label), lambda k: target // max(k, 1), seed)
 
 
 def cap_sample(
@@ -59,14 +53,13 @@ def cap_sample(
     size: int,
     row_id: str = "id",
     seed: int = K.SEED,
-    store_keys: bool = False,
 ) -> DataFrame:
     """``size`` rows in seeded order, or all rows when there are fewer.
 
     Not ``orderBy().limit()``, whose last step merges ``size`` rows of every partition in
     one task.
     """
-    return take_per_stratum(df, row_id, F.lit("*"), lambda k: size, seed, store_keys)
+    return take_per_stratum(df, row_id, F.lit("*"), size, seed, few=True)
 
 
 def sample_per_group(
@@ -75,10 +68,9 @@ def sample_per_group(
     size: int,
     row_id: str = "id",
     seed: int = K.SEED,
-    store_keys: bool = False,
 ) -> DataFrame:
     """``size`` rows of each group in seeded order."""
-    return take_per_stratum(df, row_id, group, lambda k: size, seed, store_keys)
+    return take_per_stratum(df, row_id, group, size, seed)
 
 
 def shuffled(df: DataFrame, row_id: str = "id", seed: int = K.SEED) -> DataFrame:
@@ -92,55 +84,43 @@ def shuffled(df: DataFrame, row_id: str = "id", seed: int = K.SEED) -> DataFrame
     )
 
 
-def _held_out(fraction: float, n: int) -> int:
+def _held_out(fraction: float, n: Column) -> Column:
     """Rows held out of ``n``: the fraction rounded up."""
-    return math.ceil(fraction * n)
+    return F.ceil(F.lit(fraction) * n).cast("bigint")
 
 
-def apportion(sizes: Mapping[str, int], draws: int) -> dict[str, int]:
-    """Share ``draws`` among strata in proportion to their sizes, by largest remainder.
+def apportion(df: DataFrame, size: str, draws: Column, name: str) -> DataFrame:
+    """Add a share of ``draws`` for each stratum in proportion to ``size``, by largest remainder.
 
-    Ties go by stratum name.
+    Ties go by stratum name.  ``df`` has one row per stratum, not per row, so its windows are
+    over all of it.
     """
-    total = max(sum(sizes.values()), 1)
-    shares = {s: n * draws // total for s, n in sizes.items()}
-    by_rest = sorted(sizes, key=lambda s: (-(sizes[s] * draws % total), s))
-    for s in by_rest[: draws - sum(shares.values())]:
-        shares[s] += 1
-    return shares
+    every = Window.partitionBy(F.lit(0))
+    product = F.col(size).cast("decimal(19,0)") * F.col("_draws").cast("decimal(19,0)")
+    total = F.greatest(F.sum(size).over(every), F.lit(1)).cast("decimal(19,0)")
+    shared = df.withColumn("_draws", draws).withColumn("_total", total).withColumn(
+        "_rest", product % F.col("_total")
+    ).withColumn("_floor", ((product - F.col("_rest")) / F.col("_total")).cast("bigint"))
+    spare = F.col("_draws") - F.sum("_floor").over(every)
+    place = F.row_number().over(every.orderBy(F.col("_rest").desc(), "stratum"))
+    share = F.col("_floor") + (place <= spare).cast("bigint")
+    return shared.withColumn(name, share).drop("_draws", "_total", "_rest", "_floor")
 
 
-def three_way_sizes(
-    sizes: Mapping[str, int], train_ratio: float = 0.8, val_ratio: float = 0.1
-) -> dict[str, tuple[int, int, int]]:
-    """Rows of each stratum in train, validation and test.
+def three_way_sizes(sizes: DataFrame, train_ratio: float = 0.8, val_ratio: float = 0.1) -> DataFrame:
+    """``(stratum, n, train, val)``: rows of each stratum in train and validation; test has the rest.
 
     Two successive splits: first everything into train and the rest, then the rest into
     validation and test.
     """
     test_ratio = 1.0 - train_ratio - val_ratio
-    n = sum(sizes.values())
-    train = apportion(sizes, n - _held_out(val_ratio + test_ratio, n))
-    rest = {s: sizes[s] - train[s] for s in sizes}
-    n_rest = sum(rest.values())
-    val = apportion(rest, n_rest - _held_out(test_ratio / (val_ratio + test_ratio), n_rest))
-    return {s: (train[s], val[s], rest[s] - val[s]) for s in sizes}
-
-
-def _assign(
-    df: DataFrame, keyed: DataFrame, stratum: Column, key: Column,
-    upto: Mapping[str, Mapping[str, int]], sizes: Mapping[str, int], last: str,
-) -> DataFrame:
-    """Add ``split`` from the last rank of each split in each stratum."""
-    ranks = {(s, cut): r for cut, by_stratum in upto.items() for s, r in by_stratum.items()}
-    whole = [(s, cut) for (s, cut), r in ranks.items() if r >= sizes[s]]
-    inner = {(s, cut): r for (s, cut), r in ranks.items() if 0 < r < sizes[s]}
-    cuts = key_cuts(keyed, inner, max(sizes.values(), default=0))
-    split: Column | None = None
-    for cut in upto:
-        here = below_cut(cuts, whole, cut, stratum, key)
-        split = F.when(here, cut) if split is None else split.when(here, cut)
-    return df.withColumn("split", split.otherwise(last))
+    every = Window.partitionBy(F.lit(0))
+    n = F.sum("n").over(every)
+    parts = apportion(sizes, "n", n - _held_out(val_ratio + test_ratio, n), "train")
+    parts = parts.withColumn("_left", F.col("n") - F.col("train"))
+    left = F.sum("_left").over(every)
+    draws = left - _held_out(test_ratio / (val_ratio + test_ratio), left)
+    return apportion(parts, "_left", draws, "val").drop("_left")
 
 
 def stratified_split(
@@ -150,23 +130,19 @@ def stratified_split(
     train_ratio: float = 0.8,
     val_ratio: float = 0.1,
     seed: int = K.SEED,
-    store_keys: bool = False,
 ) -> DataFrame:
-    """Add ``split``: train, val or test, in the same proportions within every label.
-
-    Labels are classes; a column with more than ``ranking.MAX_STRATA`` values is refused.
-    """
+    """Add ``split``: train, val or test, in the same proportions within every label."""
     stratum, key = F.col(label), seeded_key(seed, F.col(row_id))
-    keyed = keyed_rows(df, stratum, key, store_keys)
-    sizes = stratum_sizes(keyed)
-    if sizes is None:
-        raise ValueError(f"{label} has too many values to stratify by")
-    shares = three_way_sizes(sizes, train_ratio, val_ratio)
-    upto = {
-        "train": {s: train for s, (train, _, _) in shares.items()},
-        "val": {s: train + val for s, (train, val, _) in shares.items()},
-    }
-    return _assign(df, keyed, stratum, key, upto, sizes, "test")
+    keyed = keyed_rows(df, stratum, key)
+    shares = three_way_sizes(stratum_sizes(keyed), train_ratio, val_ratio)
+    last = F.array(
+        F.struct(F.lit("train").alias("cut"), F.col("train").alias("rank")),
+        F.struct(F.lit("val").alias("cut"), (F.col("train") + F.col("val")).alias("rank")),
+    )
+    found = keys_at(keyed, shares.select("stratum", F.inline(last)))
+    limited = with_limits(df, found, ["train", "val"], stratum, key, few_strata(keyed))
+    split = F.when(F.col("_key") <= F.col("_upto_train"), "train").when(F.col("_key") <= F.col("_upto_val"), "val")
+    return limited.select(*df.columns, split.otherwise("test").alias("split"))
 
 
 def random_split(
@@ -174,12 +150,12 @@ def random_split(
     row_id: str = "id",
     train_ratio: float = 0.9,
     seed: int = K.SEED,
-    store_keys: bool = False,
 ) -> DataFrame:
     """Add ``split``: train or val, with exact sizes."""
     stratum, key = F.lit("*"), seeded_key(seed, F.col(row_id))
-    keyed = keyed_rows(df, stratum, key, store_keys)
-    sizes = stratum_sizes(keyed) or {"*": 0}
-    n = sizes["*"]
-    upto = {"train": {"*": n - _held_out(1.0 - train_ratio, n)}}
-    return _assign(df, keyed, stratum, key, upto, sizes, "val")
+    keyed = keyed_rows(df, stratum, key)
+    train = F.col("n") - _held_out(1.0 - train_ratio, F.col("n"))
+    ranks = stratum_sizes(keyed).select("stratum", F.lit("train").alias("cut"), train.alias("rank"))
+    limited = with_limits(df, keys_at(keyed, ranks), ["train"], stratum, key, True)
+    split = F.when(F.col("_key") <= F.col("_upto_train"), "train").otherwise("val")
+    return limited.select(*df.columns, split.alias("split"))

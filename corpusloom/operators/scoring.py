@@ -21,6 +21,8 @@ def score_table(
 ) -> DataFrame:
     """Add the generated text, the error of its batch if any, and its latency.
 
+    Every request waits for its whole batch, so ``latency_ms`` is the time of the batch.
+
     The model is built once per Python worker.  A batch that raises yields empty texts and
     the error message, and the job goes on.  Works on streaming tables too.
     """
@@ -45,7 +47,7 @@ def score_table(
                         raise ValueError(f"{len(texts)} results for {len(batch)} texts")
                 except Exception as failure:  # noqa: BLE001 - the job must go on
                     texts, error = [""] * len(batch), str(failure)
-                spent = (time.monotonic() - begun) * 1000 / len(batch)
+                spent = (time.monotonic() - begun) * 1000
                 batch[output] = texts
                 batch["score_error"] = error
                 batch["latency_ms"] = round(spent, 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import constants as K
@@ -28,12 +28,7 @@ def split_stats(df: DataFrame, text_columns: Sequence[str], split: str = "split"
 
 
 def value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """``(by…, column_name, value, n)`` for several columns in one pass over the rows.
-
-    The rows are first aggregated by all columns together; the separate distributions are
-    then summed from those few combinations.
-    """
-    combined = df.groupBy(*by, *columns).agg(F.count(F.lit(1)).alias("n"))
+    """``(by…, column_name, value, n)`` for several columns in one pass over the rows."""
     listed = F.array(
         *[
             F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
@@ -41,17 +36,19 @@ def value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
         ]
     )
     return (
-        combined.select(*by, "n", F.inline(listed))
+        df.select(*by, F.inline(listed))
         .groupBy(*by, "column_name", "value")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
 def split_dist(df: DataFrame, columns: Sequence[str], split: str = "split") -> DataFrame:
     """Distributions per split with each value's share of its split in percent."""
     counts = value_counts(df, columns, [split])
-    total = F.sum("n").over(Window.partitionBy(split, "column_name"))
-    return counts.withColumn("pct", F.col("n") / total * 100)
+    totals = df.groupBy(split).agg(F.count(F.lit(1)).alias("_total"))
+    return counts.join(totals.withColumnRenamed(split, "_split"), F.col(split).eqNullSafe(F.col("_split"))).select(
+        *counts.columns, (F.col("n") / F.col("_total") * 100).alias("pct")
+    )
 
 
 def profile_source(

@@ -18,7 +18,6 @@ from corpusloom.operators.normalize import SOURCES, Normalizer, union_sources
 from corpusloom.operators.pairs import preference_dataset
 from corpusloom.operators.quality import quality_filter
 from corpusloom.operators.sampling import balance_classes, random_split, stratified_split
-from corpusloom.session import materialize
 from corpusloom.sources.catalog import Catalog, load_all
 from corpusloom.sources.stages import run_stage
 
@@ -51,21 +50,36 @@ def build_training_table(
     recognizers: Sequence[Recognizer] = PATTERN_RECOGNIZERS,
     allowlist: Sequence[str] = tuple(K.PERSON_ALLOWLIST),
     seed: int = K.SEED,
+    root: str | None = None,
 ) -> DataFrame:
     """Normalised rows to the final split table, in one go.
 
-    Stored twice: after the first deduplication, whose shuffle must not be repeated by the
-    passes of the balancing, and after masking, whose Python workers must not be either.
+    With ``root``, stored twice below it: after the first deduplication, whose shuffle is then
+    not repeated by the passes of the balancing, and after masking, whose Python workers are not
+    either.  Without, nothing is written and the passes repeat that work.
     """
-    unique = materialize(dedup_pair(label_rows(normalized, lexicon, classify)))
+
+    def step(name: str, made: DataFrame) -> DataFrame:
+        if root is None:
+            return made
+        return run_stage(made.sparkSession, f"{root.rstrip('/')}/{name}", lambda: made, True)
+
+    unique = step("unique", dedup_pair(label_rows(normalized, lexicon, classify)))
     balanced = balance_classes(unique, target=target, seed=seed)
     masked = pii.anonymize(
         balanced, SFT_TEXT, recognizers=recognizers, allowlist=allowlist
     ).drop("entities")
-    final = materialize(dedup_key(masked, "instruction"))
+    final = step("masked", dedup_key(masked, "instruction"))
     return stratified_split(final, seed=seed)
 
 
+def with_row_id(table: DataFrame, source: str) -> DataFrame:
+    """Add an id that is unique across sources, from the row's own id or else from its content."""
+    content = F.md5(F.to_json(F.struct(*sorted(c for c in table.columns if c != "split")), {"ignoreNullFields": "false"}))
+    own = F.col("id").cast("string") if "id" in table.columns else content
+    return table.withColumn("id", F.concat_ws(":", F.lit(source), "split", own))
+
+
 @dataclass(frozen=True)
 class Stores:
     """Folders of the stage outputs below one root."""
@@ -87,19 +101,25 @@ def prepare_sft(
     model_factory: Callable[[], SpanModel] | None = None,
     seed: int = K.SEED,
     overwrite: bool = False,
+    skip_failed: bool = False,
 ) -> dict[str, DataFrame]:
     """Catalog to stored final splits, reusing every stage that is already complete.
 
-    Rows need ids that are unique across sources: each is prefixed with its source name.
+    Ids are prefixed with the names of source and split; where a source has none, the digest of
+    the row takes its place, so equal rows share an id until deduplication leaves one of them.
+    A source or split that cannot be loaded stops the job; with ``skip_failed`` the job goes on
+    without it.  What happened to each source is stored beside the first stage and returned as
+    ``outcomes``.
     """
     at = Stores(root)
 
     def raw() -> DataFrame:
-        tables, _ = load_all(spark, catalog, [n for n in normalizers if n in catalog])
-        rows = union_sources(
-            {n: t.withColumn("id", F.concat_ws(":", F.lit(n), "split", "id")) for n, t in tables.items()},
-            normalizers,
-        )
+        tables, outcome = load_all(spark, catalog, [n for n in normalizers if n in catalog], skip_failed)
+        outcome.write.mode("overwrite").parquet(at.sft_outcomes)
+        failed = [f"{r['name']}: {r['error']}" for r in outcome.where("NOT ok").toLocalIterator()]
+        if failed and not skip_failed:
+            raise RuntimeError("sources failed to load: " + "; ".join(failed))
+        rows = union_sources({n: with_row_id(t, n) for n, t in tables.items()}, normalizers)
         return dedup_pair(label_rows(rows, lexicon))
 
     unique = run_stage(spark, at.sft_unique, raw, overwrite)
@@ -114,12 +134,14 @@ def prepare_sft(
         overwrite,
     )
 
-    def split() -> DataFrame:
-        rows = dedup_key(masked.drop("entities"), "instruction")
-        return stratified_split(materialize(rows), seed=seed)
-
-    final = run_stage(spark, at.sft_final, split, overwrite, partition_by=["split"])
-    return {"sft_raw": balanced, "sft_anonymized": masked, "sft": final}
+    single = run_stage(
+        spark, at.sft_single, lambda: dedup_key(masked.drop("entities"), "instruction"), overwrite
+    )
+    final = run_stage(
+        spark, at.sft_final, lambda: stratified_split(single, seed=seed), overwrite, partition_by=["split"]
+    )
+    outcomes = spark.read.parquet(at.sft_outcomes)
+    return {"sft_raw": balanced, "sft_anonymized": masked, "sft": final, "outcomes": outcomes}
 
 
 def prepare_pairs(

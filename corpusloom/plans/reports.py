@@ -66,7 +66,7 @@ def comparison_report(
             F.left("second_response", F.lit(COMPARED_CHARS)).alias(candidate),
             F.left("chosen_reference", F.lit(CHOSEN_CHARS)).alias("reference"),
         )
-    return report(f"{base} and {candidate}", sections, max_chars=COMPARED_CHARS)
+    return report(f"{base} and {candidate}", sections)
 
 
 def latency_report(log: DataFrame, limit_ms: float = K.SLA_P95_MS) -> str:

@@ -23,7 +23,6 @@ from corpusloom.functions.text import WHITESPACE_CHARS
 from corpusloom.operators.labeling import add_answer, label_by_lexicon
 from corpusloom.operators.evaluation import prediction_table
 from corpusloom.operators.requests import classify_outcomes
-from corpusloom.session import materialize, spread
 
 MAX_WORDS = ("onesen", "therin", "keit")
 DEFERRED_WORDS = ("que", "hein", "ción")
@@ -47,7 +46,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "documents"))
+    return table(spark, folder, "documents")
 
 
 # --- Spark bindings -----------------------------------------------------------------------
@@ -92,7 +91,7 @@ def mixed_text(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise("")
         .alias("raw_response"),
     )
-    pages = spread(table(spark, folder, "pages")).select(
+    pages = table(spark, folder, "pages").select(
         F.col("page_id").alias("id"),
         F.lit("pages").alias("source"),
         F.col("url").alias("instruction"),
@@ -162,10 +161,7 @@ MODELS = {"base": LEXICON, "tuned": OTHER_LEXICON}
 
 
 def generations(rows: DataFrame, models: tuple[str, ...] = ("base",)) -> DataFrame:
-    """(id, model, generated_response) for the rows: what each model would have written.
-
-    Generations are a stored table in real use, so they are stored here too.
-    """
+    """(id, model, generated_response) for the rows: what each model would have written."""
     text = F.concat_ws(" ", "instruction", "raw_response")
     made = [
         F.struct(
@@ -174,7 +170,7 @@ def generations(rows: DataFrame, models: tuple[str, ...] = ("base",)) -> DataFra
         )
         for name in models
     ]
-    return materialize(rows.select("id", F.inline(F.array(*made))))
+    return rows.select("id", F.inline(F.array(*made)))
 
 
 def predictions(

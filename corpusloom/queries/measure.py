@@ -32,7 +32,7 @@ def split_stats(spark, folder):
 
 
 def split_dist(spark, folder):
-    rows = sampling.stratified_split(B.level_only(spark, folder), store_keys=True)
+    rows = sampling.stratified_split(B.level_only(spark, folder))
     return stats.split_dist(rows, ["urgency_level", "source", "language"])
 
 
@@ -120,6 +120,10 @@ def chat_render_conversation(spark, folder):
     return chat.render_conversations(B.table(spark, folder, "conversations"))
 
 
+def chat_render_turns(spark, folder):
+    return chat.render_turns(B.table(spark, folder, "conversations"))
+
+
 _OLD_PROMPT = q(f"{K.TURN_START}system\n{SYSTEM}\n{K.TURN_END}\n{K.TURN_START}user\n")
 _OLD_ANSWER = q(f"\n{K.TURN_END}\n{K.TURN_START}assistant\n")
 _OLD_END = q(K.TURN_END)
@@ -249,15 +253,19 @@ SELECT *, CASE WHEN base_accuracy >= 0.7 THEN 'ready' WHEN base_accuracy >= 0.6
 FROM sides"""
 
 
-def paired_responses(spark, folder):
+def paired_responses(spark, folder, n=20):
     labelled = B.sft_labelled(spark, folder)
     pair_rows = pairs.synthetic_pairs(labelled).select("id", "prompt", "chosen")
     made = B.generations(labelled, ("base", "tuned"))
     return evaluation.paired_responses(
-        pair_rows, made.where(F.col("model") == "base"), made.where(F.col("model") == "tuned"), n=20
+        pair_rows, made.where(F.col("model") == "base"), made.where(F.col("model") == "tuned"), n=n
     )
 
 
+def paired_responses_150(spark, folder):
+    return paired_responses(spark, folder, 150)
+
+
 PAIRED_SQL = f"""
 WITH {B.LABELLED_SQL}, voted AS (
   SELECT *, {B.sql_level("instruction || ' ' || raw_response")} AS level_base,
@@ -492,10 +500,15 @@ QUERIES = {
     ),
     "chat_render_conversation": (
         chat_render_conversation,
-        f"""SELECT conv_id, turn // 1000 AS part, count(*) AS n_turns,
+        f"""SELECT conv_id, count(*) AS n_turns,
               string_agg({q(K.TURN_START)} || role || chr(10) || text || {_END}, ''
                          ORDER BY turn) AS text
-            FROM conversations GROUP BY conv_id, turn // 1000""",
+            FROM conversations GROUP BY conv_id""",
+    ),
+    "chat_render_turns": (
+        chat_render_turns,
+        f"""SELECT conv_id, turn, {q(K.TURN_START)} || role || chr(10) || text || {_END} AS line
+            FROM conversations""",
     ),
     "prediction_table": (
         prediction_table,
@@ -524,6 +537,7 @@ QUERIES = {
     "eval_compare": (eval_compare, _compare_sql()),
     "eval_verdict": (eval_verdict, VERDICT_SQL),
     "paired_responses": (paired_responses, PAIRED_SQL),
+    "paired_responses_150": (paired_responses_150, PAIRED_SQL.replace("LIMIT 20", "LIMIT 150")),
     "request_outcomes": (
         request_outcomes, f"WITH {B.REQUESTS_SQL} SELECT * FROM requests",
     ),

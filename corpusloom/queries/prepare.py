@@ -10,7 +10,6 @@ from corpusloom.functions.text import fingerprint
 from corpusloom.operators import dedup, labeling, normalize, quality
 from corpusloom.queries import bindings as B
 from corpusloom.queries.bindings import q
-from corpusloom.session import spread
 
 
 def normalize_mcq_index(spark, folder):
@@ -101,7 +100,7 @@ UNION ALL SELECT * FROM four"""
 
 
 def quality_filter(spark, folder):
-    return quality.quality_filter(spread(B.mixed_text(spark, folder))).select(
+    return quality.quality_filter(B.mixed_text(spark, folder)).select(
         "id", "source", "instruction", "raw_response"
     )
 

@@ -7,12 +7,11 @@ import re
 from pyspark.sql import functions as F
 
 from corpusloom import constants as K
-from corpusloom.functions.text import seeded_key
+from corpusloom.functions.text import fingerprint, seeded_key
 from corpusloom.operators import dedup, evaluation, gates, pairs, sampling, stats
 from corpusloom.operators.labeling import label_by_lexicon
 from corpusloom.queries import bindings as B
 from corpusloom.queries.bindings import q
-from corpusloom.session import materialize
 
 KEY = B.sql_key(K.SEED, "id")
 PAIR_TARGET = 150
@@ -23,7 +22,7 @@ PAIR_TARGET = 150
 
 def balance_classes(spark, folder):
     rows = B.level_only(spark, folder)
-    return sampling.balance_classes(rows, target=600, store_keys=True)
+    return sampling.balance_classes(rows, target=600)
 
 
 BALANCE_SQL = f"""
@@ -60,7 +59,7 @@ def seeded_shuffle(spark, folder):
 
 
 def _split_rows(spark, folder):
-    return sampling.stratified_split(B.level_only(spark, folder), store_keys=True)
+    return sampling.stratified_split(B.level_only(spark, folder))
 
 
 def stratified_split(spark, folder):
@@ -256,7 +255,7 @@ def leakage_check(spark, folder):
     rows = B.sft_like(spark, folder).withColumn("urgency_level", F.col("language"))
     before = sampling.stratified_split(rows, label="language")
     after = sampling.stratified_split(
-        dedup.dedup_key(rows, "instruction"), label="language", store_keys=True
+        dedup.dedup_key(rows, "instruction"), label="language"
     )
     checked = gates.leakage_check(before, "instruction").withColumn("stage", F.lit("before"))
     return checked.unionByName(
@@ -335,12 +334,11 @@ def gate_rollup(spark, folder):
     """All gates over the split table, rolled up."""
     text = B.sft_like(spark, folder)
     levels = label_by_lexicon(text, lexicon=B.LEXICON).select(
-        "id", "urgency_level", "source", "language"
+        "id", "urgency_level", "source", "language", fingerprint(F.col("instruction")).alias("mark")
     )
-    rows = materialize(sampling.stratified_split(levels, store_keys=True))
-    full = rows.join(text.select("id", "instruction"), "id")
+    rows = sampling.stratified_split(levels)
     sizes = gates.split_size_gate(rows)
-    shared = gates.leakage_check(full, "instruction")
+    shared = gates.leakage_check(rows, "mark")
     empty = gates.null_check(rows, ["urgency_level", "source", "language"])
     gap = gates.class_gap(rows, "urgency_level", ["split"])
     return gates.gate_rollup(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,7 +39,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
     ``spark.checkpoint.dir`` is read from the session.  Only a session in local mode, where
-    one machine is the whole cluster, may fall back to a folder of its own.
+    one machine is the whole cluster, may fall back to its warehouse.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -50,9 +49,7 @@ def shared_folder(spark: SparkSession) -> str:
         return in_use
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="corpusloom-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext.getCheckpointDir() or folder
+    return os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_shared")
 
 
 def _tables_of(spark: SparkSession) -> str:
@@ -69,7 +66,7 @@ def release_tables(spark: SparkSession) -> None:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and continue from the stored table.
+    """Write ``df`` now to the shared folder and continue from the stored table.
 
     For a table that several passes read and that is costly to recompute.  Unlike
     ``checkpoint()`` the stored form is columnar, so each later pass reads only the columns
@@ -79,21 +76,3 @@ def materialize(df: DataFrame) -> DataFrame:
     path = os.path.join(_tables_of(spark), uuid.uuid4().hex)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-# Inputs with this many splits (about 4 GB of Parquet) are large enough to be left alone.
-FEW_SPLITS = 32
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Lay a small under-split input out anew before costly row-wise work.
-
-    A small table is often one file with one row group, which is one task.  A plain
-    ``repartition`` does not help, as filters are pushed below it.  Inputs with a split per
-    core, or with ``FEW_SPLITS`` splits, as every large table has, are returned unchanged, so
-    at scale this neither shuffles nor writes anything.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= min(cores, FEW_SPLITS):
-        return df
-    return materialize(df.repartition(min(cores, 4 * FEW_SPLITS)))

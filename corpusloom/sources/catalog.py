@@ -72,30 +72,45 @@ def read_existing(
     return reader.load(existing)
 
 
-def load_table(spark: SparkSession, catalog: Catalog, name: str) -> DataFrame:
-    """All splits of a table, concatenated, with their name in ``split``."""
+def load_table(
+    spark: SparkSession, catalog: Catalog, name: str, skip_missing: bool = False
+) -> DataFrame:
+    """All splits of a table, concatenated, with their name in ``split``.
+
+    Of several shards of a split those that exist are read; a split without any is an error
+    unless ``skip_missing``.
+    """
     entry = catalog[name]
-    parts = []
+    parts, lost = [], []
     for split, paths in entry.paths.items():
         part = read_existing(spark, paths, entry.format, entry.options, entry.schema)
-        if part is not None:
+        if part is None:
+            lost.append(split)
+        else:
             parts.append(part.withColumn("split", F.lit(split)))
     if not parts:
         raise FileNotFoundError(f"no path of table {name!r} exists")
+    if lost and not skip_missing:
+        raise FileNotFoundError(f"no path of the splits {lost} of table {name!r} exists")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def load_all(
-    spark: SparkSession, catalog: Catalog, names: Iterable[str] | None = None
+    spark: SparkSession,
+    catalog: Catalog,
+    names: Iterable[str] | None = None,
+    skip_missing: bool = False,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Load many tables, going on after a failure; also returns ``(name, ok, error)``.
 
+    With ``skip_missing`` a table counts as loaded if some of its splits are there.
+
     Only schemas are read here; rows are read when the tables are used.
     """
     tables, outcome = {}, []
     for name in names or catalog:
         try:
-            tables[name] = load_table(spark, catalog, name)
+            tables[name] = load_table(spark, catalog, name, skip_missing)
             outcome.append((name, True, None))
         except (PySparkException, FileNotFoundError, KeyError) as failure:
             outcome.append((name, False, str(failure)))

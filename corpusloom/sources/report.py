@@ -6,14 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-MAX_REPORT_ROWS = 100
-
 
 def to_markdown(df: DataFrame, max_chars: int | None = None) -> str:
-    """A result table of at most ``MAX_REPORT_ROWS`` rows as a Markdown table."""
-    rows = df.limit(MAX_REPORT_ROWS + 1).collect()
-    if len(rows) > MAX_REPORT_ROWS:
-        raise ValueError(f"a report table has at most {MAX_REPORT_ROWS} rows; aggregate first")
+    """A result table as a Markdown table, whole; cells are cut only if ``max_chars`` is given."""
 
     def cell(value: object) -> str:
         if value is None:
@@ -23,11 +18,11 @@ def to_markdown(df: DataFrame, max_chars: int | None = None) -> str:
         return text[:max_chars] if max_chars else text
 
     lines = ["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
-    lines += ["| " + " | ".join(cell(v) for v in row) + " |" for row in rows]
+    lines += ["| " + " | ".join(cell(v) for v in row) + " |" for row in df.toLocalIterator()]
     return "\n".join(lines)
 
 
-def report(title: str, sections: Mapping[str, DataFrame], max_chars: int = 500) -> str:
+def report(title: str, sections: Mapping[str, DataFrame], max_chars: int | None = None) -> str:
     """A Markdown report with one table per section."""
     parts = [f"# {title}"]
     for heading, table in sections.items():

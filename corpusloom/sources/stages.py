@@ -7,13 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.operators.ranking import MAX_STRATA
 from corpusloom.sources.catalog import path_exists
 
-# Combinations of split, language and source that a card may list.
-MAX_COMBINATIONS = 10_000
-
-
 def run_stage(
     spark: SparkSession,
     path: str,
@@ -42,9 +37,7 @@ def write_splits(df: DataFrame, path: str, split: str = "split", overwrite: bool
 def read_splits(spark: SparkSession, path: str, split: str = "split") -> dict[str, DataFrame]:
     """The stored splits by name; each frame reads its own directory only."""
     table = spark.read.parquet(path)
-    names = [r[0] for r in table.select(split).distinct().limit(MAX_STRATA + 1).collect()]
-    if len(names) > MAX_STRATA:
-        raise ValueError(f"{split} has more than {MAX_STRATA} values; not a split")
+    names = [r[0] for r in table.select(split).distinct().toLocalIterator()]
     return {name: table.where(F.col(split) == name).drop(split) for name in sorted(names)}
 
 
@@ -55,27 +48,15 @@ def dataset_card(
     source: str = "source",
     extra: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """One row per split: rows, languages and sources, plus fixed texts such as a licence.
-
-    Rows are counted per (split, language, source); the combinations, whose number is
-    checked, make the card.
-    """
-    combos = df.groupBy(split, language, source).agg(F.count(F.lit(1)).alias("n"))
-    rows = combos.limit(MAX_COMBINATIONS + 1).collect()
-    if len(rows) > MAX_COMBINATIONS:
-        raise ValueError("too many languages and sources for a card; are they categories?")
+    """One row per split: rows, languages and sources, plus fixed texts such as a licence."""
 
-    def listing(values: list) -> str:
-        return ",".join(sorted({str(v) for v in values if v is not None}))
+    def listing(column: str):
+        return F.array_join(F.array_sort(F.collect_set(F.col(column).cast("string"))), ",")
 
-    texts = dict(extra or {})
-    card = []
-    for name in dict.fromkeys(r[0] for r in rows):
-        own = [r for r in rows if r[0] == name]
-        counted = (sum(r["n"] for r in own), listing([r[1] for r in own]), listing([r[2] for r in own]))
-        card.append((name, *counted, *texts.values()))
-    shape = [f"{split} string", "n_rows bigint", "languages string", "sources string"]
-    return df.sparkSession.createDataFrame(card, ", ".join(shape + [f"{k} string" for k in texts]))
+    combos = df.groupBy(split, language, source).agg(F.count(F.lit(1)).alias("n"))
+    return combos.groupBy(F.col(split).cast("string").alias(split)).agg(
+        F.sum("n").alias("n_rows"), listing(language).alias("languages"), listing(source).alias("sources"),
+    ).select("*", *[F.lit(text).alias(name) for name, text in (extra or {}).items()])
 
 
 def export_dataset(
@@ -84,17 +65,17 @@ def export_dataset(
     format: str = "parquet",
     split: str = "split",
     extra: Mapping[str, str] | None = None,
-) -> bool:
-    """Write every split and the card; report failure instead of raising.
+) -> str | None:
+    """Write every split and the card; the text of a failure instead of raising, None if all is done.
 
-    The card is secondary: when only it fails, the export still counts as done.
+    The card is secondary: when only it fails, the data is there and the text says so.
     """
     try:
         df.write.mode("overwrite").partitionBy(split).format(format).save(f"{path}/data")
-    except Exception:  # noqa: BLE001 - one failed export must not stop the others
-        return False
+    except Exception as failure:  # noqa: BLE001 - one failed export must not stop the others
+        return f"data: {failure}"
     try:
         dataset_card(df, split, extra=extra).write.mode("overwrite").json(f"{path}/card")
-    except Exception:  # noqa: BLE001
-        pass
-    return True
+    except Exception as failure:  # noqa: BLE001
+        return f"card: {failure}"
+    return None

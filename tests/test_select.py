@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -32,13 +33,13 @@ def by_class(df):
     return {level: sorted(ids, key=key) for level, ids in groups.items()}
 
 
-@pytest.fixture(params=["one bucket", "many buckets", "many strata"])
+@pytest.fixture(params=["broadcast limits", "salted limits", "coarse buckets"])
 def way(request, monkeypatch):
-    """Every sampling test runs without a histogram, with one, and on the distributed way."""
-    if request.param == "many buckets":
-        monkeypatch.setattr(ranking, "BUCKET_ROWS", 5)
-    if request.param == "many strata":
-        monkeypatch.setattr(ranking, "MAX_STRATA", 1)
+    """Every sampling test runs with limits broadcast, joined by a salt, and with few buckets."""
+    if request.param == "salted limits":
+        monkeypatch.setattr(ranking, "BROADCAST_STRATA", 0)
+    if request.param == "coarse buckets":
+        monkeypatch.setattr(ranking, "DIGITS", 1)
     return request.param
 
 
@@ -61,55 +62,56 @@ def test_cap(classes, way):
         assert {r.id for r in sampling.cap_sample(classes, size).collect()} == set(ids[:size])
 
 
-def test_cap_with_stored_keys(classes):
-    ids = sorted(range(3000), key=key)
-    got = sampling.cap_sample(classes, 50, store_keys=True)
-    assert {r.id for r in got.collect()} == set(ids[:50])
+def apportioned(sizes, draws):
+    """Shares of ``draws`` by largest remainder, ties by name."""
+    total = max(sum(sizes.values()), 1)
+    shares = {s: n * draws // total for s, n in sizes.items()}
+    order = sorted(sizes, key=lambda s: (-(sizes[s] * draws % total), s))
+    for s in order[: draws - sum(shares.values())]:
+        shares[s] += 1
+    return shares
 
 
-def test_bucketed_rank(classes):
-    ranked = by_class(classes)
-    got = ranking.bucketed_rank(classes, F.col("urgency_level"), seeded_key(42, F.col("id")), "r", digits=1)
-    assert all(ranked[r.urgency_level][r.r - 1] == r.id for r in got.collect())
+def three_way(sizes, train_ratio=0.8, val_ratio=0.1):
+    test_ratio = 1.0 - train_ratio - val_ratio
+    n = sum(sizes.values())
+    train = apportioned(sizes, n - math.ceil((val_ratio + test_ratio) * n))
+    rest = {s: sizes[s] - train[s] for s in sizes}
+    left = sum(rest.values())
+    val = apportioned(rest, left - math.ceil(test_ratio / (val_ratio + test_ratio) * left))
+    return {s: (train[s], val[s]) for s in sizes}
 
 
-def test_digits_follow_the_size():
-    assert [ranking.digits_for(n) for n in (1, 10**6, 10**6 + 1, 10**11)] == [0, 0, 1, 5]
+@pytest.mark.parametrize("sizes", [
+    {"a": 1894, "b": 1894, "c": 1893}, {"a": 5, "b": 3}, {"a": 1}, {"a": 7, "b": 0}, {"x": 5681},
+    {f"s{k}": k * 37 % 11 for k in range(40)}, {"a": 3 * 10**11, "b": 10**11 + 7},
+])
+def test_three_way_sizes(spark, sizes):
+    table = spark.createDataFrame(list(sizes.items()), "stratum string, n bigint")
+    got = {r.stratum: (r.train, r.val) for r in sampling.three_way_sizes(table).collect()}
+    assert got == three_way(sizes)
 
 
 def test_sizes_of_published_splits():
-    assert sampling.three_way_sizes({"x": 5681})["x"] == (4544, 568, 569)
+    assert three_way({"x": 5681})["x"] == (4544, 568)
     assert 957 - math.ceil((1.0 - 0.9) * 957) == 861
 
 
-@pytest.mark.parametrize("sizes", [{"a": 1894, "b": 1894, "c": 1893}, {"a": 5, "b": 3}, {"a": 1}, {"a": 7, "b": 0}])
-def test_three_way_sizes_add_up(sizes):
-    shares = sampling.three_way_sizes(sizes)
-    assert {s: sum(v) for s, v in shares.items()} == sizes
-    assert all(part >= 0 for v in shares.values() for part in v)
-
-
-def test_apportion_gives_spare_rows_to_the_largest_remainders():
-    assert sampling.apportion({"a": 3, "b": 3, "c": 4}, 5) == {"a": 2, "b": 1, "c": 2}
-
-
-def test_stratified_split_is_disjoint_complete_and_proportional(classes, monkeypatch):
+def test_stratified_split_is_disjoint_complete_and_proportional(classes, way):
     known = classes.where(F.col("urgency_level").isNotNull())
     ranked = by_class(known)
-    shares = sampling.three_way_sizes({level: len(ids) for level, ids in ranked.items()})
+    shares = three_way({level: len(ids) for level, ids in ranked.items()})
     want = {}
     for level, ids in ranked.items():
-        train, val, _ = shares[level]
+        train, val = shares[level]
         want.update({i: "train" if n < train else "val" if n < train + val else "test" for n, i in enumerate(ids)})
-    for rows in (10**6, 5):
-        monkeypatch.setattr(ranking, "BUCKET_ROWS", rows)
-        assert {r.id: r.split for r in sampling.stratified_split(known).collect()} == want
+    assert {r.id: r.split for r in sampling.stratified_split(known).collect()} == want
 
 
-def test_split_refuses_a_column_that_is_no_class(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "MAX_STRATA", 3)
-    with pytest.raises(ValueError):
-        sampling.stratified_split(spark.range(9).withColumn("urgency_level", F.col("id")))
+def test_many_strata(spark):
+    table = spark.range(3000).withColumn("urgency_level", F.col("id") % 1500)
+    assert sampling.sample_per_group(table, F.col("urgency_level"), 1).count() == 1500
+    assert sampling.stratified_split(table).count() == 3000
 
 
 def test_random_split(spark):
@@ -124,31 +126,30 @@ def test_shuffle_is_ordered_and_whole(spark):
     assert ids == sorted(range(500), key=key)
 
 
-def test_sampling_and_splitting_shuffle_no_rows(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(ranking, "BUCKET_ROWS", 50)
-    label = F.when(F.col("id") % 2 == 0, "max").otherwise("moderate")
-    spark.range(1000).withColumn("urgency_level", label).write.parquet(str(tmp_path / "t"))
-    table = spark.read.parquet(str(tmp_path / "t"))
-    for made in (
-        sampling.balance_classes(table, target=300), sampling.cap_sample(table, 10),
-        sampling.stratified_split(table), sampling.random_split(table),
-    ):
-        plan = made._jdf.queryExecution().executedPlan().toString()
-        assert "Exchange" not in plan and "Join" not in plan and "Window" not in plan
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_the_distributed_rank_shuffles_rows_once(spark, tmp_path):
-    spark.range(1000).withColumn("g", F.col("id") % 3).write.parquet(str(tmp_path / "t"))
+def test_one_plan_for_every_size_and_no_job_to_build_it(spark, tmp_path):
+    label = F.when(F.col("id") % 2 == 0, "max").otherwise("moderate")
+    shapes = set()
+    for rows in (100, 20000):
+        path = str(tmp_path / str(rows))
+        spark.range(rows).withColumn("urgency_level", label).write.parquet(path)
+        table = spark.read.parquet(path)
+        spark.sparkContext.setJobGroup(path, path)
+        made = [sampling.balance_classes(table, target=30), sampling.cap_sample(table, 10), sampling.random_split(table)]
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(path)) == 0
+        shapes.add(tuple(re.findall(r"(\w+Join|Window|Exchange \w+)", plan_of(m)).__repr__() for m in made))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(shapes) == 1
+
+
+def test_rows_meet_their_limits_by_broadcast(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
     table = spark.read.parquet(str(tmp_path / "t"))
-    ranked = ranking.bucketed_rank(table, F.col("g"), seeded_key(1, F.col("id")))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = ranked._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # One for the rows; two for the histogram and its running sum, one to join that.
-    assert plan.count("Exchange hashpartitioning(_stratum") == 2
-    assert plan.count("Exchange hashpartitioning(stratum") == 2
+    joins = re.findall(r"\w+Join", plan_of(sampling.random_split(table)))
+    assert joins[0].startswith("Broadcast")
 
 
 def test_value_cuts_under_skew(spark):
