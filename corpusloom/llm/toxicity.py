@@ -26,15 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import held_out
+from corpusloom.llm.common import held_out, sampled
 
-MAX_ROWS = 8_000
+MAX_ROWS = 6_000
 MAX_CHARS = 20_000
 BITS = 20
 ORDERS = (2, 3, 4, 5, 6)
-MAX_FEATURES = 10_000
+MAX_FEATURES = 5_000
 MIN_TEXTS = 5
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -86,11 +86,22 @@ class Model:
 
 
 def fit(rows: Iterable[tuple[str, int]]) -> Model:
-    """Train on (text, 0 or 1) pairs; small enough for one process by the bounds of the caller."""
+    """Train on (text, 0 or 1) pairs; small enough for one process by the bounds of the caller.
+
+    The texts are read twice: for the sums of all columns, and for the features of the chosen ones.
+    """
+    rows = list(rows)
+    y = np.array([label for _, label in rows], float)
+    none = np.zeros(0)
+    if not len(y) or y.min() == y.max():
+        return Model(none, none, none, 0.0 if not len(y) else (4.0 if y[0] else -4.0))
+    size = 1 << BITS
+    there, rate = np.zeros((2, size), np.float32), np.zeros((2, size), np.float32)
     known: dict[str, np.ndarray] = {}
-    texts, labels = [], []
     for text, label in rows:
         words = Counter(_WORDS.findall(text.lower()))
+        if len(known) > REMEMBERED // 4:
+            known.clear()
         for word in words:
             if word not in known:
                 known[word] = np.unique(np.array(columns_of(word), np.int32))
@@ -98,36 +109,27 @@ def fit(rows: Iterable[tuple[str, int]]) -> Model:
             every = np.concatenate([known[word] for word in words])
             times = np.repeat(np.array(list(words.values()), float), [len(known[word]) for word in words])
             columns, place = np.unique(every, return_inverse=True)
-            texts.append((columns, np.bincount(place, times), sum(words.values())))
-        else:
-            texts.append((np.zeros(0, np.int32), np.zeros(0), 0))
-        labels.append(label)
-    y = np.array(labels, float)
-    none = np.zeros(0)
-    if not len(y) or y.min() == y.max():
-        return Model(none, none, none, 0.0 if not len(y) else (4.0 if y[0] else -4.0))
-    size = 1 << BITS
-    there, rate = np.zeros((2, size)), np.zeros((2, size))
-    for (columns, counts, words), label in zip(texts, labels):
-        there[label, columns] += 1
-        rate[label, columns] += rates(counts, words)
+            there[label, columns] += 1
+            rate[label, columns] += rates(np.bincount(place, times), sum(words.values()))
+    known.clear()
     ratios = [_ratio(there), _ratio(rate)]
     seen = there.sum(axis=0)
     worth = np.where(seen >= MIN_TEXTS, np.abs(ratios).max(axis=0) * np.sqrt(seen), 0)
     chosen = np.sort(np.argsort(-worth, kind="stable")[:MAX_FEATURES])
     chosen = chosen[worth[chosen] > 0]
-    number = np.full(size, -1)
-    number[chosen] = np.arange(len(chosen))
-    at, column, value = [], [], []
-    for row, (columns, counts, words) in enumerate(texts):
-        inside = number[columns] >= 0
-        mine = number[columns[inside]]
-        at += [np.full(2 * len(mine), row)]
-        column += [mine, mine + len(chosen)]
-        value += [ratios[0][chosen[mine]], ratios[1][chosen[mine]] * rates(counts[inside], words)]
-    weights, bias = _logistic(np.concatenate(at), np.concatenate(column), np.concatenate(value), y, 2 * len(chosen))
-    present, by_rate = weights[: len(chosen)], weights[len(chosen) :]
-    return Model(chosen, present * ratios[0][chosen], by_rate * ratios[1][chosen], float(bias))
+    model = Model(chosen, ratios[0][chosen], ratios[1][chosen], 0.0)
+    parts = []
+    for first in range(0, len(rows), 500):
+        at, column, value = [], [], []
+        for row, (text, _) in enumerate(rows[first : first + 500]):
+            counts, words = model.counts(text)
+            mine = np.flatnonzero(counts)
+            at.append(np.full(len(mine), row, np.int16))
+            column.append(mine.astype(np.int32))
+            value.append(rates(counts[mine], words).astype(np.float32))
+        parts.append(tuple(np.concatenate(one) for one in (at, column, value)))
+    present, by_rate, bias = _logistic(parts, model.present, model.rate, y)
+    return Model(chosen, present * model.present, by_rate * model.rate, bias)
 
 
 def _ratio(sums: np.ndarray) -> np.ndarray:
@@ -136,20 +138,32 @@ def _ratio(sums: np.ndarray) -> np.ndarray:
     return np.log(toxic / toxic.sum()) - np.log(other / other.sum())
 
 
-def _logistic(at: np.ndarray, column: np.ndarray, value: np.ndarray, y: np.ndarray, size: int,
-              steps: int = 150, rate: float = 0.05, penalty: float = 5e-3) -> tuple[np.ndarray, float]:
-    """Weights and bias of logistic regression on rows given as (row, column, value) triples."""
-    w, b = np.zeros(size), float(np.log(y.mean() / (1 - y.mean())))
-    first, second = np.zeros(size + 1), np.zeros(size + 1)
+def _logistic(parts: list[tuple], present: np.ndarray, rate: np.ndarray, y: np.ndarray, steps: int = 150,
+              speed: float = 0.05, penalty: float = 5e-3) -> tuple[np.ndarray, np.ndarray, float]:
+    """Weights of the two scaled features of each column, and the bias, by logistic regression.
+
+    ``parts`` hold (row, column, rate) triples of 500 rows each; ``present`` and ``rate`` are the
+    scales of a column that is present and of its rate.
+    """
+    size = len(present)
+    w, b = np.zeros(2 * size), float(np.log(y.mean() / (1 - y.mean())))
+    first, second = np.zeros(2 * size + 1), np.zeros(2 * size + 1)
     for step in range(1, steps + 1):
-        margin = np.bincount(at, value * w[column], len(y)) + b
-        miss = (1 / (1 + np.exp(-np.clip(margin, -60, 60))) - y) / len(y)
-        slope = np.append(np.bincount(column, value * miss[at], size) + penalty * w, miss.sum())
+        slope = np.zeros(2 * size + 1)
+        on, by = present * w[:size], rate * w[size:]
+        for number, (at, column, value) in enumerate(parts):
+            truth = y[500 * number : 500 * number + 500]
+            margin = np.bincount(at, on[column] + value * by[column], len(truth)) + b
+            miss = (1 / (1 + np.exp(-np.clip(margin, -60, 60))) - truth) / len(y)
+            slope[:size] += present * np.bincount(column, miss[at], size)
+            slope[size:-1] += rate * np.bincount(column, value * miss[at], size)
+            slope[-1] += miss.sum()
+        slope[:-1] += penalty * w
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope * slope
-        move = rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        move = speed * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
-    return w, b
+    return w[:size], w[size:], float(b)
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> Model:
@@ -157,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_char
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     wanted = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # max_rows ids at most, so they may be broadcast.
-    sample = wanted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    sample = sampled(wanted, max_rows)
     texts = docs.select("doc_id", "text").where(F.length("text") <= max_chars)
     rows = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic").toPandas()
     rows = rows.sort_values(["doc_id", "text"], kind="stable").drop_duplicates("doc_id")
