@@ -7,7 +7,7 @@ too long or too short for a run are never compared with it.  A run that begins o
 sharing no bigram with the template is never better than the run without that line, so only lines
 that share one begin or end a run.  A run of one word counts the word as its bigram.
 
-Of overlapping runs the best counts, then the earliest, the shortest, the first template.  A null
+Of overlapping runs the best counts, then the shortest, the earliest, the first template.  A null
 or empty text matches nothing.  Repeated rows give repeated results.  An empty table gives an empty
 result.  Other columns pass through ``scan``.
 """
@@ -99,7 +99,7 @@ class Scanner:
                     touched[template].append(at)
         good = [run for template, at in sorted(touched.items()) for run in self._runs(lines, template, at)]
         taken, kept = set(), []
-        for dice, start, last, template in sorted(good, key=lambda g: (-g[0], *g[1:])):
+        for dice, start, last, template in sorted(good, key=lambda g: (-g[0], g[2] - g[1], *g[1:])):
             if taken.isdisjoint(range(start, last + 1)):
                 taken.update(range(start, last + 1))
                 kept.append((self.names[template], start, last - start + 1, dice))
