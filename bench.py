@@ -3,6 +3,7 @@
 BENCH_SF_DIR  folder of the tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default 8)
 BENCH_RUNS    runs per query, of which the fastest counts (default 2)
+BENCH_SMALL   folder of smaller tables, run once each to show growth (default sf0.01 beside the other)
 """
 
 from __future__ import annotations
@@ -31,14 +32,19 @@ def main() -> None:
     cores = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = local_session("bench", cores)
-    known, times = registry(), {}
+    small = os.environ.get("BENCH_SMALL", os.path.join(os.path.dirname(folder.rstrip("/")), "sf0.01"))
+    known, times, small_times = registry(), {}, {}
+
+    def timed(query, where: str) -> float:
+        begun = time.perf_counter()
+        query(spark, where).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - begun
+
     for name in sys.argv[1:] or HEADLINE:
-        query, spent = known[name][0], []
-        for _ in range(runs):
-            begun = time.perf_counter()
-            query(spark, folder).write.format("noop").mode("overwrite").save()
-            spent.append(time.perf_counter() - begun)
-        times[name] = round(min(spent), 3)
+        query = known[name][0]
+        times[name] = round(min(timed(query, folder) for _ in range(runs)), 3)
+        if os.path.isdir(small) and small != folder.rstrip("/"):
+            small_times[name] = round(timed(query, small), 3)
     line = {
         "metric": "total_wall_time",
         "value": round(sum(times.values()), 3),
@@ -46,6 +52,7 @@ def main() -> None:
         "queries": times,
         "sf": folder.rstrip("/").rsplit("sf", 1)[-1],
         "runs": runs,
+        "small_queries": small_times,
     }
     release_tables(spark)
     print(json.dumps(line))

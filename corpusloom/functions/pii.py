@@ -17,7 +17,6 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusloom import constants as K
 
@@ -35,7 +34,8 @@ class Recognizer:
 
     The pattern must mean the same to Java and to Python: explicit character classes, no
     look-around.  ``languages`` restricts it to rows of those languages; ``needs`` is a
-    literal that every hit contains, which spares most texts the pattern.
+    literal that every hit contains, which spares most texts the pattern.  With ``whole`` a hit
+    counts only where it does not begin or end inside a word or number.
     """
 
     entity: str
@@ -43,6 +43,7 @@ class Recognizer:
     score: float
     languages: tuple[str, ...] | None = None
     needs: str = ""
+    whole: bool = False
 
     def occurs(self, text: Column) -> Column:
         """Whether a text has a hit."""
@@ -51,16 +52,17 @@ class Recognizer:
 
 
 def name_list(
-    entity: str, names: Sequence[str], score: float = 0.85, languages: tuple[str, ...] | None = None
+    entity: str, names: Sequence[str], score: float = 0.85, languages: tuple[str, ...] | None = None,
+    whole: bool = False,
 ) -> Recognizer:
-    """A recogniser for fixed names, longest first; names match inside longer words too."""
+    """A recogniser for fixed names, longest first; with ``whole`` not inside longer words."""
     ordered = sorted(dict.fromkeys(names), key=lambda n: (-len(n), n))
-    return Recognizer(entity, "|".join(re.escape(n) for n in ordered), score, languages)
+    return Recognizer(entity, "|".join(re.escape(n) for n in ordered), score, languages, whole=whole)
 
 
 _MONTHS_FR = "janvier|février|mars|avril|mai|juin|juillet|août|septembre|octobre|novembre|décembre"
 _MONTHS_EN = (
-    "J(?:anuary|une|uly)|February|Ma(?:rch|y)|A(?:pril|ugust)|September|October|November|December"
+    "January|February|March|April|May|June|July|August|September|October|November|December"
 )
 
 # Every repetition is bounded, so no text makes a scan quadratic.
@@ -87,6 +89,30 @@ DATE = Recognizer(
 )
 PATTERN_RECOGNIZERS = (EMAIL, PHONE, DATE)
 
+# Small gazetteers of our own choosing; a job for other places brings its own lists.
+PLACES = [
+    "France", "Belgique", "Belgium", "Suisse", "Switzerland", "Canada", "Germany", "Allemagne", "Spain", "Espagne",
+    "Italy", "Italie", "United States", "United Kingdom", "Paris", "Lyon", "Marseille", "Toulouse", "Lille",
+    "Bordeaux", "Nantes", "Strasbourg", "Nice", "London", "Berlin", "Madrid", "Rome", "Brussels", "Bruxelles",
+    "Geneva", "Genève", "New York", "Montréal", "Montreal",
+]
+GROUPS = [
+    "French", "Belgian", "Swiss", "Canadian", "German", "Spanish", "Italian", "American", "British", "European",
+    "Français", "Française", "Belge", "Allemand", "Allemande", "Espagnol", "Espagnole", "Italien", "Italienne",
+    "Christian", "Muslim", "Jewish", "Catholic", "Protestant", "Buddhist",
+]
+# What the end-to-end jobs mask; PERSON takes a statistical model or the caller's own list.
+DEFAULT_RECOGNIZERS = (
+    *PATTERN_RECOGNIZERS,
+    name_list("LOCATION", PLACES, whole=True),
+    name_list("NRP", GROUPS, whole=True),
+)
+
+
+def uncovered_types(wanted: Sequence[str], recognizers: Sequence[Recognizer]) -> list[str]:
+    """The entity types that none of the recognisers finds."""
+    return sorted(set(wanted) - {r.entity for r in recognizers})
+
 
 def resolve_overlaps(spans: list[tuple[str, int, int, float]]) -> list[tuple[str, int, int, float]]:
     """Keep non-overlapping spans, preferring higher score, then longer, then earlier."""
@@ -104,14 +130,20 @@ def resolve_overlaps(spans: list[tuple[str, int, int, float]]) -> list[tuple[str
     return sorted(kept, key=lambda s: s[1])
 
 
+def _apart(text: str, start: int, end: int) -> bool:
+    """Whether a hit neither begins nor ends inside a run of letters and digits."""
+    before = start > 0 and text[start - 1].isalnum() and text[start].isalnum()
+    return not before and not (end < len(text) and text[end].isalnum() and text[end - 1].isalnum())
+
+
 def spans_in_batch(
     texts: pd.Series,
     languages: pd.Series,
-    rules: Sequence[tuple[str, str, float, tuple[str, ...] | None, str]],
+    rules: Sequence[tuple[str, str, float, tuple[str, ...] | None, str, bool]],
     model: SpanModel | None = None,
 ) -> pd.Series:
     """The spans of every text of a batch; null for null and blank texts."""
-    compiled = [(e, re.compile(p), s, langs, needs) for e, p, s, langs, needs in rules]
+    compiled = [(e, re.compile(p), s, langs, needs, whole) for e, p, s, langs, needs, whole in rules]
     wanted = [i for i, t in enumerate(texts) if t is not None and t.strip()]
     extra: dict[int, Sequence[tuple[str, int, int, float]]] = {}
     if model and wanted:
@@ -121,9 +153,10 @@ def spans_in_batch(
     for i in wanted:
         value, language = texts.iloc[i], languages.iloc[i]
         spans = list(extra.get(i, ()))
-        for entity, pattern, score, langs, needs in compiled:
+        for entity, pattern, score, langs, needs, whole in compiled:
             if needs in value and (langs is None or language in langs):
-                spans += [(entity, m.start(), m.end(), score) for m in pattern.finditer(value)]
+                hits = [m.span() for m in pattern.finditer(value)]
+                spans += [(entity, a, b, score) for a, b in hits if not whole or _apart(value, a, b)]
         out[i] = [
             {"type": e, "start": a, "end": b, "score": s, "text": value[a:b]}
             for e, a, b, s in resolve_overlaps(spans)
@@ -142,7 +175,7 @@ def detect(
     ``model_factory`` builds a statistical recogniser once per task; without one, only texts
     that the native gate lets through reach Python.
     """
-    rules = [(r.entity, r.pattern, r.score, r.languages, r.needs) for r in recognizers]
+    rules = [(r.entity, r.pattern, r.score, r.languages, r.needs, r.whole) for r in recognizers]
     if model_factory is None:
 
         @F.pandas_udf(SPANS)
@@ -193,22 +226,17 @@ def drop_false_persons(
     )
 
 
-@F.pandas_udf(T.StringType())
-def _splice(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    out = []
-    for text, found in zip(texts, spans, strict=True):
-        if text is None or found is None:
-            out.append(text)
-            continue
-        pieces, at = [], 0
-        for span in found:
-            pieces += [text[at : span["start"]], "<", span["type"], ">"]
-            at = span["end"]
-        out.append("".join(pieces) + text[at:])
-    return pd.Series(out, dtype="object")
-
-
 def mask(text: Column, spans: Column) -> Column:
-    """Replace each span by ``<TYPE>``; texts without spans stay in the JVM."""
-    hit = F.size(spans) > 0
-    return F.coalesce(_splice(F.when(hit, text), F.when(hit, spans)), text)
+    """Replace each span by ``<TYPE>``; spans are in order and do not overlap."""
+    spliced = F.aggregate(
+        spans,
+        F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
+        lambda s, x: F.struct(
+            F.concat(
+                s["out"], F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit("<"), x["type"], F.lit(">")
+            ).alias("out"),
+            x["end"].alias("at"),
+        ),
+        lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))),
+    )
+    return F.when(F.size(spans) > 0, spliced).otherwise(text)

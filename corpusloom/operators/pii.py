@@ -16,6 +16,7 @@ from corpusloom.functions.pii import (
     drop_false_persons,
     is_false_person,
     mask,
+    uncovered_types,
 )
 
 
@@ -28,12 +29,19 @@ def anonymize(
     min_person_score: float = K.PERSON_MIN_SCORE,
     allowlist: Sequence[str] = tuple(K.PERSON_ALLOWLIST),
     keep_original: bool = False,
+    types: Sequence[str] | None = None,
 ) -> DataFrame:
     """Mask several columns in one map-only pass and add what was found as ``entities``.
 
+    ``types`` names entity types that must be covered: without a model, one that no recogniser
+    finds is refused.
+
     ``entities`` is an array over all columns, each element with its ``column``.  With
     ``keep_original`` the input columns survive as ``original_<column>``.
     """
+    lost = [] if model_factory else uncovered_types(types or (), recognizers)
+    if lost:
+        raise ValueError(f"no recogniser for the entity types {lost}")
     found = {
         c: drop_false_persons(
             detect(F.col(c), F.col(language), recognizers, model_factory),

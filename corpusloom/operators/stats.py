@@ -51,6 +51,20 @@ def split_dist(df: DataFrame, columns: Sequence[str], split: str = "split") -> D
     )
 
 
+def profile_columns(df: DataFrame, split: str = "split") -> DataFrame:
+    """``(split, column_name, type, n_rows, n_null)`` of every column of each split."""
+    others = [c for c in df.columns if c != split]
+    counts = df.groupBy(split).agg(
+        F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in others]
+    )
+    listed = [
+        F.struct(F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("type"),
+                 F.col("n_rows"), F.col(f"_null_{c}").alias("n_null"))
+        for c in others
+    ]
+    return counts.select(split, F.inline(F.array(*listed)))
+
+
 def profile_source(
     df: DataFrame, row_id: str, split: str = "split", examples: int = 2, seed: int = K.SEED
 ) -> DataFrame:

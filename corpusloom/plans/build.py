@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import constants as K
 from corpusloom.functions.labels import CLINICAL_LEXICON, Lexicon
-from corpusloom.functions.pii import PATTERN_RECOGNIZERS, Recognizer, SpanModel
+from corpusloom.functions.pii import DEFAULT_RECOGNIZERS, Recognizer, SpanModel
 from corpusloom.operators import gates, pii, stats
 from corpusloom.operators.dedup import dedup_key, dedup_pair
 from corpusloom.operators.labeling import add_answer, label_by_lexicon, label_with
@@ -47,7 +47,7 @@ def build_training_table(
     lexicon: Lexicon = CLINICAL_LEXICON,
     classify: Callable[[Column], Column] | None = None,
     target: int = K.SFT_TARGET_ROWS,
-    recognizers: Sequence[Recognizer] = PATTERN_RECOGNIZERS,
+    recognizers: Sequence[Recognizer] = DEFAULT_RECOGNIZERS,
     allowlist: Sequence[str] = tuple(K.PERSON_ALLOWLIST),
     seed: int = K.SEED,
     root: str | None = None,
@@ -97,7 +97,7 @@ def prepare_sft(
     normalizers: Mapping[str, Normalizer] = SOURCES,
     lexicon: Lexicon = CLINICAL_LEXICON,
     target: int = K.SFT_TARGET_ROWS,
-    recognizers: Sequence[Recognizer] = PATTERN_RECOGNIZERS,
+    recognizers: Sequence[Recognizer] = DEFAULT_RECOGNIZERS,
     model_factory: Callable[[], SpanModel] | None = None,
     seed: int = K.SEED,
     overwrite: bool = False,
@@ -150,7 +150,7 @@ def prepare_pairs(
     root: str,
     hard: DataFrame | None = None,
     target: int = K.PAIR_TARGET_ROWS,
-    recognizers: Sequence[Recognizer] = PATTERN_RECOGNIZERS,
+    recognizers: Sequence[Recognizer] = DEFAULT_RECOGNIZERS,
     model_factory: Callable[[], SpanModel] | None = None,
     seed: int = K.SEED,
     overwrite: bool = False,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["prepare", "select", "personal", "measure"]
+_MODULES = ["prepare", "select", "personal", "measure", "jobs"]
 
 
 def registry() -> dict[str, tuple]:

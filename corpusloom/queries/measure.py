@@ -14,7 +14,7 @@ from corpusloom.queries import select as S
 from corpusloom.queries.bindings import q
 from corpusloom.sources.catalog import TableEntry, catalog_overview as overview, register_views
 from corpusloom.sources.stages import dataset_card as card
-from corpusloom.streaming.triage import accepted, finish_responses
+from corpusloom.streaming.triage import accepted, finish_responses, triage
 
 SYSTEM = K.system_prompt()
 
@@ -334,13 +334,26 @@ def stream_triage(spark, folder):
     return finish_responses(scored, "model")
 
 
-def _triage_sql() -> str:
+def triage_scored(spark, folder):
+    """The whole triage path, with a scorer that answers with the size of its prompt."""
+
+    def factory():
+        return lambda prompts: [f"<PERSON> {len(p)}" for p in prompts]
+
+    asked = B.turns_as_qa(spark, folder).select("conv_id", "turn", F.col("Question").alias("symptoms"))
+    return triage(asked, factory, "model").drop("latency_ms", "score_error", "generated_response")
+
+
+_REPLY = f"""CASE WHEN length(answer) < 400 THEN '<PERSON> ' || answer
+              ELSE '<PERSON> ' || {B.sql_answer(f"({B.sql_level('answer')})", "answer")} END"""
+_SIZE = f"'<PERSON> ' || length({_PROMPT} || question || {_ANSWER} || {q(K.EMPTY_THINKING)})"
+
+
+def _triage_sql(made: str = _REPLY) -> str:
     labels = " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in K.LEVEL_LABELS.items())
     return f"""
 WITH {B.QA_SQL}, made AS (
-  SELECT conv_id, turn, question AS symptoms,
-         CASE WHEN length(answer) < 400 THEN '<PERSON> ' || answer
-              ELSE '<PERSON> ' || {B.sql_answer(f"({B.sql_level('answer')})", "answer")} END AS made
+  SELECT conv_id, turn, question AS symptoms, {made} AS made
   FROM qa WHERE length(question) BETWEEN 10 AND 2000),
 clean AS (SELECT conv_id, turn, symptoms,
                  {B.sql_strip(f"regexp_replace(made, {q(K.PLACEHOLDER_PATTERN)}, '', 'g')")} AS raw_response
@@ -537,7 +550,7 @@ QUERIES = {
     "eval_compare": (eval_compare, _compare_sql()),
     "eval_verdict": (eval_verdict, VERDICT_SQL),
     "paired_responses": (paired_responses, PAIRED_SQL),
-    "paired_responses_150": (paired_responses_150, PAIRED_SQL.replace("LIMIT 20", "LIMIT 150")),
+    "paired_responses_150": (paired_responses_150, PAIRED_SQL.replace("r <= 20", "r <= 150")),
     "request_outcomes": (
         request_outcomes, f"WITH {B.REQUESTS_SQL} SELECT * FROM requests",
     ),
@@ -559,6 +572,7 @@ QUERIES = {
             WHERE error IS NULL GROUP BY ALL""",
     ),
     "stream_triage": (stream_triage, _triage_sql()),
+    "triage_scored": (triage_scored, _triage_sql(_SIZE)),
     "catalog_overview": (catalog_overview, _overview_sql()),
     "sql_group_count": (
         sql_group_count, "SELECT source, count(*) AS n FROM documents GROUP BY source",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import re
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from corpusloom.operators import dedup, evaluation, gates, pairs, sampling, stat
 from corpusloom.operators.labeling import label_by_lexicon
 from corpusloom.queries import bindings as B
 from corpusloom.queries.bindings import q
+from corpusloom.session import shared_folder
+from corpusloom.sources.stages import run_stage
 
 KEY = B.sql_key(K.SEED, "id")
 PAIR_TARGET = 150
@@ -331,12 +335,13 @@ def identical_pairs(spark, folder):
 
 
 def gate_rollup(spark, folder):
-    """All gates over the split table, rolled up."""
+    """All gates over a stored split table, rolled up."""
     text = B.sft_like(spark, folder)
     levels = label_by_lexicon(text, lexicon=B.LEXICON).select(
         "id", "urgency_level", "source", "language", fingerprint(F.col("instruction")).alias("mark")
     )
-    rows = sampling.stratified_split(levels)
+    path = os.path.join(shared_folder(spark), "stages", uuid.uuid4().hex)
+    rows = run_stage(spark, path, lambda: sampling.stratified_split(levels))
     sizes = gates.split_size_gate(rows)
     shared = gates.leakage_check(rows, "mark")
     empty = gates.null_check(rows, ["urgency_level", "source", "language"])
