@@ -217,3 +217,19 @@ def test_sources_without_ids_and_failed_sources(spark, tmp_path, values):
     out = build.prepare_sft(spark, catalog, str(tmp_path / "lenient"), target=30, skip_failed=True)
     assert out["sft"].count() == 30 and out["sft"].select("id").distinct().count() == 30
     assert values(out["outcomes"], "name", "ok") == [(K.SOURCE_QA, True)]
+
+
+def test_every_request_waits_for_its_batch(spark):
+    import time
+
+    from corpusloom.operators.scoring import score_table
+
+    def factory():
+        def scorer(texts):
+            time.sleep(0.2)
+            return list(texts)
+
+        return scorer
+
+    rows = spark.range(64).selectExpr("id", "'x' AS text").coalesce(1)
+    assert min(r.latency_ms for r in score_table(rows, "text", factory).collect()) >= 200

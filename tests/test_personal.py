@@ -142,3 +142,25 @@ def test_detection_runs_once(spark):
     df = spark.createDataFrame(TEXTS, SCHEMA)
     plan = pii.entity_table(pii.anonymize(df, ["text"]))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("[find(") == 1
+
+
+def test_default_lists_match_whole_words_only(spark):
+    df = spark.createDataFrame(
+        [(1, "She moved to Paris with a French doctor, a Parisian nicety; Nice! Frenchman", "en")],
+        "id bigint, text string, language string",
+    )
+    masked = pii.anonymize(df, ["text"], recognizers=P.DEFAULT_RECOGNIZERS).first()
+    assert masked["text"] == "She moved to <LOCATION> with a <NRP> doctor, a Parisian nicety; <LOCATION>! Frenchman"
+    assert [e["text"] for e in masked["entities"]] == ["Paris", "French", "Nice"]
+
+
+def test_types_without_a_recogniser_are_refused(spark):
+    df = spark.createDataFrame([(1, "x", "en")], "id bigint, text string, language string")
+    pii.anonymize(df, ["text"], recognizers=P.DEFAULT_RECOGNIZERS, types=["LOCATION", "NRP", "EMAIL_ADDRESS"])
+    with pytest.raises(ValueError, match="PERSON"):
+        pii.anonymize(df, ["text"], recognizers=P.DEFAULT_RECOGNIZERS, types=["PERSON"])
+
+
+def test_masking_counts_code_points(spark):
+    df = spark.createDataFrame([(1, "é日😀 a@b.org 😀 c@d.org", "en")], "id bigint, text string, language string")
+    assert pii.anonymize(df, ["text"]).first()["text"] == "é日😀 <EMAIL_ADDRESS> 😀 <EMAIL_ADDRESS>"
