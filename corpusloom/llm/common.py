@@ -60,12 +60,14 @@ def sampled(rows: DataFrame, limit: int, by: str | None = None) -> DataFrame:
     ranking of a value that has most of the rows is as small as any.  ``doc_id`` and ``by`` are
     not null.
     """
-    group = F.col(by) if by else F.lit(0)
-    laid = rows.withColumn("_group", group).withColumn("_place", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
-    size = laid.groupBy("_group").agg(F.count("*").alias("_n"))
-    thin = laid.join(size, "_group").where(F.col("_place") < (1 << 40) * (4.0 * limit / F.col("_n")))
-    rank = F.row_number().over(Window.partitionBy("_group").orderBy("_place", "doc_id"))
-    return thin.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_group", "_place", "_n", "_rank")
+    laid = rows.withColumn("_place", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
+    if by is None:
+        share = 4.0 * limit / max(1, rows.count())
+        return laid.where(F.col("_place") < (1 << 40) * share).orderBy("_place", "doc_id").limit(limit).drop("_place")
+    size = rows.groupBy(by).agg(F.count("*").alias("_n"))
+    thin = laid.join(size, by).where(F.col("_place") < (1 << 40) * (4.0 * limit / F.col("_n")))
+    rank = F.row_number().over(Window.partitionBy(by).orderBy("_place", "doc_id"))
+    return thin.withColumn("_rank", rank).where(F.col("_rank") <= limit).select(*rows.columns)
 
 
 def without(docs: DataFrame, removed: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
