@@ -50,8 +50,8 @@ from corpusloom.llm.hashing import fingerprint, shingle_sets
 WIDTH = 3
 OVER, OF = 90, 100
 # Elements, and sets, per block.
-BLOCK_ELEMENTS = 200_000
-BLOCK_SETS = 512
+BLOCK_ELEMENTS = 1_000_000
+BLOCK_SETS = 2048
 
 
 def _missing(n, over: int, of: int):
@@ -81,35 +81,38 @@ def sets_of(docs: DataFrame, width: int, over: int, of: int, whole: bool) -> Dat
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(made, schema)
 
 
-def _groups(reps: DataFrame, over: int, of: int) -> DataFrame:
-    """(node, n, group) of the sets that may have links, after the three steps above."""
-    missing = F.col("n") - F.ceil(F.col("n") * over / of)
+def _groups(sets: DataFrame, reps: DataFrame, over: int, of: int) -> DataFrame:
+    """(node, rep, n, group) of the sets that may have links, after the three steps above."""
     partner = F.ceil(F.col("n") * over / of)  # size of the smallest linked set
+    missing = F.col("n") - partner
     must = partner - F.ceil(partner * over / of) + 1
-    cut = reps.where(missing > 0)
-    elements = cut.select("node", F.explode("elements").alias("element"))
-    alone = elements.groupBy("element").agg(F.count("*").alias("df"), F.min("node").alias("node")).where("df = 1")
+    # Copies have one node, so an element is alone if all its rows are of one node.
+    elements = sets.where(missing > 0).select("node", F.explode("elements").alias("element"))
+    alone = elements.groupBy("element").agg(F.min("node").alias("node"), F.max("node").alias("last")).where("node = last")
     alone = alone.groupBy("node").agg(F.count("*").alias("alone"))
-    left = cut.join(alone, "node", "left").where(F.size("elements") - F.coalesce("alone", F.lit(0)) >= must)
-    left = stored(left.select("node", "n", must.alias("must"), "elements"), "candidates")
-    elements = left.select("node", "must", F.explode("elements").alias("element"))
+    cut = F.least(F.col("n"), 2 * missing + 1)
+    left = reps.where(missing > 0).join(alone, "node", "left").where(cut - F.coalesce("alone", F.lit(0)) >= must)
+    left = stored(left.select("node", "rep", "n", must.alias("must")), "candidates")
+    picked = F.broadcast(left) if bounded(left, BROADCAST_IDS) else left
+    # One row of each class brings its elements; repeated rows only lengthen its list.
+    rows = sets.select("node", "doc_id", "elements").join(picked, "node").where("doc_id = rep")
+    elements = rows.select("node", "must", F.explode("elements").alias("element"))
     common = elements.groupBy("element").agg(F.count("*").alias("df")).where("df > 1")
     mine = Window.partitionBy("node")
     ranked = elements.join(common, "element").select(
         "node", "must", "element",
         F.row_number().over(mine.orderBy("df", "element")).alias("place"), F.count("*").over(mine).alias("shared"),
     )
-    kept = ranked.where("place <= shared - must + 1").select("node", "element")
-    kept = stored(kept, "elements")
+    kept = stored(ranked.where("place <= shared - must + 1").select("node", "element"), "elements")
     least = kept.groupBy("element").agg(F.min("node").alias("b"), F.count("*").alias("df")).where("df > 1")
     found = components(kept.join(least, "element").select(F.col("node").alias("a"), "b"))
-    return found.join(left.select("node", "n"), "node").withColumnRenamed("component", "group")
+    return found.join(left.select("node", "rep", "n"), "node").withColumnRenamed("component", "group")
 
 
 class Trie:
     """Sets as ascending ranks, in nodes that hold runs of ranks.
 
-    Nodes are kept in the order of a walk from the root, so a node's children follow it.
+    A node's children have higher numbers than the node.
     """
 
     def __init__(self, sets: list[np.ndarray], sizes: np.ndarray):
@@ -125,37 +128,32 @@ class Trie:
         self.runs: list[np.ndarray] = []
         self.children: list[list[int]] = []
         self.ending: list[list[int]] = []
-        self.spans: list[tuple[int, int]] = []
         self.least: list[int] = []
         self.rest: list[int] = []
         self.latest: list[int] = []
-        self.starts = self._level(0, len(sets), 0) if sets else []
-
-    def _level(self, low: int, high: int, depth: int) -> list[int]:
-        """Nodes for the sorted sets ``low`` to ``high``, which agree on their first ``depth`` ranks."""
-        cuts = [low, *[at for at in range(low + 1, high) if self.shared[at] <= depth], high]
-        made = []
-        waiting = list(zip(cuts[:-1], cuts[1:]))
-        for first, last in waiting:
-            made.append(self._node(first, last, depth))
-        return made
-
-    def _node(self, low: int, high: int, depth: int) -> int:
+        self.starts: list[int] = []
+        waiting = [(0, len(sets), 0, self.starts)]
+        while waiting:  # sorted sets from low to high agree on their first depth ranks
+            low, high, depth, into = waiting.pop()
+            cuts = [low, *[at for at in range(low + 1, high) if self.shared[at] <= depth], high]
+            for first, last in zip(cuts[:-1], cuts[1:]):
+                if first < last:
+                    inner, end = self._node(first, last, depth)
+                    into.append(len(self.runs) - 1)
+                    if inner < last:
+                        waiting.append((inner, last, end, self.children[-1]))
+
+    def _node(self, low: int, high: int, depth: int) -> tuple[int, int]:
+        """A node for sets that agree beyond ``depth``: the first that goes on below it, and its end."""
         chosen = [self.order[at] for at in range(low, high)]
-        end = min(self.shared[low + 1 : high], default=len(self.sets[chosen[0]]))
-        end = min(end, len(self.sets[chosen[0]]))
-        at = len(self.runs)
+        end = min([len(self.sets[chosen[0]]), *self.shared[low + 1 : high]])
         self.runs.append(self.sets[chosen[0]][depth:end])
         self.ending.append([one for one in chosen if len(self.sets[one]) == end])
-        self.spans.append((low, high))
         self.least.append(int(min(self.sizes[one] for one in chosen)))
         self.rest.append(max(len(self.sets[one]) for one in chosen) - end)
         self.latest.append(max(chosen))
         self.children.append([])
-        inner = low + len(self.ending[at])
-        if inner < high:
-            self.children[at] = self._level(inner, high, end)
-        return at
+        return low + len(self.ending[-1]), end
 
 
 def linked_sets(sets: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, cross: bool, heads: list[int],
@@ -263,7 +261,10 @@ def _joined_blocks(members: DataFrame, pairs: DataFrame, sets: DataFrame, over:
         ["group", "class", "part"],
     ).select("node", "head", "group", "low_class", "low_part",
              F.col("class").alias("high_class"), F.col("part").alias("high_part"), F.lit(1).alias("side"))
-    rows = low.unionByName(high).join(sets, "node")
+    rows = low.unionByName(high)
+    if bounded(rows, 2 * BROADCAST_IDS):
+        rows = F.broadcast(rows)
+    rows = sets.join(rows, "node")
     rows = rows.repartition(join_parallelism(rows.sparkSession), *_PAIR).sortWithinPartitions(*_PAIR, "node")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,12 +325,12 @@ def jaccard_classes(docs: DataFrame, width: int = WIDTH, over: int = OVER, of: i
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = stored(sets_of(docs, width, over, of, False), "sets")
     usable = sets.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    reps = usable.groupBy("lo", "hi", "n").agg(F.min("doc_id").alias("rep"), F.first("elements").alias("elements"))
-    reps = stored(reps.withColumn("node", F.xxhash64("lo", "hi", "n")), "classes")
-    found = _groups(reps.select("node", "n", "elements"), over, of)
+    usable = usable.withColumn("node", F.xxhash64("lo", "hi", "n"))
+    reps = usable.groupBy("lo", "hi", "n", "node").agg(F.min("doc_id").alias("rep"))
+    reps = stored(reps.select("node", "n", "rep"), "classes")
+    found = _groups(usable, reps, over, of)
     step = math.log(of / over) + 1e-6
-    members = found.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / step).cast("int"))
-    members = stored(members.join(reps.select("node", "rep"), "node"), "members")
+    members = stored(found.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / step).cast("int")), "members")
     whole = stored(_whole_sets(docs, members, width, over, of), "whole")
     first, blocks = _in_blocks(members.withColumn("head", F.col("node")).withColumn("known", F.lit(False)),
                                block_elements, block_sets)
@@ -337,8 +338,10 @@ def jaccard_classes(docs: DataFrame, width: int = WIDTH, over: int = OVER, of: i
     pairs = _pairs_of(blocks)
     like = "(low_class = high_class AND low_part = high_part) OR (low_class != high_class AND low_part = high_part)"
     links = stored(_joined_blocks(first, pairs.where(like), whole, over, of), "links")
-    if blocks.where("part > 0").limit(1).count():
-        links = links.unionByName(stored(_rest(members, links, whole, over, of, block_elements, block_sets), "links"))
+    wide = blocks.where("part > 0").select("group").distinct()
+    if wide.limit(1).count():
+        more = _rest(members.join(wide, "group", "left_semi"), links, whole, over, of, block_elements, block_sets)
+        links = links.unionByName(stored(more, "links"))
     joined = components(links)
     named = joined.join(reps.select("node", "rep"), "node")
     names = named.groupBy("component").agg(F.min("rep").alias("component_id"))
@@ -377,17 +380,22 @@ def _whole_sets(docs: DataFrame, members: DataFrame, width: int, over: int, of:
         ids = F.broadcast(ids)
     made = sets_of(docs.join(ids, "doc_id", "left_semi"), width, over, of, True)
     made = made.select(F.xxhash64("lo", "hi", "n").alias("node"), "n", "elements")
-    return made.join(members.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    nodes = members.select("node")
+    return made.join(F.broadcast(nodes) if bounded(nodes, BROADCAST_IDS) else nodes, "node", "left_semi")
 
 
 def _rest(members: DataFrame, links: DataFrame, whole: DataFrame, over: int, of: int,
           block_elements: int, block_sets: int) -> DataFrame:
-    """Links of all pairs of blocks, after the first links have made most of each group one component.
+    """Links of the other pairs of blocks of the groups that have many.
+
+    The first links have made most of such a group one component.
 
     The largest component of a group and size class has blocks of its own, which need not meet each
     other; all other blocks meet all.
     """
-    heads = components(links).select("node", F.col("component").alias("head"))
+    members = stored(members, "wide")
+    mine = links.join(members.select(F.col("node").alias("a")), "a", "left_semi")
+    heads = components(mine).select("node", F.col("component").alias("head"))
     members = members.join(heads, "node", "left").withColumn("head", F.coalesce("head", "node"))
     sizes = members.groupBy("group", "class", "head").agg(F.count("*").alias("size"))
     main = sizes.groupBy("group", "class").agg(F.max_by("head", F.struct("size", "head")).alias("main"))
