@@ -34,7 +34,9 @@ BITS = 20
 ORDERS = (2, 3, 4, 5, 6)
 MAX_FEATURES = 5_000
 MIN_TEXTS = 5
-REMEMBERED = 200_000
+REMEMBERED = 1_000_000
+
+NONE = np.zeros(0, np.int32)
 
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -42,8 +44,11 @@ _WORDS = re.compile(r"[^\W\d_]+")
 def columns_of(word: str) -> list[int]:
     """The columns of a lower-cased word."""
     whole = f"_{word}_"
-    mask = (1 << BITS) - 1
-    return [zlib.crc32(whole[at : at + n].encode()) & mask for n in ORDERS for at in range(len(whole) - n + 1)]
+    mask, crc = (1 << BITS) - 1, zlib.crc32
+    if whole.isascii():  # a byte is a character
+        line = whole.encode()
+        return [crc(line[at : at + n]) & mask for n in ORDERS for at in range(len(line) - n + 1)]
+    return [crc(whole[at : at + n].encode()) & mask for n in ORDERS for at in range(len(whole) - n + 1)]
 
 
 def rates(counts: np.ndarray, words: int) -> np.ndarray:
@@ -68,8 +73,9 @@ class Model:
         for word, times in words.items():
             columns = self.known.get(word)
             if columns is None:
-                inside = {self.number[c] for c in columns_of(word) if c in self.number}
-                columns = self.known[word] = np.array(sorted(inside), np.int32)
+                inside = self.number.keys() & columns_of(word)
+                columns = NONE if not inside else np.array(sorted([self.number[c] for c in inside]), np.int32)
+                self.known[word] = columns
             total += times
             if len(columns):
                 at.append(columns)
@@ -100,7 +106,7 @@ def fit(rows: Iterable[tuple[str, int]]) -> Model:
     known: dict[str, np.ndarray] = {}
     for text, label in rows:
         words = Counter(_WORDS.findall(text.lower()))
-        if len(known) > REMEMBERED // 4:
+        if len(known) > REMEMBERED // 20:
             known.clear()
         for word in words:
             if word not in known:
