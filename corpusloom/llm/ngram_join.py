@@ -86,12 +86,14 @@ def _groups(sets: DataFrame, reps: DataFrame, over: int, of: int) -> DataFrame:
     partner = F.ceil(F.col("n") * over / of)  # size of the smallest linked set
     missing = F.col("n") - partner
     must = partner - F.ceil(partner * over / of) + 1
+    # A short set may miss nothing of a partner's and still lie within a larger one.
+    linkable = (missing > 0) | (F.floor(F.col("n") * of / over) > F.col("n"))
     # Copies have one node, so an element is alone if all its rows are of one node.
-    elements = sets.where(missing > 0).select("node", F.explode("elements").alias("element"))
+    elements = sets.where(linkable).select("node", F.explode("elements").alias("element"))
     alone = elements.groupBy("element").agg(F.min("node").alias("node"), F.max("node").alias("last")).where("node = last")
     alone = alone.groupBy("node").agg(F.count("*").alias("alone"))
     cut = F.least(F.col("n"), 2 * missing + 1)
-    left = reps.where(missing > 0).join(alone, "node", "left").where(cut - F.coalesce("alone", F.lit(0)) >= must)
+    left = reps.where(linkable).join(alone, "node", "left").where(cut - F.coalesce("alone", F.lit(0)) >= must)
     left = stored(left.select("node", "rep", "n", must.alias("must")), "candidates")
     picked = F.broadcast(left) if bounded(left, BROADCAST_IDS) else left
     # One row of each class brings its elements; repeated rows only lengthen its list.

@@ -236,6 +236,20 @@ def test_jaccard_against_plain(docs):
     assert ngram_join.jaccard_classes(docs([])).count() == 0
 
 
+def test_jaccard_of_short_texts(docs):
+    random.seed(12)
+    pairs = [(1, " ".join(f"w{k}" for k in range(11))), (2, " ".join(f"w{k}" for k in range(12)))]  # 9 and 10 shingles
+    for family in range(40):
+        base = [f"v{family}x{k}" for k in range(random.randint(4, 24))]
+        for _ in range(4):
+            first = random.choice([0, 0, 1])
+            pairs.append((100 + len(pairs), " ".join(base[first : len(base) - random.choice([0, 1, 2])])))
+    for over in (90, 80, 75):
+        got = ngram_join.jaccard_classes(docs(pairs).withColumnRenamed("n_chars", "n_shingles"), over=over)
+        assert rows_of(got, "doc_id", "n_shingles", "component_id") == plain_classes(pairs, over)
+    assert rows_of(ngram_join.one_per_class(docs(pairs[:2])), "doc_id") == [(1,)]
+
+
 def test_one_per_class(docs):
     text = " ".join(f"w{k}" for k in range(100))
     table = docs([(3, text), (1, text), (2, text + " more"), (9, "other words here"), (9, "other words here"),
