@@ -4,13 +4,15 @@ A page is cut into tokens: the elements with their path from the root, and the t
 path and wording.  Per host, each token has an occurrence vector, its count in every page; two
 128-bit sums over (page, count) stand for it, so vectors are compared without ever being gathered,
 whatever the size of a host.  Tokens of one vector form an equivalence class.  Valid classes are
-those found in at least half of the host's pages; they nest by the paths of their elements and make
-up the template.  What is not template is a slot.
+those found in at least half of the host's pages.  A text block of a valid class is template text if
+an element around it is of the same class, so that neither comes without the other; where blocks of
+its path also hold text that varies, only if it comes before the first or after the last varying
+block of the page's content.  A page of which nothing varies keeps its text.  The order of the
+tokens within a class is not compared.
 
-The content slots are those below the template's ``article`` or ``main`` elements, else below the
-elements with the most text that is not linked; slots inside menus, headers, footers, sidebars,
-notices, adverts, forms and comments do not count, by element or by class and id.  Text blocks that
-are on every page of a host belong to the template, unless they are all that a page has.
+The content is what lies below the template's ``article`` or ``main`` elements, else below the
+elements with the most text that is not linked; menus, headers, footers, sidebars, notices, adverts,
+forms and comments in there do not count, by element or by class and id.
 
 Character references are decoded, white space within a block becomes one space (a line break
 element is white space), blocks are joined by a line break in page order.
@@ -180,8 +182,11 @@ def containers_of(elements: dict[str, tuple[int, int]]) -> list[str]:
     return [max(rich, key=lambda p: (p.count("/"), p))] if rich else []
 
 
-def main_text(page: str | None, containers: list[str], constants: frozenset) -> str:
-    """The content of one page under the template of its host."""
+def main_text(page: str | None, containers: list[str], constants: frozenset, edges: frozenset = frozenset()) -> str:
+    """The content of one page under the template of its host.
+
+    ``constants`` are template text; ``edges`` are too, but for those inside the slot of the varying text.
+    """
     if not page:
         return ""
     blocks, elements = blocks_of(page)
@@ -192,8 +197,14 @@ def main_text(page: str | None, containers: list[str], constants: frozenset) ->
             chars = own.get(path, (0, 0))
             own[path] = (chars[0] + len(text), chars[1] + linked)
         inside = _inside(blocks, containers_of(own))
-    kept = [text for path, text in inside if token_mark(path, text) not in constants] if constants else []
-    return "\n".join(kept or [text for _, text in inside])
+    marks = [token_mark(path, text) for path, text in inside] if constants or edges else []
+    varying = [at for at, mark in enumerate(marks) if mark not in constants and mark not in edges]
+    if not varying:
+        return "\n".join(text for _, text in inside)
+    # Of the slot's own kind of block, shared text between the first and the last varying block is content.
+    kept = [inside[at][1] for at, mark in enumerate(marks)
+            if mark not in constants and (mark not in edges or varying[0] < at < varying[-1])]
+    return "\n".join(kept)
 
 
 def _inside(blocks: list[tuple[str, str, int]], containers: list[str]) -> list[tuple[str, str]]:
@@ -252,45 +263,62 @@ def token_sums(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, elements, constants): the valid classes of each host.
+    """(host, elements, texts): the tokens of the valid classes of each host, with their vectors.
 
-    ``elements`` are the template's element paths with their text, ``constants`` the text tokens of
-    the class that the page itself belongs to, that is, with its occurrence vector.
+    ``elements`` are element paths with the characters of their text, ``texts`` are text tokens;
+    ``slot`` says that blocks of the same path hold text that varies.
     """
     tokens = stored(token_sums(pages), "tokens")
-    whole = tokens.where("path = '' AND mark = 0").select(
-        "host", F.col("pages").alias("n"), F.col("low").alias("n_low"), F.col("high").alias("n_high"))
-    # A class: tokens of one host with the same vector.  Text tokens need company: a class of several.
-    valid = tokens.where("path != ''").join(whole, "host").where(2 * F.col("pages") >= F.col("n"))
-    constant = (F.col("mark") != 0) & (F.col("pages") == F.col("n")) & (F.col("low") == F.col("n_low")) \
-        & (F.col("high") == F.col("n_high")) & (F.col("n") >= CONSTANT_PAGES)
+    whole = tokens.where("path = '' AND mark = 0").select("host", F.col("pages").alias("n"))
+    rows = tokens.where("path != ''").join(whole, "host")
+    common = 2 * F.col("pages") >= F.col("n")
+    shared = (F.col("mark") != 0) & common & (F.col("n") >= CONSTANT_PAGES)
+    varying = rows.where((F.col("mark") != 0) & ~shared).select("host", "path").distinct().withColumn("slot", F.lit(True))
+    valid = rows.where(common).join(varying, ["host", "path"], "left")
     return valid.groupBy("host").agg(
         F.collect_list(F.when(F.col("mark") == 0, F.struct("path", "chars", "linked", "low", "high"))).alias("elements"),
-        F.collect_list(F.when(constant, F.col("mark"))).alias("constants"),
+        F.collect_list(F.when(shared, F.struct("path", "mark", "low", "high", F.coalesce("slot", F.lit(False)).alias("slot")))
+                       ).alias("texts"),
     )
 
 
+def template_text(elements: dict[str, tuple[int, int]], texts: list[dict]) -> tuple[list[int], list[int]]:
+    """Of the ``texts`` those that are template text, and those that are outside a slot of their path only.
+
+    A text token is template text if an element around it is of its class, that is, has its
+    occurrence vector: then the element never comes without the text, nor the text without it.
+    ``elements`` has the vector of each element path.
+    """
+    constants, edges = [], []
+    for one in texts:
+        pieces = one["path"].split("/")
+        around = ("/".join(pieces[:depth]) for depth in range(1, len(pieces) + 1))
+        if any(elements.get(path) == (one["low"], one["high"]) for path in around):
+            (edges if one["slot"] else constants).append(one["mark"])
+    return constants, edges
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
     found = stored(templates(pages), "templates")
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slots = []
-            for elements in batch.column("elements").to_pylist():
-                classes = defaultdict(list)
-                for one in elements:
-                    classes[one["low"], one["high"]].append(one)
-                # Classes nest by path: one whose elements all lie in the slots of another is inside it,
-                # so the union of the valid classes is the template tree.
-                tree = {one["path"]: (one["chars"], one["linked"]) for members in classes.values() for one in members}
-                slots.append(containers_of(tree))
+            slots, constants, edges = [], [], []
+            for elements, texts in zip(batch.column("elements").to_pylist(), batch.column("texts").to_pylist()):
+                slots.append(containers_of({one["path"]: (one["chars"], one["linked"]) for one in elements}))
+                vectors = {one["path"]: (one["low"], one["high"]) for one in elements}
+                always, outside = template_text(vectors, texts)
+                constants.append(always)
+                edges.append(outside)
+            marks = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("host"), pa.array(slots, pa.list_(pa.string())), batch.column("constants")],
-                names=["_host", "containers", "constants"],
+                [batch.column("host"), pa.array(slots, pa.list_(pa.string())), pa.array(constants, marks), pa.array(edges, marks)],
+                names=["_host", "containers", "constants", "edges"],
             )
 
-    slots = stored(found.mapInArrow(chosen, "_host string, containers array<string>, constants array<long>"), "slots")
+    slots = stored(found.mapInArrow(
+        chosen, "_host string, containers array<string>, constants array<long>, edges array<long>"), "slots")
     rows = with_host(pages.select(F.col("page_id"), "url", "html"))
     if bounded(slots, BROADCAST_HOSTS):
         joined = rows.join(F.broadcast(slots), rows["host"] == slots["_host"], "left")
@@ -303,8 +331,9 @@ def extract(pages: DataFrame) -> DataFrame:
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                main_text(page.as_py(), containers.as_py() or [], frozenset(constants.as_py() or ()))
-                for page, containers, constants in zip(*(batch.column(c) for c in ("html", "containers", "constants")))
+                main_text(page.as_py(), containers.as_py() or [], frozenset(constants.as_py() or ()), frozenset(edges.as_py() or ()))
+                for page, containers, constants, edges in zip(
+                    *(batch.column(c) for c in ("html", "containers", "constants", "edges")))
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
@@ -313,5 +342,5 @@ def extract(pages: DataFrame) -> DataFrame:
             )
 
     schema = "page_id long, url string, text string, n_chars long"
-    picked = joined.select(F.col("page_id").cast("long"), "url", "html", "containers", "constants")
+    picked = joined.select(F.col("page_id").cast("long"), "url", "html", "containers", "constants", "edges")
     return picked.mapInArrow(extracted, schema)

@@ -58,6 +58,19 @@ def test_templates_drop_constant_blocks(spark):
     assert pages.extract(table.limit(0)).count() == 0
 
 
+def test_template_text_by_classes(spark):
+    def page(k):
+        notice = "<div class=x><p>We moved to a new address.</p></div>" if k % 4 else ""
+        twice = "<div class=y><p>Read on below.</p></div>"
+        return (f"<html><body><article><h1>Head {k}</h1>{notice}{twice}<p>Text {k} here.</p><p>Shared sentence.</p>{twice}"
+                f"<p>End {k}.</p></article></body></html>")
+
+    table = spark.createDataFrame([(k, "http://h/p", page(k)) for k in range(12)], "page_id long, url string, html string")
+    for row in pages.extract(table).collect():
+        k = row["page_id"]
+        assert row["text"] == f"Head {k}\nText {k} here.\nShared sentence.\nEnd {k}."
+
+
 def test_articles_of_the_test_pages(spark, medium):
     table = spark.read.parquet(f"{medium}/pages.parquet")
     found = pages.extract(table).join(table.select("page_id", "html"), "page_id").collect()
