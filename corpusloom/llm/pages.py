@@ -4,7 +4,7 @@ A page is cut into tokens: the elements with their path from the root, and the t
 path and wording.  Per host, each token has an occurrence vector, its count in every page; two
 128-bit sums over (page, count) stand for it, so vectors are compared without ever being gathered,
 whatever the size of a host.  Tokens of one vector form an equivalence class.  Valid classes are
-those found in at least half of the host's pages.  A text block of a valid class is template text if
+those found in at least half of the host's pages, for texts in two of them at least.  A text block of a valid class is template text if
 an element around it is of the same class, so that neither comes without the other; where blocks of
 its path also hold text that varies, only if it comes before the first or after the last varying
 block of the page's content.  A page of which nothing varies keeps its text.  The order of the
@@ -39,8 +39,6 @@ from corpusloom.llm.common import bounded, stored
 # Template tables of up to so many hosts are broadcast; more are joined by host and a salt.
 BROADCAST_HOSTS = 50_000
 SALTS = 32
-# Constant text is told from content only where a host has so many pages.
-CONSTANT_PAGES = 10
 
 # Elements that do not end a block.
 INLINE = frozenset(
@@ -272,7 +270,7 @@ def templates(pages: DataFrame) -> DataFrame:
     whole = tokens.where("path = '' AND mark = 0").select("host", F.col("pages").alias("n"))
     rows = tokens.where("path != ''").join(whole, "host")
     common = 2 * F.col("pages") >= F.col("n")
-    shared = (F.col("mark") != 0) & common & (F.col("n") >= CONSTANT_PAGES)
+    shared = (F.col("mark") != 0) & common & (F.col("pages") > 1)
     varying = rows.where((F.col("mark") != 0) & ~shared).select("host", "path").distinct().withColumn("slot", F.lit(True))
     valid = rows.where(common).join(varying, ["host", "path"], "left")
     return valid.groupBy("host").agg(

@@ -71,6 +71,15 @@ def test_template_text_by_classes(spark):
         assert row["text"] == f"Head {k}\nText {k} here.\nShared sentence.\nEnd {k}."
 
 
+def test_template_text_of_two_pages(spark):
+    page = "<html><body><main><h1>{0}</h1><p>A {0}.</p><p>Both say so.</p><p>B {0}.</p><div><p>Share this</p></div></main></body></html>"
+    for n in (2, 3, 12):
+        table = spark.createDataFrame([(k, "http://h/p", page.format(k)) for k in range(n)], "page_id long, url string, html string")
+        for row in pages.extract(table).collect():
+            k = row["page_id"]
+            assert row["text"] == f"{k}\nA {k}.\nBoth say so.\nB {k}."
+
+
 def test_articles_of_the_test_pages(spark, medium):
     table = spark.read.parquet(f"{medium}/pages.parquet")
     found = pages.extract(table).join(table.select("page_id", "html"), "page_id").collect()
