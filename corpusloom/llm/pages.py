@@ -12,7 +12,10 @@ tokens within a class is not compared.
 
 The content is what lies below the template's ``article`` or ``main`` elements, else below the
 elements with the most text that is not linked; menus, headers, footers, sidebars, notices, adverts,
-forms and comments in there do not count, by element or by class and id.
+forms and comments in there do not count, by element or by class and id, except for the header of a
+content element.  A compound name counts only if all of it says so (``site-header``, not
+``has-sidebar``).  A form, or a name, does not rule out what holds the only content elements or most
+of the unlinked text.
 
 Character references are decoded, white space within a block becomes one space (a line break
 element is white space), blocks are joined by a line break in page order.
@@ -56,6 +59,11 @@ HINTS = frozenset(
     "newsletter notice pagination popup promo promotion related search share sharing sidebar social sponsor sponsored "
     "subscribe toolbar topbar widget".split()
 )
+# Pieces of compound names that say where something is, not what.
+PLACES = frozenset(
+    "area bar block bottom box bottombar container fixed global inner left list main outer primary right row secondary "
+    "section site sticky top wrap wrapper".split()
+)
 CONTENT = frozenset(["article", "main"])
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu "
@@ -144,40 +152,87 @@ def blocks_of(page: str) -> tuple[list[tuple[str, str, int]], Counter]:
 
 def _parts(element: str) -> tuple[str, set[str]]:
     tag, *hints = element.split(".")
-    return tag, {piece for hint in hints for piece in [hint, *re.split(r"[-_]", hint)]}
+    return tag, set(hints)
+
+
+def _hinted(name: str) -> bool:
+    """Whether a class, id or role says boilerplate: itself, or every piece of it but for places."""
+    if name in HINTS:
+        return True
+    pieces = set(re.split(r"[-_]+", name)) - {""}
+    return bool(pieces & HINTS) and pieces <= HINTS | PLACES
+
+
+def is_content(element: str) -> bool:
+    tag, hints = _parts(element)
+    return tag in CONTENT or "main" in hints
 
 
 def is_boilerplate(path: str) -> bool:
     """Whether the path leads through an element that never holds content."""
-    for element in path.split("/"):
-        tag, hints = _parts(element)
-        if tag in BOILERPLATE or (tag not in ("html", "body", "article", "main") and hints & HINTS):
-            return True
-    return False
+    return any(_ruled_out(element, False) for element in path.split("/"))
+
+
+def _ruled_out(element: str, inside: bool) -> bool:
+    """Whether an element holds no content; ``inside`` a content element, a header is its title."""
+    tag, hints = _parts(element)
+    if inside:
+        hints = hints - {"header"}
+    if tag in BOILERPLATE:
+        return not (inside and tag == "header")
+    return tag not in ("html", "body", "article", "main") and any(map(_hinted, hints))
+
+
+def _openable(element: str) -> bool:
+    """Whether an element is ruled out by its names or as a form only, so that its content may say otherwise."""
+    return _parts(element)[0] == "form" or _parts(element)[0] not in BOILERPLATE and _ruled_out(element, False)
+
+
+def _closed(path: str) -> bool:
+    """Whether the path is boilerplate even if forms and names count for nothing."""
+    return any(_ruled_out(element, False) and not _openable(element) for element in path.split("/"))
+
+
+def _prefixes(path: str) -> list[str]:
+    pieces = path.split("/")
+    return ["/".join(pieces[:depth]) for depth in range(1, len(pieces) + 1)]
 
 
 def containers_of(elements: dict[str, tuple[int, int]]) -> list[str]:
     """The content elements among template paths with their (characters, linked characters).
 
-    Outermost ``article`` or ``main`` elements; where there is none, the deepest element that holds
-    most of the unlinked text outside boilerplate.
+    Outermost ``article`` or ``main`` elements outside boilerplate, else those in forms and elements
+    that only their names rule out; where there is none, the deepest element that holds most of the
+    unlinked text outside boilerplate, and forms and named elements that hold most of the page's.
     """
     open_paths = [path for path in elements if not is_boilerplate(path)]
-    named = [path for path in open_paths if _parts(path.rsplit("/", 1)[-1])[0] in CONTENT
-             or "main" in _parts(path.rsplit("/", 1)[-1])[1]]
-    articles = [path for path in named if _parts(path.rsplit("/", 1)[-1])[0] == "article"]
-    named = articles or named
-    if named:
-        return sorted(p for p in named if not any(p != q and p.startswith(q + "/") for q in named))
+    passable = [path for path in elements if not _closed(path)]
+    for paths in (open_paths, passable):
+        named = [path for path in paths if is_content(path.rsplit("/", 1)[-1])]
+        articles = [path for path in named if _parts(path.rsplit("/", 1)[-1])[0] == "article"]
+        named = articles or named
+        if named:
+            return sorted(p for p in named if not any(p != q and p.startswith(q + "/") for q in named))
+    whole: dict[str, int] = defaultdict(int)
+    for path in passable:
+        for above in _prefixes(path):
+            whole[above] += max(0, elements[path][0] - 2 * elements[path][1])
+    total = max(whole.values(), default=0)
+    # A path counts if every element that rules it out holds most of the text.
     plain: dict[str, int] = defaultdict(int)
-    for path in open_paths:
-        chars, linked = elements[path]
-        pieces = path.split("/")
-        for depth in range(1, len(pieces) + 1):
-            plain["/".join(pieces[:depth])] += max(0, chars - 2 * linked)
+    opened: set[str] = set()
+    for path in passable:
+        out = [above for above in _prefixes(path) if _ruled_out(above.rsplit("/", 1)[-1], False)]
+        if all(2 * whole[above] > total for above in out):
+            opened.update(out)
+            for above in _prefixes(path):
+                plain[above] += max(0, elements[path][0] - 2 * elements[path][1])
     most = max(plain.values(), default=0)
     rich = [path for path, chars in plain.items() if chars >= 0.9 * most and chars]
-    return [max(rich, key=lambda p: (p.count("/"), p))] if rich else []
+    if not rich:
+        return []
+    best = max(rich, key=lambda p: (p.count("/"), p))
+    return [best, *sorted(path for path in opened if path.startswith(best + "/"))]
 
 
 def main_text(page: str | None, containers: list[str], constants: frozenset, edges: frozenset = frozenset()) -> str:
@@ -206,8 +261,22 @@ def main_text(page: str | None, containers: list[str], constants: frozenset, edg
 
 
 def _inside(blocks: list[tuple[str, str, int]], containers: list[str]) -> list[tuple[str, str]]:
-    return [(path, text) for path, text, _ in blocks
-            if any(path == c or path.startswith(c + "/") for c in containers) and not is_boilerplate(path)]
+    """Blocks of the containers, without boilerplate below them."""
+    heads = {c: is_content(c.rsplit("/", 1)[-1]) for c in containers}
+
+    def held(path: str) -> bool:
+        for c, content in heads.items():
+            if path == c:
+                return True
+            if path.startswith(c + "/"):
+                below = path[len(c) + 1 :].split("/")
+                content_from = 0 if content else next((at for at, e in enumerate(below) if is_content(e)), len(below))
+                if not any(_ruled_out(e, at >= content_from) for at, e in enumerate(below)):
+                    return True
+        return False
+
+    known = {path: held(path) for path in {path for path, _, _ in blocks}} if containers else {}
+    return [(path, text) for path, text, _ in blocks if known.get(path)]
 
 
 def token_mark(path: str, text: str) -> int:

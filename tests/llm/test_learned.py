@@ -80,6 +80,20 @@ def test_template_text_of_two_pages(spark):
             assert row["text"] == f"{k}\nA {k}.\nBoth say so.\nB {k}."
 
 
+@pytest.mark.parametrize("around", ["div class='has-sidebar'", "div id='no-sidebar'", "form id='aspnetForm'", "div class='widget'"])
+def test_names_and_forms_around_articles(spark, around):
+    page = ("<html><body><div class='site-header'><p>Site</p></div><{around}>{open}<header><h1>Title {k}</h1></header>"
+            "<div class='post-header'><p>By {k}</p></div><p>Long enough text number {k}, said in more words.</p>"
+            "<div class='search-results'><p>Found {k}</p></div>{close}</{tag}><div class='main-nav'><p>Menu</p></div></body></html>")
+    tag = around.split()[0]
+    want = "By {k}\nLong enough text number {k}, said in more words.\nFound {k}"
+    for opened, closed, head in (("<article>", "</article>", "Title {k}\n"), ("<div>", "</div>", "")):
+        rows = [(k, "http://h/p" if k else "http://one/p", page.format(around=around, tag=tag, open=opened, close=closed, k=k))
+                for k in range(4)]
+        for row in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+            assert row["text"] == (head + want).format(k=row["page_id"])
+
+
 def test_articles_of_the_test_pages(spark, medium):
     table = spark.read.parquet(f"{medium}/pages.parquet")
     found = pages.extract(table).join(table.select("page_id", "html"), "page_id").collect()
