@@ -1,24 +1,34 @@
 """Operator 7: licence scans by the Dice coefficient of word bigrams.
 
-A text is lower-cased and cut into lines, a line into words; a run of lines is compared with each
-licence template by ``2 |A ∩ B| / (|A| + |B|)`` over their sets of word bigrams.  Two sizes can
-only reach a coefficient ``t`` if ``t / (2 - t) <= |A| / |B| <= (2 - t) / t``, so templates that are
-too long or too short for a run are never compared with it.  A run that begins or ends with a line
-sharing no bigram with the template is never better than the run without that line, so only lines
-that share one begin or end a run.  A run of one word counts the word as its bigram.
-
-Of overlapping runs the best counts, then the shortest, the earliest, the first template.  A null
-or empty text matches nothing.  Repeated rows give repeated results.  An empty table gives an empty
-result.  Other columns pass through ``scan``.
+A text is lower-cased and cut into words; every window of its words, whatever its line breaks, counts
+against each licence template by ``2 |A ∩ B| / (|A| + |B|)`` over their sets of word bigrams.  Only
+these windows need a look, and all others are no better:
+
+* of templates of which the text has ``t / (2 - t)`` of the bigrams; no other reaches the coefficient ``t``;
+* those that begin and end with a bigram of the template;
+* those whose first bigram does not come again, since the window without it has the same bigrams.
+
+A template of one word is met by that word.  Of overlapping windows the one counts that explains most:
+with the most shared bigrams less those that only one side has, so that a licence that holds all of
+another's text (BSD-3-Clause) is not taken for it; then the shortest, the earliest, the first template.
+``Scanner.matches`` has runs of whole lines, by coefficient first.
+
+Templates are the notices below and the full texts beside this module (``full_texts``); callers may
+pass any list of (name, text) instead.  A null or empty text matches nothing.  Repeated rows give
+repeated results.  An empty table gives an empty result.  Other columns pass through ``scan``.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
-from collections import defaultdict
+from bisect import bisect_right, insort
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,6 +73,32 @@ TEMPLATES = [
         binary, for any purpose, commercial or non-commercial, and by any means."""),
 ]
 
+#: Notices that are looked for besides ``TEMPLATES``.
+_GNU = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} General
+    Public License as published by the Free Software Foundation, either version {1} of the License, or (at your option)
+    any later version."""
+_BSD = TEMPLATES[[name for name, _ in TEMPLATES].index("BSD-2-Clause")][1]
+MORE = [
+    ("BSD-3-Clause", _BSD + """ Neither the name of the copyright holder nor the names of its contributors may be used to
+        endorse or promote products derived from this software without specific prior written permission."""),
+    ("AGPL-3.0", _GNU.format("Affero", 3)), ("LGPL-3.0", _GNU.format("Lesser", 3)), ("LGPL-2.1", _GNU.format("Lesser", 2.1)),
+    ("GPL-2.0", _GNU.format("", 2)),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("EPL-2.0", """This program and the accompanying materials are made available under the terms of the Eclipse Public
+        License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"""),
+]
+TEXTS = Path(__file__).with_name("license_texts")
+
+
+def full_texts() -> list[tuple[str, str]]:
+    """(name, text) of the files of whole licences; read on the driver."""
+    return [(path.stem, path.read_text(encoding="utf-8")) for path in sorted(TEXTS.glob("*.txt"))]
+
+
+def default_templates() -> list[tuple[str, str]]:
+    return [*TEMPLATES, *MORE, *full_texts()]
+
+
 _WORDS = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 
 
@@ -82,9 +118,79 @@ class Scanner:
             for one in found:
                 self.of[one].append(at)
         self.every = frozenset(self.of)
+        self.single = any(len(one) == 1 for one in self.every)
         reach = threshold / (2 - threshold)
         self.bounds = [(math.ceil(len(s) * reach - 1e-9), math.floor(len(s) / reach + 1e-9)) for s in self.sets]
 
+    def windows(self, text: str) -> list[tuple[str, int, int, float]]:
+        """(licence, first line, number of lines, coefficient) of the windows of words that match."""
+        text = text.lower()
+        words = _WORDS.findall(text)
+        pairs = list(zip(words, words[1:]))
+        found = self.every.intersection(pairs)
+        single = [(-1, 0, at, template, at - 1, 1.0) for at, word in enumerate(words) if (word,) in self.every
+                  for template in self.of[(word,)]] if self.single else []
+        counts = Counter(template for pair in found for template in self.of[pair])
+        near = [template for template, n in counts.items() if n >= self.bounds[template][0]]
+        if not near and not single:
+            return []
+        number: dict[tuple, int] = {}
+        codes = np.array([number.setdefault(pair, len(number)) for pair in pairs], np.int64)
+        order = np.argsort(codes, kind="stable")
+        again = np.flatnonzero(codes[order][1:] == codes[order][:-1])
+        before, after = np.full(len(codes), -1), np.full(len(codes), len(codes))
+        before[order[again + 1]], after[order[again]] = order[again], order[again + 1]
+        hits = {}
+        for template in near:
+            mine = np.zeros(len(number), bool)
+            mine[[number[pair] for pair in found if pair in self.sets[template]]] = True
+            hits[template] = mine[codes]
+
+        def best(template: int, start: int, limit: int) -> tuple[int, int, int, int, int, float] | None:
+            """The best window from the bigram at ``start`` that ends before the one at ``limit``."""
+            high, width = self.bounds[template][1], 2 * self.bounds[template][1] + 16
+            end = min(int(after[start]), limit)
+            while True:
+                new = before[start : min(end, start + width)] < start
+                size = np.cumsum(new)
+                if start + width >= end or size[-1] > high:
+                    break
+                width *= 2
+            both = np.cumsum(new & hits[template][start : start + len(new)])
+            sizes = size + len(self.sets[template])
+            dice = 2 * both / sizes
+            score = np.where(dice >= self.threshold, 3 * both - sizes, -sizes[-1] - 1)
+            at = int(score.argmax())
+            if dice[at] < self.threshold:
+                return None
+            return -int(score[at]), at + 1, start, template, start + at, float(dice[at])
+
+        heap = single + [one for template in near for start in np.flatnonzero(hits[template])
+                         if (one := best(template, int(start), len(codes)))]
+        heapq.heapify(heap)
+        starts: list[int] = []
+        ends: dict[int, int] = {}
+        kept = []
+        while heap:
+            _, _, start, template, end, dice = heapq.heappop(heap)
+            at = bisect_right(starts, start)
+            if at and ends[starts[at - 1]] >= start:
+                continue
+            if at < len(starts) and end + 1 >= starts[at]:  # it runs into a better one: what is left before that
+                left = best(template, start, starts[at] - 1) if starts[at] - 1 > start else None
+                if left:
+                    heapq.heappush(heap, left)
+                continue
+            insort(starts, start)
+            ends[start] = end + 1
+            kept.append((start, end + 1, template, dice))
+        behind = np.cumsum([len(_WORDS.findall(line)) for line in text.split("\n")])
+        made = []
+        for start, last, template, dice in sorted(kept):
+            first, final = (int(np.searchsorted(behind, at, side="right")) for at in (start, last))
+            made.append((self.names[template], first, final - first + 1, dice))
+        return made
+
     def matches(self, text: str) -> list[tuple[str, int, int, float]]:
         """(licence, first line, number of lines, coefficient) of the runs that match."""
         lines = [_WORDS.findall(line) for line in text.lower().split("\n")]
@@ -130,7 +236,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, thresh
     """``docs`` with ``matches``: an array of (license, first_line, n_lines, dice)."""
     if "matches" in docs.columns:
         raise ValueError("the input already has a column 'matches'")
-    chosen = TEMPLATES if templates is None else templates
+    chosen = default_templates() if templates is None else templates
     kind = pa.list_(pa.struct([("license", pa.string()), ("first_line", pa.int32()), ("n_lines", pa.int32()),
                                ("dice", pa.float64())]))
 
@@ -138,16 +244,16 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, thresh
         scanner = Scanner(chosen, threshold)
         names = ("license", "first_line", "n_lines", "dice")
         for batch in batches:
-            found = [[dict(zip(names, m)) for m in scanner.matches(text.as_py() or "")] for text in batch.column("text")]
+            found = [[dict(zip(names, m)) for m in scanner.windows(text.as_py() or "")] for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*batch.schema.names, "matches"])
 
     empty = F.array().cast("array<struct<license:string,first_line:int,n_lines:int,dice:double>>")
     return docs.mapInArrow(scanned, docs.select("*", empty.alias("matches")).schema)
 
 
-def licences(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def licences(docs: DataFrame, threshold: float = THRESHOLD, templates: list[tuple[str, str]] | None = None) -> DataFrame:
     """Per document: doc_id, n_matches, license (the best match's, null if none), dice, licenses."""
-    found = scan(docs.select("doc_id", "text"), threshold=threshold)
+    found = scan(docs.select("doc_id", "text"), templates=templates, threshold=threshold)
     best = F.array_max(F.transform("matches", lambda m: F.struct(m.dice.alias("dice"), (-m.first_line).alias("at"),
                                                                  m.license.alias("license"))))
     names = F.array_join(F.array_sort(F.array_distinct(F.transform("matches", lambda m: m.license))), ",")

@@ -210,6 +210,53 @@ def test_licences_against_plain(spark, docs):
     assert licenses.licences(docs([])).count() == 0
 
 
+def plain_windows(text, templates, threshold):
+    """Best of every window of words with every template, without pruning."""
+    words = licenses._WORDS.findall(text.lower())
+    behind = np.cumsum([len(licenses._WORDS.findall(line)) for line in text.lower().split("\n")])
+    good = []
+    for at, (name, template) in enumerate(templates):
+        target = licenses.bigrams(licenses._WORDS.findall(template.lower()))
+        for first in range(len(words)):
+            for last in range(first, len(words)):
+                own = licenses.bigrams(words[first : last + 1])
+                dice = 2 * len(own & target) / (len(own) + len(target))
+                if dice >= threshold:
+                    score = len(own & target) - len(own ^ target)
+                    good.append((-score, last - first, first, at, last, name, dice))
+    taken, kept = set(), []
+    for _, _, first, at, last, name, dice in sorted(good):
+        if taken.isdisjoint(range(first, last + 1)):
+            taken.update(range(first, last + 1))
+            one, other = (int(np.searchsorted(behind, word, side="right")) for word in (first, last))
+            kept.append((first, (name, one, other - one + 1, dice)))
+    return [one for _, one in sorted(kept)]
+
+
+def test_licence_windows_against_plain():
+    random.seed(19)
+    templates = [one for one in licenses.TEMPLATES if len(one[1]) < 200] + [("X", "a b a c a b d"), ("Y", "Unlicense"), ("Z", "b a")]
+    pool = " ".join(text for _, text in templates).split() + ["a", "b", "c", "a b a c", "other", "\n", "unlicense"]
+    for threshold in (0.8, 0.6):
+        scanner = licenses.Scanner(templates, threshold)
+        for _ in range(40):
+            parts = [random.choice([random.choice(templates)[1], " ".join(random.choices(pool, k=3))])
+                     for _ in range(random.randint(1, 6))]
+            text = random.choice([" ", "\n"]).join(parts)
+            assert scanner.windows(text) == plain_windows(text, templates, threshold)
+
+
+def test_licences_within_lines_and_whole_texts(docs):
+    full = dict(licenses.full_texts())
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0"} <= set(full)
+    texts = ["The whole of this long line says that it was released under the MIT License. And then it goes on for a while.",
+             "intro " + dict(licenses.MORE)["BSD-3-Clause"] + " outro", *full.values()]
+    texts += ["Words before. " + " ".join(text.split()) + " Words after." for text in full.values()]
+    want = ["MIT", "BSD-3-Clause", *full, *full]
+    got = licenses.licences(docs(list(enumerate(texts)))).orderBy("doc_id").collect()
+    assert [r["license"] for r in got] == want
+
+
 # ---- 9
 
 
