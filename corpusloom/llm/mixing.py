@@ -11,7 +11,8 @@ where ``n_d`` are the words of a document, ``T_k`` the target total of a domain
 total at rate one.  Measured by the words of each document, the gradient of a document depends on
 its probabilities and on the residuals of the K domains only, and a step of 1 / (1 + mu) is safe.
 So a step is one aggregation to K sums, and a rate is found from the probabilities and the short
-list of all residuals so far; no rates are stored between steps.
+list of all residuals so far; no rates are stored between steps.  The descent ends when all totals
+are within a tolerance of the targets' sum, or when the gap no longer falls; then a warning gives it.
 
 A document then appears ``floor(rate)`` times, and once more with the probability of the rest, by a
 hash of its id and text.  The targets are shares; unless a total is given it is chosen such that
@@ -26,6 +27,7 @@ document are dropped and the others rescaled; without any label or without targe
 from __future__ import annotations
 
 import re
+import warnings
 import zlib
 from collections.abc import Iterator
 
@@ -40,8 +42,9 @@ MAX_ROWS = 4_000
 MAX_CHARS = 20_000
 BITS = 16
 PENALTY = 1e-3
-STEPS = 60
 TOLERANCE = 1e-3
+# The descent ends where so many steps lower the gap by less than a hundredth of the tolerance.
+STALL = 20
 #: Shares of the words of the mixture, by domain.
 TARGETS = {"good": 0.90, "poor": 0.09, "toxic": 0.01}
 
@@ -168,8 +171,11 @@ def _sums(members: DataFrame, residuals: list[np.ndarray], k: int, mu: float) ->
 
 
 def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float], total: float | None = None,
-              mu: float = PENALTY, steps: int = STEPS, tolerance: float = TOLERANCE) -> list[np.ndarray]:
-    """The residuals of the descent, from which ``rates_of`` finds any document's rate."""
+              mu: float = PENALTY, steps: int | None = None, tolerance: float = TOLERANCE) -> list[np.ndarray]:
+    """The residuals of the descent, from which ``rates_of`` finds any document's rate.
+
+    ``steps`` ends the descent early.  A gap beyond the tolerance is told by a warning.
+    """
     k = len(domains)
     share = np.array([max(0.0, targets.get(domain, 0.0)) for domain in domains])
     if k < 2 or not share.sum():
@@ -184,9 +190,15 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
     goal, scale = share * total, np.maximum(plain, 1e-9)
     residuals: list[np.ndarray] = []
     sums = plain
-    while len(residuals) < steps and np.abs(sums - goal).max() > tolerance * goal.sum():
+    gaps = [np.abs(sums - goal).max() / goal.sum()]
+    while gaps[-1] > tolerance and (steps is None or len(residuals) < steps):
+        if len(gaps) > STALL and min(gaps[:-STALL]) - min(gaps[-STALL:]) < tolerance / 100:
+            break
         residuals.append((sums - goal) / scale)
         sums = _sums(members, residuals, k, mu)
+        gaps.append(np.abs(sums - goal).max() / goal.sum())
+    if gaps[-1] > tolerance:
+        warnings.warn(f"the mix misses its targets by {gaps[-1]:.2%} of all words after {len(residuals)} steps", stacklevel=2)
     return residuals
 
 

@@ -278,6 +278,18 @@ def test_rates_meet_their_targets(spark):
     assert np.allclose(r, rates)
 
 
+def test_descent_goes_on_until_it_ends(monkeypatch):
+    random_ = np.random.default_rng(3)
+    first = random_.uniform(0.3, 0.7, size=400)
+    p = np.stack([first, 1 - first], axis=1)  # soft: the least eigenvalue is small
+    monkeypatch.setattr(mixing, "_sums", lambda members, residuals, k, mu: mixing.rates_of(p, residuals, mu) @ p)
+    residuals = mixing.fit_rates(None, ["a", "b"], {"a": 0.6, "b": 0.4}, mu=1e-6)
+    sums = mixing.rates_of(p, residuals, 1e-6) @ p
+    assert len(residuals) > 60 and np.allclose(sums / sums.sum(), [0.6, 0.4], atol=2e-3)
+    with pytest.warns(UserWarning, match="misses its targets"):  # no mix of these has nine tenths of a
+        mixing.fit_rates(None, ["a", "b"], {"a": 0.9, "b": 0.1}, mu=1e-6)
+
+
 def test_mixing_edges(spark, docs):
     good, bad = "quiet plain words about many things", "idiot clown trash idiot scum"
     table = docs([(k, good if k % 3 else bad) for k in range(90)] + [(100, None), (101, ""), (None, good), (5, good)])
