@@ -9,7 +9,8 @@ at each word; the mean over the words of a text is the text's distribution over
 
 Training takes at most ``MAX_ROWS`` texts of each language, of at most ``MAX_CHARS`` code points
 each, chosen by a hash of their id.  Runs of their words are strung together, two or three texts
-to a sequence, so that transitions are learnt from switches as well.
+to a sequence, so that transitions are learnt from switches as well.  Of the features that occur
+twice at least, the ``MAX_FEATURES`` most frequent have weights.
 
 The prediction is ``und`` with score 0 if the text is null or has no letter, or if nothing could be
 learnt.  Rows with a null language are not learnt from.  Ties go to the first language by name.
@@ -151,14 +152,14 @@ def _sequences(rows: list[tuple[str, int]], random: np.random.Generator) -> list
     return made
 
 
-def fit(rows: list[tuple[str, str]], epochs: int = 3, rate: float = 0.2, max_runs: int = 12_000) -> Model:
+def fit(rows: list[tuple[str, str]], epochs: int = 3, rate: float = 0.2) -> Model:
     """Train on (text, language) pairs by AdaGrad on the conditional log-likelihood."""
     languages = sorted({language for _, language in rows})
     if not languages:
         return Model([], {}, np.zeros((0, 0)), np.zeros((0, 0)))
     label = {language: at for at, language in enumerate(languages)}
     random = np.random.default_rng(7)
-    sequences = _sequences([(text, label[language]) for text, language in rows], random)[:max_runs]
+    sequences = _sequences([(text, label[language]) for text, language in rows], random)
     words = Counter(word for sequence, _ in sequences for word in sequence)
     seen: Counter = Counter()
     named = {word: features(word) for word in words}

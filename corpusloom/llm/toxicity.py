@@ -32,6 +32,7 @@ MAX_ROWS = 6_000
 MAX_CHARS = 20_000
 BITS = 20
 ORDERS = (2, 3, 4, 5, 6)
+# The n-grams with weights, chosen from all that occur; so many keep the fit within the driver's memory.
 MAX_FEATURES = 5_000
 MIN_TEXTS = 5
 REMEMBERED = 1_000_000

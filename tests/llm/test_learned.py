@@ -145,6 +145,15 @@ def test_language_gradient():
             assert abs((high - low) / 2e-5 - got[at]) < 1e-4
 
 
+def test_language_learns_from_all_runs():
+    random.seed(2)
+    rows = [(" ".join(random.choices(["ab", "ba", "abab"], k=2000)), "x") for _ in range(150)]
+    rows += [(" ".join(random.choices(["cd", "dc", "cdcd"], k=2000)), "y") for _ in range(149)]
+    late = [(f"only{chr(97 + k // 26)}{chr(97 + k % 26)} " * 40, "y") for k in range(100)]
+    model = language.fit(rows + late, epochs=1)
+    assert all("=" + text.split()[0] in model.names for text, _ in late)
+
+
 def test_language_on_held_out_rows(spark, medium):
     found = QUERIES["op4_language_id"](spark, medium).join(
         spark.read.parquet(f"{medium}/documents.parquet").select("doc_id", "lang"), "doc_id")
