@@ -43,6 +43,7 @@ from corpusloom.llm.common import (
     stored,
     texts_of,
     whole_groups,
+    without,
 )
 from corpusloom.llm.graph import components
 from corpusloom.llm.hashing import fingerprint, shingle_sets
@@ -60,7 +61,7 @@ def _missing(n, over: int, of: int):
 
 
 def sets_of(docs: DataFrame, width: int, over: int, of: int, whole: bool) -> DataFrame:
-    """(doc_id, n, lo, hi, elements) per row: all elements, or the first in hash order."""
+    """(doc_id, mark, n, lo, hi, elements) per row: all elements, or the first in hash order; the mark stands for the text."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -70,15 +71,15 @@ def sets_of(docs: DataFrame, width: int, over: int, of: int, whole: bool) -> Dat
                 kept = found if whole else [one[: 2 * _missing(len(one), over, of) + 1] for one in found]
                 ends = np.cumsum([0, *map(len, kept)])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, last - first),
+                    [batch.column("doc_id").slice(first, last - first), batch.column("mark").slice(first, last - first),
                      pa.array([len(one) for one in found], pa.int64()),
                      pa.array([low for low, _ in marks], pa.int64()), pa.array([high for _, high in marks], pa.int64()),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(kept)))],
-                    names=["doc_id", "n", "lo", "hi", "elements"],
+                    names=["doc_id", "mark", "n", "lo", "hi", "elements"],
                 )
 
-    schema = "doc_id long, n long, lo long, hi long, elements array<long>"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(made, schema)
+    schema = "doc_id long, mark long, n long, lo long, hi long, elements array<long>"
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), "text").mapInArrow(made, schema)
 
 
 def _groups(sets: DataFrame, reps: DataFrame, over: int, of: int) -> DataFrame:
@@ -324,6 +325,11 @@ def _pairs_of(blocks: DataFrame) -> DataFrame:
 def jaccard_classes(docs: DataFrame, width: int = WIDTH, over: int = OVER, of: int = OF,
                     block_elements: int = BLOCK_ELEMENTS, block_sets: int = BLOCK_SETS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id; linked if |A∩B| * of >= |A∪B| * over."""
+    return _classes(docs, width, over, of, block_elements, block_sets).drop("mark")
+
+
+def _classes(docs: DataFrame, width: int, over: int, of: int, block_elements: int, block_sets: int) -> DataFrame:
+    """``jaccard_classes`` with the hash of each text as ``mark``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = stored(sets_of(docs, width, over, of, False), "sets")
     usable = sets.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
@@ -350,22 +356,20 @@ def jaccard_classes(docs: DataFrame, width: int = WIDTH, over: int = OVER, of: i
     of_class = reps.select("node", "rep").join(joined, "node", "left").join(names, "component", "left").select(
         "node", F.coalesce("component_id", "rep").alias("component_id")
     )
-    done = sets.select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(),
+    done = sets.select("doc_id", "mark", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(),
                                              F.xxhash64("lo", "hi", "n")).alias("node"))
     done = done.join(of_class, "node", "left")
-    return done.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return done.select("doc_id", "mark", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def one_per_class(docs: DataFrame, width: int = WIDTH, over: int = OVER, of: int = OF) -> DataFrame:
     """``docs`` with the row of the smallest id of each component only.
 
-    Rows without id stay.  Of rows with equal id and text one stays.
+    Rows without id stay.  Of rows with equal id and text one stays; those of equal id and another
+    text are judged by their own text.
     """
-    classes = jaccard_classes(docs, width, over, of)
-    gone = stored(classes.where("doc_id != component_id").select("doc_id").distinct(), "removed")
-    if bounded(gone, BROADCAST_IDS):
-        gone = F.broadcast(gone)
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    classes = _classes(docs, width, over, of, BLOCK_ELEMENTS, BLOCK_SETS)
+    kept = without(docs, classes.where("doc_id != component_id")).select(*docs.columns)
     repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
     if not repeated.limit(1).count():
         return kept

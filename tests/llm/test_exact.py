@@ -259,6 +259,13 @@ def test_one_per_class(docs):
     assert rows_of(kept, "doc_id") == sorted([(1,), (9,), (11,), (12,), (None,), (None,)], key=repr)
 
 
+def test_one_per_class_of_repeated_ids(docs):
+    text = " ".join(f"w{k}" for k in range(100))
+    own = "a text that nobody else has " * 3
+    table = docs([(1, text), (5, text + " more"), (5, own), (7, text), (7, None)])
+    assert rows_of(ngram_join.one_per_class(table), "doc_id", "text") == sorted([(1, text), (5, own), (7, None)], key=repr)
+
+
 def test_trie_walk_against_pairs():
     random.seed(8)
     for _ in range(60):
