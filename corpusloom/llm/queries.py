@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import (
+    bpe,
     decontaminate,
     language,
     licenses,
@@ -83,6 +84,19 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = bpe.encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(ids, ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -94,4 +108,5 @@ QUERIES = {
     "op6_ngram_join": op6_ngram_join,
     "op7_license_scan": op7_license_scan,
     "op8_line_dedup": op8_line_dedup,
+    "op12_byte_bpe": op12_byte_bpe,
 }
