@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import (
+    align,
     bpe,
     decontaminate,
     language,
@@ -97,6 +98,16 @@ def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    files = default_tokenizer(), public_tokenizers.path("piece_bpe_32k.model")
+    found = align.align(table(spark, folder, "documents"), *files)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    counted = align.count_links(found.withColumn("groups_sha256", digest).drop("groups"))
+    return counted.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -109,4 +120,5 @@ QUERIES = {
     "op7_license_scan": op7_license_scan,
     "op8_line_dedup": op8_line_dedup,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_alignment": op13_alignment,
 }

@@ -1,14 +1,18 @@
 """Operators on tokenizers, against the public libraries: 12 and 13."""
 
 import hashlib
+import json
 import random
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
 import pytest
+import sentencepiece
 import tiktoken
+from tokenizers import Tokenizer
 
-from corpusloom.llm import bpe
+from corpusloom.llm import align, bpe
 from corpusloom.llm.queries import QUERIES
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
@@ -113,3 +117,89 @@ def test_byte_bpe_edges(spark, library):
     assert bpe.decode(bpe.encode(docs.limit(0), RANKS, P.PATTERN), RANKS).count() == 0
     odd = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert sorted(bpe.decode(odd, RANKS).collect()) == [(1, None, ""), (2, [], "")]
+
+
+# ---- 13
+
+FILES = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
+
+
+def plain_alignment(pairs):
+    """Every text encoded whole, offsets compared one by one, links expanded."""
+    first = Tokenizer.from_file(FILES[0])
+    first.encode_special_tokens = True
+    second = sentencepiece.SentencePieceProcessor(model_file=FILES[1])
+    entries = {rank: entry for entry, rank in json.load(open(FILES[0]))["model"]["vocab"].items()}
+    letters = align.byte_of_letter()
+
+    def bytes_b(rank):
+        piece = second.id_to_piece(rank)
+        return bytes([int(piece[3:5], 16)]) if second.is_byte(rank) else piece.replace("▁", " ").encode()
+
+    made = []
+    for number, text in pairs:
+        a = first.encode(" " + (text or ""), add_special_tokens=False).ids
+        b = second.encode(text or "")
+        parts_a = [bytes(letters[c] for c in entries[one]) for one in a]
+        parts_b = [bytes_b(one) for one in b]
+        groups = []
+        if text and b"".join(parts_a) == b"".join(parts_b) == (" " + text).encode():
+            x = y = start_x = start_y = size_a = size_b = 0
+            while x < len(a):
+                size_a += len(parts_a[x])
+                x += 1
+                while size_b < size_a:
+                    size_b += len(parts_b[y])
+                    y += 1
+                if size_a == size_b:
+                    groups.append((a[start_x:x], b[start_y:y]))
+                    start_x, start_y = x, y
+        made.append((number, groups))
+    counts = Counter(pair for _, groups in made for pair in {(p, q) for g in groups for p in g[0] for q in g[1]})
+    most = defaultdict(int)
+    for (p, _), count in counts.items():
+        most[p] = max(most[p], count)
+    rows = []
+    for number, groups in made:
+        links = [(p, q) for g in groups for p in g[0] for q in g[1]]
+        written = ";".join(",".join(map(str, p)) + "|" + ",".join(map(str, q)) for p, q in groups)
+        rows.append((number, sum(len(g[0]) for g in groups), sum(len(g[1]) for g in groups), len(groups), len(links),
+                     sum(counts[link] == most[link[0]] for link in links), sum(counts[link] for link in links), written))
+    return rows
+
+
+def test_alignment_query(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest() if text else ""
+    want = sorted((*row[:7], sha(row[7])) for row in plain_alignment(docs))
+    assert sorted(map(tuple, QUERIES["op13_alignment"](spark, small).collect())) == want
+
+
+def test_alignment_odd_texts(spark, monkeypatch):
+    monkeypatch.setattr(align, "CALL_CHARS", 100)
+    texts = [None, "", *texts_of(5, 250), "ab<|endoftext|> <s> </s> x", "a\x00b c", "▁ a", "word ▁x", "same one", "same one",
+             "漢字" * 2000, " lead", "trail ", "two  spaces", "line\n next \n", "x" * 5000 + " y"]
+    pairs = list(enumerate(texts)) + [(3, "again"), (None, "no id")]
+    docs = spark.createDataFrame([(*p, "x", 1) for p in pairs], "doc_id long, text string, block string, pair int").repartition(7)
+    got = align.count_links(align.align(docs, *FILES))
+    columns = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
+    assert sorted((tuple(r) for r in got.select(columns).collect()), key=repr) == sorted(plain_alignment(pairs), key=repr)
+    assert align.count_links(align.align(docs.limit(0), *FILES)).count() == 0
+
+
+def test_wide_groups(monkeypatch):
+    a, b = [5, 6, 5, 7], [9, 9, 8]
+    plain = Counter(x << 32 | y for x in a for y in b)
+    monkeypatch.setattr(align, "WIDE", 2)
+    assert dict(zip(*align.links_of(a, b))) == plain
+    assert align.group_ends([1, 2, 0, 3], [3, 1, 2]) == [(3, 3, 1), (6, 4, 3)]
+
+
+def test_links_pass_columns_through(spark):
+    rows = [(1, [1 << 32 | 2, 1 << 32 | 3], [4, 1], "a", 7), (2, [1 << 32 | 2], [1], "b", 8), (3, [], [], "c", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, pairs array<long>, times array<long>, block string, n_best int")
+    got = align.count_links(docs)
+    assert got.columns == ["doc_id", "block", "n_best", "count_sum"]
+    assert sorted(map(tuple, got.collect())) == [(1, "a", 4, 9), (2, "b", 1, 2), (3, "c", 0, 0)]
+    counts = sorted(map(tuple, align.pair_counts(docs).collect()))
+    assert counts == [(1, 2, 2), (1, 3, 1)]
