@@ -27,6 +27,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import accumulate
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import stored
 
 # Chunks a worker remembers of either generation, and the longest chunk remembered.
-REMEMBERED = 120_000
+REMEMBERED = 200_000
 LONGEST = 48
 # Text aligned in one call of the libraries, and text of one batch of a result, in characters.
 CALL_CHARS = 1 << 16
@@ -109,11 +110,10 @@ def group_ends(lengths_a: Iterable[int], lengths_b: Iterable[int]) -> list[tuple
     return [(end, ends_a[end], ends_b[end]) for end in sorted(ends_a.keys() & ends_b.keys())]
 
 
-def links_of(ids_a: list[int], ids_b: list[int]) -> tuple[list[int], list[int]]:
-    """Pairs of ids of one group, A's in the upper 32 bits, and how often each is linked there."""
+def links_of(ids_a: list[int], ids_b: list[int]) -> tuple[list[int], list[int] | None]:
+    """Pairs of ids of one group, A's in the upper 32 bits, and how often each is linked there (None: once)."""
     if len(ids_a) * len(ids_b) <= WIDE:
-        pairs = [a << 32 | b for a in ids_a for b in ids_b]
-        return pairs, [1] * len(pairs)
+        return [a << 32 | b for a in ids_a for b in ids_b], None
     counts_a, counts_b = Counter(ids_a), Counter(ids_b)
     return ([a << 32 | b for a in counts_a for b in counts_b],
             [m * n for m in counts_a.values() for n in counts_b.values()])
@@ -130,20 +130,29 @@ class Aligner:
         self.young: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
 
-    def _record(self, ids_a: list[int], ids_b: list[int], ends: list[tuple[int, int]]) -> tuple:
-        """Numbers, groups and links of the tokens up to each of ``ends``."""
-        groups, pairs, times, links = [], [], [], 0
-        x = y = 0
-        for next_x, next_y in ends:
-            own_a, own_b = ids_a[x:next_x], ids_b[y:next_y]
-            groups.append(f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}")
-            some, often = links_of(own_a, own_b)
-            pairs += some
-            times += often
-            links += len(own_a) * len(own_b)
+    def _record(self, ids_a: list[int], ids_b: list[int], x: int, y: int, ends: list[tuple[int, int, int]]) -> tuple:
+        """Numbers, groups and links of the tokens from ``x`` and ``y`` up to each of ``ends``."""
+        groups, pairs, times, links = [], [], None, 0
+        first_x, first_y = x, y
+        for _, next_x, next_y in ends:
+            if next_x == x + 1 and next_y == y + 1:
+                a, b = ids_a[x], ids_b[y]
+                groups.append(f"{a}|{b}")
+                pairs.append(a << 32 | b)
+                links += 1
+            else:
+                own_a, own_b = ids_a[x:next_x], ids_b[y:next_y]
+                groups.append(f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}")
+                some, often = links_of(own_a, own_b)
+                links += len(own_a) * len(own_b)
+                if often is not None or times is not None:
+                    times = (times or [1] * len(pairs)) + (often or [1] * len(some))
+                pairs += some
             x, y = next_x, next_y
-        return (len(ids_a), len(ids_b), len(ends), links, ";".join(groups),
-                np.array(pairs, np.int64).tobytes(), np.array(times, np.int64).tobytes())
+            if times is not None and len(times) < len(pairs):
+                times.append(1)
+        return (x - first_x, y - first_y, len(ends), links, ";".join(groups), array("q", pairs).tobytes(),
+                None if times is None else array("q", times).tobytes())
 
     def _learn(self, chunks: list[str]) -> bool:
         """Align chunks side by side as one text; False if its bytes are not those of the tokens."""
@@ -155,17 +164,15 @@ class Aligner:
         ends = group_ends(map(self.sizes_a.__getitem__, ids_a), map(self.sizes_b.__getitem__, ids_b))
         at = end = x = y = 0
         for chunk in chunks:
-            end += len(chunk.encode()) + 1
+            end += (len(chunk) if chunk.isascii() else len(chunk.encode())) + 1
             first = at
             while ends[at][0] < end:
                 at += 1
             if ends[at][0] != end:
                 raise ValueError("a token crosses the cut between two chunks")
             at += 1
-            own = [(p - x, q - y) for _, p, q in ends[first:at]]
-            next_x, next_y = ends[at - 1][1:]
-            self.young[chunk] = self._record(ids_a[x:next_x], ids_b[y:next_y], own)
-            x, y = next_x, next_y
+            self.young[chunk] = self._record(ids_a, ids_b, x, y, ends[first:at])
+            _, x, y = ends[at - 1]
         return True
 
     def _learn_all(self, chunks: Iterable[str]) -> None:
@@ -211,14 +218,15 @@ class Aligner:
         if not records or None in records:
             none = np.zeros(0, np.int64)
             return 0, 0, 0, 0, "", none, none
-        a, b, groups, links, texts, pairs, times = zip(*records)
-        pairs, total = np.frombuffer(b"".join(pairs), np.int64), sum(links)
+        a, b, groups, links, texts, codes, times = zip(*records)
+        pairs, total = np.frombuffer(b"".join(codes), np.int64), sum(links)
         if total == len(pairs):
             pairs, times = np.unique(pairs, return_counts=True)
         else:
+            often = b"".join([t or np.ones(len(p) // 8, np.int64).tobytes() for p, t in zip(codes, times)])
             pairs, at = np.unique(pairs, return_inverse=True)
             summed = np.zeros(len(pairs), np.int64)
-            np.add.at(summed, at, np.frombuffer(b"".join(times), np.int64))
+            np.add.at(summed, at, np.frombuffer(often, np.int64))
             times = summed
         return sum(a), sum(b), sum(groups), total, ";".join(texts), pairs, times
 

@@ -15,6 +15,7 @@ from corpusloom.llm import (
     mixing,
     ngram_join,
     pages,
+    signatures,
     tokens,
     toxicity,
     vectors,
@@ -85,6 +86,11 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return signatures.search(signatures.build_index(docs), docs, table(spark, folder, "benchmark"))
+
+
 def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -119,6 +125,7 @@ QUERIES = {
     "op6_ngram_join": op6_ngram_join,
     "op7_license_scan": op7_license_scan,
     "op8_line_dedup": op8_line_dedup,
+    "op11_lexical_search": op11_lexical_search,
     "op12_byte_bpe": op12_byte_bpe,
     "op13_alignment": op13_alignment,
 }

@@ -47,4 +47,34 @@ SQL = {
                sha256(coalesce(string_agg(line, E'\n' ORDER BY n) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id
     """,
+    "op11_lexical_search": r"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), asked AS (
+            SELECT item_id, term, count(*)::BIGINT AS times
+            FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+            GROUP BY ALL
+        ), totals AS (
+            SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM words WHERE len(w) > 0
+        ), held AS (
+            SELECT doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM words
+        ), tf AS (
+            SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM held
+            WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2.0::DOUBLE * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS weight
+            FROM tf CROSS JOIN totals GROUP BY term
+        ), scores AS (
+            SELECT item_id, doc_id,
+                   sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+            FROM tf JOIN weights USING (term) JOIN asked USING (term) CROSS JOIN totals GROUP BY item_id, doc_id
+        )
+        SELECT item_id, rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank
+              FROM scores WHERE score > 0)
+        WHERE rank <= 10
+    """,
 }

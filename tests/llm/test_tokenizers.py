@@ -177,6 +177,7 @@ def test_alignment_query(spark, small):
 
 def test_alignment_odd_texts(spark, monkeypatch):
     monkeypatch.setattr(align, "CALL_CHARS", 100)
+    monkeypatch.setattr(align, "WIDE", 3)
     texts = [None, "", *texts_of(5, 250), "ab<|endoftext|> <s> </s> x", "a\x00b c", "▁ a", "word ▁x", "same one", "same one",
              "漢字" * 2000, " lead", "trail ", "two  spaces", "line\n next \n", "x" * 5000 + " y"]
     pairs = list(enumerate(texts)) + [(3, "again"), (None, "no id")]
