@@ -13,7 +13,8 @@ from corpusloom.operators.scoring import score_table
 from corpusloom.queries import bindings as B
 from corpusloom.queries.select import KEY, SPLIT_SQL
 from corpusloom.session import shared_folder
-from corpusloom.sources.catalog import TableEntry, load_all
+from corpusloom.sources import arrow_shards
+from corpusloom.sources.catalog import TableEntry, load_all, load_table
 from corpusloom.sources.stages import read_splits, run_stage, write_splits
 
 
@@ -37,6 +38,17 @@ def load_outcomes(spark, folder):
     return outcome.select("name", "ok").join(sizes, "name", "left")
 
 
+def arrow_shards_round_trip(spark, folder):
+    """Documents written as Arrow shards and read through the catalog, with a path that is not there."""
+    path = _stage(spark)
+    rows = B.documents(spark, folder).select("doc_id", "text", "lang", "n_chars")
+    arrow_shards.register(spark)
+    rows.repartition(5, "doc_id").write.format(arrow_shards.FORMAT).mode("overwrite").save(path)
+    shards = [f"{path}/data-{k:05d}-of-00005.arrow" for k in range(5)] + [f"{path}/data-00005-of-00006.arrow"]
+    table = load_table(spark, {"documents": TableEntry({"train": shards}, format=arrow_shards.FORMAT)}, "documents")
+    return table.select("doc_id", F.md5("text").alias("text_md5"), "lang", "n_chars", "split")
+
+
 def stage_reuse(spark, folder):
     """A stage that is built, found complete, and built again on demand."""
     path, rows = _stage(spark), B.documents(spark, folder).select("doc_id", "source")
@@ -113,6 +125,10 @@ QUERIES = {
            UNION ALL SELECT 'turns', true, count(*) FROM conversations
            UNION ALL SELECT 'half', false, NULL UNION ALL SELECT 'lost', false, NULL""",
     ),
+    "arrow_shards": (
+        arrow_shards_round_trip,
+        "SELECT doc_id, md5(text) AS text_md5, lang, n_chars, 'train' AS split FROM documents",
+    ),
     "stage_reuse": (stage_reuse, "SELECT doc_id, source, 2 AS run FROM documents"),
     "split_round_trip": (split_round_trip, "SELECT doc_id, n_chars, lang AS split FROM documents"),
     "label_by_model": (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -10,6 +10,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.sources import arrow_shards
+
 
 @dataclass(frozen=True)
 class TableEntry:
@@ -54,6 +56,30 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
+    """Those of ``paths`` that exist, in order; each folder is listed once, whatever it should hold."""
+    wanted = list(paths)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs  # noqa: SLF001
+    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    held: dict[str, set[str]] = {}
+    found = []
+    for path in wanted:
+        location = hadoop.Path(path)
+        parent = location.getParent()
+        if len(wanted) == 1 or parent is None or any(sign in path for sign in "*?[{"):
+            if path_exists(spark, path):
+                found.append(path)
+            continue
+        folder = parent.toString()
+        if folder not in held:
+            system = parent.getFileSystem(conf)
+            listed = system.listStatus(parent) if system.exists(parent) else []
+            held[folder] = {status.getPath().getName() for status in listed}
+        if location.getName() in held[folder]:
+            found.append(path)
+    return found
+
+
 def read_existing(
     spark: SparkSession,
     paths: str | Iterable[str],
@@ -62,14 +88,15 @@ def read_existing(
     schema: str | None = None,
 ) -> DataFrame | None:
     """Read the paths that exist as one table; null when none does."""
-    wanted = [paths] if isinstance(paths, str) else list(paths)
-    existing = [p for p in wanted if path_exists(spark, p)]
+    existing = existing_paths(spark, [paths] if isinstance(paths, str) else paths)
     if not existing:
         return None
+    if format == arrow_shards.FORMAT:
+        arrow_shards.register(spark)
     reader = spark.read.format(format).options(**dict(options or {}))
     if schema:
         reader = reader.schema(schema)
-    return reader.load(existing)
+    return reader.load(existing[0] if len(existing) == 1 else existing)
 
 
 def load_table(
@@ -180,6 +207,3 @@ def catalog_overview(spark: SparkSession, views: Iterable[str] | None = None) ->
                 parts.append(rows_of(counts, name, kind, F.col(kind)))
     described = spark.createDataFrame(fixed, shape)
     return reduce(DataFrame.unionByName, parts, described)
-
-
-Loader = Callable[[SparkSession], DataFrame]
