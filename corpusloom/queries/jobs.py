@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import functions as F
 
 from corpusloom.operators import evaluation, sampling, stats
@@ -12,14 +9,11 @@ from corpusloom.operators.labeling import label_with
 from corpusloom.operators.scoring import score_table
 from corpusloom.queries import bindings as B
 from corpusloom.queries.select import KEY, SPLIT_SQL
-from corpusloom.session import shared_folder
+from corpusloom.session import new_folder
 from corpusloom.sources import arrow_shards
 from corpusloom.sources.catalog import TableEntry, load_all, load_table
 from corpusloom.sources.stages import read_splits, run_stage, write_splits
-
-
-def _stage(spark) -> str:
-    return os.path.join(shared_folder(spark), "stages", uuid.uuid4().hex)
+from corpusloom.sources.versions import Stage, StageStore
 
 
 def load_outcomes(spark, folder):
@@ -40,7 +34,7 @@ def load_outcomes(spark, folder):
 
 def arrow_shards_round_trip(spark, folder):
     """Documents written as Arrow shards and read through the catalog, with a path that is not there."""
-    path = _stage(spark)
+    path = new_folder(spark)
     rows = B.documents(spark, folder).select("doc_id", "text", "lang", "n_chars")
     arrow_shards.register(spark)
     rows.repartition(5, "doc_id").write.format(arrow_shards.FORMAT).mode("overwrite").save(path)
@@ -51,7 +45,7 @@ def arrow_shards_round_trip(spark, folder):
 
 def stage_reuse(spark, folder):
     """A stage that is built, found complete, and built again on demand."""
-    path, rows = _stage(spark), B.documents(spark, folder).select("doc_id", "source")
+    path, rows = new_folder(spark), B.documents(spark, folder).select("doc_id", "source")
 
     def never():
         raise AssertionError("a complete stage must not be built")
@@ -61,9 +55,37 @@ def stage_reuse(spark, folder):
     return run_stage(spark, path, lambda: rows.withColumn("run", F.lit(2)), overwrite=True)
 
 
+def stage_versions(spark, folder):
+    """Three stages, brought up to date twice and after a change of one: what each holds and how often it was built."""
+    root, built = new_folder(spark), []
+
+    def store(shortest):
+        return StageStore(spark, root, {
+            "kept": Stage(
+                lambda rows: rows.where(F.length("text") >= shortest).select("doc_id", "lang", "source"),
+                [f"{folder}/documents.parquet"], {"shortest": shortest}),
+            "marked": Stage(lambda rows: rows.select("doc_id", "toxic"), [f"{folder}/labels.parquet"]),
+            "joined": Stage(
+                lambda kept, marked: kept.join(marked, "doc_id").groupBy("lang", "toxic").agg(F.count(F.lit(1)).alias("n")),
+                ["kept", "marked"]),
+        })
+
+    for shortest in (0, 0, 200):
+        stages = store(shortest)
+        joined = stages.ensure("joined")
+        built += stages.built
+    times = spark.createDataFrame([(name, built.count(name)) for name in sorted(set(built))], "stage string, n_built long")
+    rows = joined.select(F.lit("joined").alias("stage"), "lang", "toxic", "n")
+    for name in ("kept", "marked"):
+        none = F.lit(None)
+        rows = rows.unionByName(stages.read(name).agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(name).alias("stage"), none.cast("string").alias("lang"), none.cast("long").alias("toxic"), "n"))
+    return rows.withColumn("toxic", F.col("toxic").cast("long")).join(times, "stage")
+
+
 def split_round_trip(spark, folder):
     """A table stored by split and read back."""
-    path = _stage(spark)
+    path = new_folder(spark)
     write_splits(B.documents(spark, folder).select("doc_id", "n_chars", F.col("lang").alias("split")), path)
     parts = [t.withColumn("split", F.lit(name)) for name, t in sorted(read_splits(spark, path).items())]
     whole = parts[0]
@@ -130,6 +152,14 @@ QUERIES = {
         "SELECT doc_id, md5(text) AS text_md5, lang, n_chars, 'train' AS split FROM documents",
     ),
     "stage_reuse": (stage_reuse, "SELECT doc_id, source, 2 AS run FROM documents"),
+    "stage_versions": (
+        stage_versions,
+        """WITH kept AS (SELECT doc_id, lang FROM documents WHERE length(text) >= 200)
+           SELECT 'joined' AS stage, lang, toxic::BIGINT AS toxic, count(*) AS n, 2::BIGINT AS n_built
+           FROM kept JOIN labels USING (doc_id) GROUP BY lang, toxic
+           UNION ALL SELECT 'kept', NULL, NULL, count(*), 2 FROM kept
+           UNION ALL SELECT 'marked', NULL, NULL, count(*), 1 FROM labels""",
+    ),
     "split_round_trip": (split_round_trip, "SELECT doc_id, n_chars, lang AS split FROM documents"),
     "label_by_model": (
         label_by_model,

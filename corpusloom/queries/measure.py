@@ -9,6 +9,7 @@ from corpusloom.functions.chat import prompt_text
 from corpusloom.functions.labels import lexicon_level, render_answer
 from corpusloom.operators import chat, evaluation, pairs, quality, requests, sampling, stats
 from corpusloom.plans.build import build_training_table
+from corpusloom.session import new_folder
 from corpusloom.queries import bindings as B
 from corpusloom.queries import select as S
 from corpusloom.queries.bindings import q
@@ -434,7 +435,7 @@ def build_dataset(spark, folder):
     """Normalised rows to final splits: filter, label, dedup, balance, mask, dedup, split."""
     final = build_training_table(
         B.sft_like(spark, folder),
-        lexicon=B.LEXICON, target=900, recognizers=B.RECOGNIZERS, allowlist=B.ALLOWLIST,
+        lexicon=B.LEXICON, target=900, recognizers=B.RECOGNIZERS, allowlist=B.ALLOWLIST, root=new_folder(spark),
     )
     return final.select("id", *K.SFT_COLUMNS, "split")
 

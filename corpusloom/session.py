@@ -57,8 +57,13 @@ def _tables_of(spark: SparkSession) -> str:
     return os.path.join(shared_folder(spark), "tables", app)
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A path of its own for a stored table of this application; nothing is created yet."""
+    return os.path.join(_tables_of(spark), uuid.uuid4().hex)
+
+
 def release_tables(spark: SparkSession) -> None:
-    """Delete what ``materialize`` stored for this application; call when its results are stored."""
+    """Delete what lies in folders of ``new_folder`` for this application; call when its results are stored."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs  # noqa: SLF001
     folder = hadoop.Path(_tables_of(spark))
     system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
@@ -73,6 +78,6 @@ def materialize(df: DataFrame) -> DataFrame:
     it needs; like it, it survives the loss of executors.
     """
     spark = df.sparkSession
-    path = os.path.join(_tables_of(spark), uuid.uuid4().hex)
+    path = new_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

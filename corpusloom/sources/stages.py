@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.sources.catalog import path_exists
 
+
 def run_stage(
     spark: SparkSession,
     path: str,
@@ -19,16 +21,31 @@ def run_stage(
     """Return the stored output of a stage, building it only when it is not complete.
 
     ``build`` is not even called when the output exists.  ``_SUCCESS`` marks completeness,
-    so a stage that died half-way is built again.
+    so a stage that died half-way is built again.  An output that is built again is replaced when
+    the new one is complete, not before.  For stages that follow changes of their inputs see
+    ``versions``.
     """
-    if overwrite or not path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+    place = path.rstrip("/")
+    if overwrite or not path_exists(spark, f"{place}/_SUCCESS"):
+        draft = f"{place}.{uuid.uuid4().hex}"
         writer = build().write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+        writer.parquet(draft)
+        _put(spark, draft, place)
     return spark.read.parquet(path)
 
 
+def _put(spark: SparkSession, draft: str, place: str) -> None:
+    """Put a complete folder in the place of another."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs  # noqa: SLF001
+    target = hadoop.Path(place)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    system.delete(target, True)
+    if not system.rename(hadoop.Path(draft), target):
+        raise OSError(f"{draft} is complete but could not be moved to {place}")
+
+
 def write_splits(df: DataFrame, path: str, split: str = "split", overwrite: bool = False) -> None:
     """Store a table with one directory per split, so that readers prune by split."""
     df.write.mode("overwrite" if overwrite else "errorifexists").partitionBy(split).parquet(path)
