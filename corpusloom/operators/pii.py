@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom import constants as K
 from corpusloom.functions.pii import (
     PATTERN_RECOGNIZERS,
+    SPANS,
     Recognizer,
     SpanModel,
     detect,
@@ -18,6 +19,7 @@ from corpusloom.functions.pii import (
     mask,
     uncovered_types,
 )
+from corpusloom.operators.name_table import merge_spans, name_spans
 
 
 def anonymize(
@@ -30,27 +32,33 @@ def anonymize(
     allowlist: Sequence[str] = tuple(K.PERSON_ALLOWLIST),
     keep_original: bool = False,
     types: Sequence[str] | None = None,
+    names: DataFrame | None = None,
+    row_id: str = "id",
 ) -> DataFrame:
     """Mask several columns in one map-only pass and add what was found as ``entities``.
 
+    ``names`` is a table with a column ``name`` of persons to mask, of any size; their spans are
+    found by a join (see ``name_table``) and meet the rows by the unique ``row_id``.
+
     ``types`` names entity types that must be covered: without a model, one that no recogniser
     finds is refused.
 
     ``entities`` is an array over all columns, each element with its ``column``.  With
     ``keep_original`` the input columns survive as ``original_<column>``.
     """
-    lost = [] if model_factory else uncovered_types(types or (), recognizers)
+    lost = [] if model_factory else uncovered_types(set(types or ()) - ({"PERSON"} if names is not None else set()), recognizers)
     if lost:
         raise ValueError(f"no recogniser for the entity types {lost}")
-    found = {
-        c: drop_false_persons(
-            detect(F.col(c), F.col(language), recognizers, model_factory),
-            min_person_score,
-            allowlist,
-        )
-        for c in columns
-    }
-    spans = df.withColumns({f"_spans_{c}": s for c, s in found.items()})
+    rows, found = df, {}
+    for c in columns:
+        own = detect(F.col(c), F.col(language), recognizers, model_factory)
+        if names is not None:
+            key, listed = f"_id_{c}", f"_names_{c}"
+            persons = name_spans(df, names, c, row_id).select(F.col(row_id).alias(key), F.col("spans").alias(listed))
+            rows = rows.join(persons, F.col(row_id) == F.col(key), "left").drop(key)
+            own = merge_spans(own, F.coalesce(F.col(listed), F.array().cast(SPANS)))
+        found[c] = drop_false_persons(own, min_person_score, allowlist)
+    spans = rows.withColumns({f"_spans_{c}": s for c, s in found.items()}).drop(*[f"_names_{c}" for c in columns])
     if keep_original:
         spans = spans.withColumns({f"original_{c}": F.col(c) for c in columns})
     masked = spans.withColumns({c: mask(F.col(c), F.col(f"_spans_{c}")) for c in columns})

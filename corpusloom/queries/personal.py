@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import constants as K
 from corpusloom.functions.pii import detect
-from corpusloom.operators import pii
+from corpusloom.operators import name_table, pii
 from corpusloom.queries import bindings as B
 
 COLUMNS = ["instruction", "raw_response"]
@@ -72,6 +72,25 @@ TURNS_SQL = f"""turns AS (
   SELECT conv_id || '-' || turn AS id, text FROM conversations),
 turn_found AS ({B.sql_entities("turns", "id", "text")})"""
 
+PIECES = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"
+
+
+def pii_name_table(spark, folder):
+    """Occurrences of up to 100 000 names, drawn by their hash from the pairs of words of the texts."""
+    docs = B.documents(spark, folder).select("doc_id", "text")
+    pieces = F.regexp_extract_all("text", F.lit(PIECES), F.lit(0))
+    split = docs.select(pieces.alias("p"))
+    runs = split.select(F.explode(F.arrays_zip(
+        F.col("p").alias("a"), F.slice("p", 2, 1 << 30).alias("b"), F.slice("p", 3, 1 << 30).alias("c"))).alias("run"))
+    pairs = runs.where(F.col("run.b") == " ").where(F.col("run.c").isNotNull())
+    names = pairs.select(F.lower(F.concat_ws(" ", "run.a", "run.c")).alias("name")).distinct()
+    names = names.withColumn("place", F.md5("name")).where(F.col("place") < "7").orderBy("place").limit(100_000)
+    found = name_table.find_names(docs, names, row_id="doc_id")
+    return found.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_names"), F.min("start").cast("long").alias("first_start"),
+        F.sum("start").alias("sum_start"), F.sum("end").alias("sum_end"))
+
+
 QUERIES = {
     "pii_entities": (
         pii_entities,
@@ -124,4 +143,25 @@ QUERIES = {
                    for c in COLUMNS)}, n_entities
             FROM sft JOIN first_rows USING (id)""",
     ),
+    "pii_name_table": (
+        pii_name_table,
+        """
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(text, '[\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+') AS p FROM documents WHERE text IS NOT NULL
+), pieces AS (
+  SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS k FROM split
+), placed AS (
+  SELECT doc_id, k, piece, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY k) AS upto FROM pieces
+), runs AS (
+  SELECT a.doc_id, a.upto - length(a.piece) AS start, c.upto AS "end", b.piece AS gap,
+         lower(a.piece || ' ' || c.piece) AS name
+  FROM placed a JOIN placed b ON a.doc_id = b.doc_id AND b.k = a.k + 1 JOIN placed c ON a.doc_id = c.doc_id AND c.k = a.k + 2
+  WHERE regexp_full_match(a.piece, '[\\p{L}\\p{N}]+') AND regexp_full_match(b.piece, '[ \\-''’.]{1,2}')
+), names AS (
+  SELECT DISTINCT name FROM runs WHERE gap = ' ' AND md5(name) < '7' ORDER BY md5(name) LIMIT 100000
+)
+SELECT doc_id, count(*) AS n_names, min(start)::BIGINT AS first_start, sum(start)::BIGINT AS sum_start,
+       sum("end")::BIGINT AS sum_end
+FROM runs JOIN names USING (name) GROUP BY doc_id""",
+    ),
 }
