@@ -37,18 +37,16 @@ LENGTH = 2048
 BATCH_ROWS = 256
 SHARD_BYTES = 32 << 20
 INDEX = "shard int, doc_id long, shard_start long, n_tokens long"
-# Encoded pieces a worker remembers; the memory is then emptied, which changes no result.
-REMEMBERED = 1_000_000
+# Encoded pieces a worker remembers of either generation; this changes no result.
+REMEMBERED = 400_000
 
 _STATE: dict = {}
 
 
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 _MARKS = r"!-&(-/:-@\[-`{-~"  # ASCII marks but the apostrophe, which may begin a contraction
-_SOLID = f"[{_LATIN}0-9{_MARKS}]"
-# Solid runs with one space or one line break between them.
-_PLAIN = re.compile(f"{_SOLID}++(?:[ \n]{_SOLID}++)*+")
-_PIECES = re.compile(f" ?[{_LATIN}]+| ?[0-9]+| ?[{_MARKS}]+|\n")
+# Pieces of texts of these with single spaces and line breaks; anything else is passed over.
+_PIECES = re.compile(f" ?[{_LATIN}]+| ?[0-9]+| ?[{_MARKS}]+|\n(?=[{_LATIN}0-9{_MARKS}])")
 
 
 class Encoder:
@@ -70,11 +68,18 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             plan = json.load(file)
         before = plan["pre_tokenizer"] or {}
-        self.special = [token["content"] for token in plan["added_tokens"]]
+        special = "|".join(re.escape(token["content"]) for token in plan["added_tokens"])
+        self.special = re.compile(special or "(?!)").search
         self.cuts = plan["normalizer"] is None and plan["post_processor"] is None and (
             before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
         )
+        if self.cuts:
+            # An entry has one letter for each byte of its token.
+            entries = plan["model"]["vocab"]
+            self.sizes = np.zeros(max(entries.values()) + 1, np.int64)
+            self.sizes[list(entries.values())] = list(map(len, entries))
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -85,11 +90,13 @@ class Encoder:
         spaced = [piece for piece in pieces if piece[0] == " "]
         for first in range(0, len(spaced), 1000):
             some = spaced[first : first + 1000]
-            encoded = self.tokenizer.encode("".join(some), add_special_tokens=False)
-            ids, words = array("I", encoded.ids).tobytes(), np.array(encoded.word_ids)
-            cuts = [0, *(4 * (np.flatnonzero(np.diff(words)) + 1)).tolist(), len(ids)]
-            if len(cuts) == len(some) + 1:
-                self.known.update(zip(some, [ids[a:b] for a, b in zip(cuts, cuts[1:])]))
+            encoded = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0]
+            ids = np.array(encoded.ids, "<u4")
+            ends, reached = np.cumsum([len(piece.encode()) for piece in some]), np.cumsum(self.sizes[ids])
+            at = np.minimum(np.searchsorted(reached, ends), len(ids) - 1) + 1
+            if (reached[at - 1] == ends).all():
+                data, stops = ids.tobytes(), [0, *(4 * at).tolist()]
+                self.known.update(zip(some, [data[a:b] for a, b in zip(stops, stops[1:])]))
             else:
                 self.known.update(zip(some, self.whole(some)))
         rest = [piece for piece in pieces if piece[0] != " "]
@@ -98,23 +105,28 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.old, self.known = self.known, {}
         found: list = [None] * len(texts)
         whole, cut, fresh = [], [], set()
         for at, text in enumerate(texts):
-            if not self.cuts or not _PLAIN.fullmatch(text) or any(token in text for token in self.special):
+            pieces = _PIECES.findall(text) if self.cuts else []
+            if len("".join(pieces)) < len(text) or self.special(text):
                 whole.append(at)
                 continue
-            pieces = _PIECES.findall(text)
             ids = list(map(self.known.get, pieces))
+            found[at] = ids
             if None in ids:
-                fresh.update([piece for piece, one in zip(pieces, ids) if one is None])
-                cut.append((at, pieces))
-            else:
-                found[at] = b"".join(ids)
+                missing = [k for k, one in enumerate(ids) if one is None]
+                fresh.update([pieces[k] for k in missing])
+                cut.append((at, pieces, missing))
+        for piece in [piece for piece in fresh if piece in self.old]:
+            self.known[piece] = self.old[piece]
+            fresh.discard(piece)
         self.learn(list(fresh))
-        for at, pieces in cut:
-            found[at] = b"".join(map(self.known.__getitem__, pieces))
+        for at, pieces, missing in cut:
+            for k in missing:
+                found[at][k] = self.known[pieces[k]]
+        found = [None if ids is None else b"".join(ids) for ids in found]
         for at, ids in zip(whole, self.whole([texts[at] for at in whole])):
             found[at] = ids
         return found
