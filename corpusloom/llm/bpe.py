@@ -33,12 +33,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.common import no_cycle_search
+
 # States a transducer holds before it starts anew, and pieces a worker remembers of either
 # generation; neither changes a result.
 MAX_STATES = 150_000
 REMEMBERED = 250_000
 # Nodes with at most so many tokens below them tell tokens before them apart only by what may follow.
-CLASS_WIDTH = 32
+CLASS_WIDTH = 6
 ANY = -2
 # Bytes of text or of ids in one batch of a result.
 BATCH_BYTES = 4 << 20
@@ -249,6 +251,9 @@ class Encoder:
         self.old: dict[str, bytes] = {}
 
     def _learn(self, piece: str) -> bytes:
+        ids = self.young.get(piece)  # learned since, from the same text
+        if ids is not None:
+            return ids
         ids = self.old.get(piece)
         if ids is None:
             ids = array("i", self.transducer.encode(piece.encode())).tobytes()
@@ -375,6 +380,10 @@ def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with no_cycle_search():
+            yield from encoded_rows(batches)
+
+    def encoded_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _once("encoder", ranks, pattern)
         for batch in batches:
             texts = batch.column("text")
