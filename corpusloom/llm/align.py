@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import stored
+from corpusloom.llm.common import no_cycle_search, stored
 
 # Chunks a worker remembers of either generation, and the longest chunk remembered.
 REMEMBERED = 200_000
@@ -50,6 +50,9 @@ WIDE = 1 << 14
 # Rows of one block are consecutive rows of a partition; two to the power of this.
 BLOCK_BITS = 12
 
+# The record of a chunk whose tokens have other bytes than the chunk.
+UNLIKE = ()
+
 ALIGNED = "n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<long>, times array<long>"
 
 _cuts = re.compile(r"(?<=\S) (?=\S)").split
@@ -80,7 +83,7 @@ class ByteTokenizer:
                          if all(letter in letters for letter in entry)}
 
     def encode(self, text: str) -> list[int]:
-        return self.tokenizer.encode(" " + text, add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
 
 
 class PieceTokenizer:
@@ -119,16 +122,19 @@ def links_of(ids_a: list[int], ids_b: list[int]) -> tuple[list[int], list[int] |
             [m * n for m in counts_a.values() for n in counts_b.values()])
 
 
+def _sizes(bytes_of: dict[int, bytes]) -> list[int]:
+    return [len(bytes_of.get(rank, b"")) for rank in range(max(bytes_of) + 1)]
+
+
 class Aligner:
     """Aligns texts chunk by chunk, remembering the recent chunks."""
 
     def __init__(self, byte_file: str, piece_file: str, remembered: int = REMEMBERED):
         self.a, self.b = ByteTokenizer(byte_file), PieceTokenizer(piece_file)
-        self.sizes_a = {k: len(data) for k, data in self.a.bytes_of.items()}
-        self.sizes_b = {k: len(data) for k, data in self.b.bytes_of.items()}
+        self.sizes_a, self.sizes_b = _sizes(self.a.bytes_of), _sizes(self.b.bytes_of)
         self.remembered = remembered
-        self.young: dict[str, tuple | None] = {}
-        self.old: dict[str, tuple | None] = {}
+        self.young: dict[str, tuple] = {}
+        self.old: dict[str, tuple] = {}
 
     def _record(self, ids_a: list[int], ids_b: list[int], x: int, y: int, ends: list[tuple[int, int, int]]) -> tuple:
         """Numbers, groups and links of the tokens from ``x`` and ``y`` up to each of ``ends``."""
@@ -179,9 +185,9 @@ class Aligner:
         waiting, size = [], 0
         for chunk in chunks:
             # White space at an end does not stand beside another chunk, and U+2581 is B's space.
-            if chunk[:1].isspace() or chunk[-1:].isspace() or "▁" in chunk:
-                if not self._learn([chunk]):
-                    self.young[chunk] = None
+            if not chunk or chunk[0].isspace() or chunk[-1].isspace() or "▁" in chunk:
+                if not chunk or not self._learn([chunk]):
+                    self.young[chunk] = UNLIKE
                 continue
             waiting.append(chunk)
             size += len(chunk)
@@ -195,17 +201,23 @@ class Aligner:
         if not self._learn(chunks):
             for chunk in chunks:
                 if not self._learn([chunk]):
-                    self.young[chunk] = None
+                    self.young[chunk] = UNLIKE
+
 
     def align(self, texts: list[str]) -> list[tuple]:
         """Per text: numbers of A tokens, B tokens, groups and links, the groups, pairs and their times."""
-        cut = [([text] if not self.b.cuts else _cuts(text)) if text else [] for text in texts]
-        fresh = {chunk for chunks in cut for chunk in chunks if chunk not in self.young}
-        for chunk in [chunk for chunk in fresh if chunk in self.old]:
-            self.young[chunk] = self.old[chunk]
-            fresh.discard(chunk)
-        self._learn_all(sorted(fresh))
-        found = [self._joined([self.young[chunk] for chunk in chunks]) for chunks in cut]
+        cut = [[] if not text else _cuts(text) if self.b.cuts else [text] for text in texts]
+        known = [list(map(self.young.get, chunks)) for chunks in cut]
+        fresh = set()
+        for chunks, records in zip(cut, known):
+            if None in records:
+                fresh.update([chunk for chunk, record in zip(chunks, records) if record is None])
+        if fresh:
+            for chunk in [chunk for chunk in fresh if chunk in self.old]:
+                self.young[chunk] = self.old[chunk]
+            self._learn_all(sorted(chunk for chunk in fresh if chunk not in self.old))
+            known = [list(map(self.young.__getitem__, c)) if None in r else r for c, r in zip(cut, known)]
+        found = list(map(self._joined, known))
         for chunk in fresh:
             if len(chunk) > LONGEST:
                 del self.young[chunk]
@@ -215,7 +227,7 @@ class Aligner:
 
     @staticmethod
     def _joined(records: list) -> tuple:
-        if not records or None in records:
+        if not records or UNLIKE in records:
             none = np.zeros(0, np.int64)
             return 0, 0, 0, 0, "", none, none
         a, b, groups, links, texts, codes, times = zip(*records)
@@ -254,6 +266,10 @@ def align(docs: DataFrame, byte_file: str, piece_file: str) -> DataFrame:
     """
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with no_cycle_search():
+            yield from aligned_rows(batches)
+
+    def aligned_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(byte_file, piece_file)
         for batch in batches:
             texts, first = batch.column("text"), 0
