@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import itertools
 import os
 import uuid
 from collections.abc import Iterator
@@ -62,19 +63,31 @@ def bounded(df: DataFrame, limit: int) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+def fresh(name: str, *tables: DataFrame) -> str:
+    """``name``, or the first of ``name_1``, ``name_2``... that is no column of ``tables``, in any case of letters."""
+    taken = {column.lower() for df in tables for column in df.columns}
+    names = itertools.chain([name], (f"{name}_{k}" for k in itertools.count(1)))
+    return next(one for one in names if one.lower() not in taken)
+
+
 def sampled(rows: DataFrame, limit: int, by: str | None = None) -> DataFrame:
-    """At most ``limit`` rows of each value of ``by``, or of all rows, chosen by a hash of ``doc_id``.
+    """At most ``limit`` ids of each value of ``by``, or of all rows, chosen by a hash of ``doc_id``.
 
-    Rows are thinned by their hash to about four times the limit before they are ranked, so the
-    ranking of a value that has most of the rows is as small as any.  ``doc_id`` and ``by`` are
-    not null.
+    ``rows`` has ``doc_id`` and perhaps other columns, none null; equal rows count once.  Rows are
+    thinned by their hash to about four times the limit before they are made distinct and ranked,
+    so the ranking of a value that has most of the rows is as small as any, however often its rows
+    are repeated.  The numbers of ids are estimates; they only steer the thinning, whose margin is
+    far beyond their error.
     """
     laid = rows.withColumn("_place", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
+    ids, wide = F.approx_count_distinct("doc_id"), (1 << 40) * (4.0 * limit + 100)
     if by is None:
-        share = 4.0 * limit / max(1, rows.count())
-        return laid.where(F.col("_place") < (1 << 40) * share).orderBy("_place", "doc_id").limit(limit).drop("_place")
-    size = rows.groupBy(by).agg(F.count("*").alias("_n"))
-    thin = laid.join(size, by).where(F.col("_place") < (1 << 40) * (4.0 * limit / F.col("_n")))
+        share = wide / max(1, rows.agg(ids).first()[0])
+        return laid.where(F.col("_place") < share).distinct().orderBy("_place", "doc_id").limit(limit).drop("_place")
+    size = stored(rows.groupBy(by).agg(ids.alias("_n")), "sizes")
+    if bounded(size, BROADCAST_IDS):
+        size = F.broadcast(size)
+    thin = laid.join(size, by).where(F.col("_place") < wide / F.col("_n")).select(*laid.columns).distinct()
     rank = F.row_number().over(Window.partitionBy(by).orderBy("_place", "doc_id"))
     return thin.withColumn("_rank", rank).where(F.col("_rank") <= limit).select(*rows.columns)
 
@@ -87,7 +100,7 @@ def without(docs: DataFrame, removed: DataFrame, limit: int = BROADCAST_IDS) ->
     removed = stored(removed.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct(), "removed")
     if bounded(removed, limit):
         removed = F.broadcast(removed)
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_mark"))
+    same = docs["doc_id"].eqNullSafe(removed["_id"]) & (F.xxhash64(docs["text"]) == removed["_mark"])
     return docs.join(removed, same, "left_anti")
 
 

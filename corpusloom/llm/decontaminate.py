@@ -11,7 +11,7 @@ hash and the texts are scanned once per block, with the same result.
 A null text has no words and no hits.  Items without words have no window.  Rows with equal id and
 text share their hits; items are told apart by their id as text, and rows without item id hit
 words without counting as items.  An empty benchmark hits nothing.  Other columns pass through
-``decontaminate``; ``overlaps`` ignores them.
+``decontaminate``, whatever their names; ``overlaps`` ignores them.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import stored, without
+from corpusloom.llm.common import fresh, stored, without
 
 WINDOW = 13
 BROADCAST_WINDOWS = 500_000
@@ -142,21 +142,22 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
         raise ValueError("remove is 'documents' or 'spans'")
     found, _ = hits(docs, benchmark, window)
     spans = _spans(found).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "spans")
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_mark"))
+    same = docs["doc_id"].eqNullSafe(spans["_id"]) & (F.xxhash64(docs["text"]) == spans["_mark"])
+    split = fresh("_pieces", docs, spans)
     # Separators and words take turns; a piece is the separators before a word and the word.
     between = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
     pieces = F.regexp_extract_all("text", F.lit(f"[{between}]*+[^{between}]++"), F.lit(0))
     tail = F.regexp_extract("text", rf"[{between}]*+\z", 0)
     # Kept stretches of pieces lie between the end of all spans so far and the next span.
     kept = F.aggregate(
-        "spans", F.struct(F.array().cast("array<string>").alias("kept"), F.lit(0).alias("end")),
+        spans["spans"], F.struct(F.array().cast("array<string>").alias("kept"), F.lit(0).alias("end")),
         lambda s, x: F.struct(
-            F.when(x.a > s.end, F.array_append(s.kept, F.array_join(F.slice("_pieces", s.end + 1, x.a - s.end), "")))
+            F.when(x.a > s.end, F.array_append(s.kept, F.array_join(F.slice(split, s.end + 1, x.a - s.end), "")))
             .otherwise(s.kept).alias("kept"),
             F.greatest(s.end, x.b).alias("end")),
-        lambda s: F.concat(F.array_join(s.kept, ""), F.array_join(F.slice("_pieces", s.end + 1, F.size("_pieces")), "")),
+        lambda s: F.concat(F.array_join(s.kept, ""), F.array_join(F.slice(split, s.end + 1, F.size(split)), "")),
     )
     joined = docs.join(spans, same, "left")
-    cut = joined.withColumn("_pieces", F.when(F.col("spans").isNotNull(), pieces))
-    text = F.when(F.col("spans").isNull(), docs["text"]).otherwise(F.concat(kept, tail))
+    cut = joined.withColumn(split, F.when(spans["spans"].isNotNull(), pieces))
+    text = F.when(spans["spans"].isNull(), docs["text"]).otherwise(F.concat(kept, tail))
     return cut.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])

@@ -13,8 +13,9 @@ to a sequence, so that transitions are learnt from switches as well.  Of the fea
 twice at least, the ``MAX_FEATURES`` most frequent have weights.
 
 The prediction is ``und`` with score 0 if the text is null or has no letter, or if nothing could be
-learnt.  Rows with a null language are not learnt from.  Ties go to the first language by name.
-Other columns pass through, whatever their names.
+learnt.  Rows with a null language are not learnt from; of rows with equal id and language the
+first text is.  Ties go to the first language by name.  Other columns pass through, but for those
+named like the two results, which give way to them; ``predict`` takes other names for the results.
 """
 
 from __future__ import annotations
@@ -245,33 +246,31 @@ def train(docs: DataFrame, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS)
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
         & (F.length("text") <= max_chars) & F.col("text").rlike(r"\p{L}")
     )
-    # max_rows ids of each language at most, so they may be broadcast.
+    # max_rows ids of each language at most, so they may be broadcast; one text of each reaches the driver.
     sample = sampled(usable.select("doc_id", "lang"), max_rows, "lang")
-    texts = docs.select("doc_id", "text").where(F.length("text") <= max_chars)
-    rows = texts.join(F.broadcast(sample), "doc_id").toPandas()
-    rows = rows.sort_values(["doc_id", "lang", "text"], kind="stable").drop_duplicates(["doc_id", "lang"])
+    keys = ["doc_id", "lang"]
+    rows = usable.select(*keys, "text").join(F.broadcast(sample), keys).groupBy(*keys).agg(F.min("text").alias("text"))
+    rows = rows.toPandas().sort_values(keys, kind="stable")
     return fit(list(zip(rows["text"], rows["lang"])))
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``."""
-    clash = {"lang_pred", "score"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"the input already has columns {sorted(clash)}")
+def predict(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the language and its score in columns ``names``; input columns so named give way to them."""
+    docs = docs.drop(*names)
     sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.names, model.weights, model.switch))
-    schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    schema = docs.select("*", F.lit("").alias(names[0]), F.lit(0.0).alias(names[1])).schema
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*sent.value)
         for batch in batches:
-            names, scores = [], []
+            languages, scores = [], []
             for first in range(0, batch.num_rows, 1000):
                 some = model.predict(batch.column("text").slice(first, 1000).to_pylist())
-                names += some[0]
+                languages += some[0]
                 scores += some[1]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names, "lang_pred", "score"],
+                [*batch.columns, pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
+                names=[*batch.schema.names, *names],
             )
 
     return docs.mapInArrow(predicted, schema)

@@ -233,9 +233,11 @@ class Scanner:
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``matches``: an array of (license, first_line, n_lines, dice)."""
-    if "matches" in docs.columns:
-        raise ValueError("the input already has a column 'matches'")
+    """``docs`` with ``matches``: an array of (license, first_line, n_lines, dice).
+
+    An input column of that name gives way to it; other columns pass through.
+    """
+    docs = docs.drop("matches")
     chosen = default_templates() if templates is None else templates
     kind = pa.list_(pa.struct([("license", pa.string()), ("first_line", pa.int32()), ("n_lines", pa.int32()),
                                ("dice", pa.float64())]))

@@ -9,7 +9,8 @@ holds it and the exact table confirms it.
 
 Rows are documents: a repeated row counts again.  A null or empty text is one empty line, whose
 key has no code points and is never dropped.  An empty table gives an empty state.  Other columns
-of the input pass through, whatever their names.
+of the input pass through, but for those named ``kept_text``, ``n_lines`` or ``n_dropped``, which give
+way to the results.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import bounded, new_folder
+from corpusloom.llm.common import bounded, fresh, new_folder
 
 BLANKS = b" \t\n\x0b\x0c\r"
 MIN_CHARS = 1
@@ -207,7 +208,8 @@ class LineIndex:
         made.write.mode("overwrite").parquet(self._path("filters"))
 
     def apply(self, docs: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
-        """``docs`` with ``kept_text``, ``n_lines`` and ``n_dropped``."""
+        """``docs`` with ``kept_text``, ``n_lines`` and ``n_dropped``; input columns so named give way to them."""
+        docs = docs.drop("kept_text", "n_lines", "n_dropped")
         if bounded(self.repeated(), broadcast_keys):
             return _drop_by_broadcast(docs, self)
         return _drop_by_join(docs, self)
@@ -219,9 +221,6 @@ def _added(batch: pa.RecordBatch, kept: list, counts: list, dropped: list) -> pa
 
 
 def _result_schema(docs: DataFrame):
-    names = {"kept_text", "n_lines", "n_dropped"} & set(docs.columns)
-    if names:
-        raise ValueError(f"the input already has columns {sorted(names)}")
     plain = docs.select("*", F.lit("").alias("kept_text"), F.lit(0).cast("long").alias("n_lines"),
                         F.lit(0).cast("long").alias("n_dropped"))
     return plain.schema
@@ -286,9 +285,10 @@ def _drop_by_join(docs: DataFrame, index: LineIndex) -> DataFrame:
     lines = docs.select(mark.alias("mark"), "text").select("mark", F.explode(keys_of("text")).alias("key")).distinct()
     hits = lines.join(index.repeated(), "key").groupBy("mark").agg(F.collect_list("key").alias("keys"))
     hits = hits.withColumnRenamed("mark", "_mark").withColumnRenamed("keys", "_keys")
-    joined = docs.join(hits, mark == F.col("_mark"), "left")
-    done = joined.select(*[docs[c] for c in docs.columns], without(docs["text"], F.col("_keys")).alias("_done"))
-    return done.select(*docs.columns, "_done.kept_text", "_done.n_lines", "_done.n_dropped")
+    joined = docs.join(hits, mark == hits["_mark"], "left")
+    done = fresh("_done", docs)
+    made = joined.select(*[docs[c] for c in docs.columns], without(docs["text"], hits["_keys"]).alias(done))
+    return made.select(*docs.columns, *[f"{done}.{c}" for c in ("kept_text", "n_lines", "n_dropped")])
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,

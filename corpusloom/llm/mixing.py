@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import BROADCAST_IDS, bounded, held_out, sampled, stored
+from corpusloom.llm.common import BROADCAST_IDS, bounded, fresh, held_out, sampled, stored
 
 MAX_ROWS = 4_000
 MAX_CHARS = 20_000
@@ -121,11 +121,11 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_char
     """Fit on a bounded sample of the labelled rows that are not held out; ``labels`` has doc_id and domain."""
     usable = labels.where(F.col("domain").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     wanted = usable.groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    # max_rows ids at most, so they may be broadcast.
+    # max_rows ids at most, so they may be broadcast; one text of each reaches the driver.
     sample = sampled(wanted, max_rows)
     texts = docs.select("doc_id", "text").where(F.length("text") <= max_chars)
-    rows = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "domain").toPandas()
-    rows = rows.sort_values(["doc_id", "text"], kind="stable").drop_duplicates("doc_id")
+    rows = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "domain").agg(F.min("text").alias("text"))
+    rows = rows.toPandas().sort_values("doc_id", kind="stable")
     return fit(list(zip(rows["text"], rows["domain"])))
 
 
@@ -232,13 +232,13 @@ def with_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | N
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, total: float | None = None) -> DataFrame:
-    """Each row of ``docs`` as often as its rate says."""
+    """Each row of ``docs`` as often as its rate says; other columns pass through, whatever their names."""
     rated = stored(with_rates(docs, labels, targets, total).select("doc_id", "mark", "copies").distinct(), "copies")
     changed = rated.where("copies != 1").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "copies")
     if bounded(changed, BROADCAST_IDS):
         changed = F.broadcast(changed)
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_mark"))
-    copies = F.coalesce("copies", F.lit(1))
+    same = docs["doc_id"].eqNullSafe(changed["_id"]) & (F.xxhash64(docs["text"]) == changed["_mark"])
+    copies, each = F.coalesce(changed["copies"], F.lit(1)), fresh("_copy", docs)
     joined = docs.join(changed, same, "left").where(copies > 0)
-    repeated = F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy")
-    return joined.select(*[docs[c] for c in docs.columns], repeated).drop("_copy")
+    repeated = F.explode(F.array_repeat(F.lit(0), copies)).alias(each)
+    return joined.select(*[docs[c] for c in docs.columns], repeated).drop(each)

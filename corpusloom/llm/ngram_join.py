@@ -37,6 +37,7 @@ from corpusloom.llm.common import (
     BROADCAST_IDS,
     bounded,
     byte_slices,
+    fresh,
     group_starts,
     join_parallelism,
     spanning,
@@ -375,8 +376,9 @@ def one_per_class(docs: DataFrame, width: int = WIDTH, over: int = OVER, of: int
         return kept
     # Repeats are told by id and a digest of the text, one row of each; rows without id are left alone.
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
-    single = kept.where("doc_id IS NOT NULL").withColumn("_digest", digest).dropDuplicates(["doc_id", "_digest"])
-    return single.drop("_digest").unionByName(kept.where("doc_id IS NULL"))
+    name = fresh("_digest", docs)
+    single = kept.where("doc_id IS NOT NULL").withColumn(name, digest).dropDuplicates(["doc_id", name])
+    return single.drop(name).unionByName(kept.where("doc_id IS NULL"))
 
 
 def _whole_sets(docs: DataFrame, members: DataFrame, width: int, over: int, of: int) -> DataFrame:

@@ -33,6 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom.llm.common import no_cycle_search
+
 LENGTH = 2048
 BATCH_ROWS = 256
 SHARD_BYTES = 32 << 20
@@ -247,7 +249,11 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
             system.move(own, shard_name(root, shard))
 
     index = f"{folder}/index"
-    laid.select("doc_id", "text").mapInArrow(encoded, INDEX).write.mode("overwrite").parquet(index)
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with no_cycle_search():
+            yield from encoded(batches)
+
+    laid.select("doc_id", "text").mapInArrow(kept, INDEX).write.mode("overwrite").parquet(index)
     return spark.read.schema(INDEX).parquet(index)
 
 

@@ -11,7 +11,8 @@ by a hash of their id; scoring reads every whole text.
 
 A null or empty text has no features and scores by the bias alone.  Rows with a null label are not
 learnt from; of repeated labels of one document the highest counts.  Without labelled rows the
-score is 0.5, with one class only that class.  Other columns pass through, whatever their names.
+score is 0.5, with one class only that class.  Other columns pass through; one named like the result
+gives way to it, and ``score`` takes another name for the result.
 """
 
 from __future__ import annotations
@@ -177,27 +178,26 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_char
     """Fit on a bounded sample of the rows that are not held out."""
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     wanted = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    # max_rows ids at most, so they may be broadcast.
+    # max_rows ids at most, so they may be broadcast; one text of each reaches the driver.
     sample = sampled(wanted, max_rows)
     texts = docs.select("doc_id", "text").where(F.length("text") <= max_chars)
-    rows = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic").toPandas()
-    rows = rows.sort_values(["doc_id", "text"], kind="stable").drop_duplicates("doc_id")
+    rows = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    rows = rows.toPandas().sort_values("doc_id", kind="stable")
     return fit(zip(rows["text"], rows["toxic"].astype(int)))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score`` between 0 and 1."""
-    if "score" in docs.columns:
-        raise ValueError("the input already has a column 'score'")
+def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """``docs`` with a column ``name`` between 0 and 1; an input column of that name gives way to it."""
+    docs = docs.drop(name)
     sent = docs.sparkSession.sparkContext.broadcast((model.chosen, model.present, model.rate, model.bias))
-    schema = docs.select("*", F.lit(0.0).alias("score")).schema
+    schema = docs.select("*", F.lit(0.0).alias(name)).schema
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*sent.value)
         for batch in batches:
             found = [model.score(text.as_py() or "") for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, "score"]
+                [*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, name]
             )
 
     return docs.mapInArrow(scored, schema)
