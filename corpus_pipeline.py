@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import decontaminate, language, mixing, ngram_join, tokens
-from corpusloom.llm.common import new_folder, stored, table
+from corpusloom.llm.common import fresh, new_folder, stored, table
 from corpusloom.llm.queries import default_tokenizer
 
 # A text in which no language holds this share of the words is rejected.
@@ -21,8 +21,9 @@ MIN_SCORE = 0.3
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.train(docs)
-    found = language.predict(docs, model)
-    sure = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_SCORE)
+    found_lang, score = fresh("lang_pred", docs), fresh("score", docs)
+    found = language.predict(docs, model, (found_lang, score))
+    sure = (F.col(found_lang) != language.UNKNOWN) & (F.col(score) >= MIN_SCORE)
     return found.where(sure).select(*docs.columns)
 
 
