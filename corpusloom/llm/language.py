@@ -21,6 +21,7 @@ named like the two results, which give way to them; ``predict`` takes other name
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -163,22 +164,26 @@ def fit(rows: list[tuple[str, str]], epochs: int = 3, rate: float = 0.2) -> Mode
     sequences = _sequences([(text, label[language]) for text, language in rows], random)
     words = Counter(word for sequence, _ in sequences for word in sequence)
     seen: Counter = Counter()
-    named = {word: features(word) for word in words}
-    for word, names in named.items():
-        for name in set(names):
-            seen[name] += words[word]
+    for word, n in words.items():
+        for name in set(features(word)):
+            seen[name] += n
     # The lexicon and the n-grams are what occurs twice at least, the most frequent first.
-    chosen = [name for name, n in sorted(seen.items(), key=lambda x: (-x[1], x[0])) if n > 1][:MAX_FEATURES]
-    names = {name: at for at, name in enumerate(chosen)}
+    often = sorted((-n, name) for name, n in seen.items() if n > 1)[:MAX_FEATURES]
+    del seen
+    names = {name: at for at, (_, name) in enumerate(often)}
     number = {word: at for at, word in enumerate(words)}
-    held = [np.array([names[n] for n in found if n in names], np.int64) for found in named.values()]
-    owner = np.repeat(np.arange(len(held)), [len(h) for h in held])
-    column = np.concatenate(held) if held else np.zeros(0, np.int64)
-    start = np.concatenate([[0], np.cumsum([len(h) for h in held])])
+    # Features are named again here rather than kept, as names take far more of the driver than numbers.
+    flat, start = array("q"), [0]
+    for word in words:
+        flat.extend(names[n] for n in features(word) if n in names)
+        start.append(len(flat))
+    column, start = np.array(flat, np.int64), np.array(start)
+    owner = np.repeat(np.arange(len(words)), np.diff(start))
     k = len(languages)
     weights, switch = np.zeros((len(names), k)), np.zeros((k, k))
     squares, switch_squares = np.full((len(names), k), 1e-6), np.full((k, k), 1e-6)
     coded = [(np.array([number[w] for w in ws]), np.array(ys)) for ws, ys in sequences]
+    del sequences, words, number
     batch = 400
     for _ in range(epochs):
         order = random.permutation(len(coded))
