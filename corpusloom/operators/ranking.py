@@ -11,6 +11,8 @@ a table of one row per stratum, which is joined to the rows: by broadcast where
 strata is known or checked to be small, else by stratum and a salt, so that a stratum of any
 size is spread.  Building a frame starts no job but that check.
 
+``numbered`` gives every row its place in one order of the whole table, for tables of distinct keys.
+
 ``value_cuts`` does the same for arbitrary numbers, from approximate quantiles that bracket
 the exact ones.
 """
@@ -24,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import seeded_key
+from corpusloom.session import materialize
 
 # Hex digits of the key that name a bucket: up to 65 536 buckets per stratum.
 DIGITS = 4
@@ -48,6 +51,34 @@ def few_strata(keyed: DataFrame) -> bool:
     return keyed.select("stratum").distinct().limit(BROADCAST_STRATA + 1).count() <= BROADCAST_STRATA
 
 
+def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Add the place of every row, from 1, in ``order``, which tells all rows apart.
+
+    The table is cut into ranges of that order and stored once with the number of each range;
+    places within a range are counted in its own task, and the rows of all ranges before it, one
+    number per range, are added.  No task sees more than a range.
+    """
+    laid = materialize(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    counts, before, done = laid.groupBy("_range").count().collect(), [], 0
+    for row in sorted(counts):
+        before.append((row["_range"], done))
+        done += row["count"]
+    offsets = df.sparkSession.createDataFrame(before, "_range int, _before long")
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    placed = laid.join(F.broadcast(offsets), "_range").withColumn(name, F.col("_before") + inside)
+    return placed.drop("_range", "_before")
+
+
+def salted_join(df: DataFrame, table: DataFrame, key: str, few: bool) -> DataFrame:
+    """``df`` left-joined with ``table``, which has one row per ``key``: by broadcast, or by key and salt."""
+    if few:
+        return df.join(F.broadcast(table), key, "left")
+    hashed = [F.col(c) for c, kind in df.dtypes if "map<" not in kind and kind != "variant"]
+    rows = df.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(SALTS)).cast("int"))
+    spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(spread, [key, "_salt"], "left").drop("_salt")
+
+
 def stratum_sizes(keyed: DataFrame) -> DataFrame:
     """``(stratum, n)``."""
     return keyed.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))

@@ -7,6 +7,7 @@ once.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,10 +19,12 @@ from corpusloom.operators.ranking import (
     few_strata,
     keyed_rows,
     keys_at,
+    numbered,
     stratum_sizes,
     take_per_stratum,
     with_limits,
 )
+from corpusloom.session import materialize
 
 
 def balance_classes(
@@ -92,8 +95,8 @@ def _held_out(fraction: float, n: Column) -> Column:
 def apportion(df: DataFrame, size: str, draws: Column, name: str) -> DataFrame:
     """Add a share of ``draws`` for each stratum in proportion to ``size``, by largest remainder.
 
-    Ties go by stratum name.  ``df`` has one row per stratum, not per row, so its windows are
-    over all of it.
+    Ties go by stratum name.  ``df`` has one row per stratum, not per row, and few of them, so its
+    windows are over all of it.
     """
     every = Window.partitionBy(F.lit(0))
     product = F.col(size).cast("decimal(19,0)") * F.col("_draws").cast("decimal(19,0)")
@@ -123,6 +126,30 @@ def three_way_sizes(sizes: DataFrame, train_ratio: float = 0.8, val_ratio: float
     return apportion(parts, "_left", draws, "val").drop("_left")
 
 
+def apportion_many(df: DataFrame, size: str, draws: int, name: str) -> DataFrame:
+    """As ``apportion`` for any number of strata: their order of remainders is cut into ranges."""
+    total = max(df.agg(F.sum(size)).first()[0] or 0, 1)
+    whole = F.lit(total).cast("decimal(19,0)")
+    product = F.col(size).cast("decimal(19,0)") * F.lit(draws).cast("decimal(19,0)")
+    shared = df.withColumn("_rest", product % whole).withColumn(
+        "_floor", ((product - F.col("_rest")) / whole).cast("bigint"))
+    placed = numbered(shared, [F.col("_rest").desc(), F.col("stratum")], "_place")
+    spare = draws - (placed.agg(F.sum("_floor")).first()[0] or 0)
+    share = F.col("_floor") + (F.col("_place") <= spare).cast("bigint")
+    return placed.withColumn(name, share).drop("_rest", "_floor", "_place")
+
+
+def three_way_sizes_many(sizes: DataFrame, train_ratio: float = 0.8, val_ratio: float = 0.1) -> DataFrame:
+    """As ``three_way_sizes`` for any number of strata; runs jobs over the table of sizes."""
+    test_ratio = 1.0 - train_ratio - val_ratio
+    sizes = materialize(sizes)
+    n = sizes.agg(F.sum("n")).first()[0] or 0
+    held = math.ceil((val_ratio + test_ratio) * n)
+    parts = apportion_many(sizes, "n", n - held, "train").withColumn("_left", F.col("n") - F.col("train"))
+    draws = held - math.ceil(test_ratio / (val_ratio + test_ratio) * held)
+    return apportion_many(parts, "_left", draws, "val").drop("_left")
+
+
 def stratified_split(
     df: DataFrame,
     label: str = "urgency_level",
@@ -130,17 +157,24 @@ def stratified_split(
     train_ratio: float = 0.8,
     val_ratio: float = 0.1,
     seed: int = K.SEED,
+    few: bool | None = None,
 ) -> DataFrame:
-    """Add ``split``: train, val or test, in the same proportions within every label."""
+    """Add ``split``: train, val or test, in the same proportions within every label.
+
+    ``few`` says whether the labels are few enough for one task and a broadcast; it is checked
+    where it is not given, and changes no result.
+    """
     stratum, key = F.col(label), seeded_key(seed, F.col(row_id))
     keyed = keyed_rows(df, stratum, key)
-    shares = three_way_sizes(stratum_sizes(keyed), train_ratio, val_ratio)
+    few = few_strata(keyed) if few is None else few
+    shared = three_way_sizes if few else three_way_sizes_many
+    shares = shared(stratum_sizes(keyed), train_ratio, val_ratio)
     last = F.array(
         F.struct(F.lit("train").alias("cut"), F.col("train").alias("rank")),
         F.struct(F.lit("val").alias("cut"), (F.col("train") + F.col("val")).alias("rank")),
     )
     found = keys_at(keyed, shares.select("stratum", F.inline(last)))
-    limited = with_limits(df, found, ["train", "val"], stratum, key, few_strata(keyed))
+    limited = with_limits(df, found, ["train", "val"], stratum, key, few)
     split = F.when(F.col("_key") <= F.col("_upto_train"), "train").when(F.col("_key") <= F.col("_upto_val"), "val")
     return limited.select(*df.columns, split.otherwise("test").alias("split"))
 

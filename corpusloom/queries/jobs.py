@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusloom.operators import evaluation, sampling, stats
+from corpusloom.operators import evaluation, labeling, sampling, stats
 from corpusloom.operators.labeling import label_with
 from corpusloom.operators.scoring import score_table
 from corpusloom.queries import bindings as B
@@ -135,7 +135,17 @@ def sample_many_strata(spark, folder):
 
 
 def split_many_strata(spark, folder):
-    return sampling.stratified_split(_orders(spark, folder))
+    """The form for any number of strata."""
+    return sampling.stratified_split(_orders(spark, folder), few=False)
+
+
+def label_encode_many(spark, folder):
+    """A class per customer, found and undone by a table of codes."""
+    rows = _orders(spark, folder)
+    codes = labeling.label_codes(rows, "urgency_level")
+    coded = labeling.encode_with(rows, "urgency_level", codes)
+    named = codes.withColumnRenamed("urgency_level", "decoded")
+    return labeling.decode_with(coded, "label_id", named)
 
 
 _STRATA = "levelled AS (SELECT o_orderkey AS id, o_custkey::VARCHAR AS urgency_level FROM orders)"
@@ -191,6 +201,11 @@ QUERIES = {
               SELECT *, row_number() OVER (PARTITION BY urgency_level ORDER BY {KEY}) AS r FROM levelled)
             SELECT id, urgency_level FROM ranked WHERE r <= 2""",
     ),
+    "label_encode_many": (
+        label_encode_many,
+        f"""WITH {_STRATA} SELECT id, urgency_level, urgency_level AS decoded,
+              (dense_rank() OVER (ORDER BY urgency_level) - 1)::INTEGER AS label_id FROM levelled""",
+    ),
     "split_many_strata": (
         split_many_strata, SPLIT_SQL.format(rows=f"WITH {_STRATA}") + " SELECT id, urgency_level, split FROM splitted",
     ),

@@ -110,6 +110,24 @@ def test_encode_and_decode(spark, values):
     assert values(back.where("id < 4").where("l <> back")) == []
 
 
+@pytest.mark.parametrize("limit", [0, 100])
+def test_codes_of_many_labels(spark, values, monkeypatch, limit):
+    """Two thousand labels, one of them on a third of the rows; by salt and by broadcast."""
+    monkeypatch.setattr(labeling, "BROADCAST_STRATA", limit * 100)
+    hot = "é hot"
+    rows = [(k, hot if k % 3 == 0 else f"label {k % 2000}", 0) for k in range(6000)] + [(9999, None, 0)]
+    df = spark.createDataFrame(rows, "id int, l string, label_id int")
+    codes = labeling.label_codes(df, "l")
+    seen = sorted({label for _, label, _ in rows if label})
+    assert {r.l: r.label_id for r in codes.collect()} == {label: at for at, label in enumerate(seen)}
+    coded = labeling.encode_with(df, "l", codes)
+    assert coded.columns == ["id", "l", "label_id"]
+    assert {r.id: r.label_id for r in coded.collect()} == {i: seen.index(label) if label else None for i, label, _ in rows}
+    back = labeling.decode_with(coded.drop("l"), "label_id", codes)
+    assert {r.id: r.l for r in back.collect()} == {i: label for i, label, _ in rows}
+    assert hot not in coded._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
+
+
 def test_label_with_a_pandas_udf(spark, values):
     import pandas as pd
 

@@ -90,6 +90,30 @@ def test_three_way_sizes(spark, sizes):
     table = spark.createDataFrame(list(sizes.items()), "stratum string, n bigint")
     got = {r.stratum: (r.train, r.val) for r in sampling.three_way_sizes(table).collect()}
     assert got == three_way(sizes)
+    many = {r.stratum: (r.train, r.val) for r in sampling.three_way_sizes_many(table).collect()}
+    assert many == got
+
+
+def test_sizes_of_no_strata(spark):
+    assert sampling.three_way_sizes_many(spark.createDataFrame([], "stratum string, n bigint")).collect() == []
+
+
+def test_split_of_many_strata_orders_no_table_in_one_task(spark):
+    rows = spark.range(900).select("id", (F.col("id") % 301).cast("string").alias("urgency_level"))
+    few, many = (sampling.stratified_split(rows, few=few) for few in (True, False))
+    assert sorted(few.collect()) == sorted(many.collect())
+    plan = many._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
+    assert "SinglePartition" not in plan and "SinglePartition" in few._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
+
+
+def test_numbered(spark):
+    """Places in a total order, descending first, over more ranges than rows and over ties of the first column."""
+    rows = [(k % 7, f"n{k:03}") for k in range(500)]
+    expected = {row: at for at, row in enumerate(sorted(rows, key=lambda r: (-r[0], r[1])), 1)}
+    table = spark.createDataFrame(rows, "a int, b string").repartition(5)
+    got = ranking.numbered(table, [F.col("a").desc(), F.col("b")], "place")
+    assert got.columns == ["a", "b", "place"] and {(r.a, r.b): r.place for r in got.collect()} == expected
+    assert ranking.numbered(table.limit(0), [F.col("a"), F.col("b")], "place").count() == 0
 
 
 def test_sizes_of_published_splits():
