@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import held_out, sampled
+from corpusloom.llm.common import held_out, returning, sampled
 
 MAX_ROWS = 400
 MAX_CHARS = 20_000
@@ -278,7 +278,7 @@ def predict(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred"
                 names=[*batch.schema.names, *names],
             )
 
-    return docs.mapInArrow(predicted, schema)
+    return docs.mapInArrow(returning(predicted), schema)
 
 
 def word_languages(text: str, model: Model) -> list[tuple[str, str, float]]:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import BROADCAST_IDS, bounded, fresh, held_out, sampled, stored
+from corpusloom.llm.common import BROADCAST_IDS, bounded, fresh, held_out, returning, sampled, stored
 
 MAX_ROWS = 4_000
 MAX_CHARS = 20_000
@@ -144,7 +144,7 @@ def memberships(docs: DataFrame, model: Model) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), "text")
-    return rows.mapInArrow(predicted, "doc_id long, mark long, n_tokens long, p array<double>")
+    return rows.mapInArrow(returning(predicted), "doc_id long, mark long, n_tokens long, p array<double>")
 
 
 def rates_of(p: np.ndarray, residuals: list[np.ndarray], mu: float) -> np.ndarray:

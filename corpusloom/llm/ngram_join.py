@@ -40,6 +40,7 @@ from corpusloom.llm.common import (
     fresh,
     group_starts,
     join_parallelism,
+    returning,
     spanning,
     stored,
     texts_of,
@@ -80,7 +81,7 @@ def sets_of(docs: DataFrame, width: int, over: int, of: int, whole: bool) -> Dat
                 )
 
     schema = "doc_id long, mark long, n long, lo long, hi long, elements array<long>"
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), "text").mapInArrow(made, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), "text").mapInArrow(returning(made), schema)
 
 
 def _groups(sets: DataFrame, reps: DataFrame, over: int, of: int) -> DataFrame:

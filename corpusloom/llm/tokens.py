@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import no_cycle_search
+from corpusloom.llm.common import no_cycle_search, returning
 
 LENGTH = 2048
 BATCH_ROWS = 256
@@ -253,7 +253,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
         with no_cycle_search():
             yield from encoded(batches)
 
-    laid.select("doc_id", "text").mapInArrow(kept, INDEX).write.mode("overwrite").parquet(index)
+    laid.select("doc_id", "text").mapInArrow(returning(kept), INDEX).write.mode("overwrite").parquet(index)
     return spark.read.schema(INDEX).parquet(index)
 
 
@@ -325,4 +325,4 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
 
     laid = index.select(*columns).repartition("shard").sortWithinPartitions("shard", "shard_start")
     schema = "shard int, doc_id long, shard_start long, n_tokens long, start long, ids_crc32 long"
-    return laid.mapInArrow(checked, schema)
+    return laid.mapInArrow(returning(checked), schema)
