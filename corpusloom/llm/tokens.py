@@ -61,7 +61,8 @@ class Encoder:
     are encoded whole, as are all texts under a tokenizer of another kind.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        self.remembered = remembered
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -106,7 +107,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.old, self.known = self.known, {}
         found: list = [None] * len(texts)
         whole, cut, fresh = [], [], set()
@@ -134,12 +135,12 @@ class Encoder:
         return found
 
 
-def _encoder(path: str) -> Encoder:
+def _encoder(path: str, remembered: int) -> Encoder:
     """One encoder per worker process and tokenizer file."""
-    if path not in _STATE:
+    if (path, remembered) not in _STATE:
         _STATE.clear()
-        _STATE[path] = Encoder(path)
-    return _STATE[path]
+        _STATE[path, remembered] = Encoder(path, remembered)
+    return _STATE[path, remembered]
 
 
 def _layout(length: int, wide: bool) -> pa.Schema:
@@ -201,10 +202,11 @@ def _file_system(folder: str) -> tuple[fs.FileSystem, str]:
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
-                 length: int = LENGTH, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                 length: int = LENGTH, shard_bytes: int = SHARD_BYTES, remembered: int = REMEMBERED) -> DataFrame:
     """Encode ``docs`` into shards under ``folder``; the stored index, one row per document.
 
-    ``tokenizer`` is the path of a tokenizer file that all executors have.
+    ``tokenizer`` is the path of a tokenizer file that all executors have.  ``remembered`` trades
+    the memory of a worker (some 200 bytes a piece, twice) for time and changes no result.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -218,7 +220,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        shard, encoder = task.partitionId(), _encoder(tokenizer)
+        shard, encoder = task.partitionId(), _encoder(tokenizer, remembered)
         system, root = _file_system(folder)
         end = np.array([end_id], "<u4").tobytes()
         writer, start = None, 0
