@@ -17,6 +17,8 @@ from corpusloom.llm.queries import default_tokenizer
 
 # A text in which no language holds this share of the words is rejected.
 MIN_SCORE = 0.3
+# The last stage runs in workers and executors that four stages have used before it.
+REMEMBERED = 100_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "tokens")
-    tokens.write_tokens(docs, folder, default_tokenizer())
+    tokens.write_tokens(docs, folder, default_tokenizer(), remembered=REMEMBERED)
     return tokens.read_documents(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
