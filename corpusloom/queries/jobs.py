@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusloom.operators import evaluation, labeling, sampling, stats
+from corpusloom.operators import evaluation, labeling, sampling, sketches, stats, term_table
 from corpusloom.operators.labeling import label_with
 from corpusloom.operators.scoring import score_table
 from corpusloom.queries import bindings as B
@@ -148,6 +148,25 @@ def label_encode_many(spark, folder):
     return labeling.decode_with(coded, "label_id", named)
 
 
+def lexicon_table(spark, folder):
+    """In how many documents each word of the conversations and the benchmark occurs, anywhere in the text."""
+    texts = B.table(spark, folder, "conversations").select("text").unionAll(B.table(spark, folder, "benchmark").select("text"))
+    terms = texts.select(F.explode(F.split("text", "[ \n]")).alias("term")).where("length(term) >= 4").distinct()
+    found = term_table.term_hits(B.documents(spark, folder).select("doc_id", "text"), F.col("text"), terms)
+    return found.select(F.inline("hits")).groupBy("term").agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+def length_sketch(spark, folder):
+    """Lengths sketched per language and source, stored, merged per language, and held against the exact ranks."""
+    path = new_folder(spark)
+    rows = B.documents(spark, folder).select("lang", "source", F.length("text").alias("n"))
+    sketches.sketch_lengths(rows, "n", ["lang", "source"]).write.parquet(path)
+    whole = sketches.merge_sketches(spark.read.parquet(path), ["lang"])
+    errors = sketches.rank_errors(rows, "n", ["lang"], sketches.sketch_quantiles(whole, ["lang"]))
+    within = F.col("error") <= 2 * sketches.rank_error()
+    return errors.select("lang", F.col("n").alias("n_rows"), "low", "high", "share", within.alias("within"))
+
+
 _STRATA = "levelled AS (SELECT o_orderkey AS id, o_custkey::VARCHAR AS urgency_level FROM orders)"
 
 QUERIES = {
@@ -201,6 +220,20 @@ QUERIES = {
               SELECT *, row_number() OVER (PARTITION BY urgency_level ORDER BY {KEY}) AS r FROM levelled)
             SELECT id, urgency_level FROM ranked WHERE r <= 2""",
     ),
+    "lexicon_table": (
+        lexicon_table,
+        """WITH words AS (SELECT text FROM conversations UNION ALL SELECT text FROM benchmark),
+           terms AS (SELECT DISTINCT term FROM (SELECT unnest(string_split_regex(text, '[ \n]')) AS term FROM words)
+                     WHERE length(term) >= 4)
+           SELECT term, count(*) AS n_docs FROM terms JOIN documents ON contains(text, term) GROUP BY term""",
+    ),
+    "length_sketch": (
+        length_sketch,
+        """SELECT lang, n_rows, low, high, share, true AS within
+           FROM (SELECT lang, count(text) AS n_rows, min(length(text)) AS low, max(length(text)) AS high
+                 FROM documents GROUP BY lang HAVING count(text) > 0),
+                (SELECT unnest([0.5, 0.75, 0.9, 0.95, 0.99]::DOUBLE[]) AS share)""",
+    ),
     "label_encode_many": (
         label_encode_many,
         f"""WITH {_STRATA} SELECT id, urgency_level, urgency_level AS decoded,

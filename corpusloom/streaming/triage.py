@@ -70,26 +70,44 @@ def start_triage_stream(
 ) -> list[StreamingQuery]:
     """Answer JSON requests as files arrive; rejected requests go to a sink of their own.
 
-    Two queries with one checkpoint each: the file sinks commit a batch once, also when it
-    is retried after a failure.
+    One query: a batch is read once and both sinks are written from it, each into the folder
+    ``batch_id=<id>``.  A batch repeated after a failure replaces what it wrote before, so the
+    sinks agree on every batch and no request is answered twice.
     """
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    requests = reader.json(source)
-    outputs = {
-        "answers": (triage(requests, scorer_factory, model, text), answers),
-        "rejects": (rejected(requests, text), rejects),
-    }
-    started = []
-    for name, (table, path) in outputs.items():
-        writer = (
-            table.writeStream.queryName(f"triage_{name}")
-            .format("parquet")
-            .outputMode("append")
-            .option("checkpointLocation", os.path.join(checkpoints, name))
-        )
-        if available_now:
-            writer = writer.trigger(availableNow=True)
-        started.append(writer.start(path))
-    return started
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, batch_id, answers, rejects, scorer_factory, model, text)
+
+    writer = (
+        reader.json(source)
+        .writeStream.queryName("triage")
+        .foreachBatch(write)
+        .option("checkpointLocation", os.path.join(checkpoints, "triage"))
+    )
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return [writer.start()]
+
+
+def write_batch(
+    batch: DataFrame,
+    batch_id: int,
+    answers: str,
+    rejects: str,
+    scorer_factory: Callable[[], Scorer],
+    model: str,
+    text: str = "symptoms",
+) -> None:
+    """Write the answers and the rejected requests of one batch under its id, replacing those of an earlier try."""
+    requests = batch.persist()
+    try:
+        for table, path in (
+            (triage(requests, scorer_factory, model, text), answers),
+            (rejected(requests, text), rejects),
+        ):
+            table.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
+    finally:
+        requests.unpersist()

@@ -206,6 +206,24 @@ def test_stream_agrees_with_the_table_and_survives_a_restart(
     assert values(spark.read.parquet(str(tmp_path / "rejects")), "id") == [("r2",), ("r4",), ("r6",)]
 
 
+def test_a_repeated_batch_replaces_itself(spark, rows, tmp_path, values, scorer_factory):
+    schema = "id string, symptoms string"
+    answers, rejects = str(tmp_path / "answers"), str(tmp_path / "rejects")
+
+    def written():
+        return values(spark.read.parquet(answers), "id", "batch_id"), values(spark.read.parquet(rejects), "id", "batch_id")
+
+    T.write_batch(rows(REQUESTS[:3], schema), 0, answers, rejects, scorer_factory, "m1")
+    T.write_batch(rows(REQUESTS[3:], schema), 1, answers, rejects, scorer_factory, "m1")
+    first = written()
+    assert first[0] == [("r1", 0), ("r3", 0), ("r5", 1)] and first[1] == [("r2", 0), ("r4", 1), ("r6", 1)]
+    # The second sink of batch 1 fails after the first was written; the batch comes again.
+    with pytest.raises(Exception):
+        T.write_batch(rows(REQUESTS[3:], schema), 1, answers, "nosuchfs://x", scorer_factory, "m1")
+    T.write_batch(rows(REQUESTS[3:], schema), 1, answers, rejects, scorer_factory, "m1")
+    assert written() == first
+
+
 def test_sources_without_ids_and_failed_sources(spark, tmp_path, values):
     words = " ".join(["word"] * 25)
     rows = [("t", f"question {i} {['stroke', 'vaccine', 'nothing'][i % 3]}", f"{words} {i}") for i in range(30)]
