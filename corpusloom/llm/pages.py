@@ -13,8 +13,9 @@ tokens within a class is not compared.
 The content is what lies below the template's ``article`` or ``main`` elements, else below the
 elements with the most text that is not linked; menus, headers, footers, sidebars, notices, adverts,
 forms and comments in there do not count, by element or by class and id, except for the header of a
-content element.  A compound name counts only if all of it says so (``site-header``, not
-``has-sidebar``).  A form, or a name, does not rule out what holds the only content elements or most
+content element.  A compound name counts if all of it says so (``site-header``, not ``has-sidebar``);
+below the content one piece of it is enough for adverts and comments (``comment-body``, ``adSlot``), and
+for shared links and notices that are linked or come last (``related-posts``).  A form, or a name, does not rule out what holds the only content elements or most
 of the unlinked text.
 
 Character references are decoded, white space within a block becomes one space (a line break
@@ -64,7 +65,17 @@ PLACES = frozenset(
     "area bar block bottom box bottombar container fixed global inner left list main outer primary right row secondary "
     "section site sticky top wrap wrapper".split()
 )
+# Pieces of compound names below the content: adverts and comments wherever they stand, the rest if
+# linked or after the text.
+APART = frozenset(
+    "ad ads adsbygoogle advert advertisement advertising comment comments commentlist newsletter sponsor sponsored".split()
+)
+AFTER = frozenset(
+    "breadcrumb breadcrumbs cookie cookies pagination promo promotion related share sharing social subscribe".split()
+)
+NEGATIONS = frozenset("has have hide no non not open with without".split())
 CONTENT = frozenset(["article", "main"])
+PARTS = frozenset("blockquote dd dl dt figcaption figure h1 h2 h3 h4 h5 h6 li ol p pre table tbody thead tr ul".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu "
     "nav ol p pre section table ul".split()
@@ -72,21 +83,94 @@ CLOSES_P = frozenset(
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
             "th": {"td", "th"}, "option": {"option"}}
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|textarea|title|noscript|iframe)\b[^>]*>(.*?)(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*>|[^<]+|<",
-    re.S | re.I,
-)
+# Elements whose content is no markup.
+RAW = frozenset("script style textarea title noscript iframe".split())
+# Elements nested deeper than this count as siblings, as browsers have it.
+DEPTH = 512
+NAME_CHARS = 256
+
+_RAW_OPEN = re.compile(rf"<({'|'.join(sorted(RAW))})\b", re.I)
+_RAW_CLOSE = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
+_TAG_OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile("[>\"']")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _BLANKS = re.compile(r"\s+")
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
+
+
+def tokens_of(page: str) -> Iterator[tuple[str, str, bool, str]]:
+    """``(kind, text or tag, closing, attributes)`` in page order; kinds are text, raw and tag.
+
+    Time is linear in the page, whatever its markup.  A tag ends at the first ``>`` outside
+    attribute values in quotes, or at the first one at all if a quote stays open.
+    """
+    at, size, last = 0, len(page), page.rfind(">")
+    open_quotes: set[int] = set()  # quotes from which no end of a tag is found
+
+    def end_of_tag(start: int) -> int:
+        seen, here = [], start
+        while here <= last:
+            stop = _STOP.search(page, here).start()
+            if page[stop] == ">":
+                return stop
+            here = stop + 1
+            if not page[max(start, stop - 64) : stop].rstrip().endswith("="):
+                continue  # not the quote of a value
+            seen.append(stop)
+            close = -1 if stop in open_quotes else page.find(page[stop], here)
+            if close < 0:
+                break
+            here = close + 1
+        open_quotes.update(seen)
+        return page.find(">", start)
+
+    while at < size:
+        if page[at] != "<":
+            end = page.find("<", at)
+            end = size if end < 0 else end
+            yield "text", page[at:end], False, ""
+            at = end
+            continue
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            at = size if end < 0 else end + 3
+            continue
+        if at < last:
+            raw = _RAW_OPEN.match(page, at)
+            if raw:
+                tag = raw.group(1).lower()
+                closed = _RAW_CLOSE[tag].search(page, page.find(">", at) + 1)
+                yield "raw", tag, False, ""
+                at = closed.end() if closed else size
+                continue
+            tag = _TAG_OPEN.match(page, at)
+            if tag:
+                end = end_of_tag(tag.end())
+                yield "tag", tag.group(2).lower(), bool(tag.group(1)), page[tag.end() : end]
+                at = end + 1
+                continue
+            if page[at + 1] in "!?":
+                at = page.find(">", at) + 1
+                continue
+        yield "text", "<", False, ""
+        at += 1
+
+
+def _element(tag: str, attributes: str) -> str:
+    """A tag with its classes, id and role; long lists of names by their digest and what they say."""
+    found = {h for names in _NAMES.findall(attributes) for h in _HUMP.sub("-", "".join(names)).lower().split()}
+    hints = [h.replace("/", "-") for h in sorted(found)]
+    if sum(map(len, hints)) > NAME_CHARS:
+        digest = hashlib.blake2b(" ".join(hints).encode(), digest_size=8).hexdigest()
+        hints = [*(h for h in hints if h in HINTS or h == "main"), digest]
+    return ".".join([tag, *hints])
 
 
 def blocks_of(page: str) -> tuple[list[tuple[str, str, int]], Counter]:
     """Text blocks (path, text, linked characters) in page order, and the element paths with counts."""
     stack: list[str] = []
-    names: list[str] = []
+    paths: list[str] = [""]
+    held: Counter = Counter()
     blocks: list[tuple[str, str, int]] = []
     elements: Counter = Counter()
     words: list[str] = []
@@ -97,29 +181,30 @@ def blocks_of(page: str) -> tuple[list[tuple[str, str, int]], Counter]:
         if words:
             text = _BLANKS.sub(" ", entities.unescape("".join(words))).strip()
             if text:
-                blocks.append(("/".join(names), text, linked))
+                blocks.append((paths[-1], text, linked))
             words.clear()
         linked = 0
 
     def pop_to(tag: str) -> None:
         while stack:
-            names.pop()
-            if stack.pop() == tag:
+            paths.pop()
+            last = stack.pop()
+            held[last] -= 1
+            if last == tag:
                 return
 
-    for token in _TOKEN.finditer(page):
-        whole = token.group()
-        if whole[0] != "<" or whole == "<":
-            words.append(whole)
+    def below(element: str) -> str:
+        return paths[-1] if len(stack) >= DEPTH else f"{paths[-1]}/{element}" if paths[-1] else element
+
+    for kind, tag, closing, attributes in tokens_of(page):
+        if kind == "text":
+            words.append(tag)
             if in_link:
-                linked += len(whole.strip())
+                linked += len(tag.strip())
             continue
-        tag = token.group(4)
-        if tag is None:
-            if token.group(1):
-                elements["/".join([*names, token.group(1).lower()])] += 1
+        if kind == "raw":
+            elements[below(tag)] += 1
             continue
-        tag, closing = tag.lower(), bool(token.group(3))
         if tag in INLINE:
             if tag == "a":
                 in_link = 0 if closing else 1
@@ -133,19 +218,20 @@ def blocks_of(page: str) -> tuple[list[tuple[str, str, int]], Counter]:
         close_block()
         in_link = 0
         if closing:
-            if tag in stack:
+            if held[tag] > 0:
                 pop_to(tag)
             continue
         if tag in CLOSES_P and stack and stack[-1] == "p":
             pop_to("p")
         while stack and stack[-1] in SIBLINGS.get(tag, ()):
             pop_to(stack[-1])
-        if token.group(5).rstrip().endswith("/"):
+        if attributes.rstrip().endswith("/"):
             continue
+        path = below(_element(tag, attributes))
         stack.append(tag)
-        hints = sorted({h for found in _NAMES.findall(token.group(5)) for h in "".join(found).lower().split()})
-        names.append(".".join([tag, *(h.replace("/", "-") for h in hints)]))
-        elements["/".join(names)] += 1
+        held[tag] += 1
+        paths.append(path)
+        elements[path] += 1
     close_block()
     return blocks, elements
 
@@ -202,7 +288,7 @@ def containers_of(elements: dict[str, tuple[int, int]]) -> list[str]:
     """The content elements among template paths with their (characters, linked characters).
 
     Outermost ``article`` or ``main`` elements outside boilerplate, else those in forms and elements
-    that only their names rule out; where there is none, the deepest element that holds most of the
+    that only their names rule out; where there is none, the deepest element, no paragraph, heading or list, that holds most of the
     unlinked text outside boilerplate, and forms and named elements that hold most of the page's.
     """
     open_paths = [path for path in elements if not is_boilerplate(path)]
@@ -231,7 +317,9 @@ def containers_of(elements: dict[str, tuple[int, int]]) -> list[str]:
     rich = [path for path, chars in plain.items() if chars >= 0.9 * most and chars]
     if not rich:
         return []
-    best = max(rich, key=lambda p: (p.count("/"), p))
+    # A paragraph, heading or list is a part of what is around it.
+    whole_parts = [path for path in rich if _parts(path.rsplit("/", 1)[-1])[0] not in PARTS]
+    best = max(whole_parts or rich, key=lambda p: (p.count("/"), p))
     return [best, *sorted(path for path in opened if path.startswith(best + "/"))]
 
 
@@ -260,23 +348,62 @@ def main_text(page: str | None, containers: list[str], constants: frozenset, edg
     return "\n".join(kept)
 
 
+def _named(element: str, pieces_of: frozenset) -> bool:
+    """Whether a piece of a compound name of the element is one of ``pieces_of``; not ``has-comments`` and the like."""
+    tag, hints = _parts(element)
+    if tag in ("html", "body", "h1", "h2", "h3", "h4", "h5", "h6"):
+        return False
+    cut = [set(re.split(r"[-_]+", hint)) for hint in hints]
+    return any(pieces & pieces_of and not pieces & NEGATIONS for pieces in cut)
+
+
 def _inside(blocks: list[tuple[str, str, int]], containers: list[str]) -> list[tuple[str, str]]:
-    """Blocks of the containers, without boilerplate below them."""
+    """Blocks of the containers, without boilerplate below them.
+
+    Below a container a compound name counts too if one piece of it says adverts or comments, and if
+    one says links or notices whose text is mostly linked, or comes after all other text.  No such
+    name rules out what holds most of the text.
+    """
     heads = {c: is_content(c.rsplit("/", 1)[-1]) for c in containers}
 
-    def held(path: str) -> bool:
+    def held(path: str) -> tuple[str, list[str]] | None:
+        """The container of a path and the elements from there to it."""
         for c, content in heads.items():
             if path == c:
-                return True
+                return c, []
             if path.startswith(c + "/"):
                 below = path[len(c) + 1 :].split("/")
                 content_from = 0 if content else next((at for at, e in enumerate(below) if is_content(e)), len(below))
                 if not any(_ruled_out(e, at >= content_from) for at, e in enumerate(below)):
-                    return True
-        return False
+                    return c, below
+        return None
 
     known = {path: held(path) for path in {path for path, _, _ in blocks}} if containers else {}
-    return [(path, text) for path, text, _ in blocks if known.get(path)]
+    inside = [block for block in blocks if known.get(block[0])]
+    # The outermost element of each kind of name around a path, as its own path.
+    apart, after = ({path: _first(*known[path], pieces) for path in {block[0] for block in inside}} for pieces in (APART, AFTER))
+    total = sum(len(text) for _, text, _ in inside)
+    for around, anywhere in ((apart, True), (after, False)):
+        shares: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0])
+        other = -1
+        for at, (path, text, linked) in enumerate(inside):
+            name = around[path]
+            if name is None:
+                other = at
+                continue
+            share = shares[name]
+            share[0] += len(text)
+            share[1] += linked
+            share[2] = at
+        gone = {name for name, (chars, linked, end) in shares.items()
+                if 2 * chars <= total and (anywhere or 2 * linked >= chars or end > other)}
+        inside = [block for block in inside if around[block[0]] not in gone]
+    return [(path, text) for path, text, _ in inside]
+
+
+def _first(container: str, below: list[str], pieces_of: frozenset) -> str | None:
+    at = next((at for at, element in enumerate(below) if _named(element, pieces_of)), None)
+    return None if at is None else "/".join([container, *below[: at + 1]])
 
 
 def token_mark(path: str, text: str) -> int:

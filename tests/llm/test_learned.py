@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -94,6 +95,53 @@ def test_names_and_forms_around_articles(spark, around):
             assert row["text"] == (head + want).format(k=row["page_id"])
 
 
+@pytest.mark.parametrize("piece", ["<script ", "<a ", '<a b="', '<a b=">" c="', "<div>", "</x>", "<", "<!--", "<p '", "<div></x>"])
+def test_long_odd_markup_takes_linear_time(piece):
+    page = piece * (1_000_000 // len(piece)) + ">"
+    begun = time.process_time()
+    blocks, elements = pages.blocks_of(page)
+    assert time.process_time() - begun < 10
+    assert max((path.count("/") for path in elements), default=0) < pages.DEPTH
+
+
+def test_tags_and_quotes():
+    def cut(page):
+        return [(path, text) for path, text, _ in pages.blocks_of(page)[0]]
+
+    assert cut('<div class="a>b">x</div>') == [("div.a>b", "x")]
+    assert cut("<p class=it's>x</p><p>don't</p>") == [("p.it's", "x"), ("p", "don't")]
+    assert cut('<p class="open>x</p><p>y</p>') == [('p."open', "x"), ("p", "y")]
+    assert cut("a < b <3 <!x> c <!-- <p> --> d") == [("", "a < b <3 c d")]
+    assert cut("<p>x<") == [("p", "x<")]
+    deep = "<div>" * 600 + "a" + "</div>" * 590 + "b"
+    assert [(path.count("/") + 1, text) for path, text in cut(deep)] == [(512, "a"), (10, "b")]
+
+
+LONG = "real words of the article " * 6
+
+
+@pytest.mark.parametrize("shell", ["<article>{}</article>", "<div class=x>{}</div>"])
+def test_compound_names_below_the_content(shell):
+    def kept(name, last):
+        ends = "" if last else f"<p>{LONG}</p>"
+        inner = f"<p>{LONG}</p><p>{LONG}</p><div class='{name}'><p>MARKED thing</p></div>{ends}"
+        text = pages.main_text(f"<body>{shell.format(inner)}</body>", [], frozenset())
+        assert text.count("real") == (12 if last else 18)
+        return "MARKED" in text
+
+    anywhere = "comment-body comment-content reader-comments user-comments post-comments newsletter-signup ad-slot ad-unit sponsored-content advertBox"
+    for name in anywhere.split():
+        assert not kept(name, True) and not kept(name, False)
+    for name in "related-posts related-articles share-buttons".split():
+        assert not kept(name, True) and kept(name, False)
+    for name in "has-sidebar no-sidebar search-results social-history related-work has-comments".split():
+        assert kept(name, False)
+    titled = f"<body><div class=x><h1>Title</h1><p>{LONG}</p><ul><li>one</ul></div></body>"
+    assert pages.main_text(titled, [], frozenset()).split("\n") == ["Title", LONG.strip(), "one"]
+    # A name never rules out what holds most of the text.
+    assert pages.main_text(f"<article><div class=comment-body>{LONG}</div><p>x</p></article>", [], frozenset()).count("real") == 6
+
+
 def test_articles_of_the_test_pages(spark, medium):
     table = spark.read.parquet(f"{medium}/pages.parquet")
     found = pages.extract(table).join(table.select("page_id", "html"), "page_id").collect()
