@@ -8,6 +8,8 @@ from corpusloom import constants as K
 from corpusloom.functions.pii import detect
 from corpusloom.operators import name_table, pii
 from corpusloom.queries import bindings as B
+from corpusloom.sources.catalog import TableEntry, register_views, run_query
+from corpusloom.sources.sql_functions import register_functions
 
 COLUMNS = ["instruction", "raw_response"]
 
@@ -36,6 +38,17 @@ def pii_entities(spark, folder):
     return pii.entity_table(found)
 
 
+def sql_functions(spark, folder):
+    """Ad-hoc SQL that calls the registered functions on a registered view."""
+    register_functions(spark, B.LEXICON, B.RECOGNIZERS)
+    register_views(spark, {"all_documents": TableEntry({"train": f"{folder}/documents.parquet"})})
+    return run_query(
+        spark,
+        """SELECT doc_id AS id, word_count(d.text) AS n_words, lexicon_level(d.text) AS level,
+                  s.type, s.start, s.end, s.text AS found
+           FROM all_documents d, LATERAL pii_spans(d.text, d.lang) s""")
+
+
 def pii_allowlist(spark, folder):
     return pii.allowlist_filter(pii_entities(spark, folder), allowlist=B.ALLOWLIST)
 
@@ -97,6 +110,12 @@ QUERIES = {
         f"""SELECT id, type, "start", "end", score, text
             FROM ({B.sql_entities(_DOCS, "doc_id", "text", filtered=False)})""",
     ),
+    "sql_functions": (
+        sql_functions,
+        f"""SELECT id, {B.sql_words("d.text")} AS n_words, {B.sql_level("d.text")} AS level,
+                   e.type, e."start", e."end", e.text AS found
+            FROM ({B.sql_entities(_DOCS, "doc_id", "text", filtered=False)}) e JOIN documents d ON e.id = d.doc_id""",
+    ),
     "pii_allowlist": (
         pii_allowlist,
         f"""SELECT id, type, "start", "end", score, text
