@@ -12,6 +12,7 @@ from corpusloom.queries.select import KEY, SPLIT_SQL
 from corpusloom.session import new_folder
 from corpusloom.sources import arrow_shards
 from corpusloom.sources.catalog import TableEntry, load_all, load_table
+from corpusloom.sources.footers import footer_profile
 from corpusloom.sources.stages import read_splits, run_stage, write_splits
 from corpusloom.sources.versions import Stage, StageStore
 
@@ -114,6 +115,29 @@ def score_documents(spark, folder):
     return scored.select("doc_id", "generated_response", "score_error")
 
 
+def token_lengths(spark, folder):
+    """Lengths of whole texts in tokens of a public tokenizer, and their profile per language."""
+    import public_tokenizers
+
+    rows = B.documents(spark, folder).select("lang", "text")
+    counted = stats.with_token_length(
+        rows, F.col("text"), tokenizer_factory=token_counter(public_tokenizers.path("byte_bpe_50k.json")))
+    return stats.length_profile(counted, limit=1024, by=["lang"])
+
+
+def token_counter(path):
+    """A factory of functions from a batch of texts to their token counts, for a tokenizer file; null counts 0."""
+
+    def factory():
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        return lambda texts: [len(e) for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+    return factory
+
+
 def throughput(spark, folder):
     runs = B.table(spark, folder, "lineitem").groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("n_evaluated"), F.sum("l_linenumber").cast("double").alias("duration_s"))
@@ -130,6 +154,11 @@ def _orders(spark, folder):
         F.col("o_orderkey").alias("id"), F.col("o_custkey").cast("string").alias("urgency_level"))
 
 
+def footers(spark, folder):
+    """Rows and nulls of every column of three tables, from their files' footers."""
+    return footer_profile(spark, {n: f"{folder}/{n}.parquet" for n in ("orders", "documents", "labels")}).drop("type")
+
+
 def sample_many_strata(spark, folder):
     return sampling.sample_per_group(_orders(spark, folder), F.col("urgency_level"), 2)
 
@@ -200,6 +229,17 @@ QUERIES = {
         """SELECT doc_id, length(text) || ' characters' AS generated_response, NULL::VARCHAR AS score_error
            FROM documents""",
     ),
+    "token_lengths": (token_lengths, None),
+    "footers": (
+        footers,
+        " UNION ALL ".join(
+            f"""SELECT '{table}' AS table_name, '{column}' AS column_name, count(*) AS n_rows,
+                       count(*) - count({column}) AS n_null FROM {table}"""
+            for table, columns in [
+                ("orders", "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority"),
+                ("documents", "doc_id text lang source n_chars"), ("labels", "doc_id quality toxic")]
+            for column in columns.split()),
+    ),
     "throughput": (
         throughput,
         """SELECT *, CASE WHEN duration_s > 0 THEN round(n_evaluated / duration_s * 60, 1) ELSE 0.0 END

@@ -264,3 +264,19 @@ def test_outcomes(rows, values):
     ]
     assert [tuple(r) for r in requests.level_counts(got).collect()] == [("max", 1), (None, 1)]
     assert values(requests.error_rate(got.withColumn("phase", F.lit("s")))) == [("s", 4, 2)]
+
+
+def test_token_lengths_against_the_tokenizer(spark, rows, values):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from corpusloom.queries.jobs import token_counter
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [None, "", "Une phrase d'essai.", "<|endoftext|> x", "word " * 3000, "\n\n é 😀"]
+    got = stats.with_token_length(
+        rows(list(enumerate(texts)), "id int, text string"), F.col("text"), tokenizer_factory=token_counter(path))
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    assert values(got, "id", "n_tokens") == [
+        (i, len(plain.encode(t or "", add_special_tokens=False).ids)) for i, t in enumerate(texts)]
