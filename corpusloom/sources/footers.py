@@ -9,7 +9,6 @@ nulls has none, at which Spark's reader stops.  A file written without statistic
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,16 +32,17 @@ def footer_row(session: SparkSession, path: str | list[str]) -> tuple[DataFrame,
 
 
 def footer_profile(spark: SparkSession, tables: Mapping[str, str | list[str]]) -> DataFrame:
-    """``(table_name, column_name, type, n_rows, n_null)``, a row per table and column that is not nested."""
-    session, parts = footer_session(spark), []
+    """``(table_name, column_name, type, n_rows, n_null)``, a row per table and column that is not nested.
+
+    The counts of a table, one row, come to the driver as the frame is built: over files without any
+    row Spark's pushed counts are null, in columns it plans as never null, so no expression can mend them.
+    """
+    session, found = footer_session(spark), []
     for name, path in tables.items():
         row, flat = footer_row(session, path)
-        listed = [
-            F.struct(
-                F.lit(name).alias("table_name"), F.lit(one.name).alias("column_name"),
-                F.lit(one.dataType.simpleString()).alias("type"), F.col("n").alias("n_rows"),
-                (F.col("n") - F.col(f"known_{at}")).alias("n_null"))
-            for at, one in enumerate(flat)
-        ]
-        parts.append(row.select(F.inline(F.array(*listed))))
-    return reduce(DataFrame.unionByName, parts)
+        counts = row.first()
+        n_rows = counts["n"] or 0
+        for at, one in enumerate(flat):
+            found.append((name, one.name, one.dataType.simpleString(), n_rows, n_rows - (counts[f"known_{at}"] or 0)))
+    return spark.createDataFrame(
+        found, "table_name string, column_name string, type string, n_rows bigint, n_null bigint")
