@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,6 +50,47 @@ def test_fifty_thousand_terms(spark, rows, values):
         (i, term) for i, term in want if term in terms}
 
 
+def test_walks_hold_one_automaton_and_bounded_results():
+    """Results come in slices of the texts, and of several blocks no two automata are alive at once."""
+    alive, most = set(), []
+    plain = term_table._automaton
+
+    class Held:
+        def __init__(self, machine):
+            self.machine = machine
+            alive.add(id(self))
+            most.append(len(alive))
+
+        def __del__(self):
+            alive.discard(id(self))
+
+        def iter(self, text):
+            return self.machine.iter(text)
+
+    class Context:
+        def broadcast(self, value):
+            return type("Broadcast", (), {"value": value})
+
+    texts = pa.array(["ab bc" * 40_000, None, "", "xbcx"] * 20)
+    blocks = [pa.table({"term": ["ab", "b"]}), pa.table({"term": ["bc", "zz"]})]
+
+    def walked(own):
+        walk = term_table._walk(Context(), own, term_table._hits_in, term_table._all_hits, term_table.HITS)
+        return list(walk.func(iter([texts])))
+
+    term_table._automaton = lambda terms: Held(plain(terms))
+    try:
+        for own in (blocks, blocks[:1]):
+            found = walked(own)
+            assert len(found) >= 3 and sum(map(len, found)) == len(texts)
+    finally:
+        term_table._automaton = plain
+    assert max(most) == 1
+    whole = [row for part in walked(blocks) for row in part.to_pylist()]
+    want = [{"term": "ab", "n": 40_000}, {"term": "b", "n": 80_000}, {"term": "bc", "n": 40_000}]
+    assert whole == [want, None, [], [{"term": "b", "n": 1}, {"term": "bc", "n": 1}]] * 20
+
+
 def test_labels_equal_the_native_lexicon(spark, rows, values):
     lexicon = Lexicon((Tier("max", 0.8, ("ab", "c")), Tier("deferred", 0.7, ("d", "ab", "é"))), "moderate", 0.5)
     rng = random.Random(7)
