@@ -8,8 +8,10 @@ side of a limit it lies.
 The limits are found by one plan for every size: a histogram over the first digits of the
 key says which bucket of a stratum holds a rank, and that bucket alone is ordered.  They stay
 a table of one row per stratum, which is joined to the rows: by broadcast where the number of
-strata is known or checked to be small, else by stratum and a salt, so that a stratum of any
-size is spread.  Building a frame starts no job but that check.
+strata is known or checked to be small, else by stratum and, for the large strata, a salt, so that
+a stratum of any size is spread and a small one is not multiplied.  Building a frame starts no job
+but that check.  A few rows of each of many strata are taken by rank, for which every task sends no
+more than those few.
 
 ``numbered`` gives every row its place in one order of the whole table, for tables of distinct keys.
 
@@ -32,8 +34,12 @@ from corpusloom.session import materialize
 DIGITS = 4
 # Limits of up to so many strata (some 100 bytes each) may be broadcast.
 BROADCAST_STRATA = 100_000
-# Parts into which the rows of a stratum are spread beyond that.
+# Parts into which the rows of a large stratum are spread beyond that, and its least size: of all
+# rows at most one in so many stands for a large stratum, and those few are broadcast.
 SALTS = 64
+LARGE = 1_000_000
+# Ranks up to which Spark limits the rows of a group before they are shuffled.
+RANK_LIMIT = 1000
 
 
 def stratum_of(label: Column) -> Column:
@@ -69,14 +75,32 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     return placed.drop("_range", "_before")
 
 
+def large_keys(df: DataFrame, key: str) -> DataFrame:
+    """The keys of more than ``LARGE`` rows, marked."""
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.where(F.col("_n") > LARGE).select(key, F.lit(True).alias("_large"))
+
+
+def spread(table: DataFrame, large: DataFrame, key: str) -> DataFrame:
+    """One row per key and salt: all salts for a large key, 0 for any other."""
+    salts = F.when(F.col("_large"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return table.join(F.broadcast(large), key, "left").withColumn("_salt", F.explode(salts)).drop("_large")
+
+
+def _salted(df: DataFrame, table: DataFrame, key: str, dealt: Column) -> DataFrame:
+    """``df`` left-joined with ``table`` by key and salt; ``dealt`` deals out the rows of large keys, and those of none."""
+    large = large_keys(df, key)
+    salt = F.when(F.col("_large") | F.col(key).isNull(), F.pmod(dealt, F.lit(SALTS)).cast("int")).otherwise(0)
+    rows = df.join(F.broadcast(large), key, "left").withColumn("_salt", salt).drop("_large")
+    return rows.join(spread(table, large, key), [key, "_salt"], "left").drop("_salt")
+
+
 def salted_join(df: DataFrame, table: DataFrame, key: str, few: bool) -> DataFrame:
     """``df`` left-joined with ``table``, which has one row per ``key``: by broadcast, or by key and salt."""
     if few:
         return df.join(F.broadcast(table), key, "left")
     hashed = [F.col(c) for c, kind in df.dtypes if "map<" not in kind and kind != "variant"]
-    rows = df.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(SALTS)).cast("int"))
-    spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.join(spread, [key, "_salt"], "left").drop("_salt")
+    return _salted(df, table, key, F.xxhash64(*hashed))
 
 
 def stratum_sizes(keyed: DataFrame) -> DataFrame:
@@ -120,9 +144,7 @@ def with_limits(
     rows = df.withColumn("_key", key).withColumn("_stratum", stratum_of(stratum))
     if few:
         return rows.join(F.broadcast(limits), "_stratum", "left").drop("_stratum")
-    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(SALTS)).cast("int"))
-    spread = limits.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.join(spread, ["_stratum", "_salt"], "left").drop("_stratum", "_salt")
+    return _salted(rows, limits, "_stratum", F.xxhash64("_key")).drop("_stratum")
 
 
 def take_per_stratum(
@@ -146,6 +168,11 @@ def take_per_stratum(
     size = quota(keyed.select("stratum").distinct().count()) if callable(quota) else quota
     if size <= 0:
         return df.where(F.lit(False))
+    if not few and size <= RANK_LIMIT:
+        # The rank counts the smaller keys, so rows of one key stay or go together, as by a limit.
+        order = Window.partitionBy("_stratum").orderBy("_key")
+        placed = rows.withColumn("_stratum", stratum_of(stratum)).withColumn("_key", F.unhex(key))
+        return placed.withColumn("_rank", F.rank().over(order)).where(F.col("_rank") <= size).select(*df.columns)
     ranks = keyed.select("stratum").distinct().select("stratum", F.lit("take").alias("cut"), F.lit(size).alias("rank"))
     found = keys_at(keyed, ranks)
     limited = with_limits(rows, found, ["take"], stratum, key, few)

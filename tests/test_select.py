@@ -274,3 +274,31 @@ def test_rollup_ignores_warnings(rows, values):
 def test_export_check(rows, values):
     df = rows([("urgence",), ("x",)], "t string")
     assert values(gates.export_check(df, "t")) == [(2, 1)]
+
+
+def test_only_large_strata_are_spread(spark, rows, values, monkeypatch):
+    """Limits are multiplied for large strata alone; the joins give what a plain one gives, null keys too."""
+    monkeypatch.setattr(ranking, "LARGE", 100)
+    label = F.when(F.col("id") % 3 == 0, "big").when(F.col("id") % 50 != 1, F.concat(F.lit("s"), F.col("id") % 400))
+    data = spark.range(4000).select("id", label.alias("k"))
+    table = data.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    large = ranking.large_keys(data, "k")
+    assert [r.k for r in large.where("k IS NOT NULL").collect()] == ["big"]
+    wide = ranking.spread(table, large.where("k IS NOT NULL"), "k")
+    assert wide.count() == table.count() + ranking.SALTS - 1
+    joined = ranking.salted_join(data, table, "k", few=False)
+    assert values(joined) == values(ranking.salted_join(data, table, "k", few=True))
+    split = [sampling.stratified_split(data, "k", few=few) for few in (True, False)]
+    assert values(split[0]) == values(split[1])
+
+
+def test_few_rows_of_many_strata_are_taken_by_rank(spark, values, monkeypatch):
+    """No table of limits, no salt: each task limits its groups first; rows that share an id stay together."""
+    data = spark.range(3000).select((F.col("id") % 2900).alias("id"), (F.col("id") % 100 % 7).cast("string").alias("k"))
+    want = {size: values(sampling.sample_per_group(data, F.col("k"), size)) for size in (1, 20)}
+    monkeypatch.setattr(ranking, "BROADCAST_STRATA", 0)
+    for size, kept in want.items():
+        got = sampling.sample_per_group(data, F.col("k"), size)
+        assert got.columns == ["id", "k"] and values(got) == kept
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "WindowGroupLimit" in plan and "Generate" not in plan and "Join" not in plan
