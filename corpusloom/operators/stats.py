@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import constants as K
+from corpusloom.functions.batches import slices
 from corpusloom.functions.text import word_count
 from corpusloom.operators.sampling import sample_per_group
 
 PERCENTILES = [50, 75, 90, 95, 99]
+# Bytes of texts given to a tokenizer at once.
+CALL_BYTES = 1 << 18
 
 
 def split_stats(df: DataFrame, text_columns: Sequence[str], split: str = "split") -> DataFrame:
@@ -84,16 +88,18 @@ def with_token_length(
     """Add the length of a text in tokens; whitespace words without a tokenizer.
 
     ``tokenizer_factory`` is called once per Python worker and returns a function from a
-    batch of texts to their token counts.
+    batch of texts to their token counts.  Its batches have about ``CALL_BYTES``, since the tokens
+    of a text may take a hundred times its bytes.
     """
     if tokenizer_factory is None:
         return df.withColumn(name, word_count(text).cast("bigint"))
 
-    @F.pandas_udf("bigint")
-    def count_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("bigint")
+    def count_tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         count = tokenizer_factory()
         for texts in batches:
-            yield pd.Series(count(list(texts)), dtype="int64")
+            for piece in slices(texts, CALL_BYTES):
+                yield pa.array(np.asarray(count(piece.to_pylist()), np.int64))
 
     return df.withColumn(name, count_tokens(text))
 

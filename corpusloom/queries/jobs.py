@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from corpusloom.operators import evaluation, labeling, sampling, sketches, stats, term_table
@@ -129,11 +131,12 @@ def token_counter(path):
     """A factory of functions from a batch of texts to their token counts, for a tokenizer file; null counts 0."""
 
     def factory():
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker a core
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        return lambda texts: [len(e) for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+        return lambda texts: [len(e) for e in tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
 
     return factory
 

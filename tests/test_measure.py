@@ -280,3 +280,23 @@ def test_token_lengths_against_the_tokenizer(spark, rows, values):
     plain.encode_special_tokens = True
     assert values(got, "id", "n_tokens") == [
         (i, len(plain.encode(t or "", add_special_tokens=False).ids)) for i, t in enumerate(texts)]
+
+
+def test_token_lengths_in_bounded_calls(spark, values):
+    """However many rows a batch has, the tokenizer sees little more than ``CALL_BYTES`` at once."""
+    bound = stats.CALL_BYTES + 5000
+
+    def factory():
+        def count(texts):
+            sent = sum(len((t or "").encode()) for t in texts)
+            if sent > bound:
+                raise ValueError(f"{sent} bytes at once")
+            return [len(t or "") for t in texts]
+
+        return count
+
+    data = spark.range(0, 600, 1, 1).select(
+        "id", F.when(F.col("id") % 7 != 0, F.repeat(F.lit("é"), (F.col("id") * 4).cast("int"))).alias("text"))
+    got = stats.with_token_length(data, F.col("text"), tokenizer_factory=factory).select("id", "n_tokens")
+    assert sorted(map(tuple, got.collect())) == [(i, i * 4 if i % 7 else 0) for i in range(600)]
+    assert stats.with_token_length(data.limit(0), F.col("text"), tokenizer_factory=factory).count() == 0
