@@ -23,15 +23,21 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.batches import slices
 from corpusloom.functions.pii import SPANS, resolve_overlaps
+from corpusloom.session import materialize
 
 SCORE = 0.85
 # Bits of the filter for each name, and the most bits it may have; a fuller filter lets more through.
 BITS_PER_NAME = 10
 MOST_BITS = 1 << 29
 FILTER_HASHES = 4
+# Bytes of texts whose runs are hashed at once, and words a task remembers with their hash.
+SLICE_BYTES = 1 << 20
+REMEMBERED = 200_000
 
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
+_CUT = regex.compile(r"([\p{L}\p{N}]+)")
 _GAP = regex.compile(r"[ \-'’.]{1,2}")
 _FACTOR, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
@@ -96,21 +102,58 @@ def _held(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return held
 
 
-def runs_of(text: str, lengths: Sequence[int]) -> Iterator[tuple[int, int, int, list[str]]]:
-    """Start, end, hash and words of every run of as many words as one of ``lengths``."""
-    found = [(m.start(), m.end(), m.group().lower()) for m in _WORD.finditer(text)]
-    marks = [xxhash.xxh3_64_intdigest(word) for _, _, word in found]
-    joined = [bool(_GAP.fullmatch(text, a[1], b[0])) for a, b in zip(found, found[1:])]
-    longest, wanted = max(lengths, default=0), set(lengths)
-    for first in range(len(found)):
-        value = 0
-        for count in range(1, longest + 1):
-            last = first + count - 1
-            if last >= len(found) or (count > 1 and not joined[last - 1]):
+class _Known(dict):
+    """What a function gives for words or gaps seen before."""
+
+    def __init__(self, function):
+        self.function = function
+
+    def __missing__(self, piece: str):
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[piece] = self.function(piece)
+        return found
+
+
+class Walker:
+    """Finds the runs of ``lengths`` words that the filter lets through, in many texts at once."""
+
+    def __init__(self, filter_: np.ndarray, lengths: Sequence[int]):
+        self.filter, self.lengths = filter_, frozenset(lengths)
+        self.marks = _Known(lambda word: xxhash.xxh3_64_intdigest(word.lower()))
+        self.gaps = _Known(lambda gap: bool(_GAP.fullmatch(gap)))
+
+    def hits(self, texts: Sequence[str | None]) -> Iterator[tuple[int, int, int, int, str]]:
+        """Text, start, end, hash and lower-case words of each run."""
+        pieces: list[str] = []
+        pairs = []
+        for text in texts:
+            # A gap and a word in turn; the last gap of a text has an empty word.
+            own = [*_CUT.split(text), ""] if text else []
+            pieces += own
+            pairs.append(len(own) // 2)
+        words, gaps = pieces[1::2], pieces[::2]
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        rows = np.repeat(np.arange(len(pairs)), pairs)
+        before = np.cumsum([0, *(len(text or "") for text in texts)])[rows]
+        starts, ends = ends[::2] - before, ends[1::2] - before
+        marks = np.fromiter(map(self.marks.__getitem__, words), np.uint64, len(words))
+        real = ends > starts
+        joined = np.fromiter(map(self.gaps.__getitem__, gaps[1:]), bool, max(len(gaps) - 1, 0)) & real[:-1] & real[1:]
+        first, value = np.flatnonzero(real), np.zeros(int(real.sum()), np.uint64)
+        for count in range(1, max(self.lengths, default=0) + 1):
+            if count > 1:
+                on = first + count - 2 < len(joined)
+                on[on] = joined[first[on] + count - 2]
+                first, value = first[on], value[on]
+            if not len(first):
                 break
-            value = (value * _FACTOR + marks[last]) & _MASK
-            if count in wanted:
-                yield found[first][0], found[last][1], _signed(value), [w for _, _, w in found[first : last + 1]]
+            value = value * np.uint64(_FACTOR) + marks[first + count - 1]
+            if count in self.lengths:
+                held = _held(self.filter, value)
+                for at, hash_ in zip(first[held].tolist(), value[held].view(np.int64).tolist()):
+                    run = " ".join(word.lower() for word in words[at : at + count])
+                    yield int(rows[at]), int(starts[at]), int(ends[at + count - 1]), hash_, run
 
 
 def find_names(
@@ -118,31 +161,26 @@ def find_names(
     entity: str = "PERSON", score: float = SCORE,
 ) -> DataFrame:
     """Every occurrence of a name: the row's id, type, start, end, score and the text found."""
-    known = hashed_names(names, name)
+    known = materialize(hashed_names(names, name))  # read three times
     shape = {row["n_words"]: row["n"] for row in known.groupBy("n_words").agg(F.count(F.lit(1)).alias("n")).collect()}
     lengths = sorted(shape)
     bloom = df.sparkSession.sparkContext.broadcast(_filter_of(known, sum(shape.values())))
 
     def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        walker = Walker(bloom.value, lengths)
         for batch in batches:
-            rows, runs, pieces = [], [], []
-            texts = batch.column(1)
-            for at in range(batch.num_rows):
-                value = texts[at].as_py()
-                own = list(runs_of(value, lengths)) if value else []
-                if not own:
-                    continue
-                held = _held(bloom.value, np.array([run[2] for run in own], np.int64))
-                for k in np.flatnonzero(held).tolist():
-                    rows.append(at)
-                    runs.append(own[k])
-                    pieces.append(value[own[k][0] : own[k][1]])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows, pa.int64())),
-                 *[pa.array([run[k] for run in runs], kind) for k, kind in enumerate((pa.int32(), pa.int32(), pa.int64()))],
-                 pa.array([" ".join(run[3]) for run in runs], pa.string()), pa.array(pieces, pa.string())],
-                names=["key", "start", "end", "hash", "words", "piece"],
-            )
+            first = 0
+            for piece in slices(batch.column(1), SLICE_BYTES):
+                texts, keys = piece.to_pylist(), batch.column(0).slice(first, len(piece))
+                hits = list(walker.hits(texts))
+                rows, starts, ends, hashes, words = zip(*hits) if hits else ((),) * 5
+                found = [texts[row][start:end] for row, start, end, _, _ in hits]
+                yield pa.RecordBatch.from_arrays(
+                    [keys.take(pa.array(rows, pa.int64())), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()),
+                     pa.array(hashes, pa.int64()), pa.array(words, pa.string()), pa.array(found, pa.string())],
+                    names=["key", "start", "end", "hash", "words", "piece"],
+                )
+                first += len(piece)
 
     kind = df.schema[row_id].dataType.simpleString()
     runs = df.select(F.col(row_id).alias("key"), F.col(text).alias("value"))

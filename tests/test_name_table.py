@@ -56,6 +56,32 @@ def test_many_names_by_equality_only(spark):
     assert found.count() == 2_000
 
 
+def test_names_are_made_once(spark):
+    """The table of names is read once, however costly it is."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    names = spark.range(1000).select(F.concat(F.lit("n"), "id").alias("name")).mapInArrow(counted, "name string")
+    texts = spark.range(50).select("id", F.concat(F.lit("x N"), "id", F.lit(" y")).alias("text"))
+    assert name_table.find_names(texts, names).count() == 50
+    assert seen.value == 1000
+
+
+def test_walker_forgets_and_goes_on(monkeypatch):
+    """Runs across texts, unknown gaps and a small memory: as a filter that holds everything lets them through."""
+    monkeypatch.setattr(name_table, "REMEMBERED", 2)
+    walker = name_table.Walker(np.full(16, -1, np.int64).view(np.uint64), [1, 3])
+    texts = ["Ab c-D", None, "", "...", "e. F g, h", "ab"]
+    want = [(0, 0, 2, "ab"), (0, 3, 4, "c"), (0, 5, 6, "d"), (4, 0, 1, "e"), (4, 3, 4, "f"), (4, 5, 6, "g"),
+            (4, 8, 9, "h"), (5, 0, 2, "ab"), (0, 0, 6, "ab c d"), (4, 0, 6, "e f g")]
+    assert list(walker.hits(texts)) == [(r, a, b, name_table.run_hash(w.split()), w) for r, a, b, w in want]
+    assert list(walker.hits([])) == list(walker.hits([None, ""])) == []
+
+
 def test_filter_keeps_all_names_and_few_others(spark):
     hashed = spark.range(5_000).select(F.xxhash64("id").alias("hash"))
     bloom = name_table._filter_of(hashed, 5_000)
