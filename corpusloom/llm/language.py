@@ -5,7 +5,8 @@ letters, its letter pairs and triples, and the word itself if the training lexic
 feature has a learned weight per language, and each pair of neighbouring labels a learned
 transition, so a word that several languages share takes the language of its surroundings and
 code-switched text is cut where it switches.  Forward-backward gives the probability of each label
-at each word; the mean over the words of a text is the text's distribution over languages.
+at each word; the mean over the words of a text is the text's distribution over languages.  The
+features of a slice's distinct words are hashed and looked up side by side, each word once a slice.
 
 Training takes at most ``MAX_ROWS`` texts of each language, of at most ``MAX_CHARS`` code points
 each, chosen by a hash of their id.  Runs of their words are strung together, two or three texts
@@ -20,7 +21,6 @@ named like the two results, which give way to them; ``predict`` takes other name
 
 from __future__ import annotations
 
-import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
@@ -31,15 +31,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import held_out, returning, sampled
+from corpusloom.llm.hashing import mix, place_factors
+from corpusloom.llm.words import WORDS, code_points, distinct_words, longest_first
 
 MAX_ROWS = 400
 MAX_CHARS = 20_000
 MAX_FEATURES = 60_000
-REMEMBERED = 300_000
-CELLS = 300_000
+# Texts whose words are looked at together, in bytes, and the numbers that go through the recursion together.
+SLICE = 2 << 20
+CELLS = 1_000_000
+SLOT_BITS = 20
 UNKNOWN = "und"
 
-_WORDS = re.compile(r"[^\W\d_]+")
+_SLOT = np.uint64(64 - SLOT_BITS)
+_FACTOR = np.uint64(0x9FB21C651E98DF25)
+# Whole words, prefixes, suffixes and letter n-grams: a number for each, so that equal letters differ by kind.
+_KINDS = {kind: np.uint64(0x9E3779B97F4A7C15 * at % (1 << 64)) for at, kind in enumerate(("=", "^", "$", ""), 1)}
 
 
 def features(word: str) -> list[str]:
@@ -53,92 +60,189 @@ def features(word: str) -> list[str]:
     return found
 
 
+class Index:
+    """The numbers of known features, found by hashes of 64 bits for all features of many words at once."""
+
+    def __init__(self, names: dict[str, int]):
+        hashes, number = [], []
+        by_kind: dict[str, list[str]] = {kind: [] for kind in _KINDS}
+        for name in names:
+            kind = name[0] if name[0] in _KINDS and len(name) > 1 else ""
+            by_kind[kind].append(name[len(kind) :])
+        for kind, rest in by_kind.items():
+            if rest:
+                codes, begin, end = _lines(rest)
+                if kind == "=":
+                    found = _whole(codes, begin)
+                else:
+                    grams, size = _grams(codes), end - begin
+                    found = np.choose(size - 1, [gram[begin] for gram in grams])
+                hashes.append(mix(found + _KINDS[kind]))
+                number.append(np.array([names[kind + one] for one in rest], np.int32))
+        self.keys = np.concatenate([*hashes, np.zeros(0, np.uint64)])
+        order = np.argsort(self.keys)
+        self.keys = self.keys[order]
+        self.number = np.concatenate([*number, np.zeros(0, np.int32)])[order]
+        # The keys of one slot lie side by side; most slots have none or one.
+        slots = (self.keys >> _SLOT).astype(np.int64)
+        self.first = np.searchsorted(slots, np.arange((1 << SLOT_BITS) + 1)).astype(np.int32)
+        self.most = int(np.diff(self.first).max())
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the known hashes, and their numbers."""
+        slot = (hashes >> _SLOT).astype(np.int64)
+        at, stop = self.first[slot], self.first[slot + 1]
+        places, numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        left = np.flatnonzero(at < stop)
+        for step in range(self.most):
+            left = left[at[left] + step < stop[left]]
+            same = self.keys[at[left] + step] == hashes[left]
+            places.append(left[same])
+            numbers.append(self.number[at[left[same]] + step])
+        return np.concatenate(places), np.concatenate(numbers)
+
+    def features(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(number of the word, number of the feature) of all known features, as ``features`` names them."""
+        # Lower case turns on the letters beside it, so a line end stands for the end of a word.
+        codes, begin, end = _lines(words)
+        every = np.arange(len(begin))
+        grams, size = _grams(codes), end - begin
+        found = [(_whole(codes, begin) + _KINDS["="], every)]
+        for n, gram in enumerate(grams, 1):
+            some = every[size >= n]
+            found.append((gram[begin[some]] + _KINDS["^"], some))
+            found.append((gram[end[some] - n] + _KINDS["$"], some))
+        owner = np.repeat(every, size + 1)
+        for n in (2, 3):
+            at = np.flatnonzero(np.arange(len(codes)) + n <= end[owner])
+            found.append((grams[n - 1][at] + _KINDS[""], owner[at]))
+        while found:
+            hashes, owner = found.pop()
+            places, numbers = self.find(mix(hashes))
+            yield owner[places], numbers
+
+
+def _lines(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of the lower-cased words, a line end behind each, and where the words begin and end."""
+    codes = code_points(("\n".join(words) + "\n").lower())
+    end = np.flatnonzero(codes == 10)
+    return codes, np.concatenate(([0], end[:-1] + 1)), end
+
+
+def _grams(codes: np.ndarray) -> list[np.ndarray]:
+    """From each place, the hashes of the next 1, 2, 3 and 4 code points."""
+    size = len(codes)
+    codes = np.concatenate((codes, np.zeros(3, np.uint32))).astype(np.uint64)
+    found = [codes[:size]]
+    for n in range(1, 4):
+        found.append(found[-1] * _FACTOR + codes[n : n + size])
+    return found
+
+
+def _whole(codes: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Hash of each line, from its first code point to its end."""
+    place = np.arange(len(codes)) - np.repeat(begin, np.diff(np.append(begin, len(codes))))
+    return np.add.reduceat(codes.astype(np.uint64) * place_factors(int(place.max()) + 1)[place], begin)
+
+
 class Model:
     """Weights of a trained field."""
 
     def __init__(self, languages: list[str], names: dict[str, int], weights: np.ndarray, switch: np.ndarray):
         self.languages, self.names, self.weights, self.switch = languages, names, weights, switch
-        self.known: dict[str, int] = {}
-        self.rows: list[np.ndarray] = []
-
-    def _word(self, word: str) -> int:
-        at = [self.names[name] for name in features(word) if name in self.names]
-        self.known[word] = len(self.rows)
-        self.rows.append(self.weights[at].sum(axis=0) if at else np.zeros(len(self.languages)))
-        return len(self.rows) - 1
+        self.index = Index(names)
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        get = self.known.get
-        at = [self._word(word) if (row := get(word)) is None else row for word in words]
-        return np.array(at, np.int64)
-
-    def posteriors(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """Per text, the probability of each language at each word."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-            self.rows.clear()
-        at = [self.emissions(words) for words in texts]
-        table = np.array(self.rows).reshape(-1, len(self.languages))
-        table = np.exp(table - table.max(axis=1, keepdims=True))
-        return forward_backward([table[rows] for rows in at], np.exp(self.switch - self.switch.max()))
+        """Exponentiated weights of each language (a row) at each word (a column)."""
+        table = np.zeros((len(self.languages), len(words)))
+        for owner, number in self.index.features(words):
+            for language, weights in enumerate(self.weights.T):
+                table[language] += np.bincount(owner, weights[number], len(words))
+        return np.exp(table - table.max(axis=0))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and score of each text."""
-        words = [_WORDS.findall(text) if text and any(map(str.isalpha, text)) else [] for text in texts]
-        if not self.languages:
-            return [UNKNOWN] * len(texts), [0.0] * len(texts)
-        filled = [at for at, found in enumerate(words) if found]
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        for at, marginals in zip(filled, self.posteriors([words[at] for at in filled])):
-            share = marginals.mean(axis=0)
-            best = int(share.argmax())
-            names[at], scores[at] = self.languages[best], float(min(1.0, share[best]))
+        texts = [text if text and any(map(str.isalpha, text)) else "" for text in texts]
+        words, number, bounds = distinct_words(texts)
+        if not self.languages or not words:
+            return names, scores
+        table, switch = self.emissions(words), np.exp(self.switch - self.switch.max())
+        for group, marginals in _side_by_side(table, number, bounds, switch):
+            lengths = np.diff(bounds)[group]
+            share = np.add.reduceat(marginals, np.cumsum(lengths) - lengths, axis=1) / lengths
+            for at, best, score in zip(group, share.argmax(axis=0), share.max(axis=0)):
+                names[at], scores[at] = self.languages[best], float(min(1.0, score))
         return names, scores
 
 
 def forward_backward(sequences: list[np.ndarray], switch: np.ndarray) -> list[np.ndarray]:
     """Label probabilities at every word of every sequence.
 
-    ``sequences`` hold exponentiated word weights, ``switch`` exponentiated transitions.  Sequences
-    of similar length go through the recursion side by side, one word of each per step; the cells
-    of a group are bounded, so memory is too, but for a single longer text.
+    ``sequences`` hold exponentiated word weights, ``switch`` exponentiated transitions.
     """
-    found: list = [None] * len(sequences)
-    order = sorted(range(len(sequences)), key=lambda at: len(sequences[at]))
-    while order:
-        longest = len(sequences[order[-1]])
-        take = max(1, min(len(order), CELLS // max(1, longest)))
-        group, order = order[-take:], order[:-take]
-        lengths = np.array([len(sequences[at]) for at in group])
-        states = switch.shape[0]
-        emit = np.ones((longest, take, states))
-        for column, at in enumerate(group):
-            emit[: lengths[column], column] = sequences[at]
+    found: list = [np.zeros((0, len(switch)))] * len(sequences)
+    bounds = np.cumsum([0, *map(len, sequences)])
+    table = np.concatenate([*sequences, np.zeros((0, len(switch)))]).T
+    for group, marginals in _side_by_side(table, np.arange(bounds[-1]), bounds, switch):
+        for at, one in zip(group, np.split(marginals.T, np.cumsum(np.diff(bounds)[group])[:-1])):
+            found[at] = one
+    return found
+
+
+def _side_by_side(
+    table: np.ndarray, number: np.ndarray, bounds: np.ndarray, switch: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Groups of sequences that are not empty, with the label probabilities at their words, one sequence after the other.
+
+    The word at each place is a column of ``table``; ``bounds`` tell where the sequences begin.  Those
+    of similar length go through the recursion together, one word of each per step, without those
+    that have ended.  The numbers of a group are bounded, so memory is too, but for a single longer text.
+    """
+    lengths = np.diff(bounds)
+    order = np.argsort(-lengths, kind="stable")
+    order = order[lengths[order] > 0]
+    run = np.cumsum(lengths[order]) * len(switch) // CELLS
+    for group in np.split(order, np.flatnonzero(run[1:] != run[:-1]) + 1) if len(order) else ():
+        size = lengths[group]
+        # The words of one step lie together: how many sequences reach it, and where it begins.
+        alive = len(group) - np.cumsum(np.bincount(size))[:-1]
+        steps = np.concatenate(([0], np.cumsum(alive)))
+        step = np.arange(steps[-1]) - np.repeat(np.cumsum(size) - size, size)
+        cell = steps[step] + np.repeat(np.arange(len(group)), size)
+        laid = np.empty(len(cell), np.int64)
+        laid[cell] = number[step + np.repeat(bounds[group], size)]
+        emit = table[:, laid]
+        del step, laid
         forward = np.empty_like(emit)
-        state = np.full((take, states), 1.0 / states)
-        for step in range(longest):
-            state = (state @ switch if step else state) * emit[step]
-            state /= state.sum(axis=1, keepdims=True)
-            forward[step] = state
-        state = np.ones((take, states))
-        for step in range(longest - 1, -1, -1):
+        state = None
+        for at, n in zip(steps.tolist(), alive.tolist()):
+            here = emit[:, at : at + n]
+            state = here / len(switch) if state is None else (switch.T @ state[:, :n]) * here
+            state /= state.sum(axis=0)
+            forward[:, at : at + n] = state
+        state = None
+        for at, n in zip(steps[-2::-1].tolist(), alive[::-1].tolist()):
             # Behind the end of a sequence the backward message stays even.
-            inside = (step < lengths - 1)[:, None]
-            if step < longest - 1:
-                state = np.where(inside, (state * emit[step + 1]) @ switch.T, 1.0)
-                state /= state.sum(axis=1, keepdims=True)
-            forward[step] *= state
-        forward /= forward.sum(axis=2, keepdims=True)
-        for column, at in enumerate(group):
-            found[at] = forward[: lengths[column], column]
-    return found
+            if state is not None:
+                m = state.shape[1]
+                state = switch @ (state * emit[:, at + n : at + n + m])
+                state /= state.sum(axis=0)
+                forward[:, at : at + m] *= state
+            if state is None or m < n:
+                even = np.ones((len(switch), n))
+                if state is not None:
+                    even[:, :m] = state
+                state = even
+        forward /= forward.sum(axis=0)
+        yield group, forward[:, cell]
 
 
 def _sequences(rows: list[tuple[str, int]], random: np.random.Generator) -> list[tuple[list[str], list[int]]]:
     """Runs of 4 to 20 words, two or three texts to a sequence, covering the sampled texts."""
     runs = []
     for text, label in rows:
-        words = _WORDS.findall(text)
+        words = WORDS.findall(text)
         at = 0
         while at < len(words):
             n = int(random.integers(4, 21))
@@ -268,11 +372,10 @@ def predict(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred"
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*sent.value)
         for batch in batches:
-            languages, scores = [], []
-            for first in range(0, batch.num_rows, 1000):
-                some = model.predict(batch.column("text").slice(first, 1000).to_pylist())
-                languages += some[0]
-                scores += some[1]
+            texts = batch.column("text")
+            languages, scores = np.empty(len(texts), object), np.empty(len(texts))
+            for rows in longest_first(texts, SLICE):
+                languages[rows], scores[rows] = model.predict(texts.take(pa.array(rows)).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
                 names=[*batch.schema.names, *names],
@@ -283,8 +386,8 @@ def predict(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred"
 
 def word_languages(text: str, model: Model) -> list[tuple[str, str, float]]:
     """The words of a code-switched text with their languages and probabilities."""
-    words = _WORDS.findall(text)
+    words = WORDS.findall(text)
     if not words or not model.languages:
         return []
-    marginals = model.posteriors([words])[0]
+    marginals = forward_backward([model.emissions(words).T], np.exp(model.switch - model.switch.max()))[0]
     return [(w, model.languages[int(m.argmax())], float(m.max())) for w, m in zip(words, marginals)]

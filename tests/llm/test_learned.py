@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import sys
 import time
 import zlib
 
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corpusloom.llm import language, licenses, mixing, pages, toxicity
+from corpusloom.llm import language, licenses, mixing, pages, toxicity, words
 from corpusloom.llm.common import sampled, stored
 from corpusloom.llm.queries import QUERIES
 
@@ -202,6 +203,74 @@ def test_language_learns_from_all_runs():
     assert all("=" + text.split()[0] in model.names for text, _ in late)
 
 
+ODD_WORDS = ["the", "The", "a", "ÉTÉ", "ΣΑΣ", "İstanbul", "ß", "日本語", "²", "x²y", "𝒳𝒴z", "aaaa", "ananan", "e" * 3000, "ǅungla", "ﬁn"]
+ODD_TEXTS = ["", "a", "12 ²½ _", "The the\nTHE_the1the", "x\r\n\x00y\u2028z", "e\u0301te\u0307", " ".join(ODD_WORDS), "²", "日本 語 " * 50]
+
+
+def test_distinct_words_are_those_of_the_expression():
+    for texts in (ODD_TEXTS, ODD_TEXTS[::-1], [""], [], ["ab", "cd"], ["²½", "٣", "\ud800a"]):
+        distinct, number, bounds = words.distinct_words(texts)
+        assert len(set(distinct)) == len(distinct) and bounds[-1] == len(number)
+        got = [[distinct[at] for at in number[a:b]] for a, b in zip(bounds, bounds[1:])]
+        assert got == [re.findall(r"[^\W\d_]+", text) for text in texts]
+
+
+def test_features_of_many_words_are_those_of_each():
+    random_ = random.Random(5)
+    every = ODD_WORDS + ["".join(random_.choices("aßÉéΣσς日k", k=random_.randint(1, 9))) for _ in range(500)]
+    names = sorted({name for word in every for name in language.features(word)})
+    known = {name: at for at, name in enumerate(names) if at % 3}
+    got = [[] for _ in every]
+    for owner, number in language.Index(known).features(every):
+        for at, feature in zip(owner.tolist(), number.tolist()):
+            got[at].append(feature)
+    for word, found in zip(every, got):
+        assert sorted(found) == sorted(known[name] for name in language.features(word) if name in known)
+
+
+def test_predictions_against_each_text_alone(monkeypatch):
+    random_ = random.Random(6)
+    rows = [(" ".join(random_.choices(["ab", "ba", "é", "Bab"], k=9)), "x") for _ in range(20)]
+    rows += [(" ".join(random_.choices(["cd", "dc", "É", "dd"], k=9)), "y") for _ in range(20)] + [("日 本 語", "z")] * 3
+    model = language.fit(rows)
+    texts = [" ".join(random_.choices(["ab", "cd", "é", "ÉÉ", "new", "日"], k=k % 40)) for k in range(90)] + ODD_TEXTS + [None]
+    move = np.exp(model.switch)
+    for cells in (1, 70, 10**6):
+        monkeypatch.setattr(language, "CELLS", cells)
+        for text, label, score in zip(texts, *model.predict(texts)):
+            found = re.findall(r"[^\W\d_]+", text or "")
+            if not any(map(str.isalpha, text or "")):
+                assert (label, score) == ("und", 0.0)
+                continue
+            emit = [np.exp(model.weights[[model.names[n] for n in language.features(w) if n in model.names]].sum(axis=0)) for w in found]
+            ahead, behind = [emit[0]], [np.ones(3)]
+            for one in emit[1:]:
+                ahead.append(ahead[-1] @ move * one)
+                ahead[-1] /= ahead[-1].sum()
+            for one in emit[:0:-1]:
+                behind.append(move @ (behind[-1] * one))
+                behind[-1] /= behind[-1].sum()
+            share = sum(a * b / (a @ b) for a, b in zip(ahead, behind[::-1])) / len(emit)
+            assert label == "xyz"[share.argmax()] and abs(score - share.max()) < 1e-9
+
+
+def calls_of_functions(run):
+    """How often Python functions are entered while ``run`` runs."""
+    seen = []
+    sys.setprofile(lambda frame, event, arg: seen.append(1) if event == "call" else None)
+    try:
+        run()
+    finally:
+        sys.setprofile(None)
+    return len(seen)
+
+
+def test_new_words_take_no_call_each():
+    texts = [" ".join(f"w{chr(97 + a)}{chr(97 + b)}{chr(97 + c)}" for c in range(26)) for a in range(26) for b in range(26)]
+    model = language.fit([("wab wac", "x"), ("wad wae", "y")] * 3)
+    assert calls_of_functions(lambda: model.predict(texts)) < 2000
+
+
 def test_language_on_held_out_rows(spark, medium):
     found = QUERIES["op4_language_id"](spark, medium).join(
         spark.read.parquet(f"{medium}/documents.parquet").select("doc_id", "lang"), "doc_id")
