@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import held_out, returning, sampled
 from corpusloom.llm.hashing import mix, place_factors
-from corpusloom.llm.words import WORDS, code_points, distinct_words, longest_first
+from corpusloom.llm.words import WORDS, code_points, distinct_words, in_runs
 
 MAX_ROWS = 400
 MAX_CHARS = 20_000
@@ -374,7 +374,7 @@ def predict(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred"
         for batch in batches:
             texts = batch.column("text")
             languages, scores = np.empty(len(texts), object), np.empty(len(texts))
-            for rows in longest_first(texts, SLICE):
+            for rows in in_runs(texts, SLICE, longest_first=True):
                 languages[rows], scores[rows] = model.predict(texts.take(pa.array(rows)).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(languages, pa.string()), pa.array(scores, pa.float64())],

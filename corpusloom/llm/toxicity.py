@@ -17,9 +17,6 @@ gives way to it, and ``score`` takes another name for the result.
 
 from __future__ import annotations
 
-import re
-import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import held_out, sampled
+from corpusloom.llm.common import held_out, returning, sampled, texts_of
+from corpusloom.llm.words import distinct_words, in_runs
 
 MAX_ROWS = 6_000
 MAX_CHARS = 20_000
@@ -36,24 +34,74 @@ ORDERS = (2, 3, 4, 5, 6)
 # The n-grams with weights, chosen from all that occur; so many keep the fit within the driver's memory.
 MAX_FEATURES = 5_000
 MIN_TEXTS = 5
-REMEMBERED = 1_000_000
+# Texts whose words are looked at together, in bytes; counts of texts by columns, and places of words, held at once.
+SLICE = 2 << 20
+CELLS = 500_000
+PLACES = 100_000
 
-NONE = np.zeros(0, np.int32)
+_MASK = np.uint32((1 << BITS) - 1)
 
-_WORDS = re.compile(r"[^\W\d_]+")
 
+def _crc_table() -> np.ndarray:
+    found = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        found = np.where(found & 1, (found >> 1) ^ np.uint32(0xEDB88320), found >> 1)
+    return found
 
-def columns_of(word: str) -> list[int]:
-    """The columns of a lower-cased word."""
-    whole = f"_{word}_"
-    mask, crc = (1 << BITS) - 1, zlib.crc32
-    if whole.isascii():  # a byte is a character
-        line = whole.encode()
-        return [crc(line[at : at + n]) & mask for n in ORDERS for at in range(len(line) - n + 1)]
-    return [crc(whole[at : at + n].encode()) & mask for n in ORDERS for at in range(len(whole) - n + 1)]
 
+_CRC = _crc_table()
 
-def rates(counts: np.ndarray, words: int) -> np.ndarray:
+
+def _crc_step(crc: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    """States of crc32 after one more byte."""
+    return _CRC[(crc ^ byte) & np.uint32(0xFF)] ^ (crc >> np.uint32(8))
+
+
+def columns_of(words: list[str], number: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct columns of lower-cased words, one word after the other, and where those of each word begin.
+
+    A column is crc32 of an n-gram's UTF-8, cut to ``BITS`` bits.  With ``number``, columns are numbered
+    by it and those below 0 left out.
+    """
+    if not words:
+        return np.zeros(0, np.int32), np.zeros(1, np.int64)
+    data = np.frombuffer("".join(["_", "_\n_".join(words), "_\n"]).encode(), np.uint8)
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    size = np.diff(np.append(at, len(data)))
+    end = np.flatnonzero(data[at] == 10)
+    owner = np.repeat(np.arange(len(words)), np.diff(np.concatenate(([-1], end))))
+    left = end[owner] - np.arange(len(at))
+    place, crc = np.arange(len(at)), np.full(len(at), 0xFFFFFFFF, np.uint32)
+    width = 1 << BITS if number is None else int(number.max(initial=0)) + 1
+    pairs = [np.zeros(0, np.int64)]
+    for n in range(1, max(ORDERS) + 1):
+        # The states after n characters, from every character with so many left.
+        some = left[place] >= n
+        place, crc = place[some], crc[some]
+        last = place + (n - 1)
+        crc = _crc_step(crc, data[at[last]])
+        for byte in range(1, 4):
+            wide = np.flatnonzero(size[last] > byte)
+            crc[wide] = _crc_step(crc[wide], data[at[last[wide]] + byte])
+        if n in ORDERS:
+            column, mine = ((crc ^ np.uint32(0xFFFFFFFF)) & _MASK).astype(np.int64), owner[place]
+            if number is not None:
+                column = number[column].astype(np.int64)
+                column, mine = column[column >= 0], mine[column >= 0]
+            pairs.append(mine * width + column)
+    found = np.sort(np.concatenate(pairs))
+    found = found[np.diff(found, prepend=-1) > 0]
+    return (found % width).astype(np.int32), np.searchsorted(found, np.arange(len(words) + 1) * width)
+
+
+def _of_places(number: np.ndarray, columns: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The columns of the words at each place, and the place of each of them."""
+    sizes = begin[number + 1] - begin[number]
+    at = np.repeat(begin[number] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+    return columns[at], np.repeat(np.arange(len(number)), sizes)
+
+
+def rates(counts: np.ndarray, words: int | np.ndarray) -> np.ndarray:
     """Logarithm of the count per fifty words; short texts count as a little longer."""
     return np.log1p(50 * counts / (words + 20))
 
@@ -63,34 +111,33 @@ class Model:
 
     def __init__(self, chosen: np.ndarray, present: np.ndarray, rate: np.ndarray, bias: float):
         self.chosen, self.present, self.rate, self.bias = chosen, present, rate, bias
-        self.number = {int(column): at for at, column in enumerate(chosen)}
-        self.known: dict[str, np.ndarray] = {}
-
-    def counts(self, text: str) -> tuple[np.ndarray, int]:
-        """In how many words of the text each chosen column is, and the number of words."""
-        words = Counter(_WORDS.findall(text.lower()))
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        at, n, total = [], [], 0
-        for word, times in words.items():
-            columns = self.known.get(word)
-            if columns is None:
-                inside = self.number.keys() & columns_of(word)
-                columns = NONE if not inside else np.array(sorted([self.number[c] for c in inside]), np.int32)
-                self.known[word] = columns
-            total += times
-            if len(columns):
-                at.append(columns)
-                n.append(times)
-        if not at:
-            return np.zeros(len(self.chosen)), total
-        times = np.repeat(np.array(n, float), [len(columns) for columns in at])
-        return np.bincount(np.concatenate(at), times, len(self.chosen)), total
-
-    def score(self, text: str) -> float:
-        counts, words = self.counts(text)
-        margin = self.bias + self.present[counts > 0].sum() + (self.rate * rates(counts, words)).sum()
-        return float(1 / (1 + np.exp(-np.clip(margin, -60, 60))))
+        self.number = np.full(1 << BITS, -1, np.int32)
+        self.number[chosen.astype(np.int64)] = np.arange(len(chosen))
+
+    def counts(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """In how many words of each text each of its chosen columns is: texts, columns, counts, and the texts' words."""
+        words, number, bounds = distinct_words([text.lower() for text in texts])
+        columns, begin = columns_of(words, self.number)
+        width = max(1, len(self.chosen))
+        lengths = np.diff(bounds)
+        row = np.repeat(np.arange(len(texts)), lengths)
+        step = max(1, CELLS // width)
+        for first in range(0, len(texts), step):
+            n = min(step, len(texts) - first)
+            sums = np.zeros(n * width, np.int64)
+            for at in range(bounds[first], bounds[first + n], PLACES):
+                places = slice(at, min(at + PLACES, bounds[first + n]))
+                column, place = _of_places(number[places], columns, begin)
+                sums += np.bincount((row[places] - first)[place] * width + column, minlength=len(sums))
+            found = np.flatnonzero(sums)
+            text = found // width + first
+            yield text, found % width, sums[found], lengths[text]
+
+    def score(self, texts: list[str]) -> np.ndarray:
+        margin = np.full(len(texts), float(self.bias))
+        for text, column, counts, words in self.counts(texts):
+            margin += np.bincount(text, self.present[column] + self.rate[column] * rates(counts, words), len(texts))
+        return 1 / (1 + np.exp(-np.clip(margin, -60, 60)))
 
 
 def fit(rows: Iterable[tuple[str, int]]) -> Model:
@@ -105,21 +152,15 @@ def fit(rows: Iterable[tuple[str, int]]) -> Model:
         return Model(none, none, none, 0.0 if not len(y) else (4.0 if y[0] else -4.0))
     size = 1 << BITS
     there, rate = np.zeros((2, size), np.float32), np.zeros((2, size), np.float32)
-    known: dict[str, np.ndarray] = {}
-    for text, label in rows:
-        words = Counter(_WORDS.findall(text.lower()))
-        if len(known) > REMEMBERED // 20:
-            known.clear()
-        for word in words:
-            if word not in known:
-                known[word] = np.unique(np.array(columns_of(word), np.int32))
-        if words:
-            every = np.concatenate([known[word] for word in words])
-            times = np.repeat(np.array(list(words.values()), float), [len(known[word]) for word in words])
-            columns, place = np.unique(every, return_inverse=True)
-            there[label, columns] += 1
-            rate[label, columns] += rates(np.bincount(place, times), sum(words.values()))
-    known.clear()
+    texts = pa.array([text for text, _ in rows], pa.large_string())
+    for some in in_runs(texts, SLICE // 2):
+        words, number, bounds = distinct_words([rows[at][0].lower() for at in some])
+        columns, begin = columns_of(words)
+        for at, first, last in zip(some, bounds, bounds[1:]):
+            found, counts = np.unique(_of_places(number[first:last], columns, begin)[0], return_counts=True)
+            label = rows[at][1]
+            there[label, found] += 1
+            rate[label, found] += rates(counts, last - first)
     ratios = [_ratio(there), _ratio(rate)]
     seen = there.sum(axis=0)
     worth = np.where(seen >= MIN_TEXTS, np.abs(ratios).max(axis=0) * np.sqrt(seen), 0)
@@ -128,13 +169,12 @@ def fit(rows: Iterable[tuple[str, int]]) -> Model:
     model = Model(chosen, ratios[0][chosen], ratios[1][chosen], 0.0)
     parts = []
     for first in range(0, len(rows), 500):
-        at, column, value = [], [], []
-        for row, (text, _) in enumerate(rows[first : first + 500]):
-            counts, words = model.counts(text)
-            mine = np.flatnonzero(counts)
-            at.append(np.full(len(mine), row, np.int16))
-            column.append(mine.astype(np.int32))
-            value.append(rates(counts[mine], words).astype(np.float32))
+        at, column, value = [np.zeros(0, np.int16)], [np.zeros(0, np.int32)], [np.zeros(0, np.float32)]
+        for some in in_runs(texts.slice(first, 500), SLICE // 2):
+            for text, mine, counts, words in model.counts([rows[first + k][0] for k in some]):
+                at.append(some[text].astype(np.int16))
+                column.append(mine.astype(np.int32))
+                value.append(rates(counts, words).astype(np.float32))
         parts.append(tuple(np.concatenate(one) for one in (at, column, value)))
     present, by_rate, bias = _logistic(parts, model.present, model.rate, y)
     return Model(chosen, present * model.present, by_rate * model.rate, bias)
@@ -195,9 +235,12 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*sent.value)
         for batch in batches:
-            found = [model.score(text.as_py() or "") for text in batch.column("text")]
+            texts = texts_of(batch)
+            found = np.empty(len(texts))
+            for rows in in_runs(texts, SLICE):
+                found[rows] = model.score(texts.slice(rows[0], len(rows)).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, name]
             )
 
-    return docs.mapInArrow(scored, schema)
+    return docs.mapInArrow(returning(scored), schema)

@@ -52,9 +52,9 @@ def distinct_words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]
     return every.dictionary.to_pylist(), every.indices.to_numpy(), bounds
 
 
-def longest_first(texts: pa.Array, limit: int) -> Iterator[np.ndarray]:
-    """Numbers of the rows in runs of about ``limit`` bytes of texts, the longest texts first."""
+def in_runs(texts: pa.Array, limit: int, longest_first: bool = False) -> Iterator[np.ndarray]:
+    """Numbers of the rows in runs of about ``limit`` bytes of texts, in their order or the longest texts first."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    order = np.argsort(-sizes, kind="stable")
+    order = np.argsort(-sizes, kind="stable") if longest_first else np.arange(len(sizes))
     run = np.cumsum(sizes[order]) // limit
     yield from np.split(order, np.flatnonzero(run[1:] != run[:-1]) + 1) if len(order) else ()

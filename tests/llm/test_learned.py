@@ -444,6 +444,52 @@ def test_toxicity_on_held_out_rows(spark, medium):
     assert all(r["predicted"] == (r["score"] >= 0.5) for r in rows)
 
 
+def test_columns_of_many_words_are_those_of_each():
+    random_ = random.Random(7)
+    every = ["a", "ab", "é", "日本語", "𝒳y", "e" * 3000] + ["".join(random_.choices("aßéσ日𝒳k", k=random_.randint(1, 9))) for _ in range(500)]
+
+    def plain(word):
+        line = f"_{word}_"
+        grams = {line[at : at + n] for n in toxicity.ORDERS for at in range(len(line) - n + 1)}
+        return sorted({zlib.crc32(gram.encode()) % (1 << toxicity.BITS) for gram in grams})
+
+    columns, begin = toxicity.columns_of(every)
+    assert [columns[a:b].tolist() for a, b in zip(begin, begin[1:])] == [plain(word) for word in every]
+    number = np.full(1 << toxicity.BITS, -1, np.int32)
+    known = sorted({column for word in every for column in plain(word)})[::3]
+    number[known] = range(len(known))
+    columns, begin = toxicity.columns_of(every, number)
+    for a, b, word in zip(begin, begin[1:], every):
+        assert columns[a:b].tolist() == [number[column] for column in plain(word) if number[column] >= 0]
+    assert len(toxicity.columns_of([])[0]) == 0
+
+
+def test_toxicity_of_many_texts_is_that_of_each(monkeypatch):
+    random_ = random.Random(8)
+    rows = [(" ".join(random_.choices(["idiot", "the", f"w{k % 9}x", "Été"], k=30)), 1) for k in range(40)]
+    rows += [(" ".join(random_.choices(["kind", "the", f"w{k % 9}x", "Été"], k=30)), 0) for k in range(40)]
+    model = toxicity.fit(rows)
+    assert len(model.chosen) > 20
+    texts = [" ".join(random_.choices(["idiot", "KIND", "été", "日", "never1seen"], k=k % 30)) for k in range(70)] + ODD_TEXTS
+    for cells, places in ((1, 1), (3 * len(model.chosen), 7), (10**6, 10**6)):
+        monkeypatch.setattr(toxicity, "CELLS", cells)
+        monkeypatch.setattr(toxicity, "PLACES", places)
+        for text, score in zip(texts, model.score(texts)):
+            found, sums = re.findall(r"[^\W\d_]+", text.lower()), np.zeros(len(model.chosen))
+            for word in found:
+                line = f"_{word}_"
+                grams = {line[at : at + n] for n in toxicity.ORDERS for at in range(len(line) - n + 1)}
+                sums += np.isin(model.chosen, [zlib.crc32(gram.encode()) % (1 << toxicity.BITS) for gram in grams])
+            margin = model.bias + model.present[sums > 0].sum() + (model.rate * toxicity.rates(sums, len(found))).sum()
+            assert abs(score - 1 / (1 + np.exp(-margin))) < 1e-9
+
+
+def test_new_words_take_no_call_each_in_toxicity():
+    texts = [" ".join(f"w{chr(97 + a)}{chr(97 + b)}{chr(97 + c)}" for c in range(26)) for a in range(26) for b in range(26)]
+    model = toxicity.fit([("idiot wab", 1), ("kind wac", 0)] * 10)
+    assert calls_of_functions(lambda: list(model.score(texts))) < 4000
+
+
 def test_toxicity_edges(spark, docs):
     table = docs([(k, f"idiot clown text {k}" if k % 2 else f"kind plain text {k}") for k in range(80)]
                  + [(200, None), (201, ""), (202, "a" * 200000), (None, "idiot")])
