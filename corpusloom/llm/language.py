@@ -40,6 +40,8 @@ MAX_FEATURES = 60_000
 # Texts whose words are looked at together, in bytes, and the numbers that go through the recursion together.
 SLICE = 2 << 20
 CELLS = 1_000_000
+# Words whose features are hashed side by side; a feature takes some 50 bytes until it is weighed.
+WORDS_AT_ONCE = 1 << 14
 SLOT_BITS = 20
 UNKNOWN = "und"
 
@@ -155,10 +157,13 @@ class Model:
     def emissions(self, words: list[str]) -> np.ndarray:
         """Exponentiated weights of each language (a row) at each word (a column)."""
         table = np.zeros((len(self.languages), len(words)))
-        for owner, number in self.index.features(words):
-            for language, weights in enumerate(self.weights.T):
-                table[language] += np.bincount(owner, weights[number], len(words))
-        return np.exp(table - table.max(axis=0))
+        for first in range(0, len(words), WORDS_AT_ONCE):
+            part = table[:, first : first + WORDS_AT_ONCE]
+            for owner, number in self.index.features(words[first : first + WORDS_AT_ONCE]):
+                for language, weights in enumerate(self.weights.T):
+                    part[language] += np.bincount(owner, weights[number], part.shape[1])
+        table -= table.max(axis=0)
+        return np.exp(table, out=table)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and score of each text."""

@@ -5,9 +5,11 @@ import random
 import re
 import sys
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -553,3 +555,43 @@ def test_pipeline_on_an_empty_table(spark, small, docs):
 def test_queries_keep_their_rows(spark, small, name):
     table = {"op2": "embeddings", "op3": "pages"}.get(name.split("_")[0], "documents")
     assert QUERIES[name](spark, small).count() == spark.read.parquet(f"{small}/{table}.parquet").count()
+
+
+def test_emissions_take_little_more_memory_than_their_table():
+    random_words = random.Random(4)
+    many = ["".join(random_words.choices("abcdefghij", k=9)) for _ in range(120_000)]
+    model = language.fit([(" ".join(many[:300]), "xx"), (" ".join(many[300:600]).upper(), "yy")])
+    model.emissions(many[:10])
+    tracemalloc.start()
+    try:
+        table = model.emissions(many)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 2 * table.nbytes + (24 << 20)
+    some = [0, language.WORDS_AT_ONCE - 1, language.WORDS_AT_ONCE, len(many) - 1]
+    assert (table[:, some] == model.emissions([many[at] for at in some])).all()
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_send_rows_by_bytes(spark, tmp_path, name):
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.range(0).selectExpr("id AS item_id", "'' AS text").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.range(0).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    text = "concat(id, repeat(' some words of a long text', 1000)) AS text"
+    made = spark.range(0, 1000, 1, 1).selectExpr("id AS doc_id", text, "'en' AS lang", "'s' AS source", "1L AS n_chars")
+    spark.conf.unset(bound)
+    try:
+        dict(corpus_pipeline.STAGES)[name](spark, made.limit(5), str(tmp_path))
+
+        def sizes(batches):
+            yield from (pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows]), "size": pa.array([b.nbytes])}) for b in batches)
+
+        found = made.mapInArrow(sizes, "n long, size long").collect()
+        assert sum(n for n, _ in found) == 1000 and max(size for _, size in found) < 5 << 20
+        # A bound of the session's own stays.
+        spark.conf.set(bound, "1m")
+        dict(corpus_pipeline.STAGES)[name](spark, made.limit(5), str(tmp_path))
+        assert spark.conf.get(bound) == "1m"
+    finally:
+        spark.conf.unset(bound)
